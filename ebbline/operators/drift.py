@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ebbline.functions.values import round_half_up
-from ebbline.operators.prep import long_values
+from ebbline.functions.values import number, round_half_up
 from ebbline.operators.profiles import bin_of
 
 PSI_EPSILON = 1e-4
@@ -52,25 +54,88 @@ def monitored_features(importance: DataFrame, k: int = 5) -> list[str]:
 # --- counting --------------------------------------------------------------------------
 
 
-def _reference(profile: DataFrame, features: Sequence[str], kind: str) -> DataFrame:
-    named = F.coalesce(F.lower("kind"), F.lit("numerical"))
-    is_categorical = named == "categorical"
-    wanted = is_categorical if kind == "categorical" else ~is_categorical
-    return profile.where(F.col("feature").isin(list(features)) & wanted)
+def _kind() -> Column:
+    given = F.coalesce(F.lower("kind"), F.lit("numerical"))
+    return F.when(given == "categorical", given).otherwise("numerical")
 
 
-def _present(telemetry: DataFrame, features: Sequence[str]) -> list[str]:
-    return [f for f in features if f in telemetry.columns]
+def profile_cells(
+    profile: DataFrame, features: Sequence[str], kind: str | None = None
+) -> DataFrame:
+    """The profile's bins and categories under one key, ``cell``."""
+    cells = profile.where(F.col("feature").isin(list(features))).withColumn("kind", _kind())
+    if kind:
+        cells = cells.where(F.col("kind") == kind)
+    numbered = F.col("kind") == "numerical"
+    key = F.when(numbered, F.col("bin_no").cast("string")).otherwise(F.col("category"))
+    return cells.withColumn("cell", key).where(F.col("cell").isNotNull())
+
+
+def _references(cells: DataFrame) -> dict[str, tuple[str, list[float]]]:
+    """feature -> (kind, edges), read from the stored profile.
 
+    One row per requested feature with its bin edges; categories stay where they are.
+    """
+    bins = F.array_sort(
+        F.collect_list(F.when(F.col("kind") == "numerical", F.struct("bin_no", "lo", "hi")))
+    )
+    rows = cells.groupBy("feature", "kind").agg(bins.alias("bins")).collect()
+    return {
+        r.feature: (r.kind, [b.lo for b in r.bins] + [b.hi for b in r.bins[-1:]]) for r in rows
+    }
 
-def _with_all_cells(
-    counts: DataFrame, cells: DataFrame, keys: Sequence[str], cell: str
+
+def _bin_number(value: Column, edges: list[float]) -> Column:
+    """:func:`bin_of` for edges known beforehand: plain comparisons for a usual number of them."""
+    inner = edges[1:-1]
+    if len(inner) > 64:
+        return bin_of(value, F.lit(edges))
+    return reduce(add, ((value >= F.lit(e)).cast("int") for e in inner), F.lit(0))
+
+
+def cell_counts(
+    telemetry: DataFrame, cells: DataFrame, features: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Counts for every cell of the profile, zero where nothing fell."""
-    seen = counts.select(*keys, "feature").distinct()
+    """(by..., feature, cell, n): where the values of each feature fall.
+
+    One pass covers all features. The profile is a stored table, and the edges of
+    the requested features are part of the plan, so each row finds its cells by
+    itself and is counted where it lies; what is shuffled is one row per cell and
+    task, however common a value is.
+    """
+    present = [f for f in features if f in telemetry.columns]
+    spark = telemetry.sparkSession
+    if not present:
+        fields = [telemetry.schema[k] for k in by]
+        empty = T.StructType(fields).add("feature", "string").add("cell", "string").add("n", "bigint")
+        return spark.createDataFrame([], empty)
+    references = _references(cells)
+    found = []
+    for name in present:
+        kind, edges = references.get(name, (None, []))
+        if kind == "categorical":
+            cell = telemetry[name].cast("string")
+        elif kind == "numerical":
+            value = number(telemetry, name)
+            cell = F.when(value.isNotNull(), _bin_number(value, edges).cast("string"))
+        else:
+            cell = F.lit(None).cast("string")
+        found.append(cell.alias(name))
+    return (
+        telemetry.select(*(telemetry[k] for k in by), *found)
+        .unpivot(list(by), present, "feature", "cell")
+        .where(F.col("cell").isNotNull())
+        .groupBy(*by, "feature", "cell")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def _all_cells(counts: DataFrame, cells: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Every cell of the features that were seen, with zero where nothing fell."""
+    seen = counts.select(*by, "feature").distinct()
     return (
         seen.join(cells, "feature")
-        .join(counts, [*keys, "feature", cell], "left")
+        .join(counts, [*by, "feature", "cell"], "left")
         .withColumn("n", F.coalesce("n", F.lit(0)))
     )
 
@@ -78,80 +143,72 @@ def _with_all_cells(
 def bin_counts(
     telemetry: DataFrame, profile: DataFrame, features: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
-    """(by..., feature, bin_no, lo, hi, expected_pct, n) of the numerical features.
-
-    All features are counted in one pass and summed up where the rows lie; what
-    is shuffled is one row per bin and task. The edges are broadcast: one row
-    per requested feature, since a profile lists each bin once.
-    """
-    cells = _reference(profile, features, "numerical").select(
-        "feature", "bin_no", "lo", "hi", "expected_pct"
-    )
-    bins = F.array_sort(F.collect_list(F.struct("bin_no", "lo", "hi")))
-    edges = (
-        cells.groupBy("feature")
-        .agg(bins.alias("bins"))
-        .select("feature", F.array_append(F.col("bins.lo"), F.element_at("bins", -1)["hi"]).alias("edges"))
+    """(by..., feature, bin_no, lo, hi, expected_pct, n) of the numerical features."""
+    cells = profile_cells(profile, features, "numerical")
+    counts = cell_counts(telemetry, cells, features, by)
+    return _all_cells(counts, cells, by).select(
+        *by, "feature", "bin_no", "lo", "hi", "expected_pct", "n"
     )
-    present = _present(telemetry, features)
-    counts = (
-        long_values(telemetry, present, "double", by)
-        .where(F.col("value").isNotNull())
-        .join(F.broadcast(edges), "feature")
-        .groupBy(*by, "feature", bin_of(F.col("value"), F.col("edges")).alias("bin_no"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return _with_all_cells(counts, cells, by, "bin_no")
 
 
 def category_counts(
     telemetry: DataFrame, profile: DataFrame, features: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
-    """(by..., feature, category, expected_pct, n); unknown categories do not count.
-
-    Values are counted before they meet the profile, so a dominant value is one
-    row by then and a profile of any length can be joined.
-    """
-    cells = _reference(profile, features, "categorical").select("feature", "category", "expected_pct")
-    listed = cells.select("feature").distinct()  # at most one row per requested feature
-    counts = (
-        long_values(telemetry, _present(telemetry, features), "string", by)
-        .where(F.col("value").isNotNull())
-        .join(F.broadcast(listed), "feature", "left_semi")
-        .groupBy(*by, "feature", F.col("value").alias("category"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    known = counts.join(cells.select("feature", "category"), ["feature", "category"], "left_semi")
-    return _with_all_cells(known, cells, by, "category")
+    """(by..., feature, category, expected_pct, n); unknown categories do not count."""
+    cells = profile_cells(profile, features, "categorical")
+    counts = cell_counts(telemetry, cells, features, by)
+    return _all_cells(counts, cells, by).select(*by, "feature", "category", "expected_pct", "n")
 
 
 # --- population stability index --------------------------------------------------------
 
 
-def psi_of_counts(
-    counts: DataFrame, by: Sequence[str] = (), epsilon: float = PSI_EPSILON
+def stability_index(
+    telemetry: DataFrame,
+    profile: DataFrame,
+    features: Sequence[str],
+    by: Sequence[str] = (),
+    epsilon: float = PSI_EPSILON,
+    kind: str | None = None,
 ) -> DataFrame:
-    """PSI per feature from the count and the expected share of each cell.
+    """(by..., feature, psi): how far the live shares are from the expected ones.
 
-    Shares are raised to ``epsilon`` and scaled to sum to one on both sides. With
-    raised shares a, e and their sums A, E the index is
-    sum(a ln(a/e)) / A - sum(e ln(a/e)) / E: the scale cancels out of the logs,
-    so one grouped sum is enough.
+    Shares below ``epsilon`` are raised to it and both sides scaled to sum to one.
+    With raised shares a, e and their sums A, E the index is
+    sum(a ln(a/e)) / A - sum(e ln(a/e)) / E, as the scale cancels out of the logs.
+    A cell nothing fell into has a = epsilon, so its terms depend on the profile
+    alone: they are summed once per feature, and only cells that were hit are joined.
     """
+    eps = F.lit(epsilon)
+    cells = profile_cells(profile, features, kind)
+    e = F.greatest(F.col("expected_pct"), eps)
+    empty_gap = F.ln(eps / e)
+    # One row per requested feature: the sums if every cell were empty.
+    constants = cells.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("k"),
+        F.sum(e).alias("e_sum"),
+        F.sum(eps * empty_gap).alias("a_terms"),
+        F.sum(e * empty_gap).alias("e_terms"),
+    )
     keys = [*by, "feature"]
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
-    a = F.greatest(F.col("n") / F.nullif(F.col("total"), F.lit(0)), F.lit(epsilon))
-    e = F.greatest(F.col("expected_pct"), F.lit(epsilon))
-    gap = F.ln(F.col("a") / F.col("e"))
-    return (
-        counts.join(totals, keys)
-        .where(F.col("total") > 0)
-        .select(*keys, a.alias("a"), e.alias("e"))
-        .groupBy(*keys)
-        .agg(
-            (F.sum(F.col("a") * gap) / F.sum("a") - F.sum(F.col("e") * gap) / F.sum("e")).alias("psi")
-        )
+    hit = cell_counts(telemetry, cells, features, by).join(
+        cells.select("feature", "cell", e.alias("e")), ["feature", "cell"]
     )
+    # At most one row per cell of the profile in each of these groups.
+    total = F.sum("n").over(Window.partitionBy(*keys))
+    shares = hit.withColumn("a", F.greatest(F.col("n") / total, eps))
+    a_gain = F.col("a") * F.ln(F.col("a") / F.col("e")) - eps * F.ln(eps / F.col("e"))
+    found = shares.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("k_hit"),
+        F.sum("a").alias("a_hit"),
+        F.sum(a_gain).alias("a_gain"),
+        F.sum(F.col("e") * F.ln(F.col("a") / eps)).alias("e_gain"),
+    )
+    a_sum = F.col("a_hit") + (F.col("k") - F.col("k_hit")) * eps
+    index = (F.col("a_gain") + F.col("a_terms")) / a_sum - (
+        F.col("e_gain") + F.col("e_terms")
+    ) / F.col("e_sum")
+    return found.join(F.broadcast(constants), "feature").select(*keys, index.alias("psi"))
 
 
 def psi_numeric(
@@ -161,7 +218,7 @@ def psi_numeric(
     by: Sequence[str] = (),
     epsilon: float = PSI_EPSILON,
 ) -> DataFrame:
-    return psi_of_counts(bin_counts(telemetry, profile, features, by), by, epsilon)
+    return stability_index(telemetry, profile, features, by, epsilon, "numerical")
 
 
 def psi_categorical(
@@ -171,7 +228,7 @@ def psi_categorical(
     by: Sequence[str] = (),
     epsilon: float = PSI_EPSILON,
 ) -> DataFrame:
-    return psi_of_counts(category_counts(telemetry, profile, features, by), by, epsilon)
+    return stability_index(telemetry, profile, features, by, epsilon, "categorical")
 
 
 # --- report ----------------------------------------------------------------------------
@@ -211,19 +268,16 @@ def drift_report(
         )
     )
     asked = sizes.select(*keys, F.coalesce("rows", F.lit(0)).alias("rows"), F.inline(requested))
+    # At most one row per requested feature.
     known = (
         profile.where(F.col("feature").isin(wanted))
         .select("feature", F.lit(True).alias("in_baseline"))
         .distinct()
     )
-    present = _present(telemetry, list(dict.fromkeys(wanted)))
-    if present:
-        index = psi_numeric(telemetry, profile, present, by, epsilon).unionByName(
-            psi_categorical(telemetry, profile, present, by, epsilon)
-        )
-        joined = asked.join(known, "feature", "left").join(index, [*keys, "feature"], "left")
-    else:
-        joined = asked.join(known, "feature", "left").withColumn("psi", F.lit(None).cast("double"))
+    index = stability_index(telemetry, profile, list(dict.fromkeys(wanted)), by, epsilon)
+    joined = asked.join(F.broadcast(known), "feature", "left").join(
+        index, [*keys, "feature"], "left"
+    )
     in_baseline = F.coalesce("in_baseline", F.lit(False))
     absent = ~F.col("in_telemetry") | ~in_baseline
     broken = F.isnan("psi") | (F.abs("psi") == float("inf"))

@@ -11,6 +11,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbline.functions.values import exact_cents, round_half_up
+
 
 class Commerce(NamedTuple):
     orders: DataFrame
@@ -61,9 +63,9 @@ def star_customers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def star_payments(spark: SparkSession, folder: str) -> DataFrame:
-    paid = F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))
+    paid = round_half_up(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")), 2)
     return _table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"), paid.cast("decimal(18,2)").alias("payment_value")
+        F.col("l_orderkey").alias("order_id"), exact_cents(paid).alias("payment_value")
     )
 
 

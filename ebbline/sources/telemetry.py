@@ -5,8 +5,9 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ebbline.functions.stamps import plus_days
+from ebbline.functions.stamps import parse_instant, partition_day, plus_days, within_days
 from ebbline.operators.labels import check_maturity, matured_labels
 from ebbline.sources.lake import day_folder, read_if_present
 
@@ -59,3 +60,35 @@ def lookback_telemetry(
             "SKIPPED_SYSTEM_IMMATURE",
         )
     return Lookback(found, matured_labels(found, labelled), "MATURED_EVALUATION_READY")
+
+
+def partition_statuses(table: DataFrame, first: str, last: str, lookback_days: int = 30) -> DataFrame:
+    """Rows and status of every day from ``first`` to ``last`` and of its look-back day.
+
+    One pass over the partitions concerned; days without a partition show up with
+    zero rows.
+    """
+    spark = table.sparkSession
+    start, stop = (F.lit(parse_instant(d).date()) for d in (first, last))
+    days = spark.range(1).select(F.explode(F.sequence(start, stop)).alias("day"))
+    calendar = days.withColumn("lookback_day", F.date_sub("day", lookback_days))
+    kept = within_days(table, lookback_day(first, lookback_days), last)
+    rows = kept.groupBy(partition_day(kept).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    then = rows.withColumnsRenamed({"day": "lookback_day", "n": "then_n"})
+    today, past = F.coalesce("n", F.lit(0)), F.coalesce("then_n", F.lit(0))
+    return (
+        calendar.join(rows, "day", "left")
+        .join(then, "lookback_day", "left")
+        .select(
+            "day",
+            "lookback_day",
+            today.alias("n_rows"),
+            F.when(today > 0, "CURRENT_TELEMETRY_RESOLVED")
+            .otherwise("SKIPPED_ZERO_TRAFFIC_DAY")
+            .alias("status"),
+            past.alias("n_lookback_rows"),
+            F.when(past > 0, "MATURED_EVALUATION_READY")
+            .otherwise("SKIPPED_SYSTEM_IMMATURE")
+            .alias("lookback_status"),
+        )
+    )
