@@ -8,7 +8,6 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ebbline.functions.values import number, round_half_up
 from ebbline.operators.profiles import bin_of
@@ -104,11 +103,11 @@ def cell_counts(
     task, however common a value is.
     """
     present = [f for f in features if f in telemetry.columns]
-    spark = telemetry.sparkSession
     if not present:
-        fields = [telemetry.schema[k] for k in by]
-        empty = T.StructType(fields).add("feature", "string").add("cell", "string").add("n", "bigint")
-        return spark.createDataFrame([], empty)
+        text = F.lit(None).cast("string")
+        return telemetry.where(F.lit(False)).select(
+            *by, text.alias("feature"), text.alias("cell"), F.lit(0).cast("bigint").alias("n")
+        )
     references = _references(cells)
     found = []
     for name in present:
