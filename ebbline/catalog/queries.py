@@ -90,7 +90,7 @@ def _test_scores(c: Commerce) -> DataFrame:
 
 
 def _profile(c: Commerce) -> DataFrame:
-    train = _scored(_train_features(c))
+    train = md.store(_scored(_train_features(c)))
     return pr.binned_profile(train, [*S.NUMERICAL, S.PREDICTION], S.CATEGORICAL, S.N_BINS)
 
 

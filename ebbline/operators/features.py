@@ -42,21 +42,21 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
     return payments.groupBy("order_id").agg(F.sum("payment_value").alias("order_payment_value"))
 
 
-def enriched_orders(
-    orders: DataFrame, customers: DataFrame, payments: DataFrame, start: str, end: str
+def with_people_and_payments(
+    placed: DataFrame, customers: DataFrame, payments: DataFrame, start: str, end: str
 ) -> DataFrame:
-    """Visible orders with the person, the state and the order's payment total.
+    """Attach the person, the state and the payment total to order rows.
 
     The customer join comes first and the payment join last, so the rows leave
     partitioned by ``order_id``: counting distinct orders per person then needs
     no further shuffle of detail rows. Payments are summed before they are
     joined. Both joins are plain equi-joins; adaptive execution splits hot keys.
     """
-    placed = visible_orders(orders, start, end)
     people = within_days(customers, start, end).select(
         "customer_id", "customer_unique_id", "customer_state"
     )
     paid = payments_per_order(within_days(payments, start, end))
+    details = [c for c in placed.columns if c not in ("order_id", "customer_id")]
     return (
         placed.join(people, "customer_id")
         .join(paid, "order_id", "left")
@@ -64,15 +64,20 @@ def enriched_orders(
             "customer_unique_id",
             "customer_state",
             "order_id",
-            "purchase_ts",
-            "est_delivery_ts",
-            "act_delivery_ts",
-            "order_status",
+            *details,
             F.coalesce("order_payment_value", F.lit(0)).alias("payment_value"),
         )
     )
 
 
+def enriched_orders(
+    orders: DataFrame, customers: DataFrame, payments: DataFrame, start: str, end: str
+) -> DataFrame:
+    """Visible orders with the person, the state and the order's payment total."""
+    placed = visible_orders(orders, start, end)
+    return with_people_and_payments(placed, customers, payments, start, end)
+
+
 def feature_matrix(
     orders: DataFrame,
     customers: DataFrame,
@@ -82,20 +87,27 @@ def feature_matrix(
     min_orders: int = 1,
 ) -> DataFrame:
     """One row per person with at least ``min_orders`` orders in the window."""
-    rows = enriched_orders(orders, customers, payments, start, end)
+    visible = visible_orders(orders, start, end)
+    # Days and flags are worked out before the joins: they are all that has to be moved.
+    placed = visible.select(
+        "order_id",
+        "customer_id",
+        F.to_date("purchase_ts").alias("purchase_day"),
+        F.datediff("act_delivery_ts", "est_delivery_ts").alias("delay_days"),
+        F.col("act_delivery_ts").isNull().cast("int").alias("undelivered"),
+        (F.col("order_status") == "canceled").cast("int").alias("canceled"),
+    )
+    rows = with_people_and_payments(placed, customers, payments, start, end)
     cutoff_day = F.lit(parse_instant(end).date())
-    n_orders = F.count_distinct("order_id")
     grouped = rows.groupBy("customer_unique_id").agg(
         F.max("customer_state").alias("customer_state"),
-        F.datediff(cutoff_day, F.max("purchase_ts")).cast("bigint").alias("recency_days"),
-        F.datediff(cutoff_day, F.min("purchase_ts")).cast("bigint").alias("tenure_days"),
-        n_orders.alias("frequency"),
+        F.datediff(cutoff_day, F.max("purchase_day")).cast("bigint").alias("recency_days"),
+        F.datediff(cutoff_day, F.min("purchase_day")).cast("bigint").alias("tenure_days"),
+        F.count_distinct("order_id").alias("frequency"),
         F.sum("payment_value").cast("double").alias("monetary_total"),
-        F.max(F.datediff("act_delivery_ts", "est_delivery_ts"))
-        .cast("bigint")
-        .alias("max_delivery_delay_days"),
-        F.max(F.col("act_delivery_ts").isNull().cast("int")).alias("has_undelivered_order"),
-        F.count_if(F.col("order_status") == "canceled").alias("total_canceled_orders"),
+        F.max("delay_days").cast("bigint").alias("max_delivery_delay_days"),
+        F.max("undelivered").alias("has_undelivered_order"),
+        F.coalesce(F.sum("canceled"), F.lit(0)).alias("total_canceled_orders"),
     )
     per_order = F.col("monetary_total") / F.nullif(F.col("frequency"), F.lit(0))
     return grouped.where(F.col("frequency") >= min_orders).select(

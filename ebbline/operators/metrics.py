@@ -24,6 +24,29 @@ def complete_rows(df: DataFrame, y: str = TARGET, p: str = PREDICTION) -> DataFr
     return df.where(label.isNotNull() & ~F.isnan(label) & score.isNotNull() & ~F.isnan(score))
 
 
+def label_counts(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., score, pos, neg) with one row per row of the input."""
+    label = F.col(y).cast("int")
+    return df.select(
+        *by,
+        F.col(p).cast("double").alias("score"),
+        (label == 1).cast("int").alias("pos"),
+        (label == 0).cast("int").alias("neg"),
+    )
+
+
+def score_counts(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., score, pos, neg) with one row per distinct score.
+
+    Equal scores merge where they lie, which takes the weight out of a hot score.
+    """
+    return (
+        label_counts(df, y, p, by)
+        .groupBy(*by, "score")
+        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    )
+
+
 def squared_error(y: Column, p: Column) -> Column:
     return (p - y) * (p - y)
 
@@ -61,42 +84,40 @@ def _ranked_step(rows: DataFrame, group: Sequence[str], order: str) -> DataFrame
     )
 
 
-def roc_auc(
-    df: DataFrame, y: str = TARGET, p: str = PREDICTION, by: Sequence[str] = ()
-) -> DataFrame:
-    """Area under the ROC curve: the share of (positive, negative) pairs ranked right.
-
-    Ties count one half. Equal scores are first merged into one row, which
-    takes the weight out of a hot score. The rest is a running count of negatives
-    below each score. One ordered pass over all scores would put a model into one
-    task, so the score is read as digits to the base 65,536: scores are
-    ordered within the same two leading digits, those within the same first digit,
-    and those among themselves. The last two passes see at most 65,537 rows per
-    group however large the data are, and the first one as many distinct scores as
-    fit into an interval of 2^-32. The pair counts simply add up.
+def _auc(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Area under the ROC curve from one row per score.
+
+    What is needed is a running count of negatives below each score. One ordered
+    pass over all scores would put a model into one task, so the score is read as
+    digits to the base 65,536: scores are ordered within the same two leading
+    digits, those within the same first digit, and those among themselves. The last
+    two passes see at most 65,537 rows per group however large the data are, and the
+    first one as many distinct scores as fit into an interval of 2^-32. The pair
+    counts simply add up.
     """
     base = float(1 << 16)
     scaled = F.col("score") * F.lit(base)
     first = F.floor(scaled)
     second = F.floor((scaled - first) * F.lit(base))
-    label = F.col(y).cast("int")
-    merged = (
-        df.select(*by, label.alias("label"), F.col(p).cast("double").alias("score"))
-        .groupBy(*by, "score")
-        .agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
-        .withColumns({"digit1": first, "digit2": second})
-        .withColumn("won", F.col("pos").cast("double") * F.col("neg") * F.lit(0.5))
-    )
-    by_two = _ranked_step(merged, [*by, "digit1", "digit2"], "score")
-    by_one = _ranked_step(by_two, [*by, "digit1"], "digit2")
-    if by:
-        total = _ranked_step(by_one, list(by), "digit1")
-    else:
-        total = _ranked_step(by_one.withColumn("all", F.lit(1)), ["all"], "digit1")
+    tied = F.col("pos").cast("double") * F.col("neg") * F.lit(0.5)
+    rows = counts.withColumns({"digit1": first, "digit2": second, "won": tied})
+    keys = list(by)
+    if not keys:
+        rows, keys = rows.withColumn("all", F.lit(1)), ["all"]
+    by_two = _ranked_step(rows, [*keys, "digit1", "digit2"], "score")
+    by_one = _ranked_step(by_two, [*keys, "digit1"], "digit2")
+    total = _ranked_step(by_one, keys, "digit1")
     pairs = F.col("pos").cast("double") * F.col("neg").cast("double")
     return total.select(*by, (F.col("won") / F.nullif(pairs, F.lit(0.0))).alias("roc_auc"))
 
 
+def roc_auc(
+    df: DataFrame, y: str = TARGET, p: str = PREDICTION, by: Sequence[str] = ()
+) -> DataFrame:
+    """Share of (positive, negative) pairs ranked right; ties count one half. Exact."""
+    return _auc(score_counts(df, y, p, by), by)
+
+
 def realised_roi(
     df: DataFrame,
     y: str = TARGET,
@@ -148,51 +169,74 @@ def threshold_returns(
     customer_ltv: float = 500.0,
     save_rate: float = 0.10,
 ) -> DataFrame:
-    """Expected return per person at each of the 99 thresholds.
+    """Expected return per person at each of the 99 thresholds."""
+    return _returns(label_counts(df, y, p, by), by, campaign_cost, customer_ltv, save_rate)
 
-    One pass over the rows counts labels by the number of thresholds met, which
-    leaves at most 100 rows per model; only those are spread over the thresholds.
-    """
-    label = F.col(y).cast("int")
-    met = (
-        df.groupBy(*by, thresholds_met(F.col(p)).alias("met"))
-        .agg(F.count_if(label == 1).alias("pos"), F.count_if(label == 0).alias("neg"),
-             F.count(F.lit(1)).alias("n"))
+
+def _returns(
+    counts: DataFrame, by: Sequence[str], campaign_cost: float = 10.0,
+    customer_ltv: float = 500.0, save_rate: float = 0.10,
+) -> DataFrame:
+    """One pass counts labels by the number of thresholds met, which leaves at most
+    100 rows per model; only those are spread over the thresholds."""
+    met = counts.groupBy(*by, thresholds_met(F.col("score")).alias("met")).agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
     )
     grid = F.array(*(F.struct(F.lit(i + 1).alias("rank"), F.lit(t).alias("threshold"))
                      for i, t in enumerate(THRESHOLDS)))
     reached = F.col("met") >= F.col("rank")
-    spread = met.select(*by, "met", "pos", "neg", "n", F.inline(grid))
+    spread = met.select(*by, "met", "pos", "neg", F.inline(grid))
     counted = spread.groupBy(*by, "rank", "threshold").agg(
         F.sum(F.when(reached, F.col("pos")).otherwise(0)).alias("tp"),
         F.sum(F.when(reached, F.col("neg")).otherwise(0)).alias("fp"),
-        F.sum("n").alias("n"),
+        F.sum(F.col("pos") + F.col("neg")).alias("n"),
     )
     gain = F.col("tp") * F.lit(customer_ltv * save_rate)
     spent = (F.col("tp") + F.col("fp")) * F.lit(campaign_cost)
     return counted.select(*by, "threshold", "tp", "fp", ((gain - spent) / F.col("n")).alias("eroi"))
 
 
-def best_threshold(df: DataFrame, y: str = TARGET, p: str = PREDICTION, by: Sequence[str] = (),
-                   **money: float) -> DataFrame:
-    """Highest expected return and the lowest threshold that gives it."""
+def _best(returns: DataFrame, by: Sequence[str]) -> DataFrame:
     best = F.max(F.struct("eroi", (-F.col("threshold")).alias("low")))
     return (
-        threshold_returns(df, y, p, by, **money)
-        .groupBy(*by)
+        returns.groupBy(*by)
         .agg(best.alias("best"))
         .select(*by, F.col("best.eroi").alias("eroi"), (-F.col("best.low")).alias("optimal_threshold"))
     )
 
 
+def best_threshold(df: DataFrame, y: str = TARGET, p: str = PREDICTION, by: Sequence[str] = (),
+                   **money: float) -> DataFrame:
+    """Highest expected return and the lowest threshold that gives it."""
+    return _best(threshold_returns(df, y, p, by, **money), by)
+
+
+def _proper(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Brier score and log loss from one row per score."""
+    score, pos, neg = F.col("score"), F.col("pos"), F.col("neg")
+    n = F.sum(pos + neg)
+
+    def mean(error) -> Column:
+        return F.sum(pos * error(F.lit(1.0), score) + neg * error(F.lit(0.0), score)) / n
+
+    return counts.groupBy(*by).agg(
+        mean(squared_error).alias("brier_score"), mean(log_error).alias("log_loss")
+    )
+
+
 def model_metrics(df: DataFrame, y: str = TARGET, p: str = PREDICTION,
                   by: Sequence[str] = ("model",), **money: float) -> DataFrame:
-    """Log loss, AUC, Brier, return and threshold of each model on its test rows."""
+    """Log loss, AUC, Brier, return and threshold of each model on its test rows.
+
+    All of them follow from the label counts per score, so the rows are scored and
+    shuffled once and the three branches read the same merged counts.
+    """
     keys = list(by)
+    counts = score_counts(df, y, p, keys)
     return (
-        brier_logloss(df, y, p, keys)
-        .join(roc_auc(df, y, p, keys), keys)
-        .join(best_threshold(df, y, p, keys, **money), keys)
+        _proper(counts, keys)
+        .join(_auc(counts, keys), keys)
+        .join(_best(_returns(counts, keys, **money), keys), keys)
     )
 
 

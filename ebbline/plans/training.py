@@ -93,7 +93,7 @@ def train_run(
     base = models.train_model(train, best, bins, seed)
     model = models.calibrate(encoder, train, best, folds, bins, seed)
     scored = models.score(model, parts["test"]).withColumn("model", F.lit(model_name))
-    scored_train = models.score(model, parts["train"])
+    scored_train = models.store(models.score(model, parts["train"]))
     return TrainedRun(
         kinds,
         model,
