@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.functions.values import number, round_half_up
@@ -193,9 +193,8 @@ def stability_index(
     hit = cell_counts(telemetry, cells, features, by).join(
         cells.select("feature", "cell", e.alias("e")), ["feature", "cell"]
     )
-    # At most one row per cell of the profile in each of these groups.
-    total = F.sum("n").over(Window.partitionBy(*keys))
-    shares = hit.withColumn("a", F.greatest(F.col("n") / total, eps))
+    totals = hit.groupBy(*keys).agg(F.sum("n").alias("total"))
+    shares = hit.join(totals, keys).withColumn("a", F.greatest(F.col("n") / F.col("total"), eps))
     a_gain = F.col("a") * F.ln(F.col("a") / F.col("e")) - eps * F.ln(eps / F.col("e"))
     found = shares.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("k_hit"),

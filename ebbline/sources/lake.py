@@ -152,6 +152,7 @@ def write_by_day(df: DataFrame, path: str, mode: str = "overwrite") -> None:
         df.hint("rebalance", *PARTITION_COLUMNS)
         .write.partitionBy(*PARTITION_COLUMNS)
         .option("compression", "snappy")
+        .option("partitionOverwriteMode", "dynamic")  # other days stay
         .mode(mode)
         .parquet(path)
     )
