@@ -21,7 +21,7 @@ from ebbline.operators import performance as pf
 from ebbline.operators import prep
 from ebbline.operators import profiles as pr
 from ebbline.operators import reports as rp
-from ebbline.session import tune
+from ebbline.session import store, tune
 from ebbline.sources import lake
 from ebbline.sources.star import Commerce, commerce
 from ebbline.sources.telemetry import partition_statuses
@@ -90,13 +90,13 @@ def _test_scores(c: Commerce) -> DataFrame:
 
 
 def _profile(c: Commerce) -> DataFrame:
-    train = md.store(_scored(_train_features(c)))
+    train = store(_scored(_train_features(c)))
     return pr.binned_profile(train, [*S.NUMERICAL, S.PREDICTION], S.CATEGORICAL, S.N_BINS)
 
 
 def _frozen_profile(c: Commerce) -> DataFrame:
     """The profile as monitoring meets it: written once, then only read."""
-    return md.store(_profile(c))
+    return store(_profile(c))
 
 
 def _telemetry(c: Commerce) -> DataFrame:
@@ -447,10 +447,12 @@ def performance_report(spark, c):
 
 
 def _judged(c: Commerce) -> DataFrame:
+    """The rules read three finished reports."""
     performance = pf.performance_report(_run_keys(_evaluation(c)), by=dec.KEYS)
     test = _test_scores(c).where(F.col("model") == "challenger")
     baseline = mt.brier_logloss(test, by=["model"]).withColumn("model_run_id", F.lit(S.MODEL))
-    return dec.judged(_drift(c), performance, baseline, psi_limit=0.02, feature_psi_limit=0.02)
+    drift, performance, baseline = (store(t) for t in (_drift(c), performance, baseline))
+    return dec.judged(drift, performance, baseline, psi_limit=0.02, feature_psi_limit=0.02)
 
 
 @query
@@ -475,11 +477,11 @@ class _Fitted:
 
     def __init__(self, c: Commerce):
         self.kinds = prep.FeatureKinds(list(S.NUMERICAL), list(S.CATEGORICAL))
-        self.rows = md.store(_split(c))
+        self.rows = store(_split(c))
         self.train = self.rows.where(F.col("split") == "train")
         self.encoder = md.fit_encoder(self.train, self.kinds)
         self.bins = md.max_bins(self.train, self.kinds)
-        vectors = md.store(md.encoded(self.encoder, self.rows, ["split"]))
+        vectors = store(md.encoded(self.encoder, self.rows, ["split"]))
         self.train_vectors = vectors.where(F.col("split") == "train").drop("split")
         self.val_vectors = vectors.where(F.col("split") == "val").drop("split")
         self.params = md.TreeParams(maxIter=10, maxDepth=3)

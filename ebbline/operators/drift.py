@@ -14,6 +14,7 @@ from ebbline.operators.profiles import bin_of
 
 PSI_EPSILON = 1e-4
 PREDICTION = "predicted_probability"
+ROWS = "__rows"
 NOT_MONITORED = ("customer_unique_id", "target_is_churn", PREDICTION)
 
 
@@ -100,16 +101,11 @@ def cell_counts(
     One pass covers all features. The profile is a stored table, and the edges of
     the requested features are part of the plan, so each row finds its cells by
     itself and is counted where it lies; what is shuffled is one row per cell and
-    task, however common a value is.
+    task, however common a value is. The feature ``ROWS`` counts all rows.
     """
     present = [f for f in features if f in telemetry.columns]
-    if not present:
-        text = F.lit(None).cast("string")
-        return telemetry.where(F.lit(False)).select(
-            *by, text.alias("feature"), text.alias("cell"), F.lit(0).cast("bigint").alias("n")
-        )
     references = _references(cells)
-    found = []
+    found = [F.lit("all").alias(ROWS)]
     for name in present:
         kind, edges = references.get(name, (None, []))
         if kind == "categorical":
@@ -122,7 +118,7 @@ def cell_counts(
         found.append(cell.alias(name))
     return (
         telemetry.select(*(telemetry[k] for k in by), *found)
-        .unpivot(list(by), present, "feature", "cell")
+        .unpivot(list(by), [ROWS, *present], "feature", "cell")
         .where(F.col("cell").isNotNull())
         .groupBy(*by, "feature", "cell")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -162,13 +158,8 @@ def category_counts(
 # --- population stability index --------------------------------------------------------
 
 
-def stability_index(
-    telemetry: DataFrame,
-    profile: DataFrame,
-    features: Sequence[str],
-    by: Sequence[str] = (),
-    epsilon: float = PSI_EPSILON,
-    kind: str | None = None,
+def index_of_counts(
+    counts: DataFrame, cells: DataFrame, by: Sequence[str] = (), epsilon: float = PSI_EPSILON
 ) -> DataFrame:
     """(by..., feature, psi): how far the live shares are from the expected ones.
 
@@ -179,7 +170,6 @@ def stability_index(
     alone: they are summed once per feature, and only cells that were hit are joined.
     """
     eps = F.lit(epsilon)
-    cells = profile_cells(profile, features, kind)
     e = F.greatest(F.col("expected_pct"), eps)
     empty_gap = F.ln(eps / e)
     # One row per requested feature: the sums if every cell were empty.
@@ -190,7 +180,7 @@ def stability_index(
         F.sum(e * empty_gap).alias("e_terms"),
     )
     keys = [*by, "feature"]
-    hit = cell_counts(telemetry, cells, features, by).join(
+    hit = counts.join(
         cells.select("feature", "cell", e.alias("e")), ["feature", "cell"]
     )
     totals = hit.groupBy(*keys).agg(F.sum("n").alias("total"))
@@ -209,6 +199,19 @@ def stability_index(
     return found.join(F.broadcast(constants), "feature").select(*keys, index.alias("psi"))
 
 
+def stability_index(
+    telemetry: DataFrame,
+    profile: DataFrame,
+    features: Sequence[str],
+    by: Sequence[str] = (),
+    epsilon: float = PSI_EPSILON,
+    kind: str | None = None,
+) -> DataFrame:
+    """(by..., feature, psi) of the requested features that have values and a profile."""
+    cells = profile_cells(profile, features, kind)
+    return index_of_counts(cell_counts(telemetry, cells, features, by), cells, by, epsilon)
+
+
 def psi_numeric(
     telemetry: DataFrame,
     profile: DataFrame,
@@ -247,14 +250,14 @@ def drift_report(
     EMPTY_TELEMETRY rows. Without it the keys found in the telemetry are used.
     """
     keys = list(by)
-    wanted = [prediction, *features]
-    rows = F.count(F.lit(1)).alias("rows")
+    wanted = list(dict.fromkeys([prediction, *features]))
+    cells = profile_cells(profile, wanted)
+    counts = cell_counts(telemetry, cells, wanted, by)
+    sizes = counts.where(F.col("feature") == ROWS).select(*keys, F.col("n").alias("rows"))
     if not keys:
-        sizes = telemetry.agg(rows)
-    else:
-        sizes = telemetry.groupBy(*keys).agg(rows)
-        if runs is not None:
-            sizes = runs.select(*keys).distinct().join(sizes, keys, "left")
+        sizes = sizes.agg(F.sum("rows").alias("rows"))  # one row even where there is none
+    elif runs is not None:
+        sizes = runs.select(*keys).distinct().join(sizes, keys, "left")
     requested = F.array(
         *(
             F.struct(
@@ -272,7 +275,7 @@ def drift_report(
         .select("feature", F.lit(True).alias("in_baseline"))
         .distinct()
     )
-    index = stability_index(telemetry, profile, list(dict.fromkeys(wanted)), by, epsilon)
+    index = index_of_counts(counts, cells, by, epsilon)
     joined = asked.join(F.broadcast(known), "feature", "left").join(
         index, [*keys, "feature"], "left"
     )

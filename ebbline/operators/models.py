@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ebbline.functions.values import unit_hash
 from ebbline.operators.metrics import log_error
 from ebbline.operators.prep import TARGET, FeatureKinds
-from ebbline.session import shared_folder
+from ebbline.session import store
 
 PREDICTION = "predicted_probability"
 KEY = "customer_unique_id"
@@ -78,16 +78,6 @@ def sample_params(n_trials: int, seed: int = 42, space: dict = SEARCH_SPACE) ->
 # --- inputs ----------------------------------------------------------------------------
 
 
-def store(df: DataFrame) -> DataFrame:
-    """Write rows to the shared checkpoint folder and read them from there.
-
-    Fits pass over their rows many times; a lost executor then costs a reread of
-    a file and not a new run of everything upstream.
-    """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def fit_encoder(train: DataFrame, kinds: FeatureKinds) -> PipelineModel:
     """Indexed categories, imputed numbers, one vector."""
     stages = []

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ebbline.operators import gates, models, prep, reports
 from ebbline.operators.features import feature_matrix
 from ebbline.plans.training import lake_tables
+from ebbline.session import store
 from ebbline.sources.lake import day_is_complete, publish_day
 
 # Fixed value: scoring looks at everything since the first day of business.
@@ -46,7 +47,7 @@ def score_day(
         tables["orders"], tables["customers"], tables["order_payments"], start, cutoff
     )
     gates.require_contract(matrix, kinds.names, SYSTEM_COLUMNS)
-    scored = models.store(models.score(model, matrix))
+    scored = store(models.score(model, matrix))
     gates.require_rows(scored)
     outputs: dict[str, DataFrame] = {
         "telemetry": reports.telemetry_log(scored, run_id, threshold),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ebbline.operators import gates, metrics, models, prep, profiles
 from ebbline.operators.labels import training_table
+from ebbline.session import store
 from ebbline.sources.lake import read_table, require_datasets, write_run_table
 
 log = logging.getLogger(__name__)
@@ -31,7 +32,7 @@ def build_training_table(
     lake: str,
     start: str,
     end: str,
-    store: str,
+    feature_store: str,
     run_id: str,
     policy: gates.GatePolicy = gates.GatePolicy(),
     window_days: int = 180,
@@ -52,7 +53,7 @@ def build_training_table(
         tables["orders"], tables["customers"], tables["order_payments"], start, end,
         window_days=window_days, **options,
     )
-    path = write_run_table(table, store, run_id)
+    path = write_run_table(table, feature_store, run_id)
     return TableRun(path, gates.fingerprint(spark.read.parquet(path), start, end), warnings)
 
 
@@ -81,11 +82,11 @@ def train_run(
     The split table and its vectors are stored once; every fit reads them again.
     """
     kinds = prep.feature_kinds(prep.drop_system_columns(table))
-    rows = models.store(prep.hash_split(table, seed=seed))
+    rows = store(prep.hash_split(table, seed=seed))
     parts = {s: rows.where(F.col("split") == s).drop("split") for s in ("train", "val", "test")}
     encoder = models.fit_encoder(parts["train"], kinds)
     bins = models.max_bins(parts["train"], kinds)
-    vectors = models.store(models.encoded(encoder, rows, ["split"]))
+    vectors = store(models.encoded(encoder, rows, ["split"]))
     train = vectors.where(F.col("split") == "train").drop("split")
     val = vectors.where(F.col("split") == "val").drop("split")
     trials = models.tune(train, val, n_trials, seed, bins, space)
@@ -93,7 +94,7 @@ def train_run(
     base = models.train_model(train, best, bins, seed)
     model = models.calibrate(encoder, train, best, folds, bins, seed)
     scored = models.score(model, parts["test"]).withColumn("model", F.lit(model_name))
-    scored_train = models.store(models.score(model, parts["train"]))
+    scored_train = store(models.score(model, parts["train"]))
     return TrainedRun(
         kinds,
         model,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session-level settings; all of them can be changed at run time.
 # forceOptimizeSkewedJoin lets adaptive execution split a hot join key even when
@@ -60,3 +60,14 @@ def shared_folder(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
+
+
+def store(df: DataFrame) -> DataFrame:
+    """Write rows to the shared checkpoint folder and read them from there.
+
+    For tables that are read many times, as by model fits, or that later steps
+    meet as a finished table. A lost executor then costs a reread of a file and
+    not a new run of everything upstream.
+    """
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
