@@ -21,7 +21,7 @@ from ebbline.operators import performance as pf
 from ebbline.operators import prep
 from ebbline.operators import profiles as pr
 from ebbline.operators import reports as rp
-from ebbline.session import store, tune
+from ebbline.session import pin, store, tune
 from ebbline.sources import lake
 from ebbline.sources.star import Commerce, commerce
 from ebbline.sources.telemetry import partition_statuses
@@ -96,7 +96,7 @@ def _profile(c: Commerce) -> DataFrame:
 
 def _frozen_profile(c: Commerce) -> DataFrame:
     """The profile as monitoring meets it: written once, then only read."""
-    return store(_profile(c))
+    return pin(_profile(c))
 
 
 def _telemetry(c: Commerce) -> DataFrame:
@@ -451,7 +451,7 @@ def _judged(c: Commerce) -> DataFrame:
     performance = pf.performance_report(_run_keys(_evaluation(c)), by=dec.KEYS)
     test = _test_scores(c).where(F.col("model") == "challenger")
     baseline = mt.brier_logloss(test, by=["model"]).withColumn("model_run_id", F.lit(S.MODEL))
-    drift, performance, baseline = (store(t) for t in (_drift(c), performance, baseline))
+    drift, performance, baseline = (pin(t) for t in (_drift(c), performance, baseline))
     return dec.judged(drift, performance, baseline, psi_limit=0.02, feature_psi_limit=0.02)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ebbline.functions.values import unit_hash
 from ebbline.operators.metrics import log_error
 from ebbline.operators.prep import TARGET, FeatureKinds
-from ebbline.session import store
+from ebbline.session import pin
 
 PREDICTION = "predicted_probability"
 KEY = "customer_unique_id"
@@ -276,7 +276,7 @@ def permutation_importance(
     the feature value of the row that comes i-th in an order of its own; all shuffled
     copies are scored in one job.
     """
-    sample = store(hash_sample(df.select(KEY, TARGET, *kinds.names), n, seed))
+    sample = pin(hash_sample(df.select(KEY, TARGET, *kinds.names), n, seed))
 
     def numbered(rows: DataFrame, salt: str, name: str) -> DataFrame:
         order = Window.orderBy(unit_hash(salt, F.col(KEY)), KEY)

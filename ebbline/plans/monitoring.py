@@ -12,7 +12,7 @@ from ebbline.operators import drift, performance
 from ebbline.operators.labels import labelled_features
 from ebbline.plans.scoring import SCORING_START
 from ebbline.plans.training import lake_tables
-from ebbline.session import store
+from ebbline.session import pin
 from ebbline.sources.lake import write_day
 from ebbline.sources.telemetry import current_telemetry, lookback_day, lookback_telemetry
 
@@ -57,7 +57,7 @@ def watch_day(
     keyed = {"model_run_id": F.lit(model_run_id), "execution_date": F.lit(day)}
     runs = spark.createDataFrame([(model_run_id, day)], "model_run_id string, execution_date string")
     # Both reports are finished tables: they are read by the rules and by people.
-    report = store(
+    report = pin(
         drift.drift_report(
             today.scores.withColumns(keyed),
             profile,
@@ -71,7 +71,7 @@ def watch_day(
     )
     if evaluations_out and past.status == "MATURED_EVALUATION_READY":
         write_day(evaluation, evaluations_out, day)
-    measured = store(performance.performance_report(evaluation).withColumns(keyed))
+    measured = pin(performance.performance_report(evaluation).withColumns(keyed))
     judged = rules.judged(report, measured, baseline, **limits)
     return Watch(
         today.status, past.status, report, measured, rules.rule_evaluations(judged), rules.decision(judged)

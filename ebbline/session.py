@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,11 +64,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def store(df: DataFrame) -> DataFrame:
-    """Write rows to the shared checkpoint folder and read them from there.
+    """Write rows as a table in the shared folder and read them from there.
 
     For tables that are read many times, as by model fits, or that later steps
     meet as a finished table. A lost executor then costs a reread of a file and
     not a new run of everything upstream.
     """
+    path = f"{shared_folder(df.sparkSession)}/ebbline-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def pin(df: DataFrame) -> DataFrame:
+    """The same for a handful of rows, such as a report, by way of a checkpoint."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
