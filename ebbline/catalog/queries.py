@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ebbline.catalog import study as S
 from ebbline.functions.stamps import within_days
 from ebbline.functions.values import round_half_up
+from ebbline.names import TARGET
 from ebbline.operators import decision as dec
 from ebbline.operators import drift as dr
 from ebbline.operators import features as ft
@@ -86,7 +87,7 @@ def _test_scores(c: Commerce) -> DataFrame:
         F.struct(F.lit("challenger").alias("model"), _recency_score().alias(S.PREDICTION)),
         F.struct(F.lit("champion").alias("model"), _frequency_score().alias(S.PREDICTION)),
     )
-    return test.select("customer_unique_id", "customer_state", prep.TARGET, F.inline(models))
+    return test.select("customer_unique_id", "customer_state", TARGET, F.inline(models))
 
 
 def _profile(c: Commerce) -> DataFrame:
@@ -399,7 +400,7 @@ def evaluation_join(spark, c):
 def _importance(c: Commerce) -> DataFrame:
     """Correlation with the label as a stand-in for a model's importance."""
     rows = _train(c)
-    target = F.col(prep.TARGET).cast("double")
+    target = F.col(TARGET).cast("double")
     values = prep.long_values(rows.withColumn("y", target), S.NUMERICAL, "double", ["y"])
     strength = round_half_up(F.abs(F.corr("value", "y")), 6)
     return values.where(F.col("value").isNotNull()).groupBy("feature").agg(strength.alias("importance"))
@@ -505,14 +506,14 @@ def trained_scores(spark, c):
     fit = _Fitted(c)
     model = md.train_model(fit.train_vectors, fit.params, fit.bins, S.SEED)
     vectors = md.encoded(fit.encoder, fit.part("test"))
-    return md.with_probability(model, vectors).select("customer_unique_id", md.PREDICTION)
+    return md.with_probability(model, vectors).select("customer_unique_id", S.PREDICTION)
 
 
 @query
 def calibrated_scores(spark, c):
     fit = _Fitted(c)
     model = md.calibrate(fit.encoder, fit.train_vectors, fit.params, 2, fit.bins, S.SEED)
-    return md.score(model, fit.part("test")).select("customer_unique_id", prep.TARGET, md.PREDICTION)
+    return md.score(model, fit.part("test")).select("customer_unique_id", TARGET, S.PREDICTION)
 
 
 @query

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ebbline.names import PREDICTION  # noqa: F401  (S.PREDICTION)
+
 START = "1996-01-01"
 CUTOFF = "2000-01-01"
 EXECUTION = "2001-07-01"
@@ -27,5 +29,4 @@ NUMERICAL = (
 )
 CATEGORICAL = ("customer_state",)
 MONITORED = ("recency_days", "tenure_days", "aov", "max_delivery_delay_days", "customer_state", "no_such_feature")
-PREDICTION = "predicted_probability"
 N_BINS = 10

@@ -10,12 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.functions.values import number, round_half_up
+from ebbline.names import KEY, PREDICTION, TARGET
 from ebbline.operators.profiles import bin_of
 
 PSI_EPSILON = 1e-4
-PREDICTION = "predicted_probability"
 ROWS = "__rows"
-NOT_MONITORED = ("customer_unique_id", "target_is_churn", PREDICTION)
+NOT_MONITORED = (KEY, TARGET, PREDICTION)
 
 
 # --- which features --------------------------------------------------------------------

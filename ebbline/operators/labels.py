@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.functions.stamps import plus_days, within_days, within_window
+from ebbline.names import KEY, TARGET
 from ebbline.operators.features import feature_matrix, payments_per_order
 
 ACTIVE_STATUSES = ("delivered", "shipped")
@@ -52,7 +53,7 @@ def future_targets(
 def with_labels(
     features: DataFrame,
     targets: DataFrame,
-    churn_column: str = "target_is_churn",
+    churn_column: str = TARGET,
     ltv_column: str = "target_180d_ltv",
 ) -> DataFrame:
     """Attach the labels; a person without future orders has churned."""
@@ -78,7 +79,7 @@ def labelled_features(
     window_days: int = 180,
     statuses: Sequence[str] = ACTIVE_STATUSES,
     min_orders: int = 1,
-    churn_column: str = "target_is_churn",
+    churn_column: str = TARGET,
     ltv_column: str = "target_180d_ltv",
     sides_by_order_day: bool = False,
 ) -> DataFrame:
@@ -107,8 +108,8 @@ def check_maturity(lookback_days: int, window_days: int) -> None:
 
 
 def matured_labels(
-    telemetry: DataFrame, labelled: DataFrame, target: str = "target_is_churn",
-    key: str = "customer_unique_id",
+    telemetry: DataFrame, labelled: DataFrame, target: str = TARGET,
+    key: str = KEY,
 ) -> DataFrame:
     """Labels of the people scored in ``telemetry``, one row per scored row."""
     return telemetry.select(key).join(labelled.select(key, target), key)

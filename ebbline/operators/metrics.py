@@ -12,8 +12,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TARGET = "target_is_churn"
-PREDICTION = "predicted_probability"
+from ebbline.names import PREDICTION, TARGET
+
 LOG_LOSS_EPSILON = 1e-15
 THRESHOLDS = [float(t) for t in np.linspace(0.01, 0.99, 99)]
 

@@ -17,12 +17,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.functions.values import unit_hash
+from ebbline.names import KEY, PREDICTION, TARGET
 from ebbline.operators.metrics import log_error
-from ebbline.operators.prep import TARGET, FeatureKinds
+from ebbline.operators.prep import FeatureKinds
 from ebbline.session import pin
 
-PREDICTION = "predicted_probability"
-KEY = "customer_unique_id"
 VECTOR = "features_vector"
 
 # The search space and the budgets.

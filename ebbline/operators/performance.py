@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ebbline.names import KEY, PREDICTION, TARGET
 from ebbline.operators.metrics import (
     LOG_LOSS_EPSILON,
-    PREDICTION,
-    TARGET,
     hit_counts,
     log_error,
     roi_of,
@@ -19,7 +18,7 @@ from ebbline.operators.metrics import (
 
 
 def evaluation_join(
-    predictions: DataFrame, labels: DataFrame, keys: Sequence[str] = ("customer_unique_id",)
+    predictions: DataFrame, labels: DataFrame, keys: Sequence[str] = (KEY,)
 ) -> DataFrame:
     """Predictions that have a label. Keys are expected to be unique on each side."""
     return predictions.join(labels, list(keys))

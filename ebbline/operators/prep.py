@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbline.functions.values import number, unit_hash
+from ebbline.names import KEY, TARGET
 
-TARGET = "target_is_churn"
-SYSTEM_COLUMNS = ("customer_unique_id", "snapshot_date", "ingested_at_utc", "target_180d_ltv")
+SYSTEM_COLUMNS = (KEY, "snapshot_date", "ingested_at_utc", "target_180d_ltv")
 
 # Up to this many categories the contract is folded into the plan as a literal
 # list; a longer one is joined.
@@ -21,7 +21,7 @@ INLINE_CATEGORIES = 10_000
 
 def hash_split(
     df: DataFrame,
-    key: str = "customer_unique_id",
+    key: str = KEY,
     seed: int = 42,
     val_size: float = 0.15,
     test_size: float = 0.15,

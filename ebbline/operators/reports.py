@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.functions.values import exact_cents, round_half_up
+from ebbline.names import KEY, PREDICTION
 
-PREDICTION = "predicted_probability"
-KEY = "customer_unique_id"
 
 
 def check_threshold(threshold: float) -> None:

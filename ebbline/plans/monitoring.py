@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbline.names import KEY, PREDICTION
 from ebbline.operators import decision as rules
 from ebbline.operators import drift, performance
 from ebbline.operators.labels import labelled_features
@@ -67,7 +68,7 @@ def watch_day(
         )
     )
     evaluation = performance.evaluation_join(
-        past.scores.select("customer_unique_id", performance.PREDICTION), past.labels
+        past.scores.select(KEY, PREDICTION), past.labels
     )
     if evaluations_out and past.status == "MATURED_EVALUATION_READY":
         write_day(evaluation, evaluations_out, day)

@@ -6,6 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ebbline.names import KEY
 from ebbline.operators import gates, models, prep, reports
 from ebbline.operators.features import feature_matrix
 from ebbline.plans.training import lake_tables
@@ -14,7 +15,7 @@ from ebbline.sources.lake import day_is_complete, publish_day
 
 # Fixed value: scoring looks at everything since the first day of business.
 SCORING_START = "2015-01-01"
-SYSTEM_COLUMNS = ("customer_unique_id", "snapshot_date")
+SYSTEM_COLUMNS = (KEY, "snapshot_date")
 
 
 class ScoredDay(NamedTuple):

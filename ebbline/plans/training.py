@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbline.names import PREDICTION
 from ebbline.operators import gates, metrics, models, prep, profiles
 from ebbline.operators.labels import training_table
 from ebbline.session import store
@@ -101,7 +102,7 @@ def train_run(
         trials,
         metrics.model_metrics(scored),
         profiles.binned_profile(
-            scored_train, [*kinds.numerical, models.PREDICTION], kinds.categorical, n_bins
+            scored_train, [*kinds.numerical, PREDICTION], kinds.categorical, n_bins
         ),
         models.permutation_importance(encoder, base, parts["train"], kinds, seed=seed),
         prep.schema_contract(parts["train"], kinds),

@@ -66,18 +66,24 @@ def csv_files(spark: SparkSession, folder: str) -> list[str]:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType | None = None, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = None,
+    multi_line: bool = True,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """One CSV file with a header row; quotes inside a field are doubled.
 
     Fields may hold line breaks, which ties a file to one task; pass
-    ``multi_line=False`` where they do not, so that a large file is split.
+    ``multi_line=False`` where they do not, so that a large file is split. A row
+    with too few or too many fields is an error unless ``mode`` is PERMISSIVE,
+    which fills up the short and cuts off the long ones.
     """
     reader = (
         spark.read.option("header", "true")
         .option("escape", '"')
         .option("multiLine", str(multi_line).lower())
-        .option("mode", "FAILFAST")
+        .option("mode", mode)
     )
     return (reader.schema(schema) if schema else reader.option("inferSchema", "true")).csv(path)
 
@@ -88,6 +94,7 @@ def ingest_csv(
     out: str,
     schemas: Mapping[str, StructType] | None = None,
     multi_line: bool = True,
+    mode: str = "FAILFAST",
 ) -> dict[str, bool]:
     """Write ``<out>/raw_data/<file name>`` as Parquet for every CSV file found.
 
@@ -98,7 +105,7 @@ def ingest_csv(
     for path in csv_files(spark, folder):
         name = path.rsplit("/", 1)[-1].removesuffix(".csv")
         try:
-            table = read_csv(spark, path, (schemas or {}).get(name), multi_line)
+            table = read_csv(spark, path, (schemas or {}).get(name), multi_line, mode)
             if not table.columns:
                 raise ValueError("no header row")
             table.write.mode("overwrite").option("compression", "snappy").parquet(

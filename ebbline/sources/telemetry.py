@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.functions.stamps import parse_instant, partition_day, plus_days, within_days
+from ebbline.names import KEY, PREDICTION, TARGET
 from ebbline.operators.labels import check_maturity, matured_labels
 from ebbline.sources.lake import day_folder, read_if_present
 
-PREDICTION = "predicted_probability"
-NO_TELEMETRY = f"customer_unique_id string, {PREDICTION} double"
-NO_LABELS = "customer_unique_id string, target_is_churn int"
+NO_TELEMETRY = f"{KEY} string, {PREDICTION} double"
+NO_LABELS = f"{KEY} string, {TARGET} int"
 
 
 class Telemetry(NamedTuple):
