@@ -150,18 +150,21 @@ def enforce_gates(
 
 
 def censoring_warning(orders: DataFrame, end: str, window_days: int = 180) -> DataFrame:
-    """One WARN row where the data stop before the label window does."""
-    name = "order_purchase_timestamp"
-    last = orders.agg(F.max(stamp(orders, name)).alias("last_seen"))
-    complete = F.col("last_seen") >= instant(plus_days(end, window_days), orders, name)
-    return last.where(~F.coalesce(complete, F.lit(False))).select(
+    """One WARN row where the data stop before the label window does.
+
+    A single order at or after the window's end settles it, so only later days are
+    looked at, and no further than the first such order.
+    """
+    name, last = "order_purchase_timestamp", plus_days(end, window_days)
+    later = within_days(orders, last, "9999-12-31")
+    found = later.where(stamp(later, name) >= instant(last, later, name)).limit(1)
+    return found.agg(F.count(F.lit(1)).alias("found")).where(F.col("found") == 0).select(
         F.lit("orders").alias("table_name"),
         F.lit("right_censored").alias("check_name"),
         F.lit(name).alias("column_name"),
         F.lit(None).cast("bigint").alias("n"),
         F.lit("WARN").alias("severity"),
-        F.format_string("orders end at %s, before the label window does", F.col("last_seen").cast("string"))
-        .alias("message"),
+        F.lit(f"no order at or after {last}: the label window is cut short").alias("message"),
     )
 
 

@@ -252,13 +252,19 @@ def score(model: CalibratedModel, df: DataFrame) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, n: int, seed: int = 42, key: str = KEY) -> DataFrame:
-    """At most ``n`` rows, the same ones on every run: a top-n by hash of the key."""
-    return (
-        df.withColumn("draw", unit_hash(f"sample-{seed}", F.col(key)))
-        .orderBy("draw", key)
-        .limit(n)
-        .drop("draw")
-    )
+    """At most ``n`` rows, the same ones on every run: a top-n by hash of the key.
+
+    On a table much larger than the sample most rows are ruled out by their draw
+    alone, so that the final top-n does not gather ``n`` rows from every task. Should
+    too few be left, the whole table takes part: the sample is the same either way.
+    """
+    drawn = df.withColumn("draw", unit_hash(f"sample-{seed}", F.col(key)))
+    total = df.count()
+    if total > 10 * n:
+        low = drawn.where(F.col("draw") < 2.0 * n / total)
+        if low.count() >= n:
+            drawn = low
+    return drawn.orderBy("draw", key).limit(n).drop("draw")
 
 
 def permutation_importance(

@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbline.functions.stamps import within_days
 from ebbline.names import PREDICTION
 from ebbline.operators import gates, metrics, models, prep, profiles
 from ebbline.operators.labels import training_table
@@ -47,7 +48,8 @@ def build_training_table(
     tables = lake_tables(spark, lake)
     warnings = gates.enforce_gates(tables, start, end, policy)
     warnings += gates.censoring_warning(tables["orders"], end, window_days).collect()
-    warnings += gates.repeated_keys_warning(tables["customers"]).collect()
+    known = within_days(tables["customers"], start, end)
+    warnings += gates.repeated_keys_warning(known).collect()
     for row in warnings:
         log.warning("%s", row.message)
     table = training_table(

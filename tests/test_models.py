@@ -32,6 +32,8 @@ def test_hash_sample_is_bounded_and_repeatable(spark):
     once = {r[0] for r in md.hash_sample(people, 40).collect()}
     assert len(once) == 40 and once == {r[0] for r in md.hash_sample(people.repartition(9), 40).collect()}
     assert md.hash_sample(people, 1_000).count() == 500
+    draw = md.unit_hash("sample-42", F.col("customer_unique_id"))
+    assert once == {r[0] for r in people.orderBy(draw).limit(40).collect()}
 
 
 def test_isotonic_map_is_monotone(spark):
