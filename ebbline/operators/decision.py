@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KEYS = ("model_run_id", "execution_date")
+
+# The words a decision is made of, the reasons in their order.
+REASONS = ("CRITICAL_PREDICTION_DRIFT", "CRITICAL_FEATURE_DRIFT", "SEVERE_PERFORMANCE_DEGRADATION")
+NO_REASON = "NONE"
 IMMATURE = "INSUFFICIENT_LOOKBACK_MATURITY"
 
 
@@ -97,12 +101,10 @@ def decision(rows: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """(keys..., need_update, trigger_reasons)."""
     reasons = F.concat_ws(
         " | ",
-        F.when(F.col("rule1"), "CRITICAL_PREDICTION_DRIFT"),
-        F.when(F.col("rule2"), "CRITICAL_FEATURE_DRIFT"),
-        F.when(F.col("rule3"), "SEVERE_PERFORMANCE_DEGRADATION"),
+        *(F.when(F.col(f"rule{i + 1}"), reason) for i, reason in enumerate(REASONS)),
     )
     return rows.select(
         *keys,
         (F.col("rule1") | F.col("rule2") | F.col("rule3")).alias("need_update"),
-        F.when(reasons == "", "NONE").otherwise(reasons).alias("trigger_reasons"),
+        F.when(reasons == "", NO_REASON).otherwise(reasons).alias("trigger_reasons"),
     )

@@ -282,6 +282,7 @@ def drift_report(
     in_baseline = F.coalesce("in_baseline", F.lit(False))
     absent = ~F.col("in_telemetry") | ~in_baseline
     broken = F.isnan("psi") | (F.abs("psi") == float("inf"))
+    # The status words.
     status = (
         F.when(F.col("rows") == 0, "EMPTY_TELEMETRY")
         .when((F.col("scope") == "prediction") & absent, "MISSING_DATA")

@@ -87,18 +87,14 @@ def table_violations(
     spark = df.sparkSession
     missing = missing_columns(name, df) if policy.schema_checks else []
     if missing:
-        message = f"Dataset '{name}' is missing required critical columns: {missing}"
+        message = f"{name}: no column {', '.join(missing)}"
         rows = [(name, "schema", c, None, "ERROR", message) for c in missing]
         return spark.createDataFrame(rows, VIOLATION)
     is_count = F.col("column_name").isNull()
     empty = is_count & (F.col("n") == 0)
     nulls = ~is_count & (F.col("n") > 0) if policy.null_checks else F.lit(False)
-    empty_text = F.lit(f"Dataset '{name}' contains zero records in temporal window [{start} to {end}).")
-    null_text = F.format_string(
-        f"Critical column '%s' in dataset '{name}' contains %d null values in the target temporal window.",
-        "column_name",
-        "n",
-    )
+    empty_text = F.lit(f"{name}: no rows from {start} up to {end}")
+    null_text = F.format_string(f"{name}: %2$d NULLs in %1$s", "column_name", "n")
     return audit_table(name, df, start, end).where(empty | nulls).select(
         "table_name",
         F.when(is_count, "empty_window").otherwise("nulls").alias("check_name"),
@@ -128,7 +124,7 @@ def enforce_gates(
         for row in found:
             if row.severity == "ERROR":
                 worst.setdefault(row.table_name, row.message)
-        return [f"Validation failed for dataset '{t}': {m}" for t, m in worst.items()]
+        return list(worst.values())
 
     if policy.fail_fast:
         seen = []
@@ -142,7 +138,7 @@ def enforce_gates(
     found = violations(tables, start, end, policy).collect()
     errors = errors_of(found)
     if errors:
-        raise GateError("Data validation failed with the following errors:\n" + "\n".join(errors))
+        raise GateError("; ".join(errors))
     return found
 
 
@@ -222,7 +218,7 @@ def require_contract(
 
 def require_rows(matrix: DataFrame) -> None:
     if matrix.isEmpty():
-        raise GateError("The feature matrix is empty, there is nothing to score")
+        raise GateError("there is nobody to score")
 
 
 def fingerprint(df: DataFrame, start: str, end: str) -> DataFrame:

@@ -57,6 +57,7 @@ def performance_report(
         roi_of(tp, fp, campaign_cost, customer_ltv, save_rate).alias("roi"),
     )
     evaluated = F.col("n_clean") > 0
+    # The reasons for having no figures.
     reason = F.when(F.col("n_rows") == 0, "INSUFFICIENT_LOOKBACK_MATURITY").when(
         F.col("n_clean") == 0, "ALL_NAN_EVALUATION_COLUMNS"
     )

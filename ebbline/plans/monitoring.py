@@ -15,7 +15,7 @@ from ebbline.plans.scoring import SCORING_START
 from ebbline.plans.training import lake_tables
 from ebbline.session import pin
 from ebbline.sources.lake import write_day
-from ebbline.sources.telemetry import current_telemetry, lookback_day, lookback_telemetry
+from ebbline.sources.telemetry import MATURED, current_telemetry, lookback_day, lookback_telemetry
 
 
 class Watch(NamedTuple):
@@ -70,7 +70,7 @@ def watch_day(
     evaluation = performance.evaluation_join(
         past.scores.select(KEY, PREDICTION), past.labels
     )
-    if evaluations_out and past.status == "MATURED_EVALUATION_READY":
+    if evaluations_out and past.status == MATURED:
         write_day(evaluation, evaluations_out, day)
     measured = pin(performance.performance_report(evaluation).withColumns(keyed))
     judged = rules.judged(report, measured, baseline, **limits)

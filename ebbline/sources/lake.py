@@ -221,7 +221,7 @@ def require_datasets(
 ) -> None:
     missing = missing_datasets(spark, base, names, start, end)
     if missing:
-        raise FileNotFoundError(f"Missing required upstream data: {missing}")
+        raise FileNotFoundError(f"not in the lake: {', '.join(missing)}")
 
 
 # --- publishing a day ------------------------------------------------------------------

@@ -12,6 +12,9 @@ from ebbline.names import KEY, PREDICTION, TARGET
 from ebbline.operators.labels import check_maturity, matured_labels
 from ebbline.sources.lake import day_folder, read_if_present
 
+# The status words.
+RESOLVED, NO_TRAFFIC = "CURRENT_TELEMETRY_RESOLVED", "SKIPPED_ZERO_TRAFFIC_DAY"
+MATURED, IMMATURE = "MATURED_EVALUATION_READY", "SKIPPED_SYSTEM_IMMATURE"
 NO_TELEMETRY = f"{KEY} string, {PREDICTION} double"
 NO_LABELS = f"{KEY} string, {TARGET} int"
 
@@ -31,8 +34,8 @@ def current_telemetry(spark: SparkSession, base: str, day: str) -> Telemetry:
     """The scores of ``day``; a day without traffic gives a typed frame of no rows."""
     found = read_if_present(spark, day_folder(base, day))
     if found is None:
-        return Telemetry(spark.createDataFrame([], NO_TELEMETRY), "SKIPPED_ZERO_TRAFFIC_DAY")
-    return Telemetry(found, "CURRENT_TELEMETRY_RESOLVED")
+        return Telemetry(spark.createDataFrame([], NO_TELEMETRY), NO_TRAFFIC)
+    return Telemetry(found, RESOLVED)
 
 
 def lookback_day(day: str, lookback_days: int) -> str:
@@ -57,9 +60,9 @@ def lookback_telemetry(
         return Lookback(
             spark.createDataFrame([], NO_TELEMETRY),
             spark.createDataFrame([], NO_LABELS),
-            "SKIPPED_SYSTEM_IMMATURE",
+            IMMATURE,
         )
-    return Lookback(found, matured_labels(found, labelled), "MATURED_EVALUATION_READY")
+    return Lookback(found, matured_labels(found, labelled), MATURED)
 
 
 def partition_statuses(table: DataFrame, first: str, last: str, lookback_days: int = 30) -> DataFrame:
@@ -83,12 +86,8 @@ def partition_statuses(table: DataFrame, first: str, last: str, lookback_days: i
             "day",
             "lookback_day",
             today.alias("n_rows"),
-            F.when(today > 0, "CURRENT_TELEMETRY_RESOLVED")
-            .otherwise("SKIPPED_ZERO_TRAFFIC_DAY")
-            .alias("status"),
+            F.when(today > 0, RESOLVED).otherwise(NO_TRAFFIC).alias("status"),
             past.alias("n_lookback_rows"),
-            F.when(past > 0, "MATURED_EVALUATION_READY")
-            .otherwise("SKIPPED_SYSTEM_IMMATURE")
-            .alias("lookback_status"),
+            F.when(past > 0, MATURED).otherwise(IMMATURE).alias("lookback_status"),
         )
     )

@@ -20,20 +20,20 @@ def test_good_tables_pass(good):
 
 def test_missing_columns(good):
     bad = dict(good, orders=good["orders"].drop("order_id", "order_status"))
-    with pytest.raises(GateError, match=r"missing required critical columns: \['order_id', 'order_status'\]"):
+    with pytest.raises(GateError, match="orders: no column order_id, order_status"):
         gates.enforce_gates(bad, START, END)
     assert gates.enforce_gates(bad, START, END, GatePolicy(schema_checks=False)) == []
 
 
 def test_empty_window(good):
-    with pytest.raises(GateError, match="contains zero records"):
+    with pytest.raises(GateError, match="orders: no rows"):
         gates.enforce_gates(good, "2010-01-01", "2010-02-01")
 
 
 def test_nulls_strict_and_not(good):
     nulls = good["customers"].withColumn("customer_unique_id", F.lit(None).cast("string"))
     bad = dict(good, customers=nulls)
-    with pytest.raises(GateError, match="'customer_unique_id' in dataset 'customers' contains 8 null"):
+    with pytest.raises(GateError, match="customers: 8 NULLs in customer_unique_id"):
         gates.enforce_gates(bad, START, END)
     warnings = gates.enforce_gates(bad, START, END, GatePolicy(strict=False))
     assert [(w.column_name, w.n, w.severity) for w in warnings] == [("customer_unique_id", 8, "WARN")]
@@ -47,7 +47,7 @@ def test_fail_fast_and_collect(good):
     assert "orders" in str(first.value) and "customers" not in str(first.value)
     with pytest.raises(GateError) as every:
         gates.enforce_gates(bad, START, END, GatePolicy(fail_fast=False))
-    assert "'orders'" in str(every.value) and "'customers'" in str(every.value)
+    assert "orders: " in str(every.value) and "customers: " in str(every.value)
 
 
 def test_first_bad_column_is_reported(good):
@@ -73,7 +73,7 @@ def test_contract(spark):
     assert (bad.status, bad.missing) == ("FAILED", ["alpha", "snapshot_date", "zeta"])
     with pytest.raises(GateError, match="alpha"):
         gates.require_contract(matrix, ["alpha"])
-    with pytest.raises(GateError, match="empty"):
+    with pytest.raises(GateError, match="nobody to score"):
         gates.require_rows(matrix.where("false"))
     gates.require_rows(matrix)
 
