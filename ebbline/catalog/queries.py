@@ -481,7 +481,7 @@ class _Fitted:
         self.rows = store(_split(c))
         self.train = self.rows.where(F.col("split") == "train")
         self.encoder = md.fit_encoder(self.train, self.kinds)
-        self.bins = md.max_bins(self.train, self.kinds)
+        self.bins = md.max_bins(self.encoder)
         vectors = store(md.encoded(self.encoder, self.rows, ["split"]))
         self.train_vectors = vectors.where(F.col("split") == "train").drop("split")
         self.val_vectors = vectors.where(F.col("split") == "val").drop("split")

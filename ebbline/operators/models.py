@@ -10,7 +10,7 @@ from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, Window
@@ -107,12 +107,10 @@ def encoded(encoder: PipelineModel, df: DataFrame, extra: Sequence[str] = ()) ->
     return vectors.select(*(c for c in (KEY, *extra) if c in df.columns), *label, VECTOR)
 
 
-def max_bins(train: DataFrame, kinds: FeatureKinds) -> int:
-    """Bins for the trees: the widest category list needs one bin per value and one for the rest."""
-    if not kinds.categorical:
-        return 32
-    widths = train.agg(*(F.count_distinct(c).alias(c) for c in kinds.categorical)).first()
-    return max(32, max(widths) + 2)
+def max_bins(encoder: PipelineModel) -> int:
+    """Bins for the trees: one per value of the widest category list and one for the rest."""
+    indexers = [s for s in encoder.stages if isinstance(s, StringIndexerModel)]
+    return max([32, *(len(labels) + 1 for s in indexers for labels in s.labelsArray)])
 
 
 # --- training --------------------------------------------------------------------------

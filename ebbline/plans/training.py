@@ -88,7 +88,7 @@ def train_run(
     rows = store(prep.hash_split(table, seed=seed))
     parts = {s: rows.where(F.col("split") == s).drop("split") for s in ("train", "val", "test")}
     encoder = models.fit_encoder(parts["train"], kinds)
-    bins = models.max_bins(parts["train"], kinds)
+    bins = models.max_bins(encoder)
     vectors = store(models.encoded(encoder, rows, ["split"]))
     train = vectors.where(F.col("split") == "train").drop("split")
     val = vectors.where(F.col("split") == "val").drop("split")

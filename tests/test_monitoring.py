@@ -254,3 +254,16 @@ def test_reasons_keep_their_order(spark):
     row = dec.decision(judged(spark, 0.3, (0.3, 0.4), 0.2)).first()
     assert row.trigger_reasons == "CRITICAL_PREDICTION_DRIFT | CRITICAL_FEATURE_DRIFT | SEVERE_PERFORMANCE_DEGRADATION"
     assert row.need_update is True
+
+
+def test_many_models_and_days_are_decided_in_one_job(spark):
+    head = "model_run_id string, execution_date string, "
+    keys = [("m1", "d1"), ("m1", "d2"), ("m2", "d1")]
+    scores = {("m1", "d1"): 0.25, ("m1", "d2"): 0.05, ("m2", "d1"): 0.05}
+    drift = spark.createDataFrame([(*k, "prediction", "p", v, "CALCULATED") for k, v in scores.items()],
+                                  head + "scope string, feature string, psi_score double, status string")
+    perf = spark.createDataFrame([("m1", "d1", True, None, 0.1), ("m2", "d1", True, None, 0.3)],
+                                 head + "is_evaluated boolean, reason string, brier_score double")
+    base = spark.createDataFrame([("m1", 0.1), ("m2", 0.2)], "model_run_id string, brier_score double")
+    rows = {(r.model_run_id, r.execution_date): r.trigger_reasons for r in dec.decision(dec.judged(drift, perf, base)).collect()}
+    assert rows == dict(zip(keys, ["CRITICAL_PREDICTION_DRIFT", "NONE", "SEVERE_PERFORMANCE_DEGRADATION"]))
