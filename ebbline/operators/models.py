@@ -122,7 +122,6 @@ def classifier(params: TreeParams, bins: int = 32, seed: int = 42) -> GBTClassif
         featuresCol=VECTOR,
         seed=seed,
         maxBins=bins,
-        cacheNodeIds=True,
         checkpointInterval=10,
         **params._asdict(),
     )
