@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ebbline.llm import language
-from ebbline.llm.common import table
+from ebbline.llm import bpe, counts, language, toxicity
+from ebbline.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -18,9 +20,36 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+def held_out(key: str, folds: int) -> Column:
+    return (fold(F.col(key), folds) == 0).alias("held_out")
+
+
 @query
 def op1_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document."""
-    return language.identify(table(spark, folder, "documents")).select(
-        "doc_id", "held_out", "lang_pred", "score", "languages", "shares", "positions"
-    )
+    rows = language.identify(table(spark, folder, "documents"))
+    return rows.select("row.doc_id", held_out("row.doc_id", 5), "lang_pred", "score", "languages", "shares", "positions")
+
+
+@query
+def op3_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document under the word-level vocabulary."""
+    words = counts.Vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    rows = counts.count(table(spark, folder, "documents"), words)
+    return rows.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
+@query
+def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Byte-level BPE ids of every document and the bytes they decode to."""
+    codec = bpe.Codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    rows = bpe.digests(table(spark, folder, "documents"), codec)
+    return rows.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document by its nearest labelled examples."""
+    docs = table(spark, folder, "documents")
+    rows = toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+    return rows.select("row.doc_id", held_out("row.doc_id", 5), "score", "predicted", "evidence")

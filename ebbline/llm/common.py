@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ebbline.session import store
 
@@ -33,6 +36,17 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
 
 
+def carried(docs: DataFrame, keep: Sequence[str]) -> Column:
+    """The columns that travel through a Python step untouched, whatever their names."""
+    return F.struct(*[docs[f"`{name}`"].alias(name) for name in keep]).alias("row")
+
+
+def added(rows: DataFrame, **columns: str) -> StructType:
+    """Schema of a Python step that returns `row` and these columns."""
+    own = StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in columns.items()))
+    return StructType([StructField("row", rows.schema["row"].dataType), *own.fields])
+
+
 def fold(key: Column, folds: int) -> Column:
     """crc32 of the key as text, modulo the number of folds."""
     return F.crc32(key.cast("string")) % folds

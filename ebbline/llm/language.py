@@ -9,14 +9,14 @@ a probability for each language, and pools the positions of the whole document.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import fold, small_batches
+from ebbline.llm.common import added, carried, fold, small_batches
 
 WINDOW = 128
 # Training windows are shorter: neighbouring letters decide, and a step of the
@@ -222,8 +222,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE_PER_LANGUAGE, steps: int = STEPS)
     return net
 
 
-def predict(docs: DataFrame, net: Network | None) -> DataFrame:
-    """doc_id, lang_pred, score, probabilities and position counts of every row.
+def predict(docs: DataFrame, net: Network | None, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The kept columns as struct `row`, with lang_pred, score, shares and positions of every row.
 
     A null text, an empty one and one without a letter are `und` with score 0, as
     is everything if there was nothing to learn from. Repeated rows and repeated
@@ -253,15 +253,16 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
                 shares, votes = np.zeros((rows, n)), np.zeros((rows, n), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(names, pa.string()), pa.array(score), pa.array(list(shares), pa.list_(pa.float64())), pa.array(list(votes), pa.list_(pa.int64()))],
-                names=["doc_id", "lang_pred", "score", "shares", "positions"],
+                names=["row", "lang_pred", "score", "shares", "positions"],
             )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
-    said = rows.mapInArrow(label, f"doc_id {kind}, lang_pred string, score double, shares array<double>, positions array<bigint>")
+    rows = docs.select(
+        carried(docs, keep), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")
+    )
+    said = rows.mapInArrow(label, added(rows, lang_pred="string", score="double", shares="array<double>", positions="array<bigint>"))
     return said.withColumn("languages", F.array(*[F.lit(x) for x in languages]).cast("array<string>"))
 
 
-def identify(docs: DataFrame) -> DataFrame:
+def identify(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Fit on the documents and label all of them."""
-    return predict(docs, fit(docs)).withColumn("held_out", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)))
+    return predict(docs, fit(docs), keep)
