@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, counts, language, toxicity
+from ebbline.llm import bpe, counts, language, toxicity, warc
 from ebbline.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,26 @@ def op1_language(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("row.doc_id", held_out("row.doc_id", 5), "lang_pred", "score", "languages", "shares", "positions")
 
 
+@query
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages through WARC archives and back."""
+    captures = warc.page_ids(warc.round_trip(table(spark, folder, "pages")))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op2_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), g AS (
+  SELECT payload_digest, max(page_id) AS first_page FROM p WHERE payload_bytes >= 1000 GROUP BY 1
+)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN g.first_page <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN g.first_page <> p.page_id THEN g.first_page END AS refers_to
+FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest AND p.payload_bytes >= 1000
+"""
+
+
 @query
 def op3_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document under the word-level vocabulary."""
