@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, counts, language, toxicity, warc
+from ebbline.llm import bpe, contamination, counts, language, licenses, toxicity, warc
 from ebbline.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,79 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     rows = toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
     return rows.select("row.doc_id", held_out("row.doc_id", 5), "score", "predicted", "evidence")
+
+
+@query
+def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and templates in every document."""
+    rows = licenses.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+# In SQL: words, phrases by place, and every template against every block.
+WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SETS = [(label, sorted(set(licenses.template_words(text)))) for label, text in licenses.TEMPLATES]
+_LONGEST = max(len(words) for _, words in _SETS)
+_TEMPLATE_ROWS = ", ".join(f"('{label}', {words}, {licenses.needed(len(words), licenses.THRESHOLD)})" for label, words in _SETS)
+
+ORACLE["op7_licenses"] = f"""
+WITH d AS (
+  SELECT doc_id, {LOWER} AS said, {WORDS.format(LOWER)} AS w FROM documents
+), p AS (
+  SELECT doc_id, len(w) AS n_words,
+    list_filter(range(len(w)), lambda i: w[i + 1] = 'mit' AND w[i + 2] = 'license') AS mit,
+    list_filter(range(len(w)), lambda i: w[i + 1] = 'apache' AND w[i + 2] = 'license') AS apache,
+    list_filter(range(len(w)), lambda i: w[i + 1] = 'general' AND w[i + 2] = 'public' AND w[i + 3] = 'license') AS gpl
+  FROM d
+), l AS (
+  SELECT doc_id, {WORDS.format('line')} AS w FROM (SELECT doc_id, unnest(string_split(said, chr(10))) AS line FROM d)
+), b AS (
+  SELECT doc_id, list_distinct(w[k * {_LONGEST} + 1 : k * {_LONGEST} + {2 * _LONGEST}]) AS w
+  FROM (SELECT *, unnest(range(1 + cast(ceil(greatest(len(w) - {2 * _LONGEST}, 0) / {_LONGEST}) AS BIGINT))) AS k FROM l)
+), t(label, words, need) AS (VALUES {_TEMPLATE_ROWS}
+), m AS (
+  SELECT doc_id, list(DISTINCT label) AS more, max(len(list_intersect(w, words)) / len(words)) AS score
+  FROM b, t WHERE len(list_intersect(w, words)) >= need GROUP BY 1
+), f AS (
+  SELECT p.*, mit || apache || gpl AS places, coalesce(score, 0.0) AS score,
+    list_filter([CASE WHEN len(mit) > 0 THEN 'mit' END, CASE WHEN len(apache) > 0 THEN 'apache' END,
+                 CASE WHEN len(gpl) > 0 THEN 'gpl' END], lambda x: x IS NOT NULL) AS base, coalesce(more, []) AS more
+  FROM p LEFT JOIN m USING (doc_id)
+)
+SELECT doc_id, n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
+       array_to_string(list_sort(base), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(base || more)), ',') AS labels, score
+FROM f
+"""
+
+
+@query
+def op8_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that stand in a benchmark passage."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return contamination.contaminated(docs, table(spark, folder, "benchmark")).drop("text")
+
+
+ORACLE["op8_contamination"] = f"""
+WITH d AS (
+  SELECT doc_id, {WORDS.format(LOWER)} AS w FROM documents
+), b AS (
+  SELECT item_id, {WORDS.format(LOWER)} AS w FROM benchmark
+), n AS (
+  SELECT DISTINCT item_id, array_to_string(w[k + 1 : k + 10], ' ') AS run, least(len(w), 10) AS many
+  FROM (SELECT *, unnest(range(greatest(len(w) - 10, 0) + 1)) AS k FROM b WHERE len(w) > 0)
+), s AS (
+  SELECT doc_id, k, many, array_to_string(w[k + 1 : k + many], ' ') AS run
+  FROM (SELECT *, unnest(range(len(w))) AS k FROM d), (SELECT DISTINCT many FROM n) WHERE k + many <= len(w)
+), m AS (
+  SELECT doc_id, k, n.many, item_id FROM s JOIN n USING (run)
+), h AS (
+  SELECT doc_id, count(DISTINCT k + j) AS n_hit FROM (SELECT *, unnest(range(many)) AS j FROM m) GROUP BY 1
+), i AS (
+  SELECT doc_id, list_sort(list(DISTINCT cast(item_id AS VARCHAR))) AS items FROM m GROUP BY 1
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(items), 0) AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
+"""

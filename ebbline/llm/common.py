@@ -36,6 +36,20 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
 
 
+# What stands between words of letters, digits and characters beyond ASCII.
+SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def spaced_words(name: str) -> Column:
+    """The words of a text in lower case, each between two blanks: " a b "; " " without any."""
+    return F.concat(F.lit(" "), F.ltrim(F.regexp_replace(F.concat(lower_ascii(F.col(name)), F.lit(" ")), SEPARATORS, " ")))
+
+
+def text_keys(docs: DataFrame) -> list[Column]:
+    """Two hashes that name a document and its text together; never null."""
+    return [F.xxhash64(docs["doc_id"], docs["text"]).alias("key1"), F.xxhash64(F.lit("text"), docs["text"], docs["doc_id"]).alias("key2")]
+
+
 def carried(docs: DataFrame, keep: Sequence[str]) -> Column:
     """The columns that travel through a Python step untouched, whatever their names."""
     return F.struct(*[docs[f"`{name}`"].alias(name) for name in keep]).alias("row")
