@@ -63,7 +63,7 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def store(df: DataFrame) -> DataFrame:
+def store(df: DataFrame, **options: str) -> DataFrame:
     """Write rows as a table in the shared folder and read them from there.
 
     For tables that are read many times, as by model fits, or that later steps
@@ -71,7 +71,7 @@ def store(df: DataFrame) -> DataFrame:
     not a new run of everything upstream.
     """
     path = f"{shared_folder(df.sparkSession)}/ebbline-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
