@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, contamination, counts, language, licenses, toxicity, warc
+from ebbline.llm import bpe, contamination, counts, language, licenses, lm, toxicity, warc
 from ebbline.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,13 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("row.doc_id", held_out("row.doc_id", 5), "score", "predicted", "evidence")
 
 
+@query
+def op6_interpolation(spark: SparkSession, folder: str) -> DataFrame:
+    """log10 probability of every document under the interpolated model."""
+    rows = lm.score(table(spark, folder, "documents"))
+    return rows.select("row.doc_id", held_out("row.doc_id", lm.FOLDS), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
     """Licence phrases and templates in every document."""
