@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, contamination, counts, language, licenses, lm, toxicity, warc
+from ebbline.llm import bpe, caps, contamination, counts, language, licenses, lm, toxicity, warc
 from ebbline.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,31 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(item
        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
 """
+
+
+@query
+def op9_caps(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate embeddings of one label."""
+    return caps.near_duplicates(table(spark, folder, "embeddings"))
+
+
+ORACLE["op9_caps"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: cast(x AS DOUBLE)) AS e FROM embeddings
+), ok AS (
+  SELECT vec_id, label, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS e FROM v
+  WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_dot_product(e, e) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) >= 0.93
+), r(id, reach) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT r.id, l.b FROM r JOIN l ON r.reach = l.a
+), c AS (
+  SELECT id AS vec_id, min(reach) AS component_id FROM r GROUP BY 1
+), n AS (
+  SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY 1
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)
+"""
