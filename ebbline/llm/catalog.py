@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, caps, contamination, counts, language, licenses, lm, toxicity, warc
+from ebbline.llm import bpe, caps, contamination, counts, language, licenses, lm, toxicity, tries, warc
 from ebbline.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,3 +184,29 @@ WITH RECURSIVE v AS (
 SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM c LEFT JOIN n USING (vec_id)
 """
+
+
+@query
+def op10_tries(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of near-duplicate documents."""
+    return tries.near_duplicates(table(spark, folder, "documents"))
+
+
+ORACLE["op10_tries"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k + 1 : k + 5], ' ') AS g
+  FROM (SELECT *, unnest(range(greatest(len(w) - 4, 1))) AS k FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), l AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2)
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 75 * (na.n + nb.n - i)
+), r(id, reach) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT r.id, l.b FROM r JOIN l ON r.reach = l.a
+), c AS (
+  SELECT id AS doc_id, min(reach) AS component_id FROM r GROUP BY 1
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM c LEFT JOIN n USING (doc_id)
+"""
