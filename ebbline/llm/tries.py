@@ -54,15 +54,12 @@ def least_overlap(a: int, b: int, percent: int) -> int:
     return -(-percent * (a + b) // (100 + percent))
 
 
-def _shingles(words: np.ndarray, n: int) -> np.ndarray:
-    """Distinct hashes of the n-grams of a text, or of the whole of a shorter one, sorted."""
-    if not len(words):
-        return words
-    k = min(n, len(words))
-    total = np.full(len(words) - k + 1, k, np.uint64)
+def _grams(words: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the k words from each place on."""
+    total = np.full(max(len(words) - k + 1, 0), k, np.uint64)
     for i in range(k):
         total = mix(total * np.uint64(0xD1342543DE82EF95) + words[i : len(words) - k + 1 + i])
-    return np.unique(total)
+    return total
 
 
 def _name(shingles: np.ndarray) -> int:
@@ -71,11 +68,13 @@ def _name(shingles: np.ndarray) -> int:
 
 
 def _sets(batch: pa.RecordBatch, column: int, n: int) -> Iterator[np.ndarray]:
+    """The sorted distinct shingles of each text; the whole of a text of fewer than n words is one."""
     data, ends = bytes_of(batch.column(column))
     start, stop, many = spans(data, ends)
     words, upto = hashes(data, start, stop), np.cumsum(many)
-    for i in range(batch.num_rows):
-        yield _shingles(words[upto[i] - many[i] : upto[i]], n)
+    every = _grams(words, n)  # those across two texts are never looked at
+    for m, b in zip(many.tolist(), upto.tolist()):
+        yield np.unique(every[b - m : b - n + 1]) if m >= n else _grams(words[b - m : b], m) if m else words[:0]
 
 
 def _packed(names: list[int], sets: list[np.ndarray], ranges: int) -> Iterator[pa.RecordBatch]:
@@ -357,8 +356,17 @@ def set_classes(sets: DataFrame, percent: int) -> DataFrame:
     done = chosen.join(met.select("shingle", "n").distinct(), "shingle").filter(F.col("n") <= BLOCK).select("shingle")
     left = _several(places.join(done, "shingle", "left_anti"), classes)
     left = left.join(_one_of_each(left), "shingle").withColumn("blocks", blocks).withColumn("side", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
+    # Texts that chains of common prefix shingles connect are few as a rule; then they are one
+    # group, which holds each of them once. Larger ones go by shingle, in pairs of blocks.
+    hubs = left.groupBy("shingle").agg(F.min("name").alias("a"))
+    near = components(left.join(hubs, "shingle").select("a", F.col("name").alias("b")))
+    sized = near.join(near.groupBy("component").agg(F.count("*").alias("together")), "component")
+    left = store(left.join(sized, left["name"] == sized["node"]))
+    few = left.filter(F.col("together") <= BLOCK).select(F.col("component").alias("shingle"), "name", "class").distinct()
+    few = few.select("*", F.lit(0).alias("side"), F.lit(-1).alias("low"), F.lit(-1).alias("high"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("side", o).alias("low"), F.greatest("side", o).alias("high")))
-    spread = left.select("shingle", "name", "class", "side", F.explode(pairs).alias("pair")).select("shingle", "name", "class", "side", "pair.low", "pair.high")
+    many = left.filter(F.col("together") > BLOCK).select("shingle", "name", "class", "side", F.explode(pairs).alias("pair"))
+    spread = few.unionByName(many.select("shingle", "name", "class", "side", "pair.low", "pair.high"))
     more = store(_join(spread.join(sets.drop("prefix"), "name"), percent))
     return _classed(sets, links.unionByName(more))
 
