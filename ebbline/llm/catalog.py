@@ -85,8 +85,8 @@ def op6_interpolation(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
     """Licence phrases and templates in every document."""
-    rows = licenses.scan(table(spark, folder, "documents").select("doc_id", "text"))
-    return rows.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    rows = licenses.scan(table(spark, folder, "documents"))
+    return rows.select("row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
 # In SQL: words, phrases by place, and every template against every block.
@@ -130,8 +130,8 @@ FROM f
 @query
 def op8_contamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that stand in a benchmark passage."""
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    return contamination.contaminated(docs, table(spark, folder, "benchmark")).drop("text")
+    rows = contamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return rows.select("row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 ORACLE["op8_contamination"] = f"""

@@ -10,10 +10,12 @@ of all the window's words are intersected, taken from the candidate documents al
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import small, spaced_words, text_keys
+from ebbline.llm.common import carried, small, spaced_words, text_keys
 from ebbline.session import store
 
 WINDOW = 10
@@ -91,8 +93,8 @@ def proximity_matches(docs: DataFrame, phrases: DataFrame, within: int) -> DataF
     return held.select("key1", "key2", "item_id", F.array_min(F.map_values("latest")).alias("start"), (F.col("pos") + 1).alias("end"))
 
 
-def contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """The documents with n_words, n_hit, n_items, items_sha256 and contaminated.
+def contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """`row` of every document with n_words, n_hit, n_items, items_sha256 and contaminated.
 
     A null text has no words. An item that is null or has no word hits nothing.
     Items of one id are one item with the windows of all its rows.
@@ -108,7 +110,7 @@ def contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataF
     result = small(hit.join(by_text, key).select(*key, "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256")))
     said = spaced_words("text")
     n_words = F.greatest(F.length(said) - F.length(F.replace(said, F.lit(" "), F.lit(""))) - 1, F.lit(0)).cast("bigint")
-    rows = docs.select("*", *text_keys(docs), n_words.alias("n_words")).join(result, key, "left")
+    rows = docs.select(carried(docs, keep), *text_keys(docs), n_words.alias("n_words")).join(result, key, "left")
     return rows.withColumns(
         {
             "n_hit": F.coalesce("n_hit", F.lit(0)).cast("bigint"),

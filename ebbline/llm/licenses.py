@@ -14,11 +14,12 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import SEPARATORS, lower_ascii, small, spaced_words, text_keys
+from ebbline.llm.common import SEPARATORS, carried, lower_ascii, small, spaced_words, text_keys
 
 # Phrases and the labels they stand for.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -61,13 +62,13 @@ def places(words: Column, phrase: str) -> Column:
     return F.filter(F.sequence(F.lit(0), F.greatest(F.size(words) - len(parts), F.lit(0))), lambda i: F.coalesce(here(i), F.lit(False)))
 
 
-def phrase_places(docs: DataFrame, phrases=PHRASES) -> DataFrame:
-    """The documents with their keys, n_words, and a struct of starts for each phrase.
+def phrase_places(docs: DataFrame, phrases=PHRASES, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """`row` of every document with its keys, n_words, and a struct of starts for each phrase.
 
     Null texts and texts without a word have 0 words. Word arrays are made only for
     texts that contain a phrase.
     """
-    rows = docs.select("*", *text_keys(docs), spaced_words("text").alias("_said"))
+    rows = docs.select(carried(docs, keep), *text_keys(docs), spaced_words("text").alias("_said"))
     hit = F.lit(False)
     for phrase, _ in phrases:
         hit = hit | F.contains(F.col("_said"), F.lit(f" {phrase} "))
@@ -121,8 +122,8 @@ def template_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = TH
     )
 
 
-def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents with n_words, n_base, first_word, last_word, base_labels, labels and score.
+def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """`row` of every document with n_words, n_base, first_word, last_word, base_labels, labels and score.
 
     score is the greatest containment of a template, 0 without any. Labels are
     sorted, distinct and joined by commas. A null text is an empty one; rows that
@@ -130,7 +131,7 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float
     """
     found = template_matches(docs, templates, threshold)
     by_text = found.groupBy("key1", "key2").agg(F.collect_set("label").alias("more"), F.max("containment").alias("score"))
-    rows = phrase_places(docs, phrases)
+    rows = phrase_places(docs, phrases, keep)
     starts = F.flatten(F.array(*[F.col(f"starts._{k}") for k in range(len(phrases))]))
     base = F.filter(F.array(*[F.when(F.size(f"starts._{k}") > 0, F.lit(label)) for k, (_, label) in enumerate(phrases)]), lambda x: x.isNotNull())
     rows = rows.withColumns({"_all": starts, "_base": F.array_distinct(base)}).join(small(by_text), ["key1", "key2"], "left")
