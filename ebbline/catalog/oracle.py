@@ -44,64 +44,61 @@ BRONZE = ",\n".join([B_ORDERS, B_CUSTOMERS, B_PAYMENTS])
 
 
 def _days(alias: str, start: str, end: str) -> str:
-    day = f"CAST({alias}.year || '-' || {alias}.month || '-' || {alias}.day AS DATE)"
-    return (
-        f"{day} >= CAST(TIMESTAMP '{start}' AS DATE) AND {day} <= CAST(TIMESTAMP '{end}' AS DATE)"
-    )
+    """Whole days, both ends included."""
+    day = f"make_date({alias}.year, {alias}.month, {alias}.day)"
+    return f"{day} BETWEEN DATE '{start[:10]}' AND DATE '{end[:10]}'"
+
+
+def _placed(start: str, end: str) -> str:
+    return f"order_purchase_timestamp >= TIMESTAMP '{start}' AND order_purchase_timestamp < TIMESTAMP '{end}'"
 
 
 def _visible(start: str, end: str) -> str:
-    return f"""SELECT o.order_id, o.customer_id, o.order_purchase_timestamp AS purchase_ts,
-    o.order_estimated_delivery_date AS est_delivery_ts,
-    CASE WHEN o.order_delivered_customer_date <= TIMESTAMP '{end}' THEN o.order_delivered_customer_date END
-      AS act_delivery_ts,
-    CASE WHEN o.order_delivered_customer_date > TIMESTAMP '{end}' THEN 'processing' ELSE o.order_status END
-      AS order_status
-  FROM b_orders o
-  WHERE {_days('o', start, end)}
-    AND o.order_purchase_timestamp >= TIMESTAMP '{start}'
-    AND o.order_purchase_timestamp < TIMESTAMP '{end}'"""
+    """An order whose delivery lies beyond the cutoff is still on its way."""
+    known = f"order_delivered_customer_date <= TIMESTAMP '{end}'"
+    return f"""SELECT order_id, customer_id, order_purchase_timestamp AS purchase_ts,
+    order_estimated_delivery_date AS est_delivery_ts, if({known}, order_delivered_customer_date, NULL) AS act_delivery_ts,
+    if(coalesce({known}, true), order_status, 'processing') AS order_status
+  FROM b_orders WHERE {_placed(start, end)}"""
 
 
 def _enriched(start: str, end: str) -> str:
-    return f"""SELECT c.customer_unique_id, c.customer_state, v.order_id, v.purchase_ts, v.est_delivery_ts,
-    v.act_delivery_ts, v.order_status, COALESCE(p.paid, 0) AS payment_value
-  FROM ({_visible(start, end)}) v
-  JOIN b_customers c ON v.customer_id = c.customer_id AND {_days('c', start, end)}
-  LEFT JOIN (SELECT order_id, SUM(payment_value) AS paid FROM b_payments GROUP BY order_id) p
-    ON v.order_id = p.order_id"""
+    return f"""SELECT customer_unique_id, customer_state, order_id, purchase_ts, est_delivery_ts, act_delivery_ts, order_status,
+    coalesce((SELECT sum(p.payment_value) FROM b_payments p WHERE p.order_id = v.order_id), 0) AS payment_value
+  FROM ({_visible(start, end)}) v JOIN b_customers USING (customer_id)"""
 
 
 def _features(end: str = S.CUTOFF, start: str = S.START) -> str:
-    return f"""SELECT customer_unique_id, MAX(customer_state) AS customer_state,
-    CAST(date_diff('day', MAX(purchase_ts), TIMESTAMP '{end}') AS BIGINT) AS recency_days,
-    CAST(date_diff('day', MIN(purchase_ts), TIMESTAMP '{end}') AS BIGINT) AS tenure_days,
-    CAST(COUNT(DISTINCT order_id) AS BIGINT) AS frequency,
-    CAST(SUM(payment_value) AS DOUBLE) AS monetary_total,
-    CAST(SUM(payment_value) AS DOUBLE) / NULLIF(COUNT(DISTINCT order_id), 0) AS aov,
-    CAST(MAX(date_diff('day', est_delivery_ts, act_delivery_ts)) AS BIGINT) AS max_delivery_delay_days,
-    CAST(MAX(CASE WHEN act_delivery_ts IS NULL THEN 1 ELSE 0 END) AS INTEGER) AS has_undelivered_order,
-    CAST(SUM(CASE WHEN order_status = 'canceled' THEN 1 ELSE 0 END) AS BIGINT) AS total_canceled_orders,
+    """Counts of days are differences of dates; what the cutoff hides is filtered out of each aggregate."""
+    day = f"DATE '{end[:10]}'"
+    known = f"order_delivered_customer_date <= TIMESTAMP '{end}'"
+    late = "CAST(order_delivered_customer_date AS DATE) - CAST(order_estimated_delivery_date AS DATE)"
+    return f"""SELECT customer_unique_id, any_value(customer_state) AS customer_state,
+    {day} - CAST(max(order_purchase_timestamp) AS DATE) AS recency_days,
+    {day} - CAST(min(order_purchase_timestamp) AS DATE) AS tenure_days,
+    count(*) AS frequency, CAST(coalesce(sum(paid), 0) AS DOUBLE) AS monetary_total,
+    CAST(coalesce(sum(paid), 0) AS DOUBLE) / count(*) AS aov,
+    max({late}) FILTER (WHERE {known}) AS max_delivery_delay_days,
+    CAST(NOT bool_and(coalesce({known}, false)) AS INTEGER) AS has_undelivered_order,
+    count(*) FILTER (WHERE order_status = 'canceled' AND coalesce({known}, true)) AS total_canceled_orders,
     '{end}' AS snapshot_date
-  FROM ({_enriched(start, end)}) e GROUP BY customer_unique_id HAVING COUNT(DISTINCT order_id) >= 1"""
+  FROM b_orders JOIN b_customers USING (customer_id)
+    LEFT JOIN (SELECT order_id, sum(payment_value) AS paid FROM b_payments GROUP BY 1) USING (order_id)
+  WHERE {_placed(start, end)} GROUP BY 1"""
 
 
 def _targets(end: str) -> str:
-    last = plus_days(end, S.WINDOW_DAYS)
-    return f"""SELECT c.customer_unique_id, CAST(COUNT(DISTINCT o.order_id) AS BIGINT) AS future_orders,
-    CAST(SUM(p.payment_value) AS DOUBLE) AS future_ltv
-  FROM b_orders o JOIN b_customers c ON o.customer_id = c.customer_id
-  LEFT JOIN b_payments p ON o.order_id = p.order_id
-  WHERE o.order_status IN ('delivered', 'shipped') AND {_days('o', end, last)}
-    AND o.order_purchase_timestamp >= TIMESTAMP '{end}'
-    AND o.order_purchase_timestamp < TIMESTAMP '{end}' + INTERVAL {S.WINDOW_DAYS} DAY
-  GROUP BY c.customer_unique_id"""
+    return f"""SELECT customer_unique_id, count(*) AS future_orders, CAST(sum(paid) AS DOUBLE) AS future_ltv
+  FROM b_orders JOIN b_customers USING (customer_id)
+    LEFT JOIN (SELECT order_id, sum(payment_value) AS paid FROM b_payments GROUP BY 1) USING (order_id)
+  WHERE order_status <> 'canceled' AND {_placed(end, plus_days(end, S.WINDOW_DAYS))} GROUP BY 1"""
 
 
 def _labelled(end: str = S.CUTOFF) -> str:
-    return f"""SELECT f.*, COALESCE(t.future_ltv, 0.0e0) AS target_180d_ltv,
-    CASE WHEN COALESCE(t.future_orders, 0) > 0 THEN 0 ELSE 1 END AS target_is_churn
-  FROM ({_features(end)}) f LEFT JOIN ({_targets(end)}) t ON f.customer_unique_id = t.customer_unique_id"""
+    """Churned is whoever does not exist among those who came back."""
+    return f"""SELECT f.*, coalesce(future_ltv, 0.0e0) AS target_180d_ltv,
+    CAST(t.customer_unique_id IS NULL AS INTEGER) AS target_is_churn
+  FROM ({_features(end)}) f LEFT JOIN ({_targets(end)}) t USING (customer_unique_id)"""
 
 
 DRAW = (
@@ -230,6 +227,9 @@ VERDICT = dict(
 # --- metrics ---------------------------------------------------------------------------
 
 SCORES = dict(scores=TEST_SCORES)
+# Missing probabilities are NULL here; the queries meet them as NULL and as NaN.
+GAPPY = "CASE WHEN customer_unique_id % 10 NOT IN (3, 7) THEN predicted_probability END"
+GAPS = dict(scores=f"SELECT * REPLACE ({GAPPY} AS predicted_probability) FROM ({TEST_SCORES}) t")
 
 
 def _proper(table: str, keys: str) -> str:
@@ -278,7 +278,7 @@ def _metrics(table: str, keys: str) -> str:
 DUEL = dict(
     SCORES,
     challenger="SELECT * FROM scores WHERE model = 'challenger'",
-    champion="SELECT * FROM scores WHERE model = 'champion' AND customer_state NOT LIKE '%3'",
+    champion="SELECT * FROM scores WHERE model = 'champion' ",
     rivals=f"""SELECT c.*, h.customer_state IS NOT NULL AS has_champion, h.eroi AS champion_eroi,
       h.log_loss AS champion_log_loss, h.roc_auc AS champion_roc_auc, h.brier_score AS champion_brier_score,
       h.optimal_threshold AS champion_optimal_threshold,
@@ -288,16 +288,34 @@ DUEL = dict(
 )
 
 
+def _draw(seed: str) -> str:
+    return f"CAST('0x' || substr(md5('{seed}:' || CAST(customer_unique_id AS VARCHAR)), 1, 8) AS UBIGINT)"
+
+
+def _place(seed: str) -> str:
+    return f"row_number() OVER (ORDER BY {_draw(seed)}, customer_unique_id)"
+
+
+def _mean_loss(days: str) -> str:
+    """Log loss of the recency score at the given number of days."""
+    score = _round(f"1.0e0 / (1.0e0 + exp(-({days} - 180) / 90.0e0))")
+    inside = f"least(greatest({score}, 1e-15), 1e0 - 1e-15)"
+    return f"avg(-(if(target_is_churn = 1, ln({inside}), ln(1.0e0 - {inside}))))"
+
+
 def _kept(name: str) -> str:
     return f"CASE WHEN is_approved THEN {name} ELSE champion_{name} END"
 
 
 # --- windows ---------------------------------------------------------------------------
 
-PAYMENTS_BY_DAY = """SELECT p.order_id, CAST(p.payment_value AS DOUBLE) AS payment_value,
-    strftime(o.order_purchase_timestamp, '%Y') AS year, strftime(o.order_purchase_timestamp, '%m') AS month,
-    strftime(o.order_purchase_timestamp, '%d') AS day
-  FROM b_payments p JOIN b_orders o ON p.order_id = o.order_id"""
+def _day_text(table: str) -> str:
+    """Keys of a day as zero-padded text."""
+    return ", ".join(f"lpad(CAST({table}.{part} AS VARCHAR), {n}, '0') AS {part}" for part, n in (("year", 4), ("month", 2), ("day", 2)))
+
+
+PAYMENTS_BY_DAY = f"""SELECT order_id, CAST(payment_value AS DOUBLE) AS payment_value, {_day_text('o')}
+  FROM b_payments JOIN b_orders o USING (order_id)"""
 
 MONTH_RANGE = "year * 12 + month BETWEEN 1997 * 12 + 3 AND 1998 * 12 + 2"
 
@@ -346,21 +364,26 @@ ORACLE: dict[str, str] = {
     "training_table": _with(_labelled()),
     "row_count": _with(f"SELECT count(*) AS n_rows FROM ({_labelled()}) l"),
     "partition_orders": _with(
-        """SELECT order_id, order_status, order_purchase_timestamp, strftime(order_purchase_timestamp, '%Y') AS year,
-        strftime(order_purchase_timestamp, '%m') AS month, strftime(order_purchase_timestamp, '%d') AS day
-        FROM b_orders"""
+        f"SELECT order_id, order_status, order_purchase_timestamp, {_day_text('o')} FROM b_orders o"
     ),
     "partition_customers": _with(
-        """SELECT c.customer_id, c.customer_unique_id, c.customer_state,
-        strftime(o.order_purchase_timestamp, '%Y') AS year, strftime(o.order_purchase_timestamp, '%m') AS month,
-        strftime(o.order_purchase_timestamp, '%d') AS day
-        FROM b_customers c JOIN b_orders o ON c.customer_id = o.customer_id"""
+        f"SELECT customer_id, customer_unique_id, customer_state, {_day_text('c')} FROM b_customers c"
     ),
     "partition_payments": _with(PAYMENTS_BY_DAY),
     "pruned_scan": _with(
         f"""SELECT order_id, order_purchase_timestamp, year, month, day FROM b_orders o
         WHERE {_days('o', S.SCAN_START, S.SCAN_END)}"""
     ),
+    "lake_roundtrip": _with(
+        """SELECT order_id, CAST(payment_value AS DOUBLE) AS payment_value, year, month, day
+        FROM b_payments JOIN b_orders USING (order_id)"""
+    ),
+    "ingest_roundtrip": _with("SELECT customer_id, customer_unique_id, customer_state FROM b_customers"),
+    "run_table": _with(_labelled()),
+    "published_day": _with(f"SELECT *, 'CURRENT_TELEMETRY_RESOLVED' AS status FROM ({TELEMETRY}) t"),
+    "evaluation_day": _with("SELECT * FROM evaluation", evaluation=EVALUATION),
+    "required_columns": """SELECT * FROM (VALUES ('orders', 'order_status'), ('customers', 'customer_id'),
+        ('customers', 'customer_unique_id')) v(table_name, column_name)""",
     "partition_months": _with(
         f"""SELECT DISTINCT 'orders' AS dataset, year, month FROM b_orders WHERE {MONTH_RANGE}
         UNION SELECT DISTINCT 'customers', year, month FROM b_customers WHERE {MONTH_RANGE}
@@ -376,7 +399,7 @@ ORACLE: dict[str, str] = {
         FROM (SELECT CAST(t AS DATE) AS d, CAST(t - INTERVAL 30 DAY AS DATE) AS b FROM generate_series(
           TIMESTAMP '{S.CALENDAR_START}', TIMESTAMP '{S.CALENDAR_END}', INTERVAL 1 DAY) g(t)) c
         LEFT JOIN per_day x ON c.d = x.placed LEFT JOIN per_day y ON c.b = y.placed""",
-        per_day="SELECT CAST(order_purchase_timestamp AS DATE) AS placed, count(*) AS n FROM b_orders GROUP BY 1",
+        per_day="SELECT make_date(year, month, day) AS placed, count(*) AS n FROM b_customers GROUP BY 1",
     ),
     "window_counts": _with(
         f"""SELECT 'orders' AS table_name, count(*) AS n_rows FROM b_orders t WHERE {WINDOW}
@@ -463,13 +486,13 @@ ORACLE: dict[str, str] = {
         """SELECT model, sum(CASE WHEN predicted_probability >= 0.5 AND target_is_churn = 1 THEN 1 ELSE 0 END)
           * 0.20e0 * 150.0e0 - sum(CASE WHEN predicted_probability >= 0.5 THEN 1 ELSE 0 END) * 10.0e0 AS realized_roi
         FROM scores GROUP BY model""",
-        **SCORES,
+        **GAPS,
     ),
     "threshold_sweep": _with(
-        f"SELECT model, threshold, tp, fp, {_round('eroi')} AS eroi FROM ({_returns('scores', 'model')}) x", **SCORES
+        f"SELECT model, threshold, tp, fp, {_round('eroi')} AS eroi FROM ({_returns('scores', 'model')}) x", **GAPS
     ),
     "best_threshold": _with(
-        f"SELECT model, {_round('eroi')} AS eroi, optimal_threshold FROM ({_best('scores', 'model')}) x", **SCORES
+        f"SELECT model, {_round('eroi')} AS eroi, optimal_threshold FROM ({_best('scores', 'model')}) x", **GAPS
     ),
     "model_metrics": _with(
         f"""SELECT model, {_round('brier_score')} AS brier_score, {_round('log_loss')} AS log_loss,
@@ -489,9 +512,10 @@ ORACLE: dict[str, str] = {
         **DUEL,
     ),
     "business_report": _with(
-        f"""SELECT customer_unique_id, p AS churn_probability, CAST(p >= 0.5 AS INTEGER) AS is_churn_risk,
+        f"""SELECT customer_unique_id, p AS churn_probability, CAST(coalesce(p >= 0.5, false) AS INTEGER) AS is_churn_risk,
         {_round('p * monetary_total', 2)} AS revenue_at_risk
-        FROM (SELECT *, {RECENCY_SCORE} AS p FROM ({_features()}) f) s
+        FROM (SELECT * REPLACE ({GAPPY} AS predicted_probability), {GAPPY} AS p
+          FROM (SELECT *, {RECENCY_SCORE} AS predicted_probability FROM ({_features()}) f) g) s
         ORDER BY revenue_at_risk DESC, customer_unique_id"""
     ),
     "impact_summary": _with(
@@ -505,6 +529,17 @@ ORACLE: dict[str, str] = {
     "evaluation_join": _with(
         "SELECT * FROM evaluation WHERE predicted_probability <= 0.9", evaluation=EVALUATION
     ),
+    "importance_fixed_score": _with(
+        " UNION ALL ".join(
+            f"""SELECT '{name}' AS feature, {_round('shuffled - plain')} AS importance
+            FROM (SELECT {_mean_loss('lent' if name == 'recency_days' else 'recency_days')} AS shuffled FROM at_rows
+              JOIN (SELECT {name} AS lent, {_place(f'shuffle-{S.SEED}-{name}')} AS place FROM train) USING (place)),
+              (SELECT {_mean_loss('recency_days')} AS plain FROM train)"""
+            for name in ("recency_days", "frequency")
+        ),
+        train=TRAIN,
+        at_rows=f"SELECT *, {_place(f'rows-{S.SEED}')} AS place FROM train",
+    ),
     "top_features": _with(
         f"SELECT * FROM ({IMPORTANCE}) i ORDER BY importance DESC, feature LIMIT 5", train=TRAIN
     ),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,10 +24,10 @@ from ebbline.operators import performance as pf
 from ebbline.operators import prep
 from ebbline.operators import profiles as pr
 from ebbline.operators import reports as rp
-from ebbline.session import pin, store, tune
+from ebbline.session import pin, shared_folder, store, tune
 from ebbline.sources import lake
 from ebbline.sources.star import Commerce, commerce
-from ebbline.sources.telemetry import partition_statuses
+from ebbline.sources.telemetry import current_telemetry, partition_statuses
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,8 +107,8 @@ def _telemetry(c: Commerce) -> DataFrame:
 
 
 def _evaluation(c: Commerce) -> DataFrame:
-    then = _scored(_features(c, S.LOOKBACK))
-    labels = lb.matured_labels(then, _labelled(c, S.LOOKBACK))
+    then = store(_scored(_features(c, S.LOOKBACK)).select("customer_unique_id", S.PREDICTION))
+    labels = lb.matured_labels(then, lb.future_targets(*c, S.LOOKBACK, S.WINDOW_DAYS))
     return pf.evaluation_join(then.select("customer_unique_id", S.PREDICTION), labels)
 
 
@@ -178,12 +180,77 @@ def partition_payments(spark, c):
     return rows.withColumn("payment_value", F.col("payment_value").cast("double"))
 
 
+def _fresh_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 @query
 def pruned_scan(spark, c):
-    rows = within_days(c.orders, S.SCAN_START, S.SCAN_END)
+    """Days of a lake; only their folders are read."""
+    base = _fresh_folder(spark, "lake")
+    lake.write_by_day(lake.orders_by_day(c.orders), f"{base}/orders")
+    rows = within_days(lake.read_table(spark, base, "orders"), S.SCAN_START, S.SCAN_END)
     return rows.select("order_id", "order_purchase_timestamp", "year", "month", "day")
 
 
+@query
+def lake_roundtrip(spark, c):
+    """Payments laid out by the day of their order and read back whole."""
+    base = _fresh_folder(spark, "lake")
+    lake.write_by_day(lake.payments_by_day(c.payments, c.orders), f"{base}/order_payments")
+    rows = lake.read_table(spark, base, "order_payments")
+    return rows.withColumn("payment_value", F.col("payment_value").cast("double"))
+
+
+@query
+def ingest_roundtrip(spark, c):
+    """Customers as CSV files in two folders, ingested to tables and read back."""
+    base = _fresh_folder(spark, "ingest")
+    plain = c.customers.select("customer_id", "customer_unique_id", "customer_state")
+    odd = F.col("customer_id") % 2 == 1
+    lake.write_csv(plain.where(odd), f"{base}/in/odd")
+    lake.write_csv(plain.where(~odd), f"{base}/in/even")
+    schemas = {path.rsplit("/", 1)[-1].removesuffix(".csv"): plain.schema for path in lake.csv_files(spark, f"{base}/in")}
+    written = lake.ingest_csv(spark, f"{base}/in", base, schemas)
+    tables = [lake.read_table(spark, f"{base}/raw_data", name) for name, done in written.items() if done]
+    return reduce(DataFrame.unionByName, tables)
+
+
+@query
+def run_table(spark, c):
+    """The training table as a run has written it."""
+    path = lake.write_run_table(_labelled(c), _fresh_folder(spark, "runs"), S.RUN)
+    return spark.read.parquet(path)
+
+
+@query
+def published_day(spark, c):
+    """Telemetry of a day, published with its marker and found by monitoring."""
+    base = _fresh_folder(spark, "published")
+    lake.publish_day({"telemetry": _telemetry(c)}, base, S.EXECUTION)
+    today = current_telemetry(spark, f"{base}/telemetry", S.EXECUTION)
+    return today.scores.withColumn("status", F.lit(today.status))
+
+
+@query
+def evaluation_day(spark, c):
+    """The evaluation set of a day as it was written."""
+    base = _fresh_folder(spark, "evaluations")
+    return spark.read.parquet(lake.write_day(_evaluation(c), base, S.EXECUTION))
+
+
+@query
+def required_columns(spark, c):
+    """Critical columns that reduced tables lack."""
+    tables = {
+        "orders": c.orders.drop("order_status"),
+        "customers": c.customers.select("customer_state"),
+        "order_payments": c.payments,
+    }
+    rows = [(name, column) for name, df in tables.items() for column in gates.missing_columns(name, df)]
+    return spark.createDataFrame(rows, "table_name string, column_name string")
+
+
 @query
 def partition_months(spark, c):
     tables = {
@@ -200,7 +267,12 @@ def partition_months(spark, c):
 
 @query
 def day_partition(spark, c):
-    rows = partition_statuses(c.orders, S.CALENDAR_START, S.CALENDAR_END, 30)
+    """Status of every day and its look-back over telemetry by day: one row for each
+    person who ordered on the day, as if the day's buyers had been scored."""
+    people = c.orders.join(c.customers.select("customer_id", "customer_unique_id"), "customer_id")
+    base = _fresh_folder(spark, "telemetry")
+    lake.write_by_day(people.select("customer_unique_id", "year", "month", "day"), f"{base}/telemetry")
+    rows = partition_statuses(lake.read_table(spark, base, "telemetry"), S.CALENDAR_START, S.CALENDAR_END, 30)
     return rows.withColumns({d: F.col(d).cast("string") for d in ("day", "lookback_day")})
 
 
@@ -322,19 +394,26 @@ def roc_auc(spark, c):
     return _rounded(mt.roc_auc(_test_scores(c), by=["model", "customer_state"]), "roc_auc")
 
 
+def _gaps(df: DataFrame) -> DataFrame:
+    """Scores of some customers missing, as NULL or as NaN."""
+    person = F.col("customer_unique_id") % 10
+    gone = F.when(person == 3, F.lit(None).cast("double")).when(person == 7, F.lit(float("nan")))
+    return df.withColumn(S.PREDICTION, gone.when(~person.isin(3, 7), F.col(S.PREDICTION)))
+
+
 @query
 def realised_roi(spark, c):
-    return mt.realised_roi(_test_scores(c), by=["model"])
+    return mt.realised_roi(_gaps(_test_scores(c)), by=["model"])
 
 
 @query
 def threshold_sweep(spark, c):
-    return _rounded(mt.threshold_returns(_test_scores(c), by=["model"]), "eroi")
+    return _rounded(mt.threshold_returns(_gaps(_test_scores(c)), by=["model"]), "eroi")
 
 
 @query
 def best_threshold(spark, c):
-    return _rounded(mt.best_threshold(_test_scores(c), by=["model"]), "eroi")
+    return _rounded(mt.best_threshold(_gaps(_test_scores(c)), by=["model"]), "eroi")
 
 
 @query
@@ -343,9 +422,9 @@ def model_metrics(spark, c):
 
 
 def _duels(c: Commerce) -> DataFrame:
-    """One duel per state; states whose number ends in 3 have no champion yet."""
+    """One duel per state."""
     rows = mt.model_metrics(_test_scores(c), by=["model", "customer_state"])
-    champions = (F.col("model") == "champion") & ~F.col("customer_state").endswith("3")
+    champions = F.col("model") == "champion"
     return mt.duel(
         rows.where(F.col("model") == "challenger"), rows.where(champions), keys=["customer_state"]
     )
@@ -368,7 +447,7 @@ def baseline_record(spark, c):
 
 @query
 def business_report(spark, c):
-    return rp.business_report(_scored(_features(c)))
+    return rp.business_report(_gaps(_scored(_features(c))))
 
 
 @query
@@ -386,7 +465,8 @@ def telemetry(spark, c):
 
 @query
 def matured_labels(spark, c):
-    return lb.matured_labels(_scored(_features(c, S.LOOKBACK)), _labelled(c, S.LOOKBACK))
+    then = _features(c, S.LOOKBACK).select("customer_unique_id")
+    return lb.matured_labels(then, lb.future_targets(*c, S.LOOKBACK, S.WINDOW_DAYS))
 
 
 @query
@@ -516,6 +596,13 @@ def calibrated_scores(spark, c):
     return md.score(model, fit.part("test")).select("customer_unique_id", TARGET, S.PREDICTION)
 
 
+@query
+def importance_fixed_score(spark, c):
+    """Growth of the log loss when a feature of a fixed score is shuffled, over all training rows."""
+    rows = md.shuffle_importance(_train(c), ["recency_days", "frequency"], _scored, seed=S.SEED)
+    return _rounded(rows, "importance")
+
+
 @query
 def permutation_importance(spark, c):
     fit = _Fitted(c)

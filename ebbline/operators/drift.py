@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,11 +84,8 @@ def _references(cells: DataFrame) -> dict[str, tuple[str, list[float]]]:
 
 
 def _bin_number(value: Column, edges: list[float]) -> Column:
-    """:func:`bin_of` for edges known beforehand: plain comparisons for a usual number of them."""
-    inner = edges[1:-1]
-    if len(inner) > 64:
-        return bin_of(value, F.lit(edges))
-    return reduce(add, ((value >= F.lit(e)).cast("int") for e in inner), F.lit(0))
+    """:func:`bin_of` for edges known beforehand."""
+    return bin_of(value, F.array(*(F.lit(e) for e in edges)))
 
 
 def cell_counts(

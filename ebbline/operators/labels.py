@@ -108,8 +108,17 @@ def check_maturity(lookback_days: int, window_days: int) -> None:
 
 
 def matured_labels(
-    telemetry: DataFrame, labelled: DataFrame, target: str = TARGET,
+    telemetry: DataFrame, targets: DataFrame, target: str = TARGET,
     key: str = KEY,
 ) -> DataFrame:
-    """Labels of the people scored in ``telemetry``, one row per scored row."""
-    return telemetry.select(key).join(labelled.select(key, target), key)
+    """Labels of the people scored in ``telemetry``, one row per scored row.
+
+    The telemetry lists the people, so only the orders after the snapshot are
+    needed: whoever has none in the window has churned.
+    """
+    returned = F.coalesce("future_orders", F.lit(0)) > 0
+    return (
+        telemetry.select(key)
+        .join(targets.select(key, "future_orders"), key, "left")
+        .select(key, F.when(returned, 0).otherwise(1).alias(target))
+    )

@@ -18,6 +18,11 @@ LOG_LOSS_EPSILON = 1e-15
 THRESHOLDS = [float(t) for t in np.linspace(0.01, 0.99, 99)]
 
 
+def known_score(p: str) -> Column:
+    """The probability as double, NULL where it is missing; NaN is missing."""
+    return F.nanvl(F.col(p).cast("double"), F.lit(None).cast("double"))
+
+
 def complete_rows(df: DataFrame, y: str = TARGET, p: str = PREDICTION) -> DataFrame:
     """Rows whose label and probability are both known; NaN is unknown."""
     label, score = F.col(y).cast("double"), F.col(p).cast("double")
@@ -29,7 +34,7 @@ def label_counts(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataF
     label = F.col(y).cast("int")
     return df.select(
         *by,
-        F.col(p).cast("double").alias("score"),
+        known_score(p).alias("score"),
         (label == 1).cast("int").alias("pos"),
         (label == 0).cast("int").alias("neg"),
     )
@@ -53,7 +58,7 @@ def squared_error(y: Column, p: Column) -> Column:
 
 def log_error(y: Column, p: Column, epsilon: float = LOG_LOSS_EPSILON) -> Column:
     """Cross-entropy of one row with the probability kept off 0 and 1."""
-    safe = F.least(F.greatest(p, F.lit(epsilon)), F.lit(1 - epsilon))
+    safe = F.when(p.isNotNull(), F.least(F.greatest(p, F.lit(epsilon)), F.lit(1 - epsilon)))
     return -(y * F.ln(safe) + (F.lit(1.0) - y) * F.ln(F.lit(1.0) - safe))
 
 
@@ -61,24 +66,32 @@ def brier_logloss(
     df: DataFrame, y: str = TARGET, p: str = PREDICTION, by: Sequence[str] = (),
     epsilon: float = LOG_LOSS_EPSILON,
 ) -> DataFrame:
-    label, score = F.col(y).cast("double"), F.col(p)
+    label, score = F.col(y).cast("double"), known_score(p)
     return df.groupBy(*by).agg(
         F.avg(squared_error(label, score)).alias("brier_score"),
         F.avg(log_error(label, score, epsilon)).alias("log_loss"),
     )
 
 
+# Pairs of counts outgrow doubles, which are exact up to 2^53 only.
+COUNT, PAIRS = "decimal(18,0)", "decimal(38,0)"
+
+
+def _twice(pos: Column, neg: Column) -> Column:
+    return pos.cast(COUNT) * neg.cast(COUNT) * F.lit(2).cast("decimal(1,0)")
+
+
 def _ranked_step(rows: DataFrame, group: Sequence[str], order: str) -> DataFrame:
     """Collapse ``order`` into its group: add the pairs won across its values.
 
-    ``rows`` holds pos, neg and the pairs already won inside each value.
+    ``rows`` holds pos, neg and twice the pairs already won inside each value.
     """
     below = Window.partitionBy(*group).orderBy(order).rowsBetween(
         Window.unboundedPreceding, -1
     )
     lower = F.coalesce(F.sum("neg").over(below), F.lit(0))
     return (
-        rows.withColumn("won", F.col("won") + F.col("pos").cast("double") * lower)
+        rows.withColumn("won", (F.col("won") + _twice(F.col("pos"), lower)).cast(PAIRS))
         .groupBy(*group)
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("won").alias("won"))
     )
@@ -88,33 +101,43 @@ def _auc(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     """Area under the ROC curve from one row per score.
 
     What is needed is a running count of negatives below each score. One ordered
-    pass over all scores would put a model into one task, so the score is read as
-    digits to the base 65,536: scores are ordered within the same two leading
-    digits, those within the same first digit, and those among themselves. The last
-    two passes see at most 65,537 rows per group however large the data are, and the
-    first one as many distinct scores as fit into an interval of 2^-32. The pair
-    counts simply add up.
+    pass over all scores would put a model into one task, so a score is read as its
+    binary exponent and two digits of its mantissa to the base 65,536: scores are
+    ordered within the same exponent and digits, then the second digits, the first
+    ones and the exponents. As a double has 52 bits of mantissa, the first pass sees
+    at most 2^20 distinct scores in a group, the others 65,537 digits or 1,100
+    exponents, however large and however small the scores are. Pairs are counted
+    twice over, in decimals, so that ties stay whole numbers.
     """
-    base = float(1 << 16)
-    scaled = F.col("score") * F.lit(base)
+    score = F.col("score")
+    exponent = F.when(score > 0, F.floor(F.log2(score))).otherwise(-2000)
+    half = F.floor(-exponent / 2)
+    whole = score * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), -exponent - half)
+    scaled = F.when(score > 0, whole).otherwise(score) * F.lit(float(1 << 16))
     first = F.floor(scaled)
-    second = F.floor((scaled - first) * F.lit(base))
-    tied = F.col("pos").cast("double") * F.col("neg") * F.lit(0.5)
-    rows = counts.withColumns({"digit1": first, "digit2": second, "won": tied})
+    second = F.floor((scaled - first) * F.lit(float(1 << 16)))
+    tied = F.col("pos").cast(COUNT) * F.col("neg").cast(COUNT)
+    rows = counts.where(score.isNotNull()).withColumns(
+        {"exponent": exponent, "digit1": first, "digit2": second, "won": tied.cast(PAIRS)}
+    )
     keys = list(by)
     if not keys:
         rows, keys = rows.withColumn("all", F.lit(1)), ["all"]
-    by_two = _ranked_step(rows, [*keys, "digit1", "digit2"], "score")
-    by_one = _ranked_step(by_two, [*keys, "digit1"], "digit2")
-    total = _ranked_step(by_one, keys, "digit1")
-    pairs = F.col("pos").cast("double") * F.col("neg").cast("double")
-    return total.select(*by, (F.col("won") / F.nullif(pairs, F.lit(0.0))).alias("roc_auc"))
+    by_two = _ranked_step(rows, [*keys, "exponent", "digit1", "digit2"], "score")
+    by_one = _ranked_step(by_two, [*keys, "exponent", "digit1"], "digit2")
+    by_exponent = _ranked_step(by_one, [*keys, "exponent"], "digit1")
+    total = _ranked_step(by_exponent, keys, "exponent")
+    pairs = _twice(F.col("pos"), F.col("neg")).cast("double")
+    return total.select(*by, (F.col("won").cast("double") / F.nullif(pairs, F.lit(0.0))).alias("roc_auc"))
 
 
 def roc_auc(
     df: DataFrame, y: str = TARGET, p: str = PREDICTION, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Share of (positive, negative) pairs ranked right; ties count one half. Exact."""
+    """Share of (positive, negative) pairs ranked right; ties count one half.
+
+    Rows without a probability take no part. Exact in the number of pairs.
+    """
     return _auc(score_counts(df, y, p, by), by)
 
 
@@ -136,7 +159,7 @@ def realised_roi(
 
 
 def hit_counts(y: str, p: str, threshold: float = 0.5) -> tuple[Column, Column]:
-    treated, label = F.col(p) >= threshold, F.col(y).cast("double")
+    treated, label = F.coalesce(known_score(p) >= threshold, F.lit(False)), F.col(y).cast("double")
     return F.count_if(treated & (label == 1)), F.count_if(treated & (label == 0))
 
 
@@ -148,7 +171,7 @@ def thresholds_met(p: Column, thresholds: Sequence[float] = THRESHOLDS) -> Colum
     """How many of the ascending thresholds a probability reaches.
 
     The grid is close to even, so the count is guessed from the probability and
-    put right against the two thresholds next to it.
+    put right against the two thresholds next to it. A missing one reaches none.
     """
     n = len(thresholds)
     step = (thresholds[-1] - thresholds[0]) / (n - 1)
@@ -157,7 +180,7 @@ def thresholds_met(p: Column, thresholds: Sequence[float] = THRESHOLDS) -> Colum
     bounded = F.greatest(F.lit(0), F.least(F.lit(n), guess))
     too_high = F.coalesce((p < F.get(grid, bounded - 1)).cast("int"), F.lit(0))
     too_low = F.coalesce((p >= F.get(grid, bounded)).cast("int"), F.lit(0))
-    return bounded - too_high + too_low
+    return F.when(p.isNotNull(), bounded - too_high + too_low).otherwise(0)
 
 
 def threshold_returns(
@@ -212,7 +235,8 @@ def best_threshold(df: DataFrame, y: str = TARGET, p: str = PREDICTION, by: Sequ
 
 
 def _proper(counts: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Brier score and log loss from one row per score."""
+    """Brier score and log loss from one row per score; unscored rows take no part."""
+    counts = counts.withColumns({c: F.when(F.col("score").isNotNull(), F.col(c)) for c in ("pos", "neg")})
     score, pos, neg = F.col("score"), F.col("pos"), F.col("neg")
     n = F.sum(pos + neg)
 

@@ -4,23 +4,24 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import Imputer, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbline.functions.values import unit_hash
 from ebbline.names import KEY, PREDICTION, TARGET
 from ebbline.operators.metrics import log_error
 from ebbline.operators.prep import FeatureKinds
-from ebbline.session import pin
+from ebbline.operators.profiles import quantiles
+from ebbline.session import store
 
 VECTOR = "features_vector"
 
@@ -36,10 +37,9 @@ SEARCH_SPACE = {
 }
 N_TRIALS = 30
 CALIBRATION_FOLDS = 5
-IMPORTANCE_SAMPLE = 10_000
 
-# Held-out scores are calibrated on a grid this fine, so that the number of
-# points the isotonic fit has to hold is bounded whatever the number of rows.
+# Default of the ``grid`` argument: held-out scores are calibrated, and scores are
+# looked up, on a grid this fine, which bounds the points of an isotonic fit.
 CALIBRATION_GRID = 1_000_000
 
 
@@ -89,13 +89,13 @@ def fit_encoder(train: DataFrame, kinds: FeatureKinds) -> PipelineModel:
             )
         )
     if kinds.numerical:
-        stages.append(
-            Imputer(
-                inputCols=kinds.numerical,
-                outputCols=[f"{c}_filled" for c in kinds.numerical],
-                strategy="median",
-            )
-        )
+        # One number for each column: the lower median, exact at any size.
+        medians = {r.feature: r.quantiles[0] for r in quantiles(train, kinds.numerical, [0.5]).collect()}
+        filled = [
+            f"coalesce(nanvl(cast(`{c}` AS double), NULL), {float(medians.get(c, 0.0))!r}D) AS `{c}_filled`"
+            for c in kinds.numerical
+        ]
+        stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__"))
     inputs = [f"{c}_index" for c in kinds.categorical] + [f"{c}_filled" for c in kinds.numerical]
     stages.append(VectorAssembler(inputCols=inputs, outputCol=VECTOR))
     return Pipeline(stages=stages).fit(train)
@@ -129,9 +129,8 @@ def classifier(params: TreeParams, bins: int = 32, seed: int = 42) -> GBTClassif
 
 def with_probability(model, df: DataFrame, name: str = PREDICTION) -> DataFrame:
     """Probability of churn under a fitted classifier."""
-    added = set(df.columns)
     scored = model.transform(df).withColumn(name, vector_to_array("probability")[1])
-    return scored.select(*added, name)
+    return scored.select(*df.columns, name)
 
 
 def validation_log_loss(model, val: DataFrame) -> float:
@@ -175,17 +174,21 @@ class CalibratedModel(NamedTuple):
 
     encoder: PipelineModel
     folds: list
+    grid: int | None = CALIBRATION_GRID
 
     def save(self, path: str) -> None:
+        """Write all parts, and last of all a row that says how many folds there are."""
         self.encoder.write().overwrite().save(f"{path}/encoder")
         for i, (trees, curve) in enumerate(self.folds):
             trees.write().overwrite().save(f"{path}/fold_{i}/trees")
             curve.write().overwrite().save(f"{path}/fold_{i}/curve")
+        facts = SparkSession.active().createDataFrame([(len(self.folds), self.grid)], "folds int, grid int")
+        facts.write.mode("overwrite").parquet(f"{path}/facts")
 
 
-def load_calibrated(path: str, n_folds: int = CALIBRATION_FOLDS) -> CalibratedModel:
-    from pyspark.ml.classification import GBTClassificationModel
-
+def load_calibrated(path: str) -> CalibratedModel:
+    """The saved model with all of its folds."""
+    facts = SparkSession.active().read.parquet(f"{path}/facts").first()
     return CalibratedModel(
         PipelineModel.load(f"{path}/encoder"),
         [
@@ -193,15 +196,28 @@ def load_calibrated(path: str, n_folds: int = CALIBRATION_FOLDS) -> CalibratedMo
                 GBTClassificationModel.load(f"{path}/fold_{i}/trees"),
                 IsotonicRegressionModel.load(f"{path}/fold_{i}/curve"),
             )
-            for i in range(n_folds)
+            for i in range(facts.folds)
         ],
+        facts.grid,
     )
 
 
-def fit_isotonic(scored: DataFrame, score: str = PREDICTION) -> IsotonicRegressionModel:
-    """Isotonic map from score to label share, fitted on weighted grid points."""
+def on_grid(score: Column, grid: int | None) -> Column:
+    """The score on a grid of that many steps; unchanged without one."""
+    return score if grid is None else F.round(score * grid) / grid
+
+
+def fit_isotonic(
+    scored: DataFrame, score: str = PREDICTION, grid: int | None = CALIBRATION_GRID
+) -> IsotonicRegressionModel:
+    """Isotonic map from score to label share, fitted on weighted distinct scores.
+
+    MLlib ends a fit in one place, so its points must be bounded: ``grid`` is that
+    bound, and scores are brought onto the same grid where the map is applied.
+    Without a grid the fit is exact on every distinct score.
+    """
     points = (
-        scored.groupBy((F.round(F.col(score) * CALIBRATION_GRID) / CALIBRATION_GRID).alias(score))
+        scored.groupBy(on_grid(F.col(score), grid).alias(score))
         .agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
     )
     return IsotonicRegression(featuresCol=score, labelCol="label", weightCol="weight").fit(points)
@@ -214,6 +230,7 @@ def calibrate(
     folds: int = CALIBRATION_FOLDS,
     bins: int = 32,
     seed: int = 42,
+    grid: int | None = CALIBRATION_GRID,
 ) -> CalibratedModel:
     """Cross-fitted calibration: trees on the other folds, the map on the held-out one.
 
@@ -225,8 +242,8 @@ def calibrate(
     for i in range(folds):
         trees = train_model(rows.where(F.col("fold") != i), params, bins, seed)
         held_out = with_probability(trees, rows.where(F.col("fold") == i))
-        fitted.append((trees, fit_isotonic(held_out)))
-    return CalibratedModel(encoder, fitted)
+        fitted.append((trees, fit_isotonic(held_out, grid=grid)))
+    return CalibratedModel(encoder, fitted, grid)
 
 
 # --- scoring ---------------------------------------------------------------------------
@@ -238,7 +255,7 @@ def score(model: CalibratedModel, df: DataFrame) -> DataFrame:
     parts = []
     for i, (trees, curve) in enumerate(model.folds):
         raw, part = f"raw_{i}", f"part_{i}"
-        vectors = with_probability(trees, vectors, raw)
+        vectors = with_probability(trees, vectors, raw).withColumn(raw, on_grid(F.col(raw), model.grid))
         vectors = curve.copy().setFeaturesCol(raw).setPredictionCol(part).transform(vectors)
         parts.append(part)
     mean = reduce(lambda a, b: a + b, (F.col(p) for p in parts)) / float(len(parts))
@@ -249,58 +266,63 @@ def score(model: CalibratedModel, df: DataFrame) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, n: int, seed: int = 42, key: str = KEY) -> DataFrame:
-    """At most ``n`` rows, the same ones on every run: a top-n by hash of the key.
-
-    On a table much larger than the sample most rows are ruled out by their draw
-    alone, so that the final top-n does not gather ``n`` rows from every task. Should
-    too few be left, the whole table takes part: the sample is the same either way.
-    """
+    """At most ``n`` rows, the same ones on every run: a top-n by hash of the key."""
     drawn = df.withColumn("draw", unit_hash(f"sample-{seed}", F.col(key)))
-    total = df.count()
-    if total > 10 * n:
-        low = drawn.where(F.col("draw") < 2.0 * n / total)
-        if low.count() >= n:
-            drawn = low
     return drawn.orderBy("draw", key).limit(n).drop("draw")
 
 
-def permutation_importance(
-    encoder: PipelineModel,
-    model,
+PLACE_DIGITS = 1 << 16
+
+
+def shuffled_places(rows: DataFrame, salt: str, name: str = "place", key: str = KEY) -> DataFrame:
+    """Number the rows from 1 in an order that depends on the salt and the key alone.
+
+    The order is that of a hash of the key. Rows are counted by the leading digits
+    of the hash, of which there are 65,536, so the only window without a key has at
+    most that many rows; the rows themselves are put in order digit by digit.
+    """
+    drawn = rows.withColumn("draw", unit_hash(salt, F.col(key)))
+    drawn = drawn.withColumn("digit", F.floor(F.col("draw") * PLACE_DIGITS))
+    before = Window.orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)
+    digits = drawn.groupBy("digit").agg(F.count(F.lit(1)).alias("n"))
+    digits = digits.select("digit", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("digit").orderBy("draw", key))
+    return drawn.join(digits, "digit").withColumn(name, F.col("before") + inside).drop("draw", "digit", "before")
+
+
+def shuffle_importance(
     df: DataFrame,
-    kinds: FeatureKinds,
-    n: int = IMPORTANCE_SAMPLE,
+    names: Sequence[str],
+    scored: Callable[[DataFrame], DataFrame],
+    n: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
     """(feature, importance): how much log loss grows when a feature is shuffled.
 
-    The sample has at most ``n`` rows, so numbering them is small work. Row i gets
-    the feature value of the row that comes i-th in an order of its own; all shuffled
-    copies are scored in one job.
+    ``scored`` adds the probability to rows that have the key, the target and the
+    features. The row at place i of one random order gets the feature value of the
+    row at place i of another; all shuffled copies are scored in one job. All rows take
+    part unless ``n`` asks for a sample.
     """
-    sample = pin(hash_sample(df.select(KEY, TARGET, *kinds.names), n, seed))
-
-    def numbered(rows: DataFrame, salt: str, name: str) -> DataFrame:
-        order = Window.orderBy(unit_hash(salt, F.col(KEY)), KEY)
-        return rows.withColumn(name, F.row_number().over(order))
-
-    base = numbered(sample, "rows", "place")
-    copies = [sample.withColumn("feature", F.lit(""))]
-    for name in kinds.names:
-        donor = numbered(sample, f"shuffle-{name}", "place").select(
+    rows = df.select(KEY, TARGET, *names)
+    rows = store(rows if n is None else hash_sample(rows, n, seed))
+    base = shuffled_places(rows, f"rows-{seed}")
+    copies = [rows.withColumn("feature", F.lit(""))]
+    for name in names:
+        donor = shuffled_places(rows.select(KEY, name), f"shuffle-{seed}-{name}").select(
             "place", F.col(name).alias("borrowed")
         )
         copies.append(
             base.join(donor, "place")
             .withColumn(name, F.col("borrowed"))
             .withColumn("feature", F.lit(name))
-            .select(KEY, TARGET, *kinds.names, "feature")
+            .select(KEY, TARGET, *names, "feature")
         )
-    rows = encoded(encoder, reduce(DataFrame.unionByName, copies), extra=["feature"])
+    label = F.col(TARGET).cast("double")
     losses = (
-        with_probability(model, rows)
+        scored(reduce(DataFrame.unionByName, copies))
         .groupBy("feature")
-        .agg(F.avg(log_error(F.col("label"), F.col(PREDICTION))).alias("loss"))
+        .agg(F.avg(log_error(label, F.col(PREDICTION))).alias("loss"))
     )
     plain = losses.where(F.col("feature") == "").select(F.col("loss").alias("plain_loss"))
     return (
@@ -310,6 +332,23 @@ def permutation_importance(
     )
 
 
+def permutation_importance(
+    encoder: PipelineModel,
+    model,
+    df: DataFrame,
+    kinds: FeatureKinds,
+    n: int | None = None,
+    seed: int = 42,
+) -> DataFrame:
+    """:func:`shuffle_importance` of the features of a fitted classifier."""
+
+    def scored(rows: DataFrame) -> DataFrame:
+        vectors = encoded(encoder, rows, extra=["feature"])
+        return with_probability(model, vectors).withColumnRenamed("label", TARGET)
+
+    return shuffle_importance(df, kinds.names, scored, n, seed)
+
+
 def tree_importance(model, kinds: FeatureKinds, spark) -> DataFrame:
     """(feature, importance) as the trees themselves report it."""
     names = kinds.categorical + kinds.numerical

@@ -14,10 +14,6 @@ from ebbline.names import KEY, TARGET
 
 SYSTEM_COLUMNS = (KEY, "snapshot_date", "ingested_at_utc", "target_180d_ltv")
 
-# Up to this many categories the contract is folded into the plan as a literal
-# list; a longer one is joined.
-INLINE_CATEGORIES = 10_000
-
 
 def hash_split(
     df: DataFrame,
@@ -123,35 +119,23 @@ def enforce_schema(
     kinds: FeatureKinds,
     categories: DataFrame,
     keep: Sequence[str] = (),
-    inline_limit: int = INLINE_CATEGORIES,
 ) -> DataFrame:
     """Bring a table to the trained schema: keys kept, numerical, then categorical.
 
-    What is no number, no known category or no column at all becomes NULL. The
-    contract's size decides how categories are matched: a short one becomes a
-    literal list and the rows never move, a longer one is an ordinary join.
+    What is no number, no known category or no column at all becomes NULL. Each
+    categorical column is matched by a left join with the contract's rows for it;
+    Spark broadcasts a short list and splits what a frequent value makes long.
     """
-    wanted = categories.where(F.col("feature").isin(list(kinds.categorical)))
-    listed = wanted.select("feature", "category").limit(inline_limit + 1).collect()
-    inline = len(listed) <= inline_limit
     result = df
     shaped = []
     for name in kinds.categorical:
         if name not in df.columns:
             shaped.append(F.lit(None).cast("string").alias(name))
             continue
-        text = F.col(name).cast("string")
-        if inline:
-            known = [row.category for row in listed if row.feature == name]
-            match = text.isin(known) if known else F.lit(False)
-        else:
-            flag = f"__known_{name}"
-            lookup = wanted.where(F.col("feature") == name).select(
-                F.col("category").alias(f"__category_{name}"), F.lit(True).alias(flag)
-            ).distinct()
-            result = result.join(lookup, text == F.col(f"__category_{name}"), "left")
-            match = F.col(flag)
-        shaped.append(F.when(match, text).alias(name))
+        text, known = F.col(name).cast("string"), f"__category_{name}"
+        lookup = categories.where(F.col("feature") == name).select(F.col("category").alias(known)).distinct()
+        result = result.join(lookup, text == F.col(known), "left")
+        shaped.append(F.col(known).alias(name))
     numbers = []
     for name in kinds.numerical:
         value = number(df, name) if name in df.columns else F.lit(None).cast("double")

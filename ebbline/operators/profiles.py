@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.operators.prep import long_values
@@ -55,44 +55,90 @@ def bin_of(value: Column, edges: Column) -> Column:
     return F.size(F.filter(inner, lambda edge: value >= edge))
 
 
-def quantile_edges(
-    df: DataFrame, columns: Sequence[str], n_bins: int = 10, accuracy: int = 100_000
-) -> DataFrame:
-    """(feature, edges): distinct quantiles of each column.
+# Cells that a column is cut into while its quantiles are looked for.
+CELLS = 256
 
-    The summary that finds them has a fixed size, so no task ever holds a
-    column. Below ``accuracy / 2`` rows the quantiles are exact; above, their
-    rank is off by at most one in ``accuracy``. Edges only say where bins are
-    cut: the shares that go with them are always counted in full.
-    """
-    steps = [i / n_bins for i in range(n_bins + 1)]
-    found = F.array_distinct(F.percentile_approx("value", steps, accuracy))
-    constant = F.array(F.element_at("edges", 1), F.element_at("edges", 1))
+
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, value, n): each number of each column once, NULL and NaN left out."""
     return (
+        long_values(df, columns, "double")
+        .where(F.col("value").isNotNull())
+        .groupBy("feature", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """(feature, quantiles): for each share the least value that as large a part of the column reaches.
+
+    Exact at any size.
+
+    A summary of fixed size cuts each column into cells of nearly equal weight. All
+    rows are counted by cell, which shows the cells that the wanted ranks fall
+    into, and only values of those cells are put in order: about a 256th of a
+    column in a task.
+    """
+    steps = [i / CELLS for i in range(1, CELLS)]
+    guide = (
         long_values(df, columns, "double")
         .where(F.col("value").isNotNull())
         .groupBy("feature")
-        .agg(found.alias("edges"))
-        .select("feature", F.when(F.size("edges") == 1, constant).otherwise(F.col("edges")).alias("edges"))
+        .agg(F.array_distinct(F.percentile_approx("value", steps)).alias("guide"))
+    )
+    cell = F.size(F.filter("guide", lambda g: F.col("value") > g))
+    # One row of at most CELLS numbers per listed column.
+    placed = value_counts(df, columns).join(F.broadcast(guide), "feature").select("feature", "value", "n", cell.alias("cell"))
+    below = Window.partitionBy("feature").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = (
+        placed.groupBy("feature", "cell")
+        .agg(F.sum("n").alias("n"))
+        .withColumns(
+            {
+                "before": F.coalesce(F.sum("n").over(below), F.lit(0)),
+                "total": F.sum("n").over(Window.partitionBy("feature")),
+            }
+        )
+    )
+    asked = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(x).alias("share")) for i, x in enumerate(shares)))
+    ranks = F.transform(
+        asked, lambda s: F.struct(s["i"].alias("i"), F.greatest(F.lit(1), F.ceil(s["share"] * F.col("total"))).alias("rank"))
+    )
+    mine = F.filter(ranks, lambda r: (r["rank"] > F.col("before")) & (r["rank"] <= F.col("before") + F.col("n")))
+    wanted = cells.withColumn("ranks", mine).where(F.size("ranks") > 0)
+    upto = Window.partitionBy("feature", "cell").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    # At most one row per listed column and share.
+    inside = placed.join(F.broadcast(wanted.select("feature", "cell", "before", "ranks")), ["feature", "cell"])
+    last = inside.withColumn("last", F.col("before") + F.sum("n").over(upto))
+    here = F.filter("ranks", lambda r: (r["rank"] <= F.col("last")) & (r["rank"] > F.col("last") - F.col("n")))
+    hit = last.select("feature", "value", F.explode(here).alias("of"))
+    ordered = F.array_sort(F.collect_list(F.struct("of.i", "value")))
+    return hit.groupBy("feature").agg(ordered.alias("found")).select("feature", F.col("found.value").alias("quantiles"))
+
+
+def quantile_edges(df: DataFrame, columns: Sequence[str], n_bins: int = 10) -> DataFrame:
+    """(feature, edges): the distinct quantiles that cut each column into bins."""
+    found = quantiles(df, columns, [i / n_bins for i in range(n_bins + 1)])
+    edges = found.select("feature", F.array_distinct("quantiles").alias("edges"))
+    constant = F.array(F.element_at("edges", 1), F.element_at("edges", 1))
+    return edges.select(
+        "feature", F.when(F.size("edges") == 1, constant).otherwise(F.col("edges")).alias("edges")
     )
 
 
-def numeric_bins(
-    df: DataFrame, columns: Sequence[str], n_bins: int = 10, accuracy: int = 100_000
-) -> DataFrame:
+def numeric_bins(df: DataFrame, columns: Sequence[str], n_bins: int = 10) -> DataFrame:
     """(feature, bin_no, lo, hi, expected_pct) over quantile bins, empty ones included.
 
     The edges travel with the counts, so the bins that are listed are the bins
     that were counted even if a lost task is run again.
     """
     # At most one row of n_bins + 1 numbers per listed column.
-    edges = F.broadcast(quantile_edges(df, columns, n_bins, accuracy))
+    edges = F.broadcast(quantile_edges(df, columns, n_bins))
     counts = (
-        long_values(df, columns, "double")
-        .where(F.col("value").isNotNull())
+        value_counts(df, columns)
         .join(edges, "feature")
         .groupBy("feature", "edges", bin_of(F.col("value"), F.col("edges")).alias("bin_no"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     per_feature = counts.groupBy("feature", "edges").agg(
         F.map_from_entries(F.collect_list(F.struct("bin_no", "n"))).alias("filled"),
@@ -120,14 +166,13 @@ def binned_profile(
     numerical: Sequence[str],
     categorical: Sequence[str],
     n_bins: int = 10,
-    accuracy: int = 100_000,
 ) -> DataFrame:
     """The profile drift is measured against.
 
     Columns: feature, kind, bin_no, lo, hi, category, expected_pct.
     """
     no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
-    numbers = numeric_bins(df, numerical, n_bins, accuracy).select(
+    numbers = numeric_bins(df, numerical, n_bins).select(
         "feature",
         F.lit("numerical").alias("kind"),
         "bin_no",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ebbline.functions.values import exact_cents, round_half_up
 from ebbline.names import KEY, PREDICTION
-
+from ebbline.operators.metrics import known_score
 
 
 def check_threshold(threshold: float) -> None:
@@ -16,8 +16,9 @@ def check_threshold(threshold: float) -> None:
 
 
 def risk_flag(threshold: float = 0.5, p: str = PREDICTION) -> Column:
+    """1 at or above the threshold; 0 below it and for a missing probability."""
     check_threshold(threshold)
-    return (F.col(p) >= threshold).cast("int")
+    return F.coalesce(known_score(p) >= threshold, F.lit(False)).cast("int")
 
 
 def money_column(columns: list[str]) -> str | None:
@@ -29,12 +30,12 @@ def scored_customers(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Id, probability, flag and, where a money column exists, revenue at risk."""
     columns = [
         F.col(KEY),
-        F.col(PREDICTION).alias("churn_probability"),
+        known_score(PREDICTION).alias("churn_probability"),
         risk_flag(threshold).alias("is_churn_risk"),
     ]
     money = money_column(scored.columns)
     if money:
-        at_risk = round_half_up(F.col(PREDICTION) * F.col(money), 2)
+        at_risk = round_half_up(known_score(PREDICTION) * F.col(money), 2)
         columns.append(at_risk.alias("revenue_at_risk"))
     return scored.select(*columns)
 

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from ebbline.names import KEY, PREDICTION
 from ebbline.operators import decision as rules
 from ebbline.operators import drift, performance
-from ebbline.operators.labels import labelled_features
-from ebbline.plans.scoring import SCORING_START
+from ebbline.operators.labels import future_targets
 from ebbline.plans.training import lake_tables
 from ebbline.session import pin
 from ebbline.sources.lake import write_day
@@ -36,7 +35,6 @@ def watch_day(
     profile: DataFrame,
     importance: DataFrame | None,
     baseline: DataFrame,
-    start: str = SCORING_START,
     lookback_days: int = 180,
     window_days: int = 180,
     top_k: int = 5,
@@ -47,11 +45,12 @@ def watch_day(
     in a decision. ``baseline`` holds the Brier score of the model's test set."""
     tables = lake_tables(spark, lake)
     then = lookback_day(day, lookback_days)
-    labelled = labelled_features(
-        tables["orders"], tables["customers"], tables["order_payments"], start, then, window_days
+    targets = future_targets(
+        tables["orders"], tables["customers"], tables["order_payments"], then, window_days,
+        sides_by_order_day=True,
     )
     today = current_telemetry(spark, telemetry, day)
-    past = lookback_telemetry(spark, telemetry, day, labelled, lookback_days, window_days)
+    past = lookback_telemetry(spark, telemetry, day, targets, lookback_days, window_days)
     if importance is None:
         names = sorted(r.feature for r in profile.select("feature").distinct().collect())
         importance = drift.fallback_importance(names, spark)

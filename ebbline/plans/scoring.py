@@ -34,12 +34,15 @@ def score_day(
     start: str = SCORING_START,
     threshold: float = 0.5,
     rerun: bool = False,
+    contract: DataFrame | None = None,
 ) -> ScoredDay:
     """Publish the report and the telemetry of the day of ``cutoff``.
 
     The scored table feeds two outputs and a summary, so it is stored once. A
-    matrix that breaks the contract or is empty halts the run. A day published
-    before is left alone unless ``rerun`` is set.
+    matrix that breaks the contract or is empty halts the run. With the frozen
+    ``contract`` of the training run the matrix is first brought to the trained
+    schema, so what was never seen in training is unknown to the model. A day
+    published before is left alone unless ``rerun`` is set.
     """
     if not rerun and day_is_complete(spark, f"{out}/telemetry", cutoff):
         return ScoredDay(False, None)
@@ -48,6 +51,10 @@ def score_day(
         tables["orders"], tables["customers"], tables["order_payments"], start, cutoff
     )
     gates.require_contract(matrix, kinds.names, SYSTEM_COLUMNS)
+    if contract is not None:
+        categories = contract.where("kind = 'categorical'").select("feature", "category")
+        others = [c for c in matrix.columns if c not in kinds.names]
+        matrix = prep.enforce_schema(matrix, kinds, categories, others)
     scored = store(models.score(model, matrix))
     gates.require_rows(scored)
     outputs: dict[str, DataFrame] = {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,7 +55,7 @@ def build_training_table(
         log.warning("%s", row.message)
     table = training_table(
         tables["orders"], tables["customers"], tables["order_payments"], start, end,
-        window_days=window_days, **options,
+        window_days=window_days, sides_by_order_day=True, **options,
     )
     path = write_run_table(table, feature_store, run_id)
     return TableRun(path, gates.fingerprint(spark.read.parquet(path), start, end), warnings)
@@ -119,7 +120,66 @@ def save_run(run: TrainedRun, path: str) -> None:
         getattr(run, name).write.mode("overwrite").parquet(f"{path}/{name}")
 
 
+class SavedRun(NamedTuple):
+    """A finished run as its files have it."""
+
+    kinds: prep.FeatureKinds
+    model: models.CalibratedModel
+    metrics: DataFrame
+    profile: DataFrame
+    importance: DataFrame
+    contract: DataFrame
+
+
+def load_run(spark: SparkSession, path: str) -> SavedRun:
+    """The model with all its folds, its tables, and the kinds of its features.
+
+    The kinds are the frozen contract's; a categorical feature without a single
+    value in training is known from the importances alone.
+    """
+    tables = {n: spark.read.parquet(f"{path}/{n}") for n in ("metrics", "profile", "importance", "contract")}
+    kind_of = tables["contract"].select("feature", "kind").distinct()
+    named = tables["importance"].select("feature").join(kind_of, "feature", "left").orderBy("feature").collect()
+    kinds = prep.FeatureKinds(
+        [r.feature for r in named if r.kind == "numerical"], [r.feature for r in named if r.kind != "numerical"]
+    )
+    return SavedRun(kinds, models.load_calibrated(f"{path}/model"), *tables.values())
+
+
 def settle(challenger: DataFrame, champion: DataFrame | None, model_key: str = "segment") -> DataFrame:
     """Duel of two one-row metric tables that share ``model_key``."""
     held = champion if champion is not None else challenger.where(F.lit(False))
     return metrics.duel(challenger, held, keys=[model_key])
+
+
+class Duel(NamedTuple):
+    approved: bool
+    settled: DataFrame
+    baseline: DataFrame
+
+
+def duel_run(
+    table: DataFrame,
+    challenger: models.CalibratedModel,
+    champion: models.CalibratedModel | None,
+    out: str,
+    model_run_id: str,
+    seed: int = 42,
+) -> Duel:
+    """Score both models on the same test rows, settle the duel, write the baseline.
+
+    The baseline holds the test metrics of whichever model serves from now on,
+    under ``model_run_id``; without an approved challenger or a champion it is empty.
+    """
+    test = store(prep.hash_split(table, seed=seed).where(F.col("split") == "test").drop("split"))
+    rivals = {"challenger": challenger, "champion": champion}
+    scored = [
+        models.score(model, test).withColumn("model", F.lit(name)) for name, model in rivals.items() if model is not None
+    ]
+    measured = store(metrics.model_metrics(reduce(DataFrame.unionByName, scored)))
+    by_name = {n: measured.where(F.col("model") == n).withColumn("segment", F.lit("all")) for n in rivals}
+    settled = store(settle(by_name["challenger"], by_name["champion"]))
+    record = metrics.baseline_record(settled).withColumn("model_run_id", F.lit(model_run_id))
+    record.write.mode("overwrite").parquet(f"{out}/baseline")
+    approved = bool(settled.first().is_approved)
+    return Duel(approved, settled, table.sparkSession.read.parquet(f"{out}/baseline"))

@@ -69,13 +69,13 @@ def read_csv(
     spark: SparkSession,
     path: str,
     schema: StructType | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
     mode: str = "FAILFAST",
 ) -> DataFrame:
     """One CSV file with a header row; quotes inside a field are doubled.
 
-    Fields may hold line breaks, which ties a file to one task; pass
-    ``multi_line=False`` where they do not, so that a large file is split. A row
+    A large file is split among tasks. Where fields hold line breaks it cannot
+    be: ``multi_line`` reads such a file in one task. A row
     with too few or too many fields is an error unless ``mode`` is PERMISSIVE,
     which fills up the short and cuts off the long ones.
     """
@@ -88,29 +88,39 @@ def read_csv(
     return (reader.schema(schema) if schema else reader.option("inferSchema", "true")).csv(path)
 
 
+def _below(path: str, folder: str) -> str:
+    """The part of a file's path below a folder, whatever scheme either is written with."""
+    tail = folder.split("://", 1)[-1].removeprefix("file:").strip("/")
+    return path.split(f"/{tail}/", 1)[-1] if f"/{tail}/" in path else path.rsplit("/", 1)[-1]
+
+
 def ingest_csv(
     spark: SparkSession,
     folder: str,
     out: str,
     schemas: Mapping[str, StructType] | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
     mode: str = "FAILFAST",
 ) -> dict[str, bool]:
-    """Write ``<out>/raw_data/<file name>`` as Parquet for every CSV file found.
+    """Write ``<out>/raw_data/<path of the file>`` as Parquet for every CSV file found.
 
-    A file that cannot be read is logged and skipped; the result says which
-    files were written.
+    Tables are named by the file's path below ``folder`` without its ending, so
+    files of one name in two folders are two tables. A file that cannot be read is
+    logged and skipped: it is first written aside, and only a whole copy replaces
+    the table of an earlier run. The result says which files were written.
     """
     written = {}
     for path in csv_files(spark, folder):
-        name = path.rsplit("/", 1)[-1].removesuffix(".csv")
+        name = _below(path, folder).removesuffix(".csv")
+        schema = (schemas or {}).get(name) or (schemas or {}).get(name.rsplit("/", 1)[-1])
         try:
-            table = read_csv(spark, path, (schemas or {}).get(name), multi_line, mode)
+            table = read_csv(spark, path, schema, multi_line, mode)
             if not table.columns:
                 raise ValueError("no header row")
-            table.write.mode("overwrite").option("compression", "snappy").parquet(
-                f"{out}/raw_data/{name}"
-            )
+            aside = f"{out}/_incoming/{name}"
+            table.write.mode("overwrite").option("compression", "snappy").parquet(aside)
+            whole = spark.read.schema(table.schema).parquet(aside)
+            whole.write.mode("overwrite").option("compression", "snappy").parquet(f"{out}/raw_data/{name}")
             written[name] = True
         except Exception as problem:  # one bad file must not stop the others
             log.warning("skipped %s: %s", path, problem)

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from ebbline.functions.stamps import parse_instant, partition_day, plus_days, within_days
 from ebbline.names import KEY, PREDICTION, TARGET
 from ebbline.operators.labels import check_maturity, matured_labels
-from ebbline.sources.lake import day_folder, read_if_present
+from ebbline.sources.lake import day_folder, day_is_complete, read_if_present
 
 # The status words.
 RESOLVED, NO_TRAFFIC = "CURRENT_TELEMETRY_RESOLVED", "SKIPPED_ZERO_TRAFFIC_DAY"
 MATURED, IMMATURE = "MATURED_EVALUATION_READY", "SKIPPED_SYSTEM_IMMATURE"
+# Our own: a day whose publication has not come to its end.
+INCOMPLETE = "SKIPPED_INCOMPLETE_DAY"
 NO_TELEMETRY = f"{KEY} string, {PREDICTION} double"
 NO_LABELS = f"{KEY} string, {TARGET} int"
 
@@ -31,10 +33,15 @@ class Lookback(NamedTuple):
 
 
 def current_telemetry(spark: SparkSession, base: str, day: str) -> Telemetry:
-    """The scores of ``day``; a day without traffic gives a typed frame of no rows."""
+    """The scores of ``day``; a day without traffic gives a typed frame of no rows.
+
+    So does a day that was not published to its end: its marker is not there yet.
+    """
     found = read_if_present(spark, day_folder(base, day))
     if found is None:
         return Telemetry(spark.createDataFrame([], NO_TELEMETRY), NO_TRAFFIC)
+    if not day_is_complete(spark, base, day):
+        return Telemetry(spark.createDataFrame([], NO_TELEMETRY), INCOMPLETE)
     return Telemetry(found, RESOLVED)
 
 
@@ -46,23 +53,21 @@ def lookback_telemetry(
     spark: SparkSession,
     base: str,
     day: str,
-    labelled: DataFrame,
+    targets: DataFrame,
     lookback_days: int = 180,
     window_days: int = 180,
 ) -> Lookback:
     """The scores of ``day - lookback_days`` and the labels that matured since.
 
-    ``labelled`` holds the labels whose cutoff is the snapshot then scored.
+    ``targets`` holds the orders after the snapshot then scored, as of
+    :func:`future_targets`.
     """
     check_maturity(lookback_days, window_days)
-    found = read_if_present(spark, day_folder(base, lookback_day(day, lookback_days)))
-    if found is None:
-        return Lookback(
-            spark.createDataFrame([], NO_TELEMETRY),
-            spark.createDataFrame([], NO_LABELS),
-            IMMATURE,
-        )
-    return Lookback(found, matured_labels(found, labelled), MATURED)
+    past = current_telemetry(spark, base, lookback_day(day, lookback_days))
+    if past.status != RESOLVED:
+        status = IMMATURE if past.status == NO_TRAFFIC else past.status
+        return Lookback(past.scores, spark.createDataFrame([], NO_LABELS), status)
+    return Lookback(past.scores, matured_labels(past.scores, targets), MATURED)
 
 
 def partition_statuses(table: DataFrame, first: str, last: str, lookback_days: int = 30) -> DataFrame:

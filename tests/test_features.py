@@ -164,8 +164,8 @@ def test_plan_prunes_and_shuffles_detail_rows_twice(spark):
 
 def test_matured_labels_and_maturity(spark):
     scores = spark.createDataFrame([("a", 0.1), ("b", 0.2)], "customer_unique_id string, predicted_probability double")
-    labels = spark.createDataFrame([("b", 1), ("c", 0)], "customer_unique_id string, target_is_churn int")
-    assert [tuple(r) for r in matured_labels(scores, labels).collect()] == [("b", 1)]
+    later = spark.createDataFrame([("b", 1, 5.0), ("c", 2, 1.0)], "customer_unique_id string, future_orders int, future_ltv double")
+    assert sorted(tuple(r) for r in matured_labels(scores, later).collect()) == [("a", 1), ("b", 0)]
     check_maturity(180, 180)
     with pytest.raises(ValueError):
         check_maturity(30, 180)

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from ebbline.functions.stamps import within_window
 from ebbline.operators import gates
 from ebbline.operators.features import feature_matrix
-from ebbline.operators.labels import future_targets, labelled_features
+from ebbline.operators.labels import future_targets
 from ebbline.sources import lake
 from ebbline.sources.star import commerce
 from ebbline.sources.telemetry import current_telemetry, lookback_telemetry
@@ -113,14 +113,21 @@ def test_csv_ingest(spark, tmp_path):
     (source / "readme.txt").write_text("not a table")
     out = str(tmp_path / "out")
     schemas = {"typed": StructType.fromDDL("id int, price double")}
-    written = lake.ingest_csv(spark, str(tmp_path / "in"), out, schemas)
-    assert written == {"orders": True, "prices": True, "typed": False}  # an empty file is no table
+    (tmp_path / "in" / "prices.csv").write_text("id,price\n9,9.5\n")
+    written = lake.ingest_csv(spark, str(tmp_path / "in"), out, schemas, multi_line=True)
+    # An empty file is no table; two files of one name are two.
+    assert written == {"orders": True, "prices": True, "deep/prices": True, "deep/typed": False}
+    assert spark.read.parquet(f"{out}/raw_data/prices").count() == 1
     notes = {r.id: r.note for r in spark.read.parquet(f"{out}/raw_data/orders").collect()}
     assert notes == {1: 'said "hi",\nthen left', 2: None}
-    prices = spark.read.parquet(f"{out}/raw_data/prices")
+    prices = spark.read.parquet(f"{out}/raw_data/deep/prices")
     assert dict(prices.dtypes) == {"id": "int", "price": "double"}
     lake.write_csv(prices, str(tmp_path / "back"))
     assert lake.read_csv(spark, str(tmp_path / "back")).count() == 2
+    # A file gone bad leaves what an earlier run made of it.
+    (source / "prices.csv").write_text("id,price\n1,2.5,7,7\n")
+    assert lake.ingest_csv(spark, str(tmp_path / "in"), out, schemas, multi_line=True)["deep/prices"] is False
+    assert spark.read.parquet(f"{out}/raw_data/deep/prices").count() == 2
 
 
 def test_publishing_a_day_is_idempotent(spark, tmp_path):
@@ -153,16 +160,20 @@ def test_days_without_telemetry(spark, tmp_path, toy):
     base = str(tmp_path)
     scores = spark.createDataFrame([("u1", 0.9), ("u9", 0.1)], "customer_unique_id string, predicted_probability double")
     lake.write_day(scores, base, "2023-06-01")
+    half = current_telemetry(spark, base, "2023-06-01")
+    assert (half.status, half.scores.count()) == ("SKIPPED_INCOMPLETE_DAY", 0)
+    lake.mark_day_complete(spark, base, "2023-06-01")
     today = current_telemetry(spark, base, "2023-06-01")
     assert (today.scores.count(), today.status) == (2, "CURRENT_TELEMETRY_RESOLVED")
     absent = current_telemetry(spark, base, "2023-06-02")
     assert absent.status == "SKIPPED_ZERO_TRAFFIC_DAY" and absent.scores.count() == 0
     assert absent.scores.dtypes == [("customer_unique_id", "string"), ("predicted_probability", "double")]
-    labelled = labelled_features(*toy, "2023-01-01", "2023-06-01")
-    past = lookback_telemetry(spark, base, "2023-11-28", labelled)
+    targets = future_targets(*toy, "2023-06-01")
+    past = lookback_telemetry(spark, base, "2023-11-28", targets)
     assert past.status == "MATURED_EVALUATION_READY"
-    assert [tuple(r) for r in past.labels.collect()] == [("u1", 0)]
-    young = lookback_telemetry(spark, base, "2023-06-20", labelled)
+    # Whoever was scored and has no order in the window has churned.
+    assert sorted(tuple(r) for r in past.labels.collect()) == [("u1", 0), ("u9", 1)]
+    young = lookback_telemetry(spark, base, "2023-06-20", targets)
     assert (young.status, young.scores.count(), young.labels.count()) == ("SKIPPED_SYSTEM_IMMATURE", 0, 0)
 
 

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ebbline.operators import metrics as mt
+from ebbline.operators import reports as rp
 from ebbline.operators.performance import evaluation_join, performance_report
 
 PAIR = "target_is_churn int, predicted_probability double"
@@ -131,3 +132,35 @@ def test_performance_statuses(spark):
     assert mt.complete_rows(spark.createDataFrame([(1, 0.9), (1, nan), (None, 0.9)], PAIR)).count() == 1
     with pytest.raises(ValueError):
         performance_report(spark.range(1))
+
+
+def test_missing_scores_are_never_treated(spark):
+    rows = [(1, 0.9), (1, 0.1), (0, 0.9), (0, 0.1), (0, None), (1, None), (0, float("nan")), (1, float("nan"))]
+    df = spark.createDataFrame(rows, "target_is_churn int, predicted_probability double")
+    roi = mt.realised_roi(df, campaign_cost=10.0, customer_ltv=150.0, save_rate=0.2)
+    assert roi.first().realized_roi == 10.0
+    for r in mt.threshold_returns(df).collect():
+        want = sum(p is not None and p >= r.threshold and y == 0 for y, p in rows)
+        assert (r.fp, r.tp) == (want, want)
+    assert mt.roc_auc(df).first().roc_auc == 0.5
+    assert rp.scored_customers(df.withColumn("customer_unique_id", F.lit("x"))).agg(F.sum("is_churn_risk")).first()[0] == 2
+
+
+def test_auc_of_many_tiny_scores(spark):
+    """Distinct scores below 1e-10: the answer is exact and no group holds many of them."""
+    n = 200_000
+    df = spark.range(n).select(
+        (F.col("id") % 2).cast("int").alias("target_is_churn"),
+        ((F.xxhash64("id") % 1_000_003) * F.lit(1e-17) + F.col("id") * F.lit(1e-24) + F.lit(2e-11)).alias("predicted_probability"),
+    )
+    rows = df.toPandas().sort_values("predicted_probability")
+    assert rows.predicted_probability.is_unique and rows.predicted_probability.max() < 1e-10
+    y = rows.target_is_churn.to_numpy()
+    below = (y == 0).cumsum()
+    want = below[y == 1].sum() / ((y == 1).sum() * (y == 0).sum())
+    assert mt.roc_auc(df).first().roc_auc == pytest.approx(want, abs=1e-12)
+    score = F.col("predicted_probability")
+    power = F.floor(F.log2(score))
+    scaled = score * F.pow(F.lit(2.0), -power) * 65536
+    digits = df.groupBy(power, F.floor(scaled), F.floor((scaled - F.floor(scaled)) * 65536)).count()
+    assert digits.agg(F.max("count")).first()[0] < 200

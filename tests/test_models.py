@@ -10,9 +10,10 @@ from ebbline.operators import models as md
 from ebbline.operators import prep
 from ebbline.operators.features import feature_matrix
 from ebbline.operators.gates import GateError
+from ebbline.operators.labels import labelled_features
 from ebbline.plans.monitoring import watch_day
 from ebbline.plans.scoring import score_day
-from ebbline.plans.training import build_training_table, save_run, settle, train_run
+from ebbline.plans.training import build_training_table, duel_run, load_run, save_run, settle, train_run
 from ebbline.sources import lake
 from ebbline.sources.star import commerce
 
@@ -83,7 +84,7 @@ def test_a_saved_model_scores_alike(spark, trained, base):
     run, path = trained
     tables = [lake.read_table(spark, base, n) for n in ("orders", "customers", "order_payments")]
     matrix = feature_matrix(*tables, "1999-01-01", "2000-09-01")
-    loaded = md.load_calibrated(f"{path}/model", 2)
+    loaded = md.load_calibrated(f"{path}/model")
     key, p = "customer_unique_id", "predicted_probability"
     ours = {r[key]: r[p] for r in md.score(run.model, matrix).collect()}
     theirs = {r[key]: r[p] for r in md.score(loaded, matrix).collect()}
@@ -94,15 +95,18 @@ def test_from_lake_to_decision(spark, trained, base, tmp_path):
     run, path = trained
     out = str(tmp_path)
     day, then = "2001-03-01", "2000-09-02"
+    saved = load_run(spark, path)
+    assert set(saved.kinds.names) == set(run.kinds.names) and len(saved.model.folds) == 2
     for cutoff in (then, day):
-        done = score_day(spark, base, run.model, run.kinds, cutoff, out, f"score-{cutoff}", start="1999-01-01")
+        done = score_day(spark, base, saved.model, saved.kinds, cutoff, out, f"score-{cutoff}", start="1999-01-01",
+                         contract=saved.contract)
         assert done.published and done.impact["total_customers_scored"] > 0
     again = score_day(spark, base, run.model, run.kinds, day, out, "again", start="1999-01-01")
     assert not again.published
     tables = {n: spark.read.parquet(f"{path}/{n}") for n in ("profile", "importance", "metrics")}
     baseline = tables["metrics"].select(F.lit("m1").alias("model_run_id"), "brier_score")
     seen = watch_day(spark, base, f"{out}/telemetry", day, "m1", tables["profile"], tables["importance"],
-                     baseline, start="1999-01-01", evaluations_out=f"{out}/evaluations")
+                     baseline, evaluations_out=f"{out}/evaluations")
     assert (seen.current_status, seen.lookback_status) == ("CURRENT_TELEMETRY_RESOLVED", "MATURED_EVALUATION_READY")
     report = seen.drift.collect()
     assert len(report) == 6 and {r.status for r in report} == {"CALCULATED"}
@@ -112,7 +116,7 @@ def test_from_lake_to_decision(spark, trained, base, tmp_path):
     assert spark.read.parquet(f"{out}/evaluations").columns[:3] == [
         "customer_unique_id", "predicted_probability", "target_is_churn"]
     quiet = watch_day(spark, base, f"{out}/telemetry", "2001-03-05", "m1", tables["profile"], None,
-                      baseline, start="1999-01-01")
+                      baseline)
     assert (quiet.current_status, quiet.lookback_status) == ("SKIPPED_ZERO_TRAFFIC_DAY", "SKIPPED_SYSTEM_IMMATURE")
     assert {r.status for r in quiet.drift.collect()} == {"EMPTY_TELEMETRY"}
     row = quiet.decision.first()
@@ -132,6 +136,31 @@ def test_an_absent_table_halts_the_build(spark, base, tmp_path):
     assert not (tmp_path / "r").exists()
 
 
+def test_champion_on_the_same_rows(spark, trained, base, tmp_path):
+    """A challenger equal to the champion is not promoted, and the champion's metrics stay the baseline."""
+    run, path = trained
+    tables = [lake.read_table(spark, base, n) for n in ("orders", "customers", "order_payments")]
+    table = labelled_features(*tables, "1999-01-01", "2000-07-01")
+    first = duel_run(table, run.model, None, str(tmp_path / "first"), "m1")
+    assert first.settled.first().has_champion is False
+    assert first.approved == (first.settled.first().eroi >= 0.05)
+    champion = load_run(spark, path).model
+    again = duel_run(table, run.model, champion, str(tmp_path / "again"), "m2")
+    row = again.settled.first()
+    assert not again.approved and row.has_champion and row.eroi == row.champion_eroi
+    assert again.baseline.first().model_run_id == "m2"
+    mine = run.metrics.first()
+    assert again.baseline.first().brier_score == pytest.approx(mine.brier_score)
+
+
+def test_places_are_a_permutation(spark):
+    people = spark.range(3000).withColumnRenamed("id", "customer_unique_id")
+    places = {r.place: r.customer_unique_id for r in md.shuffled_places(people, "x").collect()}
+    assert sorted(places) == list(range(1, 3001))
+    again = {r.place: r.customer_unique_id for r in md.shuffled_places(people.repartition(7), "x").collect()}
+    assert places == again != {r.place: r.customer_unique_id for r in md.shuffled_places(people, "y").collect()}
+
+
 def test_duel_of_runs(trained):
     run, _ = trained
     mine = run.metrics.withColumnRenamed("model", "segment")

@@ -49,21 +49,20 @@ def test_contract_is_long_and_without_null(spark, frame):
     assert contract.where("kind = 'numerical'").count() == 1 and contract.count() == 4
 
 
-@pytest.mark.parametrize("limit", [10_000, 1], ids=["literal", "joined"])
-def test_enforced_schema(spark, limit):
+def test_enforced_schema(spark):
     kinds = FeatureKinds(["num", "gone"], ["state", "lost"])
     lists = spark.createDataFrame(
         [("state", "SP"), ("state", "RJ"), ("lost", "x")], "feature string, category string")
     rows = spark.createDataFrame(
         [("a", "1.5", "SP"), ("b", "oops", "ZZ"), ("c", None, None), ("d", "NaN", "RJ")],
         "id string, num string, state string").withColumn("extra", F.lit(1))
-    out = prep.enforce_schema(rows, kinds, lists, keep=["id"], inline_limit=limit)
+    out = prep.enforce_schema(rows, kinds, lists, keep=["id"])
     assert out.dtypes == [("id", "string"), ("num", "double"), ("gone", "double"), ("state", "string"), ("lost", "string")]
     assert sorted(tuple(r) for r in out.collect()) == [
         ("a", 1.5, None, "SP", None), ("b", None, None, None, None),
         ("c", None, None, None, None), ("d", None, None, "RJ", None)]
     once = {tuple(r) for r in out.collect()}
-    assert {tuple(r) for r in prep.enforce_schema(out, kinds, lists, ["id"], limit).collect()} == once
+    assert {tuple(r) for r in prep.enforce_schema(out, kinds, lists, ["id"]).collect()} == once
 
 
 def test_profiles_golden(spark):
@@ -104,3 +103,19 @@ def test_a_value_held_by_a_third_of_all_rows(spark):
     df = spark.range(9_000).select(F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id").cast("double")).alias("v"))
     bins = pr.numeric_bins(df, ["v"]).toPandas()
     assert abs(bins.expected_pct.sum() - 1) < 1e-12 and bins.lo.is_unique
+
+
+def test_quantiles_are_exact_at_any_size(spark):
+    """Far more rows than the summary that guides the search tells apart."""
+    n = 120_000
+    df = spark.range(n).select(
+        F.pmod(F.xxhash64("id"), F.lit(1_000_000_007)).cast("double").alias("spread"),
+        F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(F.col("id").cast("double")).alias("heavy"),
+        F.when(F.col("id") < 5, F.lit(float("nan"))).when(F.col("id") < 9, 1.5).alias("few"),
+    )
+    found = {r.feature: r.quantiles for r in pr.quantiles(df, df.columns, [i / 10 for i in range(11)]).collect()}
+    frame = df.toPandas()
+    for name in df.columns:
+        values = sorted(v for v in frame[name] if v == v)
+        want = [values[max(1, -(-i * len(values) // 10)) - 1] for i in range(11)]
+        assert found[name] == want
