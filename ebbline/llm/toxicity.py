@@ -2,7 +2,7 @@
 
 Fitting reads every labelled training document: it counts in how many documents,
 and in how many toxic ones, each term occurs, keeps the terms whose share of toxic
-documents departs most from the general one, and takes a bounded sample of
+documents exceeds the general one most clearly, and takes a bounded sample of
 documents that have such terms as examples. The examples lie in an inverted index
 whose postings are cut into blocks of example numbers with the greatest weight of
 each block; a search visits blocks in the order of their upper bounds and stops at
@@ -13,6 +13,7 @@ examples' own votes (each without itself) turns votes into probabilities.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -28,11 +29,11 @@ from ebbline.session import store
 
 # Bounds of the fitted classifier: terms it looks at, examples of each class, and
 # examples whose votes calibrate the score.
-TERMS = 4096
-EXAMPLES_PER_CLASS = 6000
-CALIBRATION = 1500
+TERMS = 512
+EXAMPLES_PER_CLASS = 5000
+CALIBRATION = 1000
 LEAST_DOCUMENTS = 5
-LEAST_DEVIATION = 5.0
+LEAST_DEVIATION = 6.0
 NEIGHBOURS = 25
 BLOCK = 64
 EVIDENCE = 3
@@ -47,7 +48,7 @@ class Examples:
     ids: list = field(default_factory=list)
     toxic: np.ndarray = field(default_factory=lambda: np.zeros(0))
     weight: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    postings: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
+    postings: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
     slope: float = 0.0
     shift: float = 0.0
     without: float = 0.0  # score of a text that has none of the terms
@@ -55,8 +56,8 @@ class Examples:
     def vector(self, words: Sequence[str]) -> dict[str, float]:
         """Unit vector over the terms of the words."""
         counted = Counter(w for w in words if w in self.idf)
-        raw = {t: (1 + np.log(n)) * self.idf[t] for t, n in counted.items()}
-        norm = np.sqrt(sum(v * v for v in raw.values()))
+        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in counted.items()}
+        norm = math.sqrt(sum(v * v for v in raw.values()))
         return {t: v / norm for t, v in sorted(raw.items())} if norm else {}
 
     def build(self, vectors: list[dict[str, float]]) -> None:
@@ -69,35 +70,41 @@ class Examples:
             number, value = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
             most = np.zeros(blocks)
             np.maximum.at(most, number // BLOCK, value)
-            self.postings[term] = (number, value, most)
+            self.postings[term] = (number, value, number // BLOCK, most)
 
     def nearest(self, vector: dict[str, float], k: int = NEIGHBOURS, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k most similar examples; ties go to the smaller number."""
         found = [(v, *self.postings[t]) for t, v in vector.items() if t in self.postings]
         if not found:
             return np.zeros(0, np.int64), np.zeros(0)
-        bound = sum(v * most for v, _, _, most in found)
+        bound = np.zeros(len(found[0][4]))
+        for v, *_, most in found:
+            bound += v * most
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        number, cosine = np.zeros(0, np.int64), np.zeros(0)
-        least = 0.0
-        for step in range(0, len(order), 4):
-            visit = [b for b in order[step : step + 4] if len(number) < k or bound[b] + 1e-12 >= least]
-            if not visit:
+        number, cosine, least = np.zeros(0, np.int64), np.zeros(0), 0.0
+        # The blocks of the highest bounds first; then, as the k-th best rises, what may still reach it.
+        first, step = 0, 2 + k // BLOCK
+        while first < len(order):
+            visit = order[first : first + step]
+            visit = visit[bound[visit] + 1e-12 >= least]
+            if not len(visit):
                 break
-            got = np.zeros((len(visit), BLOCK))
-            for v, at, value, most in found:
-                for i, b in enumerate(visit):
-                    if most[b]:
-                        lo, hi = np.searchsorted(at, (b * BLOCK, (b + 1) * BLOCK))
-                        got[i, at[lo:hi] - b * BLOCK] += v * value[lo:hi]
-            ids = (np.array(visit)[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            flat = got.ravel()
-            new = (flat > 0) & (ids != skip)
-            number, cosine = np.concatenate([number, ids[new]]), np.concatenate([cosine, flat[new]])
+            open_, got = np.zeros(len(bound), bool), np.zeros(len(bound) * BLOCK)
+            open_[visit] = True
+            for v, at, value, block, _ in found:
+                here = open_[block]
+                got[at[here]] += v * value[here]
+            ids = np.flatnonzero(got)
+            ids = ids[ids != skip]
+            number, cosine = np.concatenate([number, ids]), np.concatenate([cosine, got[ids]])
+            if len(number) > k:
+                near = np.flatnonzero(cosine >= np.partition(cosine, -k)[-k] - 1e-9)
+                number, cosine = number[near], cosine[near]
             best = np.lexsort((number, -np.round(cosine, 12)))[:k]
             number, cosine = number[best], cosine[best]
             least = cosine[-1] if len(cosine) == k else 0.0
+            first, step = first + step, step * 8
         return number, cosine
 
     def vote(self, number: np.ndarray, cosine: np.ndarray) -> float:
@@ -158,8 +165,8 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES_PER_CLASS)
     chosen = (
         counted.filter(f"n >= {LEAST_DOCUMENTS}")
         .withColumn("departs", departs)
-        .filter(F.abs("departs") >= LEAST_DEVIATION)
-        .orderBy(F.abs("departs").desc(), "term")
+        .filter(F.col("departs") >= LEAST_DEVIATION)
+        .orderBy(F.col("departs").desc(), "term")
         .limit(TERMS)
         .collect()
     )
