@@ -149,16 +149,32 @@ def _sharing(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"name": np.unique(names[held > 1])})
 
 
-def _shared(group: pd.DataFrame) -> pd.DataFrame:
-    """For each set of this range its shingles that other sets have too, and how many have them."""
+def _shared(group: pd.DataFrame, buckets: int) -> pd.DataFrame:
+    """The shingles of this range that several sets have, how many have them, and whose they are,
+    packed by bucket of the set."""
     keys, names, held = _gathered(group)
-    keys, names, held = keys[held > 1], names[held > 1], held[held > 1]
-    order = np.argsort(names, kind="stable")
+    several = held > 1
+    keys, names, held = keys[several], names[several], held[several].astype(np.uint32)
+    bucket = (mix(names.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
     keys, names, held = keys[order], names[order], held[order]
-    first = np.flatnonzero(np.append(True, names[1:] != names[:-1])) if len(names) else np.zeros(0, np.int64)
-    last = np.append(first[1:], len(names))
-    rows = [(int(names[a]), keys[a:b].tobytes(), held[a:b].astype(np.uint32).tobytes()) for a, b in zip(first, last)]
-    return pd.DataFrame(rows, columns=["name", "keys", "held"])
+    edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    rows = [
+        (k, names[a:b].tobytes(), keys[a:b].tobytes(), held[a:b].tobytes()) for k, (a, b) in enumerate(zip(edge[:-1], edge[1:])) if b > a
+    ]
+    return pd.DataFrame(rows, columns=["bucket", "names", "keys", "held"])
+
+
+def _paths(group: pd.DataFrame) -> pd.DataFrame:
+    """Each set of a bucket with all of its shared shingles in the global order."""
+    names = np.frombuffer(b"".join(group["names"]), np.int64)
+    keys = np.frombuffer(b"".join(group["keys"]), np.uint64)
+    held = np.frombuffer(b"".join(group["held"]), np.uint32)
+    order = np.lexsort((keys, held, names))
+    names, keys, held = names[order], keys[order], held[order]
+    first = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
+    rows = [(int(names[a]), keys[a:b].tobytes(), held[a:b].tobytes(), int(b - a)) for a, b in zip(first, np.append(first[1:], len(names)))]
+    return pd.DataFrame(rows, columns=["name", "path", "held", "shared"])
 
 
 def ordered_sets(docs: DataFrame, named: DataFrame, n: int, percent: int) -> DataFrame:
@@ -173,22 +189,16 @@ def ordered_sets(docs: DataFrame, named: DataFrame, n: int, percent: int) -> Dat
     some = store(some)
     keep = small(named.join(some, "name", "left_semi").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size")))
     texts = docs.join(keep.select(F.col("doc_id").alias("kept")), docs["doc_id"].eqNullSafe(F.col("kept")), "left_semi")
-    parts = _dealt(texts, n, percent, ranges, False).groupBy("range").applyInPandas(_shared, "name bigint, keys binary, held binary")
-    whole = parts.groupBy("name").agg(F.collect_list(F.struct("keys", "held")).alias("parts")).join(keep.select("name", "size"), "name")
 
-    def order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for name, parts, size in zip(batch["name"], batch["parts"], batch["size"]):
-                keys = np.concatenate([np.frombuffer(p["keys"], np.uint64) for p in parts])
-                held = np.concatenate([np.frombuffer(p["held"], np.uint32) for p in parts])
-                own = size - len(keys)
-                prefix = int(size - need(np.array(size), percent) + 1 - own)
-                if prefix > 0:
-                    rows.append((name, size, keys[np.lexsort((keys, held))].tobytes(), np.sort(held).tobytes(), prefix))
-            yield pd.DataFrame(rows, columns=["name", "size", "path", "held", "prefix"])
+    def shared(group: pd.DataFrame) -> pd.DataFrame:
+        return _shared(group, ranges)
 
-    return store(whole.mapInPandas(order, "name bigint, size bigint, path binary, held binary, prefix bigint"))
+    # From key ranges to buckets of sets: packed both ways, so rows do not grow with the texts of a range.
+    parts = _dealt(texts, n, percent, ranges, False).groupBy("range").applyInPandas(shared, "bucket bigint, names binary, keys binary, held binary")
+    paths = parts.groupBy("bucket").applyInPandas(_paths, "name bigint, path binary, held binary, shared bigint")
+    least = F.ceil(F.lit(percent) * F.col("size") / 100)
+    sized = paths.join(keep.select("name", "size"), "name").withColumn("prefix", (F.col("shared") - least + 1).cast("bigint"))
+    return store(sized.filter("prefix > 0").select("name", "size", "path", "held", "prefix"))
 
 
 class Trie:
@@ -303,8 +313,19 @@ def _joined(group: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     trie = Trie(
         [np.frombuffer(p, np.uint64) for p in group["path"]], [np.frombuffer(h, np.uint32) for h in group["held"]], group["size"].to_numpy()
     )
-    names = group["name"].to_numpy()
-    return [(int(names[a]), int(names[b])) for a, b in trie.links(group["side"].to_numpy(), group["class"].to_numpy(), percent)]
+    names = group["name"].tolist()
+    to = {name: name for name in names}
+
+    def root(name: int) -> int:
+        while to[name] != name:
+            to[name] = to[to[name]]
+            name = to[name]
+        return name
+
+    # Links of a group leave as links to one text of each class found in it.
+    for a, b in trie.links(group["side"].to_numpy(), group["class"].to_numpy(), percent):
+        to[root(names[a])] = root(names[b])
+    return [(name, root(name)) for name in names if root(name) != name]
 
 
 def _join(groups: DataFrame, percent: int) -> DataFrame:
