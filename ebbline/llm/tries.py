@@ -42,6 +42,8 @@ PERCENT = 75
 BLOCK = 256
 # Shingles that share one key range while they are counted.
 RANGE_SHINGLES = 1_000_000
+# Shingles a task holds before it packs and hands them on.
+PACKED_SHINGLES = 1_000_000
 
 
 def need(size: np.ndarray, percent: int) -> np.ndarray:
@@ -120,7 +122,7 @@ def _dealt(docs: DataFrame, n: int, percent: int, ranges: int, prefix_only: bool
                 names.append(name)
                 sets.append(s[: len(s) - int(need(np.array(len(s)), percent)) + 1] if prefix_only else s)
                 held += len(sets[-1])
-                if held >= 2_000_000:
+                if held >= PACKED_SHINGLES:
                     yield from _packed(names, sets, ranges)
                     names, sets, held, seen = [], [], 0, set()
         if names:
