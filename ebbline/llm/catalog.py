@@ -34,7 +34,7 @@ def op1_language(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Pages through WARC archives and back."""
-    captures = warc.page_ids(warc.round_trip(table(spark, folder, "pages")))
+    captures = warc.page_ids(warc.round_trip(table(spark, folder, "pages"), bodies=False))
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.llm.common import small
-from ebbline.session import shared_folder
+from ebbline.session import shared_folder, store
 
 # Payloads below this are never revisits.
 LEAST_REVISIT = 1000
@@ -221,12 +221,19 @@ def assemble(records: DataFrame) -> DataFrame:
     return anchors.select(F.col("record_id").alias("capture"), response).join(beside, "capture", "left")
 
 
-def round_trip(pages: DataFrame) -> DataFrame:
-    """Write the pages as archives into the shared folder, read them back and assemble the captures."""
+def round_trip(pages: DataFrame, bodies: bool = True) -> DataFrame:
+    """Write the pages as archives into the shared folder, read them back and assemble the captures.
+
+    Without `bodies` the payloads of responses are read and digested but not carried
+    further, and the archives are parsed once instead of once for each side of the joins.
+    """
     spark = pages.sparkSession
     folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     write(plan(pages), folder)
-    return assemble(read(spark, folder))
+    records = read(spark, folder)
+    if not bodies:
+        records = store(records.withColumn("payload", F.when(~F.col("type").isin(*ANCHORS), F.col("payload"))))
+    return assemble(records)
 
 
 def page_ids(captures: DataFrame) -> DataFrame:
@@ -236,11 +243,13 @@ def page_ids(captures: DataFrame) -> DataFrame:
     """
     named = F.regexp_extract(F.col("metadata")[0]["payload"].cast("string"), r"pageId: (-?\d+)", 1)
     rows = captures.withColumn("page_id", F.nullif(named, F.lit("")).cast("bigint"))
-    first = rows.filter("response.type = 'response'").select(
+    # Many revisits may refer to one response: only responses that are referred to take part.
+    named = rows.select(F.col("response.refers_to").alias("capture")).filter("capture IS NOT NULL").distinct()
+    first = rows.filter("response.type = 'response'").join(named, "capture", "left_semi").select(
         F.col("capture").alias("refers_to_record"), F.col("page_id").alias("refers_to"),
         F.col("response.payload_bytes").alias("first_bytes"), F.col("response.payload_digest").alias("first_digest"),
     )
-    joined = rows.withColumn("refers_to_record", F.col("response.refers_to")).join(first, "refers_to_record", "left")
+    joined = rows.withColumn("refers_to_record", F.col("response.refers_to")).join(small(first), "refers_to_record", "left")
     return joined.select(
         "capture", "page_id", F.coalesce("first_bytes", "response.payload_bytes").alias("payload_bytes"),
         F.coalesce("first_digest", "response.payload_digest").alias("payload_digest"), F.col("response.type").alias("record_type"), "refers_to",
