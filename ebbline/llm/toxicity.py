@@ -1,18 +1,24 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Fitting reads every labelled training document: it counts in how many documents,
-and in how many toxic ones, each term occurs, keeps the terms whose share of toxic
-documents exceeds the general one most clearly, and takes a bounded sample of
-documents that have such terms as examples. The examples lie in an inverted index
-whose postings are cut into blocks of example numbers with the greatest weight of
-each block; a search visits blocks in the order of their upper bounds and stops at
-the first bound below the k-th best similarity, so its neighbours are exact. They
-vote with weights that fall with distance, and a logistic map fitted on the
-examples' own votes (each without itself) turns votes into probabilities.
+and in how many toxic ones, each term occurs, and takes a bounded sample of
+documents as examples. No term is left out: every term counts by its inverse
+document frequency times one more than how far, in standard deviations, its share
+of toxic documents departs from the general one, to either side. Texts are
+compared with all examples: the terms most examples hold through a matrix product
+of many texts at once, the others through an inverted index. Both run in short
+numbers; whatever they put within their error of the k-th best is compared again
+in double precision, so the neighbours are exact. They vote with weights that fall
+with distance, and a logistic map fitted on the examples' own votes (each without
+itself) turns votes into probabilities.
+
+A word that no example holds cannot be shared with one: it is not part of the
+space, neither of the products nor of the length of a text's vector.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -21,108 +27,167 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.llm.common import added, carried, fold, small, small_batches
 from ebbline.session import store
 
-# Bounds of the fitted classifier: terms it looks at, examples of each class, and
-# examples whose votes calibrate the score.
-TERMS = 512
-EXAMPLES_PER_CLASS = 5000
-CALIBRATION = 1000
+# Bounds of the fitted classifier: examples of each class, and examples whose
+# votes calibrate the score.
+EXAMPLES_PER_CLASS = 6000
+CALIBRATION = 1500
+# What makes a term a clear sign of toxic texts; such terms are listed apart.
 LEAST_DOCUMENTS = 5
 LEAST_DEVIATION = 6.0
 NEIGHBOURS = 25
-BLOCK = 64
 EVIDENCE = 3
+# Terms held by most examples go through the matrix product, for so many texts at once.
+DENSE = 256
+TOGETHER = 64
+# Documents are dealt over so many buckets to choose the examples.
+BUCKETS = 16384
+# More than the short numbers of a cosine can be off by.
+ERROR = 5e-5
 WORD = r"[^\W_]+"
 
 
 @dataclass
 class Examples:
-    """Block-max inverted index over the examples, and what turns its votes into scores."""
+    """The examples as vectors, the index over them, and what turns their votes into scores."""
 
-    idf: dict[str, float]
+    idf: dict[str, float]  # weights of the terms that are clear signs of toxic texts
+    rest: dict[str, float] = field(default_factory=dict)  # weights of all other terms
     ids: list = field(default_factory=list)
     toxic: np.ndarray = field(default_factory=lambda: np.zeros(0))
     weight: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    postings: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
     slope: float = 0.0
     shift: float = 0.0
-    without: float = 0.0  # score of a text that has none of the terms
+    without: float = 0.0  # score of a text that shares no term with any example
+
+    def __post_init__(self) -> None:
+        self.terms = sorted([*self.idf, *self.rest])
+        self.at = {t: i for i, t in enumerate(self.terms)}
+        self.scale = np.array([self.idf[t] if t in self.idf else self.rest[t] for t in self.terms])
+        self.index([])
+
+    def sparse(self, counted: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Columns in order and values of the unit vector of counted words."""
+        found = sorted((self.at[w], n) for w, n in counted.items() if w in self.at)
+        column = np.array([c for c, _ in found], np.int32)
+        value = (1 + np.log(np.array([n for _, n in found], float))) * self.scale[column]
+        norm = math.sqrt(float(value @ value))
+        return (column, value / norm) if norm else (column[:0], value[:0])
 
     def vector(self, words: Sequence[str]) -> dict[str, float]:
         """Unit vector over the terms of the words."""
-        counted = Counter(w for w in words if w in self.idf)
-        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in counted.items()}
-        norm = math.sqrt(sum(v * v for v in raw.values()))
-        return {t: v / norm for t, v in sorted(raw.items())} if norm else {}
+        column, value = self.sparse(Counter(words))
+        return {self.terms[c]: float(v) for c, v in zip(column, value)}
+
+    def columns(self, vector: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
+        found = sorted((self.at[t], v) for t, v in vector.items())
+        return np.array([c for c, _ in found], np.int32), np.array([v for _, v in found], float)
 
     def build(self, vectors: list[dict[str, float]]) -> None:
-        lists: dict[str, list[tuple[int, float]]] = {}
-        for n, vector in enumerate(vectors):
-            for term, v in vector.items():
-                lists.setdefault(term, []).append((n, v))
-        blocks = -(-len(vectors) // BLOCK)
-        for term, rows in lists.items():
-            number, value = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
-            most = np.zeros(blocks)
-            np.maximum.at(most, number // BLOCK, value)
-            self.postings[term] = (number, value, number // BLOCK, most)
+        self.index([self.columns(v) for v in vectors])
 
-    def nearest(self, vector: dict[str, float], k: int = NEIGHBOURS, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and cosines of the k most similar examples; ties go to the smaller number."""
-        found = [(v, *self.postings[t]) for t, v in vector.items() if t in self.postings]
-        if not found:
+    def index(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """The index over the vectors; the list is emptied, as the driver holds them once."""
+        n, width = len(vectors), len(self.terms)
+        self.starts = np.concatenate([[0], np.cumsum([len(c) for c, _ in vectors])]).astype(np.int64)
+        # Examples of equal vectors are compared once.
+        first: dict[bytes, int] = {}
+        self.same = np.array([first.setdefault(hashlib.sha256(c.tobytes() + v.tobytes()).digest(), i) for i, (c, v) in enumerate(vectors)], np.int64)
+        self.column, self.value = np.zeros(self.starts[-1], np.int32), np.zeros(self.starts[-1])
+        for i in reversed(range(n)):
+            self.column[self.starts[i] : self.starts[i + 1]], self.value[self.starts[i] : self.starts[i + 1]] = vectors.pop()
+        held = np.bincount(self.column, minlength=width)
+        often = np.argsort(-held, kind="stable")[:DENSE]
+        self.place = np.full(width, -1, np.int32)
+        self.place[often] = np.arange(len(often))
+        self.spread_out()
+        seldom = np.flatnonzero(self.place[self.column] < 0)
+        order = seldom[np.argsort(self.column[seldom], kind="stable")]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(self.column[order], minlength=width))]).astype(np.int64)
+        self.posted = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.starts))[order]
+        self.amount = self.value[order].astype(np.float32)
+
+    def spread_out(self) -> None:
+        """The matrix of the terms that most examples hold."""
+        at = np.flatnonzero(self.place[self.column] >= 0)
+        number = np.searchsorted(self.starts, at, "right") - 1
+        self.dense = np.zeros((int((self.place >= 0).sum()), len(self.same)), np.float32)
+        self.dense[self.place[self.column[at]], number] = self.value[at]
+
+    def __getstate__(self) -> dict:
+        """What travels with the tasks: what follows from the rest is made again there."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("idf", "rest", "at", "dense")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.at = {t: i for i, t in enumerate(self.terms)}
+        self.spread_out()
+
+    def short(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Cosines of vectors and all examples, to within ERROR."""
+        n = len(self.same)
+        asked = np.zeros((len(vectors), len(self.dense)), np.float32)
+        for out, (column, value) in zip(asked, vectors):
+            row = self.place[column]
+            out[row[row >= 0]] = value[row >= 0]
+        got = asked @ self.dense
+        for out, (column, value) in zip(got, vectors):
+            start, many = self.first[column], self.first[column + 1] - self.first[column]
+            if total := int(many.sum()):
+                here = np.repeat(start - np.cumsum(many) + many, many) + np.arange(total)
+                out += np.bincount(self.posted[here], self.amount[here] * np.repeat(value, many), n)
+        return got
+
+    def closest(self, vector: tuple[np.ndarray, np.ndarray], short: np.ndarray, k: int, skip: int, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if skip >= 0:
+            short[skip] = 0
+        least = np.partition(short, -k)[-k] - ERROR if len(short) > k else 0.0
+        number = np.flatnonzero((short >= least) & (short > 0))
+        if not len(number):
             return np.zeros(0, np.int64), np.zeros(0)
-        bound = np.zeros(len(found[0][4]))
-        for v, *_, most in found:
-            bound += v * most
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        number, cosine, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        # The blocks of the highest bounds first; then, as the k-th best rises, what may still reach it.
-        first, step = 0, 2 + k // BLOCK
-        while first < len(order):
-            visit = order[first : first + step]
-            visit = visit[bound[visit] + 1e-12 >= least]
-            if not len(visit):
-                break
-            open_, got = np.zeros(len(bound), bool), np.zeros(len(bound) * BLOCK)
-            open_[visit] = True
-            for v, at, value, block, _ in found:
-                here = open_[block]
-                got[at[here]] += v * value[here]
-            ids = np.flatnonzero(got)
-            ids = ids[ids != skip]
-            number, cosine = np.concatenate([number, ids]), np.concatenate([cosine, got[ids]])
-            if len(number) > k:
-                near = np.flatnonzero(cosine >= np.partition(cosine, -k)[-k] - 1e-9)
-                number, cosine = number[near], cosine[near]
-            best = np.lexsort((number, -np.round(cosine, 12)))[:k]
-            number, cosine = number[best], cosine[best]
-            least = cosine[-1] if len(cosine) == k else 0.0
-            first, step = first + step, step * 8
-        return number, cosine
+        column, value = vector
+        room[column] = value
+        own, which = np.unique(self.same[number], return_inverse=True)
+        at = self.starts
+        cosine = np.array([self.value[at[i] : at[i + 1]] @ room[self.column[at[i] : at[i + 1]]] for i in own])[which]
+        room[column] = 0
+        best = np.lexsort((number, -np.round(cosine, 12)))[:k]
+        return number[best], cosine[best]
+
+    def search(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS, skip: Sequence[int] = ()) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Numbers and cosines of the k most similar examples of each vector; ties go to the smaller number."""
+        room = np.zeros(len(self.terms))
+        for lo in range(0, len(vectors), TOGETHER):
+            some = vectors[lo : lo + TOGETHER]
+            for i, (vector, short) in enumerate(zip(some, self.short(some)), lo):
+                yield self.closest(vector, short, k, skip[i] if len(skip) else -1, room)
+
+    def nearest(self, vector: dict[str, float], k: int = NEIGHBOURS, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        return next(self.search([self.columns(vector)], k, [skip]))
 
     def vote(self, number: np.ndarray, cosine: np.ndarray) -> float:
         """Share of toxic among the neighbours, the nearer the heavier."""
         w = self.weight[number] / (1.05 - np.minimum(cosine, 1.0))
         return float((w * self.toxic[number]).sum() / w.sum())
 
-    def score(self, words: Sequence[str]) -> tuple[float, np.ndarray, np.ndarray]:
-        number, cosine = self.nearest(self.vector(words))
-        if not len(number):
-            return self.without, number, cosine
-        return float(1 / (1 + np.exp(-(self.slope * self.vote(number, cosine) + self.shift)))), number, cosine
+    def scores(self, counted: list[dict[str, int]]) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        """Score, neighbours and cosines of texts given by their counted words."""
+        for number, cosine in self.search([self.sparse(c) for c in counted]):
+            if not len(number):
+                yield self.without, number, cosine
+            else:
+                yield float(1 / (1 + np.exp(-(self.slope * self.vote(number, cosine) + self.shift)))), number, cosine
 
-    def calibrate(self, vectors: list[dict[str, float]], limit: int) -> None:
+    def calibrate(self, limit: int) -> None:
         """Logistic map of the votes of every so-manieth example, each left out of its own vote."""
         votes, said, weight = [], [], []
-        for n in range(0, len(vectors), max(1, len(vectors) // limit)):
-            near = self.nearest(vectors[n], skip=n)
+        taken, at = range(0, len(self.ids), max(1, len(self.ids) // limit)), self.starts
+        for n, near in zip(taken, self.search([(self.column[at[n] : at[n + 1]], self.value[at[n] : at[n + 1]]) for n in taken], skip=taken)):
             if len(near[0]):
                 votes.append(self.vote(*near))
                 said.append(self.toxic[n])
@@ -161,65 +226,86 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES_PER_CLASS)
     if not total.n:
         return Examples({})
     share = min(max(total.bad / total.n, 1e-9), 1 - 1e-9)
-    departs = (F.col("bad") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
-    chosen = (
-        counted.filter(f"n >= {LEAST_DOCUMENTS}")
-        .withColumn("departs", departs)
-        .filter(F.col("departs") >= LEAST_DEVIATION)
-        .orderBy(F.col("departs").desc(), "term")
-        .limit(TERMS)
-        .collect()
-    )
-    made = Examples({r.term: float(np.log((1 + total.n) / (1 + r.n)) + 1) for r in chosen})
-    tokens, known = re.compile(WORD).findall, frozenset(made.idf)
+    tokens = re.compile(WORD).findall
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [[w for w in tokens(t) if w in known] for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.list_(pa.string())), batch.column(2)], names=["doc_id", "words", "toxic"])
+            held = [Counter(tokens(t)) for t in batch.column(1).to_pylist()]
+            words, times = [list(c) for c in held], [list(c.values()) for c in held]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int32())), batch.column(2), batch.column(3)], names=["doc_id", "words", "times", "toxic", "key1"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    reduced = store(rows.select("doc_id", F.lower("text"), "toxic").mapInArrow(reduce, f"doc_id {kind}, words array<string>, toxic int"))
-    sizes = {(r.toxic, r.has): r.n for r in reduced.groupBy("toxic", (F.size("words") > 0).alias("has")).agg(F.count("*").alias("n")).collect()}
+    rows = rows.withColumns({"has": F.col("text").rlike(r"[\p{L}\p{N}]"), "key1": F.xxhash64("doc_id", "text"), "key2": F.xxhash64(F.lit("text"), "text", "doc_id")})
+    sizes = {(r.toxic, r.has): r.n for r in rows.groupBy("toxic", "has").agg(F.count("*").alias("n")).collect()}
     empty = sizes.get((0, False), 0), sizes.get((1, False), 0)
-    made.without = empty[1] / sum(empty) if sum(empty) else share
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = reduced.filter("size(words) > 0").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= examples).collect()
-    if not sample:
+    without = empty[1] / sum(empty) if sum(empty) else share
+    # The lowest buckets of the keys that hold enough documents of each class; rows that repeat an id and its text are one.
+    bucket = F.col("key1").bitwiseAND(BUCKETS - 1)
+    spread = rows.filter("has").select("toxic", "key1", "key2").distinct().groupBy("toxic", bucket.alias("bucket")).agg(F.count("*").alias("n")).collect()
+    enough = {}
+    for toxic in (0, 1):
+        found = 0
+        for r in sorted((r for r in spread if r.toxic == toxic), key=lambda r: r.bucket):
+            if found < examples:
+                found, enough[toxic] = found + r.n, r.bucket
+    below = F.when(F.col("toxic") == 1, enough.get(1, -1)).otherwise(enough.get(0, -1))
+    taken = rows.filter("has").filter(bucket <= below).groupBy("toxic", "key1", "key2").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, words array<string>, times array<int>, toxic int, key1 bigint"
+    sample = store(taken.select("doc_id", F.lower("text"), "toxic", "key1").mapInArrow(reduce, schema))
+    # What was counted of the words that examples hold: only they can be shared with one.
+    held = sample.select(F.explode("words").alias("term")).distinct()
+    n, bad = F.coalesce("n", F.lit(0)), F.coalesce("bad", F.lit(0))
+    departs = F.when(n > 0, (bad - n * share) / F.sqrt(n * share * (1 - share))).otherwise(0.0)
+    terms = held.join(counted, "term", "left").select("term", n.alias("n"), departs.alias("departs")).toArrow()
+    idf, rest = {}, {}
+    for term, n, departs in zip(*(terms.column(k).to_pylist() for k in ("term", "n", "departs"))):
+        clear = n >= LEAST_DOCUMENTS and departs >= LEAST_DEVIATION
+        (idf if clear else rest)[term] = (math.log((1 + total.n) / (1 + n)) + 1) * (1 + abs(departs))
+    made = Examples(idf, rest, without=without)
+    del spread, terms, idf, rest
+    told = []
+    for r in sample.toLocalIterator():
+        told.append((r.key1 & (BUCKETS - 1), r.key1, str(r.doc_id), r.doc_id, r.toxic, made.sparse(dict(zip(r.words, r.times)))))
+    told.sort(key=lambda x: x[:3])
+    seen: Counter = Counter()
+    for n, x in enumerate(told):
+        seen[x[4]] += 1
+        if seen[x[4]] > examples:
+            told[n] = None
+    told = [x for x in told if x]
+    if not told:
         return made
-    vectors = [made.vector(r.words) for r in sample]
-    # Neighbours in number are alike, so that few blocks have a high bound.
-    line = sorted(range(len(sample)), key=lambda i: (max(vectors[i], key=vectors[i].get), sample[i].toxic, str(sample[i].doc_id)))
-    vectors, sample = [vectors[i] for i in line], [sample[i] for i in line]
-    made.ids = [r.doc_id for r in sample]
-    made.toxic = np.array([float(r.toxic) for r in sample])
-    here = Counter(r.toxic for r in sample)
+    made.ids = [x[3] for x in told]
+    made.toxic = np.array([float(x[4]) for x in told])
+    here = Counter(x[4] for x in told)
     # A sampled class stands for all its documents.
-    made.weight = np.array([sizes[r.toxic, True] / here[r.toxic] for r in sample])
-    made.build(vectors)
-    made.calibrate(vectors, CALIBRATION)
+    made.weight = np.array([sizes[x[4], True] / here[x[4]] for x in told])
+    vectors = [x[5] for x in told]
+    del told
+    made.index(vectors)
+    made.calibrate(CALIBRATION)
     return made
 
 
 def score(docs: DataFrame, made: Examples, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """`row`, score, predicted and evidence (neighbour, cosine, label) of every text.
 
-    A text without any of the terms, empty and null texts among them, gets the
-    share of toxic documents among the training documents without any. Without
-    training documents that is 0. Repeated rows are scored each.
+    A text that shares no word with any example, empty and null texts among them,
+    gets the share of toxic documents among the training documents without a word,
+    or among all if there are none. Without training documents that is 0. Repeated
+    rows are scored each.
     """
     small_batches(docs.sparkSession)
-    tokens, known = re.compile(WORD).findall, frozenset(made.idf)
+    tokens = re.compile(WORD).findall
     near = pa.struct([("doc_id", pa.string()), ("cosine", pa.float64()), ("toxic", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores, evidence = [], []
-            for text in batch.column(1).to_pylist():
-                words = [w for w in tokens(text) if w in known]
-                value, number, cosine = made.score(words) if words else (made.without, (), ())
-                scores.append(value)
-                evidence.append([{"doc_id": str(made.ids[n]), "cosine": float(c), "toxic": int(made.toxic[n])} for n, c in zip(number[:EVIDENCE], cosine)])
+            for lo in range(0, batch.num_rows, TOGETHER):
+                for value, number, cosine in made.scores([Counter(tokens(t)) for t in batch.column(1)[lo : lo + TOGETHER].to_pylist()]):
+                    scores.append(value)
+                    evidence.append([{"doc_id": str(made.ids[n]), "cosine": float(c), "toxic": int(made.toxic[n])} for n, c in zip(number[:EVIDENCE], cosine)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(near))], names=["row", "score", "evidence"])
 
     rows = docs.select(carried(docs, keep), F.lower(F.coalesce("text", F.lit(""))).alias("text"))

@@ -78,3 +78,25 @@ def test_little_to_learn_from(spark, docs, labels):
     model = toxicity.fit(frame, spark.createDataFrame(labels, LABELS))
     rows = toxicity.score(frame, model).collect()
     assert len(rows) == len(docs) and all(0 <= r.score <= 1 for r in rows)
+
+
+def test_every_text_with_words_is_searched(spark, fitted):
+    """Texts without a clear sign are compared too, over all their words; many clear signs are all kept."""
+    frame, model = fitted
+    assert len(model.idf) + len(model.rest) > 400
+    rows = toxicity.score(frame, model).select("evidence").collect()
+    assert all(r.evidence and r.evidence[0].cosine > 0 for r in rows)
+    signs = [f"sign{k}" for k in range(600)]
+    docs = [(i, " ".join(signs[i % 60 :: 60] + ["plain"]) if i % 2 else "plain text here") for i in range(1200)]
+    many = spark.createDataFrame([(i, t, 1, "clash", "clash") for i, t in docs], DOCS)
+    wide = toxicity.fit(many, spark.createDataFrame([(i, 1, i % 2) for i, _ in docs], LABELS))
+    every = {w for i, t in docs if zlib.crc32(str(i).encode()) % 5 for w in t.split()}
+    assert every == set(wide.idf) | set(wide.rest) and len(every) > 512
+
+
+def test_bound_of_examples(spark):
+    """Rows that repeat an id do not outgrow the bound."""
+    rows = [(1, f"word{i % 50} other{i}", 1, "c", "c") for i in range(600)] + [(2, "same text", 1, "c", "c")] * 300
+    model = toxicity.fit(spark.createDataFrame(rows, DOCS), spark.createDataFrame([(1, 1, 0), (2, 1, 1)], LABELS), examples=40)
+    assert len(model.ids) == 41 and model.ids.count(2) == 1
+    assert np.isclose(model.weight.sum(), 900)
