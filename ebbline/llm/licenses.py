@@ -1,8 +1,9 @@
 """Licence scans: phrases by place, and templates by an exact set-similarity join.
 
 A block is a line of a text, or, of a line longer than twice the longest template,
-each window of that length at half its steps. A template is found in a block that
-holds at least `THRESHOLD` of its distinct words. The join is exact: words are
+each window of that length at half its steps. Of a text of several lines, the
+windows over all its words are blocks too, so that a template wrapped over lines
+stands whole in one. A template is found in a block that holds at least `THRESHOLD` of its distinct words. The join is exact: words are
 ordered by the number of documents that hold them, rarest first; a block that
 reaches the threshold holds one of the first |T| - need + 1 words of the template
 T, so blocks meet templates only through those words, and the length of the
@@ -87,14 +88,20 @@ def word_order(docs: DataFrame, words: list[str]) -> list[str]:
     return sorted(words, key=lambda w: (n.get(w, 0), w))
 
 
-def blocks(docs: DataFrame, longest: int) -> DataFrame:
-    """Key, line, window and words of every block."""
-    lines = docs.select(*text_keys(docs), F.posexplode(F.split(lower_ascii(F.col("text")), "\n")).alias("line", "said"))
+def blocks(docs: DataFrame, longest: int, in_words: int) -> DataFrame:
+    """Key, line, window and words of every block; a last line stands for the whole text.
+
+    The longest template has so many distinct words, and so many words in all.
+    """
+    said = lower_ascii(F.col("text"))
+    lines = F.split(said, "\n")
+    # A text of one line is no block again, unless a template outgrows the windows of a line.
+    whole = F.when((F.size(lines) > 1) | F.lit(in_words > longest + 1), F.array(said)).otherwise(F.array().cast("array<string>"))
+    rows = docs.select(*text_keys(docs), F.size(lines).alias("n"), F.posexplode(F.concat(lines, whole)).alias("line", "said"))
     words = F.split(F.trim(F.regexp_replace("said", SEPARATORS, " ")), " ")
-    rows = lines.select("key1", "key2", "line", words.alias("words"))
-    wide = 2 * longest
-    last = F.ceil(F.greatest(F.size("words") - wide, F.lit(0)) / longest).cast("int")
-    windows = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice("words", k * longest + 1, F.lit(wide)))
+    rows = rows.select("key1", "key2", "line", words.alias("words"), F.when(F.col("line") == F.col("n"), in_words).otherwise(longest).alias("step"))
+    last = F.ceil(F.greatest(F.size("words") - 2 * F.col("step"), F.lit(0)) / F.col("step")).cast("int")
+    windows = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice("words", k * F.col("step") + 1, 2 * F.col("step")))
     return rows.select("key1", "key2", "line", F.posexplode(windows).alias("window", "words"))
 
 
@@ -109,7 +116,7 @@ def template_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = TH
         prefix += [(w, i, k, templates[k][0], ranked, len(ranked), need) for i, w in enumerate(ranked[: len(ranked) - need + 1])]
     schema = "word string, at_template int, template int, label string, ranked array<string>, size int, need int"
     index = docs.sparkSession.createDataFrame(prefix, schema)
-    rows = blocks(docs, max(map(len, sets)))
+    rows = blocks(docs, max(map(len, sets)), max(len(template_words(text)) for _, text in templates))
     # The words of a block that any template holds, in the global order.
     rows = rows.filter(F.arrays_overlap("words", _array(sorted({p[0] for p in prefix})))).withColumn("held", F.array_intersect(_array(order), "words"))
     met = rows.select("key1", "key2", "line", "window", "held", F.posexplode("held").alias("at_block", "word")).join(F.broadcast(index), "word")

@@ -59,6 +59,20 @@ def test_licenses(spark):
     assert want["labels"].str.contains("cc-by-nc").any()
 
 
+def test_wrapped_licences(spark):
+    """Templates wrapped over lines are found, wherever the lines break and whatever stands around them."""
+    around = "filler text\n" * 40
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted"
+    gpl = "This work is licensed under the GNU General Public\nLicense, version 3"
+    mit = dict(licenses.TEMPLATES[:2])["mit"].replace(" ", "\n")
+    rows = [(1, bsd), (2, gpl), (3, f"{around}{bsd}\n{around}"), (4, around + mit), (5, around)]
+    rows += [(6 + k, "x " * k + "\n" + bsd) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(docs).select("row.doc_id", "labels", "score").collect()}
+    assert got[2] == ("gpl", 1.0) and got[4] == ("mit", 1.0) and got[5] == ("", 0.0)
+    assert {got[i] for i in (1, 3, *range(6, 36))} == {("bsd", 1.0)}
+
+
 def test_contamination(spark):
     wide, plain = frames(spark)
     want = in_sql("op8_contamination", plain)
