@@ -87,7 +87,7 @@ def test_every_text_with_words_is_searched(spark, fitted):
     rows = toxicity.score(frame, model).select("evidence").collect()
     assert all(r.evidence and r.evidence[0].cosine > 0 for r in rows)
     signs = [f"sign{k}" for k in range(600)]
-    docs = [(i, " ".join(signs[i % 60 :: 60] + ["plain"]) if i % 2 else "plain text here") for i in range(1200)]
+    docs = [(i, " ".join(signs[i // 2 % 60 :: 60] + ["plain"]) if i % 2 else "plain text here") for i in range(1200)]
     many = spark.createDataFrame([(i, t, 1, "clash", "clash") for i, t in docs], DOCS)
     wide = toxicity.fit(many, spark.createDataFrame([(i, 1, i % 2) for i, _ in docs], LABELS))
     every = {w for i, t in docs if zlib.crc32(str(i).encode()) % 5 for w in t.split()}
