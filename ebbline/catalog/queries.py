@@ -549,8 +549,7 @@ def decision(spark, c):
 
 # --- model jobs ------------------------------------------------------------------------
 
-# Small budgets: two draws, few trees, two folds.
-SMALL_SPACE = dict(md.SEARCH_SPACE, n_estimators=(10, 20, 10), max_depth=(3, 4))
+# All run on the default budgets of the jobs.
 
 
 class _Fitted:
@@ -565,7 +564,7 @@ class _Fitted:
         vectors = store(md.encoded(self.encoder, self.rows, ["split"]))
         self.train_vectors = vectors.where(F.col("split") == "train").drop("split")
         self.val_vectors = vectors.where(F.col("split") == "val").drop("split")
-        self.params = md.TreeParams(maxIter=10, maxDepth=3)
+        self.params = md.TreeParams()
 
     def part(self, name: str) -> DataFrame:
         return self.rows.where(F.col("split") == name)
@@ -574,7 +573,7 @@ class _Fitted:
 @query
 def tuned_model(spark, c):
     fit = _Fitted(c)
-    trials = md.tune(fit.train_vectors, fit.val_vectors, 2, S.SEED, fit.bins, SMALL_SPACE)
+    trials = md.tune(fit.train_vectors, fit.val_vectors, seed=S.SEED, bins=fit.bins)
     rows = [(i + 1, *t.params, t.log_loss) for i, t in enumerate(trials)]
     names = "rank int, max_iter int, step_size double, max_depth int, min_instances int, " \
             "subsample double, feature_share string, min_gain double, log_loss double"
@@ -592,7 +591,7 @@ def trained_scores(spark, c):
 @query
 def calibrated_scores(spark, c):
     fit = _Fitted(c)
-    model = md.calibrate(fit.encoder, fit.train_vectors, fit.params, 2, fit.bins, S.SEED)
+    model = md.calibrate(fit.encoder, fit.train_vectors, fit.params, bins=fit.bins, seed=S.SEED)
     return md.score(model, fit.part("test")).select("customer_unique_id", TARGET, S.PREDICTION)
 
 

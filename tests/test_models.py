@@ -1,5 +1,6 @@
 """Model jobs and the whole way from the lake to a decision."""
 
+import inspect
 import math
 
 import pytest
@@ -166,3 +167,40 @@ def test_duel_of_runs(trained):
     mine = run.metrics.withColumnRenamed("model", "segment")
     assert settle(mine, None).first().has_champion is False
     assert settle(mine, mine).first().is_approved is False
+
+
+def test_catalog_runs_the_default_budgets(spark, monkeypatch):
+    """The registered model queries pass no budget of their own to the jobs."""
+    from ebbline.catalog import queries as q
+
+    class Asked(Exception):
+        pass
+
+    asked = {}
+
+    def job(name, *names):
+        real = inspect.signature(getattr(md, name))
+
+        def run(*args, **kwargs):
+            bound = real.bind(*args, **kwargs)
+            bound.apply_defaults()
+            asked[name] = tuple(bound.arguments[n] for n in names)
+            raise Asked
+
+        return run
+
+    monkeypatch.setattr(q, "_split", lambda c: spark.range(1).withColumn("split", F.lit("train")))
+    monkeypatch.setattr(q, "store", lambda df: df)
+    for name, value in {"fit_encoder": None, "max_bins": 32}.items():
+        monkeypatch.setattr(md, name, lambda *_, v=value: v)
+    monkeypatch.setattr(md, "encoded", lambda encoder, rows, *_: rows)
+    jobs = {"tune": ("n_trials", "space"), "train_model": ("params",), "calibrate": ("params", "folds")}
+    made = {name: job(name, *names) for name, names in jobs.items()}
+    for name, run in made.items():
+        monkeypatch.setattr(md, name, run)
+    for name, of in {"tuned_model": "tune", "trained_scores": "train_model", "calibrated_scores": "calibrate", "permutation_importance": "train_model"}.items():
+        asked.clear()
+        with pytest.raises(Asked):
+            getattr(q, name)(spark, None)
+        want = {"tune": (30, md.SEARCH_SPACE), "train_model": (md.TreeParams(),), "calibrate": (md.TreeParams(), 5)}
+        assert asked == {of: want[of]}
