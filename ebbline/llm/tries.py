@@ -58,7 +58,9 @@ def least_overlap(a: int, b: int, percent: int) -> int:
 
 def _grams(words: np.ndarray, k: int) -> np.ndarray:
     """Hash of the k words from each place on."""
-    total = np.full(max(len(words) - k + 1, 0), k, np.uint64)
+    if len(words) < k:
+        return np.zeros(0, np.uint64)
+    total = np.full(len(words) - k + 1, k, np.uint64)
     for i in range(k):
         total = mix(total * np.uint64(0xD1342543DE82EF95) + words[i : len(words) - k + 1 + i])
     return total
