@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, caps, contamination, counts, language, licenses, lm, pieces, toxicity, tries, warc
+from ebbline.llm import bpe, caps, contamination, counts, language, licenses, lm, pieces, toxicity, tries, turns, warc
 from ebbline.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -217,3 +217,9 @@ def op12_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """SentencePiece ids of every document and the text they decode to."""
     rows = pieces.digests(table(spark, folder, "documents"), pieces.Model(public_tokenizers.path("piece_bpe_32k.model")))
     return rows.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_covered")
+
+
+@query
+def op13_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, least edits and the repaired text of every damaged conversation."""
+    return turns.repair(turns.damaged(table(spark, folder, "conversations")))
