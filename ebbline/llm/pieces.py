@@ -7,16 +7,16 @@ normalised text stands the byte of the source it came from, so a piece, which is
 of normalised characters, is projected to a span of source bytes. Blanks are treated as
 the model says: a blank is put in front, runs of blanks fold, blanks become U+2581.
 
-Merging never crosses from another character to U+2581 if no piece of the vocabulary
-does; then a normalised text falls into runs that are merged on their own, and a task
-merges each distinct run once. Long texts are worked on in slices cut in front of a
-blank, so a task holds one slice's characters, places and ids at a time.
+Text normalised so is merged by the library, whose own normaliser is set aside; the widths
+of the pieces, added up, say which characters each stands for. Merging never crosses from
+another character to U+2581 if no piece of the vocabulary does; long texts are then worked
+on in slices cut in front of a blank, so a task holds one slice's characters, places and
+ids at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
 from collections.abc import Iterator, Sequence
 
@@ -32,8 +32,6 @@ from ebbline.llm.common import added, carried, small_batches
 BLANK = "▁"
 # Characters of a slice of a long text.
 SLICE = 1 << 20
-# Characters of the runs a task remembers; beyond that it starts afresh, which changes nothing but time.
-REMEMBERED = 4_000_000
 
 WORD_END = re.compile(f"[^ {BLANK}] ")
 PIECES = "array<struct<id:int,begin:bigint,end:bigint>>"
@@ -147,77 +145,34 @@ def _folded(said: str, at: np.ndarray) -> tuple[str, np.ndarray]:
 
 
 class Encoder:
-    """What a task builds from a model: merges by score, and the runs merged so far."""
+    """What a task builds from a model: the normaliser, merges of text that is normalised already, and widths of pieces."""
 
     def __init__(self, raw: bytes):
         model = proto.ModelProto.FromString(raw)
         kind = proto.ModelProto.SentencePiece
         self.normaliser = Normaliser.of(model.normalizer_spec)
-        self.pieces = [p.piece for p in model.pieces]
-        self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == kind.BYTE}
-        self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type == kind.NORMAL}
-        self.score = {p.piece: -p.score for p in model.pieces if p.type == kind.NORMAL}
         self.end = model.trainer_spec.eos_id
-        self.apart = not any(re.search(f"[^{BLANK}]{BLANK}", piece) for piece in self.ids)
-        self.runs = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+" if self.apart else r"[\s\S]+").findall
-        self.known: dict[str, tuple] = {}
-        self.held = 0
-
-    def merged(self, run: str) -> list[str]:
-        """The pieces of a run: the best-scored neighbours are joined, the leftmost of equals first."""
-        score = self.score.get
-        parts, after, before = list(run), list(range(1, len(run) + 1)), list(range(-1, len(run) - 1))
-        heap = [(s, k, two) for k, two in enumerate(map(str.__add__, run, run[1:])) if (s := score(two)) is not None]
-        heapq.heapify(heap)
-        while heap:
-            _, left, joined = heapq.heappop(heap)
-            right = after[left]
-            if right >= len(parts) or not parts[left] or parts[left] + parts[right] != joined:
-                continue  # one of the two has been joined with another since
-            parts[left], parts[right] = joined, ""
-            follow = after[left] = after[right]
-            if follow < len(parts):
-                before[follow] = left
-                if (s := score(joined + parts[follow])) is not None:
-                    heapq.heappush(heap, (s, left, joined + parts[follow]))
-            if (lead := before[left]) >= 0 and (s := score(parts[lead] + joined)) is not None:
-                heapq.heappush(heap, (s, lead, parts[lead] + joined))
-        return [p for p in parts if p]
-
-    def run(self, run: str) -> tuple[list[int], list[int], list[int], str]:
-        """Ids of a run, the characters each begins and ends at, and the ids in decimals."""
-        found = self.known.get(run)
-        if found is None:
-            ids, begin, end, at = [], [], [], 0
-            for piece in self.merged(run):
-                number = self.ids.get(piece)
-                if number is None:  # bytes of a character: the last one stands for the whole
-                    raw = piece.encode()
-                    ids += map(self.bytes.__getitem__, raw)
-                    begin += [at] * len(raw)
-                    end += [at] * (len(raw) - 1) + [at + len(piece)]
-                else:
-                    ids.append(number)
-                    begin.append(at)
-                    end.append(at + len(piece))
-                at += len(piece)
-            found = ids, begin, end, " ".join(map(str, ids))
-            if self.held > REMEMBERED:
-                self.known.clear()
-                self.held = 0
-            self.held += len(run)
-            self.known[run] = found
-        return found
-
-    def slices(self, text: str, size: int = SLICE) -> Iterator[tuple[list[tuple], np.ndarray, np.ndarray]]:
-        """For each slice: its runs, and the source bytes at which all their pieces begin and end."""
+        self.decimal = [str(i) for i in range(len(model.pieces))]
+        # A piece that holds no blank, for decoding a later slice as one that begins nothing.
+        self.lead = next(i for i, p in enumerate(model.pieces) if p.type == kind.NORMAL and BLANK not in p.piece)
+        # Slices end in front of a blank; no piece may reach across.
+        self.apart = not any(re.search(f"[^{BLANK}]{BLANK}", p.piece) for p in model.pieces if p.type == kind.NORMAL)
+        # Characters of a piece; -1 for a byte. Bytes within a character, behind its first.
+        self.wide = np.array([-1 if p.type == kind.BYTE else len(p.piece) for p in model.pieces], np.int32)
+        self.inner = np.array([p.type == kind.BYTE and 0x80 <= int(p.piece[3:5], 16) < 0xC0 for p in model.pieces])
+        model.normalizer_spec.ClearField("precompiled_charsmap")
+        model.normalizer_spec.add_dummy_prefix = model.normalizer_spec.remove_extra_whitespaces = False
+        self.merge = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString()).encode_as_numpy
+
+    def slices(self, text: str, size: int = SLICE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each slice: its ids, and the source bytes at which their pieces begin and end."""
         for said, at in self.normaliser.slices(text, size if self.apart else max(len(text), 1)):
-            runs = self.runs(said)
-            done = list(map(self.run, runs))
-            base = np.repeat(np.cumsum([0, *map(len, runs[:-1])]), [len(d[0]) for d in done])
-            first = np.fromiter((b for d in done for b in d[1]), np.int64, len(base))
-            last = np.fromiter((e for d in done for e in d[2]), np.int64, len(base))
-            yield done, at[base + first], at[base + last]
+            ids = self.merge(said)
+            wide = self.wide[ids]
+            # Of the bytes of a character the last one stands for the whole.
+            wide[:-1] -= (wide[:-1] < 0) & self.inner[ids[1:]]
+            last = np.cumsum(np.where(wide < -1, 0, abs(wide)))
+            yield ids, at[np.append(0, last[:-1])], at[last]
 
 
 def encode(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), size: int = SLICE) -> DataFrame:
@@ -233,16 +188,13 @@ def encode(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), siz
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model.raw)
         for batch in batches:
-            ids, begin, end, many = [], [], [], []
+            parts, many = [], []
             for text in batch.column(1).to_pylist():
-                before = len(ids)
-                for done, b, e in encoder.slices(text, size):
-                    for d in done:
-                        ids += d[0]
-                    begin.append(b)
-                    end.append(e)
-                many.append(len(ids) - before)
-            values = [pa.array(ids, pa.int32())] + [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (begin, end)]
+                found = list(encoder.slices(text, size))
+                many.append(sum(len(ids) for ids, _, _ in found))
+                parts += found
+            columns = zip(*parts) if parts else ([], [], [])
+            values = [pa.array(np.concatenate(x) if x else [], kind) for x, kind in zip(columns, (pa.int32(), pa.int64(), pa.int64()))]
             offsets = pa.array(np.cumsum([0, *many]), pa.int32())
             pieces = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(values, names=["id", "begin", "end"]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pieces], names=["row", "pieces"])
@@ -280,17 +232,15 @@ def digests(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), si
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, library = Encoder(model.raw), sentencepiece.SentencePieceProcessor(model_proto=model.raw)
-        # In front of a later slice, as decoding strips the blank that the first one was given.
-        lead = next(i for p, i in encoder.ids.items() if BLANK not in p)
-        cut = len(library.decode([lead]))
+        cut = len(library.decode([encoder.lead]))
         for batch in batches:
             made: list[tuple] = []
             for text in batch.column(1).to_pylist():
                 n, covered, ids_hash, text_hash = 0, 0, hashlib.sha256(), hashlib.sha256()
-                for nth, (done, begin, end) in enumerate(encoder.slices(text, size)):
-                    ids_hash.update("".join([d[3] + " " for d in done]).encode())
-                    ids = [i for d in done for i in d[0]]
-                    text_hash.update((library.decode([lead, *ids])[cut:] if nth else library.decode(ids)).encode())
+                for nth, (found, begin, end) in enumerate(encoder.slices(text, size)):
+                    ids = found.tolist()
+                    ids_hash.update("".join([encoder.decimal[i] + " " for i in ids]).encode())
+                    text_hash.update((library.decode([encoder.lead, *ids])[cut:] if nth else library.decode(ids)).encode())
                     n += len(ids)
                     covered += int((end - begin).sum())
                 ids_hash.update(str(encoder.end).encode())
