@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -39,9 +38,19 @@ BLOCK = 512
 LEAST_SIZE = 8
 
 
-@lru_cache(8)
+# Codes and heights made so far; a plain dictionary, as that travels with the functions that use it.
+_MADE: dict[tuple, object] = {}
+
+
 def _code(size: int, parts: int, words: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Rotation and codewords of each part, the same in every task."""
+    key = ("code", size, parts, words)
+    if key not in _MADE:
+        _MADE[key] = _make_code(size, parts, words)
+    return _MADE[key]
+
+
+def _make_code(size: int, parts: int, words: int) -> tuple[np.ndarray, list[np.ndarray]]:
     draw = np.random.default_rng([size, parts, words, 17])
     rotation, _ = np.linalg.qr(draw.normal(size=(size, size)))
     codes = []
@@ -60,16 +69,18 @@ def code_shape(vectors: int) -> tuple[int, int]:
     return parts, math.ceil(filters ** (1 / parts))
 
 
-@lru_cache(64)
 def height(size: int, parts: int, words: int, passed: int = PASSED) -> float:
     """Cosine that `passed` of all filters reach on average.
 
     The coordinate of a random unit vector along a direction has the density
     (1 - t^2)^((size - 3) / 2), whose tail is summed up here.
     """
-    t = np.linspace(1, -1, 400_001)
-    tail = np.cumsum(np.maximum(1 - t * t, 1e-300) ** ((size - 3) / 2))
-    return float(t[np.searchsorted(tail / tail[-1], min(0.5, passed / words**parts))])
+    key = ("height", size, parts, words, passed)
+    if key not in _MADE:
+        t = np.linspace(1, -1, 400_001)
+        tail = np.cumsum(np.maximum(1 - t * t, 1e-300) ** ((size - 3) / 2))
+        _MADE[key] = float(t[np.searchsorted(tail / tail[-1], min(0.5, passed / words**parts))])
+    return _MADE[key]
 
 
 def decode(vectors: np.ndarray, parts: int, words: int) -> list[np.ndarray]:

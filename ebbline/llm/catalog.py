@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, caps, contamination, counts, language, licenses, lm, pieces, toxicity, tries, turns, warc
+from ebbline.llm import bpe, caps, contamination, counts, language, licenses, lm, phrases, pieces, toxicity, tries, turns, warc
 from ebbline.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -212,6 +212,40 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM c LEFT JOIN n USI
 """
 
 
+@query
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """The best bound phrases of every language."""
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+ORACLE["op11_phrases"] = f"""
+WITH p AS (
+  SELECT row_number() OVER () AS piece, lang, regexp_extract_all(said, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER}, '[.,;:!?\x0A-\x0D]')) AS said FROM documents)
+), g AS (
+  SELECT lang, n, array_to_string(w[k : k + n - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS k FROM p, (SELECT unnest([1, 2, 3, 4]) AS n)) GROUP BY ALL
+), t AS (
+  SELECT lang, cast(sum(f) AS BIGINT) AS n FROM g WHERE n = 1 GROUP BY 1
+), c AS (
+  SELECT lang, n AS words, phrase, f AS a, string_split(phrase, ' ') AS w FROM g WHERE n > 1 AND f >= 30
+), k AS (
+  SELECT c.*, k, array_to_string(w[1 : k], ' ') AS front, array_to_string(w[k + 1 : words], ' ') AS back
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM c) c
+), s AS (
+  SELECT k.lang, k.phrase, k.a, min({{'score': cast((2000000::HUGEINT * k.a) // (x.f + y.f) AS BIGINT), 'k': k.k, 'l': x.f, 'r': y.f}}) AS cut
+  FROM k JOIN g x ON x.lang = k.lang AND x.phrase = k.front JOIN g y ON y.lang = k.lang AND y.phrase = k.back GROUP BY ALL
+), h AS (
+  SELECT lang, array_to_string(w[b : b + z - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, words - z + 2)) AS b FROM (SELECT *, unnest(range(2, words)) AS z FROM c)) GROUP BY ALL
+), o AS (
+  SELECT s.*, row_number() OVER (PARTITION BY lang ORDER BY cut.score DESC, a DESC, phrase) AS rank
+  FROM s LEFT JOIN h USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a
+)
+SELECT lang, rank, phrase, a, cut.l AS l, cut.r AS r, n, cut.score AS score FROM o JOIN t USING (lang) WHERE rank <= 2000
+"""
+
+
 @query
 def op12_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """SentencePiece ids of every document and the text they decode to."""

@@ -8,8 +8,6 @@ random number for each byte value, times powers of an odd number, summed modulo
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 
@@ -18,8 +16,17 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
-@lru_cache(1)
+# Made once in each task; a plain dictionary, as that travels with the functions that use it.
+_MADE: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    if "tables" not in _MADE:
+        _MADE["tables"] = _make_tables()
+    return _MADE["tables"]
+
+
+def _make_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     letters = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     up, down = np.full(PIECE, BASE, np.uint64), np.full(PIECE, INVERSE, np.uint64)
     up[0] = down[0] = 1
