@@ -578,3 +578,67 @@ ORACLE: dict[str, str] = {
         **VERDICT,
     ),
 }
+
+# --- encodings, curves and contributions -----------------------------------------------
+
+CODE_FOLD = f"CAST(floor(CAST({_draw('code-42')} AS DOUBLE) / 4294967296e0 * 5) AS INTEGER)"
+CODES = {
+    "train": TRAIN,
+    "rows": f"SELECT customer_unique_id, customer_state, target_is_churn AS hit, {CODE_FOLD} AS fold FROM train",
+    # Fold -1 stands for no fold: what is learnt from all rows.
+    "folds": "SELECT unnest([-1, 0, 1, 2, 3, 4]) AS of_fold",
+    "priors": "SELECT of_fold, avg(hit) AS prior FROM rows JOIN folds ON fold <> of_fold GROUP BY 1",
+    "learnt": """SELECT customer_state AS value, of_fold, count(*) FILTER (fold <> of_fold) AS n,
+      coalesce(sum(hit) FILTER (fold <> of_fold), 0) AS hits, count(*) FILTER (fold = of_fold) AS own
+      FROM rows, folds GROUP BY 1, 2""",
+    "codes": """SELECT value, of_fold, n, (hits + 20.0e0 * prior) / (n + 20.0e0) AS code
+      FROM learnt JOIN priors USING (of_fold) WHERE own > 0 OR of_fold = -1""",
+}
+CURVE = {
+    "points": f"""SELECT row_number() OVER (ORDER BY predicted_probability) AS i, predicted_probability AS x,
+      sum(target_is_churn) AS hits, count(*) AS n FROM ({TRAIN}) t GROUP BY predicted_probability""",
+    # The fit at a point: over all beginnings up to it, the greatest of the least means of what ends from it on.
+    "sums": """SELECT i, x, n, sum(hits) OVER w AS upto_hits, sum(n) OVER w AS upto_n,
+      sum(hits) OVER w - hits AS before_hits, sum(n) OVER w - n AS before_n FROM points WINDOW w AS (ORDER BY i)""",
+    "means": """SELECT a.i AS a, b.i AS b,
+      min(CAST(b.upto_hits - a.before_hits AS DOUBLE) / CAST(b.upto_n - a.before_n AS DOUBLE))
+        OVER (PARTITION BY a.i ORDER BY b.i DESC) AS least FROM sums a JOIN sums b ON a.i <= b.i""",
+    "fit": "SELECT m.b AS i, max(least) AS value FROM means m GROUP BY 1",
+    "blocks": """SELECT min(x) AS low, max(x) AS high, CAST(sum(n) AS DOUBLE) AS weight, value
+      FROM points JOIN fit USING (i) GROUP BY value""",
+}
+_CALIBRATED = """CASE WHEN low IS NULL THEN (SELECT value FROM turns ORDER BY low LIMIT 1)
+    WHEN x <= high OR next_low IS NULL THEN value
+    ELSE value + (x - high) * ((next_value - value) / (next_low - high)) END"""
+# What the fixed trees ask.
+_RECENT, _FEW, _RARE = "recency_days <= 200", "frequency <= 2", "frequency <= 5"
+
+ORACLE |= {
+    "category_codes": _with(
+        f"""SELECT 'customer_state' AS feature, value, CAST(nullif(of_fold, -1) AS INTEGER) AS fold, n,
+        {_round('code')} AS code FROM codes""",
+        **CODES,
+    ),
+    "encoded_categories": _with(
+        f"""SELECT customer_unique_id, {_round('code')} AS customer_state_code FROM rows r
+        JOIN codes c ON c.of_fold = r.fold AND c.value IS NOT DISTINCT FROM r.customer_state""",
+        **CODES,
+    ),
+    "isotonic_fit": _with(f"SELECT low, high, weight, {_round('value')} AS value FROM blocks", **CURVE),
+    "isotonic_scores": _with(
+        f"""SELECT customer_unique_id, {_round(_CALIBRATED)} AS calibrated
+        FROM tested ASOF LEFT JOIN turns ON x >= low""",
+        **CURVE,
+        turns="""SELECT *, lead(low) OVER (ORDER BY low) AS next_low, lead(value) OVER (ORDER BY low) AS next_value
+          FROM blocks""",
+        tested=f"SELECT customer_unique_id, {RECENCY_SCORE} AS x FROM ({SPLIT}) s WHERE split = 'test'",
+    ),
+    "fixed_contributions": _with(
+        f"""SELECT customer_unique_id, {_round('by_recency')} AS by_recency,
+        {_round('by_frequency')} AS by_frequency, {_round('base')} AS base,
+        {_round('base + by_recency + by_frequency')} AS margin
+      FROM (SELECT customer_unique_id, if({_RECENT}, -0.5e0, 0.5e0) AS by_recency,
+          if({_RECENT}, if({_FEW}, 0.3e0, -0.3e0), 0e0) + if({_RARE}, 0.09e0, -0.16e0) AS by_frequency,
+          0.11e0 AS base FROM ({TRAIN}) t) c"""
+    ),
+}

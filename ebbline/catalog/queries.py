@@ -13,10 +13,13 @@ from ebbline.catalog import study as S
 from ebbline.functions.stamps import within_days
 from ebbline.functions.values import round_half_up
 from ebbline.names import TARGET
+from ebbline.operators import contributions as ctb
 from ebbline.operators import decision as dec
 from ebbline.operators import drift as dr
+from ebbline.operators import encoding as enc
 from ebbline.operators import features as ft
 from ebbline.operators import gates
+from ebbline.operators import isotonic as iso
 from ebbline.operators import labels as lb
 from ebbline.operators import metrics as mt
 from ebbline.operators import models as md
@@ -547,6 +550,53 @@ def decision(spark, c):
     return dec.decision(_judged(c))
 
 
+# --- encodings, curves and contributions ---------------------------------------------
+
+
+@query
+def category_codes(spark, c):
+    """Label shares that stand for categories: by fold from the other folds, and from all rows."""
+    train = _train(c)
+    return _rounded(enc.category_codes(train, S.CATEGORICAL, enc.label_shares(train)), "code")
+
+
+@query
+def encoded_categories(spark, c):
+    """Training rows with the code of their category, learnt without their own fold."""
+    train = store(_train(c).select("customer_unique_id", TARGET, *S.CATEGORICAL))
+    encoder = enc.fit_encoder(train, prep.FeatureKinds([], list(S.CATEGORICAL)))
+    rows = encoder.coded(train, out_of_fold=True)
+    return _rounded(rows.select("customer_unique_id", F.col("__code_customer_state").alias("customer_state_code")), "customer_state_code")
+
+
+def _recency_points(c: Commerce) -> DataFrame:
+    return _scored(_train(c)).select(S.PREDICTION, F.col(TARGET).alias("label"))
+
+
+@query
+def isotonic_fit(spark, c):
+    """Blocks of equal label share along the recency score, exact over all training rows."""
+    return _rounded(iso.isotonic_blocks(_recency_points(c), ranges=8), "value")
+
+
+@query
+def isotonic_scores(spark, c):
+    """Test rows with the recency score brought onto the curve of the training rows."""
+    test = _scored(_split(c).where(F.col("split") == "test"))
+    rows = iso.apply_curve(test, iso.fit_isotonic(_recency_points(c)), S.PREDICTION, "calibrated")
+    return _rounded(rows.select("customer_unique_id", "calibrated"), "calibrated")
+
+
+@query
+def fixed_contributions(spark, c):
+    """What two features add to the margin of a fixed pair of trees, for every training row."""
+    features = F.array("recency_days", "frequency").alias("x")
+    rows = ctb.contributions(_train(c).select("customer_unique_id", features), spark.createDataFrame(S.TREES, ctb.NODES), "x", ["customer_unique_id"])
+    names = [F.get("contributions", F.lit(k)).alias(n) for k, n in enumerate(["by_recency", "by_frequency"])]
+    margin = (F.aggregate("contributions", F.col("base"), lambda a, b: a + b)).alias("margin")
+    return _rounded(rows.select("customer_unique_id", *names, "base", margin), "by_recency", "by_frequency", "base", "margin")
+
+
 # --- model jobs ------------------------------------------------------------------------
 
 # All run on the default budgets of the jobs.
@@ -560,8 +610,7 @@ class _Fitted:
         self.rows = store(_split(c))
         self.train = self.rows.where(F.col("split") == "train")
         self.encoder = md.fit_encoder(self.train, self.kinds)
-        self.bins = md.max_bins(self.encoder)
-        vectors = store(md.encoded(self.encoder, self.rows, ["split"]))
+        vectors = store(md.encoded_split(self.encoder, self.rows))
         self.train_vectors = vectors.where(F.col("split") == "train").drop("split")
         self.val_vectors = vectors.where(F.col("split") == "val").drop("split")
         self.params = md.TreeParams()
@@ -573,17 +622,17 @@ class _Fitted:
 @query
 def tuned_model(spark, c):
     fit = _Fitted(c)
-    trials = md.tune(fit.train_vectors, fit.val_vectors, seed=S.SEED, bins=fit.bins)
-    rows = [(i + 1, *t.params, t.log_loss) for i, t in enumerate(trials)]
-    names = "rank int, max_iter int, step_size double, max_depth int, min_instances int, " \
-            "subsample double, feature_share string, min_gain double, log_loss double"
+    trials = md.tune(fit.train_vectors, fit.val_vectors, seed=S.SEED)
+    rows = [(i + 1, t.asked, *t.params, t.log_loss, t.curve) for i, t in enumerate(trials)]
+    names = "rank int, trees_asked int, trees_kept int, step_size double, max_depth int, min_instances int, " \
+            "subsample double, feature_share string, min_gain double, log_loss double, curve array<double>"
     return spark.createDataFrame(rows, names)
 
 
 @query
 def trained_scores(spark, c):
     fit = _Fitted(c)
-    model = md.train_model(fit.train_vectors, fit.params, fit.bins, S.SEED)
+    model = md.train_model(fit.train_vectors, fit.params, seed=S.SEED)
     vectors = md.encoded(fit.encoder, fit.part("test"))
     return md.with_probability(model, vectors).select("customer_unique_id", S.PREDICTION)
 
@@ -591,7 +640,7 @@ def trained_scores(spark, c):
 @query
 def calibrated_scores(spark, c):
     fit = _Fitted(c)
-    model = md.calibrate(fit.encoder, fit.train_vectors, fit.params, bins=fit.bins, seed=S.SEED)
+    model = md.calibrate(fit.encoder, fit.train_vectors, fit.params, seed=S.SEED)
     return md.score(model, fit.part("test")).select("customer_unique_id", TARGET, S.PREDICTION)
 
 
@@ -605,5 +654,12 @@ def importance_fixed_score(spark, c):
 @query
 def permutation_importance(spark, c):
     fit = _Fitted(c)
-    model = md.train_model(fit.train_vectors, fit.params, fit.bins, S.SEED)
+    model = md.train_model(fit.train_vectors, fit.params, seed=S.SEED)
     return md.permutation_importance(fit.encoder, model, fit.train, fit.kinds)
+
+
+@query
+def mean_contributions(spark, c):
+    fit = _Fitted(c)
+    model = md.train_model(fit.train_vectors, fit.params, seed=S.SEED)
+    return md.mean_contributions(model, fit.train_vectors, fit.kinds)

@@ -30,3 +30,15 @@ NUMERICAL = (
 CATEGORICAL = ("customer_state",)
 MONITORED = ("recency_days", "tenure_days", "aov", "max_delivery_delay_days", "customer_state", "no_such_feature")
 N_BINS = 10
+
+# A fixed pair of trees over recency and frequency: tree, node, weight, value, feature, threshold, yes, no.
+TREES = [
+    (0, 0, 1.0, 0.1, 0, 200.0, 1, 2),
+    (0, 1, 1.0, -0.4, 1, 2.0, 3, 4),
+    (0, 2, 1.0, 0.6, -1, None, -1, -1),
+    (0, 3, 1.0, -0.1, -1, None, -1, -1),
+    (0, 4, 1.0, -0.7, -1, None, -1, -1),
+    (1, 0, 0.5, 0.02, 1, 5.0, 1, 2),
+    (1, 1, 0.5, 0.2, -1, None, -1, -1),
+    (1, 2, 0.5, -0.3, -1, None, -1, -1),
+]

@@ -5,26 +5,25 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from typing import NamedTuple
+from typing import NamedTuple, TypeVar
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbline.functions.values import unit_hash
 from ebbline.names import KEY, PREDICTION, TARGET
+from ebbline.operators.contributions import contribution_importance, tree_nodes
+from ebbline.operators.encoding import VECTOR, Encoder, fit_encoder, load_encoder
+from ebbline.operators.isotonic import apply_curve, fit_isotonic
 from ebbline.operators.metrics import log_error
 from ebbline.operators.prep import FeatureKinds
-from ebbline.operators.profiles import quantiles
 from ebbline.session import store
 
-VECTOR = "features_vector"
-
 # The search space and the budgets.
 SEARCH_SPACE = {
     "n_estimators": (100, 800, 100),
@@ -37,10 +36,16 @@ SEARCH_SPACE = {
 }
 N_TRIALS = 30
 CALIBRATION_FOLDS = 5
+# Trees without gain on the validation rows after which boosting ends.
+PATIENCE = 30
+
+# Trees of a first fit while looking for that end; each further fit has twice as many.
+FIRST_TREES = 50
+# Fits that run side by side. Each is a chain of small jobs that waits more than it works.
+FITS_AT_ONCE = 4
+BINS = 32
 
-# Default of the ``grid`` argument: held-out scores are calibrated, and scores are
-# looked up, on a grid this fine, which bounds the points of an isotonic fit.
-CALIBRATION_GRID = 1_000_000
+T = TypeVar("T")
 
 
 class TreeParams(NamedTuple):
@@ -77,46 +82,23 @@ def sample_params(n_trials: int, seed: int = 42, space: dict = SEARCH_SPACE) ->
 # --- inputs ----------------------------------------------------------------------------
 
 
-def fit_encoder(train: DataFrame, kinds: FeatureKinds) -> PipelineModel:
-    """Indexed categories, imputed numbers, one vector."""
-    stages = []
-    if kinds.categorical:
-        stages.append(
-            StringIndexer(
-                inputCols=kinds.categorical,
-                outputCols=[f"{c}_index" for c in kinds.categorical],
-                handleInvalid="keep",
-            )
-        )
-    if kinds.numerical:
-        # One number for each column: the lower median, exact at any size.
-        medians = {r.feature: r.quantiles[0] for r in quantiles(train, kinds.numerical, [0.5]).collect()}
-        filled = [
-            f"coalesce(nanvl(cast(`{c}` AS double), NULL), {float(medians.get(c, 0.0))!r}D) AS `{c}_filled`"
-            for c in kinds.numerical
-        ]
-        stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__"))
-    inputs = [f"{c}_index" for c in kinds.categorical] + [f"{c}_filled" for c in kinds.numerical]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=VECTOR))
-    return Pipeline(stages=stages).fit(train)
-
-
-def encoded(encoder: PipelineModel, df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+def encoded(encoder: Encoder, df: DataFrame, extra: Sequence[str] = (), out_of_fold: bool = False) -> DataFrame:
+    """Key, extra columns, label and vector; ``out_of_fold`` for the rows that the encoder was fitted on."""
     label = [F.col(TARGET).cast("double").alias("label")] if TARGET in df.columns else []
-    vectors = encoder.transform(df)
+    vectors = encoder.transform(df, out_of_fold)
     return vectors.select(*(c for c in (KEY, *extra) if c in df.columns), *label, VECTOR)
 
 
-def max_bins(encoder: PipelineModel) -> int:
-    """Bins for the trees: one per value of the widest category list and one for the rest."""
-    indexers = [s for s in encoder.stages if isinstance(s, StringIndexerModel)]
-    return max([32, *(len(labels) + 1 for s in indexers for labels in s.labelsArray)])
+def encoded_split(encoder: Encoder, rows: DataFrame) -> DataFrame:
+    """The vectors of a split table: out of fold for its training part, by all training rows for the others."""
+    train = encoded(encoder, rows.where(F.col("split") == "train"), ["split"], out_of_fold=True)
+    return train.unionByName(encoded(encoder, rows.where(F.col("split") != "train"), ["split"]))
 
 
 # --- training --------------------------------------------------------------------------
 
 
-def classifier(params: TreeParams, bins: int = 32, seed: int = 42) -> GBTClassifier:
+def classifier(params: TreeParams, bins: int = BINS, seed: int = 42) -> GBTClassifier:
     return GBTClassifier(
         labelCol="label",
         featuresCol=VECTOR,
@@ -133,14 +115,52 @@ def with_probability(model, df: DataFrame, name: str = PREDICTION) -> DataFrame:
     return scored.select(*df.columns, name)
 
 
-def validation_log_loss(model, val: DataFrame) -> float:
-    loss = F.avg(log_error(F.col("label"), F.col(PREDICTION)))
-    return with_probability(model, val).agg(loss).first()[0]
+def side_by_side(jobs: Sequence[Callable[[], T]], at_once: int = FITS_AT_ONCE) -> list[T]:
+    """Run independent fits in a bounded pool of threads; results in the order of the jobs."""
+    session = SparkSession.active()
+    with ThreadPoolExecutor(at_once) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(session)(job)) for job in jobs]]
 
 
 class Trial(NamedTuple):
+    """One draw: its parameters with the trees kept, their log loss, the trees asked for and the loss after each tree built."""
+
     params: TreeParams
     log_loss: float
+    asked: int
+    curve: list[float]
+
+
+def kept_trees(curve: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """The tree of the least loss so far once ``patience`` more trees brought none below it, and whether that came about."""
+    best, at = math.inf, 1
+    for k, loss in enumerate(curve, 1):
+        if loss < best:
+            best, at = loss, k
+        elif k - at >= patience:
+            return at, True
+    return at, False
+
+
+def boost(
+    train: DataFrame, val: DataFrame, params: TreeParams, bins: int = BINS, seed: int = 42, patience: int = PATIENCE, first: int = FIRST_TREES
+) -> Trial:
+    """Boost until the validation loss has not fallen for ``patience`` trees, or all trees asked for are built.
+
+    MLlib stops at the first tree that gains too little, so the number of trees is
+    found from outside: the first trees of a longer fit with the same seed are those
+    of a shorter one, and the loss after every tree is one pass over ``val``. Fits
+    double, so no more than three times the trees needed are built.
+    """
+    many = 0
+    while True:
+        many = min(params.maxIter, max(first, 2 * many))
+        model = classifier(params._replace(maxIter=many), bins, seed).fit(train)
+        # MLlib's loss is twice the log loss.
+        curve = [loss / 2.0 for loss in model.evaluateEachIteration(val)]
+        kept, ended = kept_trees(curve, patience)
+        if ended or many == params.maxIter:
+            return Trial(params._replace(maxIter=kept), curve[kept - 1], params.maxIter, curve)
 
 
 def tune(
@@ -148,102 +168,67 @@ def tune(
     val: DataFrame,
     n_trials: int = N_TRIALS,
     seed: int = 42,
-    bins: int = 32,
+    bins: int = BINS,
     space: dict = SEARCH_SPACE,
+    patience: int = PATIENCE,
 ) -> list[Trial]:
-    """Fit one model per draw and order the draws by validation log loss.
+    """One boosted model per draw, a few at a time, ordered by validation log loss.
 
-    Boosting stops early on the validation rows. Each fit is a distributed job
-    of its own; only the loss comes back.
+    Each fit is a distributed job of its own over the stored vectors; only losses come back.
     """
-    mark = "is_validation"
-    both = train.withColumn(mark, F.lit(False)).unionByName(val.withColumn(mark, F.lit(True)))
-    trials = []
-    for params in sample_params(n_trials, seed, space):
-        estimator = classifier(params, bins, seed).setValidationIndicatorCol(mark)
-        trials.append(Trial(params, validation_log_loss(estimator.fit(both), val)))
+    draws = sample_params(n_trials, seed, space)
+    trials = side_by_side([lambda p=p: boost(train, val, p, bins, seed, patience) for p in draws])
     return sorted(trials, key=lambda t: t.log_loss)
 
 
-def train_model(train: DataFrame, params: TreeParams, bins: int = 32, seed: int = 42):
+def train_model(train: DataFrame, params: TreeParams, bins: int = BINS, seed: int = 42):
     return classifier(params, bins, seed).fit(train)
 
 
 class CalibratedModel(NamedTuple):
-    """Fold models with their calibration maps; the score is their mean."""
+    """Fold models with their calibration curves; the score is their mean."""
 
-    encoder: PipelineModel
-    folds: list
-    grid: int | None = CALIBRATION_GRID
+    encoder: Encoder
+    folds: list[tuple[GBTClassificationModel, DataFrame]]
 
     def save(self, path: str) -> None:
         """Write all parts, and last of all a row that says how many folds there are."""
-        self.encoder.write().overwrite().save(f"{path}/encoder")
+        self.encoder.save(f"{path}/encoder")
         for i, (trees, curve) in enumerate(self.folds):
             trees.write().overwrite().save(f"{path}/fold_{i}/trees")
-            curve.write().overwrite().save(f"{path}/fold_{i}/curve")
-        facts = SparkSession.active().createDataFrame([(len(self.folds), self.grid)], "folds int, grid int")
+            curve.write.mode("overwrite").parquet(f"{path}/fold_{i}/curve")
+        facts = SparkSession.active().createDataFrame([(len(self.folds),)], "folds int")
         facts.write.mode("overwrite").parquet(f"{path}/facts")
 
 
 def load_calibrated(path: str) -> CalibratedModel:
     """The saved model with all of its folds."""
-    facts = SparkSession.active().read.parquet(f"{path}/facts").first()
-    return CalibratedModel(
-        PipelineModel.load(f"{path}/encoder"),
-        [
-            (
-                GBTClassificationModel.load(f"{path}/fold_{i}/trees"),
-                IsotonicRegressionModel.load(f"{path}/fold_{i}/curve"),
-            )
-            for i in range(facts.folds)
-        ],
-        facts.grid,
-    )
-
-
-def on_grid(score: Column, grid: int | None) -> Column:
-    """The score on a grid of that many steps; unchanged without one."""
-    return score if grid is None else F.round(score * grid) / grid
-
-
-def fit_isotonic(
-    scored: DataFrame, score: str = PREDICTION, grid: int | None = CALIBRATION_GRID
-) -> IsotonicRegressionModel:
-    """Isotonic map from score to label share, fitted on weighted distinct scores.
-
-    MLlib ends a fit in one place, so its points must be bounded: ``grid`` is that
-    bound, and scores are brought onto the same grid where the map is applied.
-    Without a grid the fit is exact on every distinct score.
-    """
-    points = (
-        scored.groupBy(on_grid(F.col(score), grid).alias(score))
-        .agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
-    )
-    return IsotonicRegression(featuresCol=score, labelCol="label", weightCol="weight").fit(points)
+    spark = SparkSession.active()
+    parts = [f"{path}/fold_{i}" for i in range(spark.read.parquet(f"{path}/facts").first().folds)]
+    folds = [(GBTClassificationModel.load(f"{p}/trees"), spark.read.parquet(f"{p}/curve")) for p in parts]
+    return CalibratedModel(load_encoder(f"{path}/encoder"), folds)
 
 
 def calibrate(
-    encoder: PipelineModel,
+    encoder: Encoder,
     train: DataFrame,
     params: TreeParams,
     folds: int = CALIBRATION_FOLDS,
-    bins: int = 32,
+    bins: int = BINS,
     seed: int = 42,
-    grid: int | None = CALIBRATION_GRID,
 ) -> CalibratedModel:
-    """Cross-fitted calibration: trees on the other folds, the map on the held-out one.
+    """Cross-fitted calibration: trees on the other folds, the isotonic curve on the held-out one.
 
     ``train`` is the encoded training table; a row's fold depends on its key only.
     """
     fold = F.floor(unit_hash(f"fold-{seed}", F.col(KEY)) * folds).cast("int")
     rows = train.withColumn("fold", fold)
-    fitted = []
-    for i in range(folds):
+
+    def fit(i: int) -> tuple[GBTClassificationModel, DataFrame]:
         trees = train_model(rows.where(F.col("fold") != i), params, bins, seed)
-        held_out = with_probability(trees, rows.where(F.col("fold") == i))
-        fitted.append((trees, fit_isotonic(held_out, grid=grid)))
-    return CalibratedModel(encoder, fitted, grid)
+        return trees, fit_isotonic(with_probability(trees, rows.where(F.col("fold") == i)))
+
+    return CalibratedModel(encoder, side_by_side([lambda i=i: fit(i) for i in range(folds)]))
 
 
 # --- scoring ---------------------------------------------------------------------------
@@ -251,12 +236,11 @@ def calibrate(
 
 def score(model: CalibratedModel, df: DataFrame) -> DataFrame:
     """Add the calibrated probability; every column of the table is kept."""
-    vectors = model.encoder.transform(df).select(*df.columns, VECTOR)
+    vectors = model.encoder.transform(df)
     parts = []
     for i, (trees, curve) in enumerate(model.folds):
         raw, part = f"raw_{i}", f"part_{i}"
-        vectors = with_probability(trees, vectors, raw).withColumn(raw, on_grid(F.col(raw), model.grid))
-        vectors = curve.copy().setFeaturesCol(raw).setPredictionCol(part).transform(vectors)
+        vectors = apply_curve(with_probability(trees, vectors, raw), curve, raw, part)
         parts.append(part)
     mean = reduce(lambda a, b: a + b, (F.col(p) for p in parts)) / float(len(parts))
     return vectors.select(*df.columns, mean.alias(PREDICTION))
@@ -333,7 +317,7 @@ def shuffle_importance(
 
 
 def permutation_importance(
-    encoder: PipelineModel,
+    encoder: Encoder,
     model,
     df: DataFrame,
     kinds: FeatureKinds,
@@ -349,8 +333,6 @@ def permutation_importance(
     return shuffle_importance(df, kinds.names, scored, n, seed)
 
 
-def tree_importance(model, kinds: FeatureKinds, spark) -> DataFrame:
-    """(feature, importance) as the trees themselves report it."""
-    names = kinds.categorical + kinds.numerical
-    values = [float(v) for v in model.featureImportances.toArray()]
-    return spark.createDataFrame(list(zip(names, values)), "feature string, importance double")
+def mean_contributions(model: GBTClassificationModel, vectors: DataFrame, kinds: FeatureKinds) -> DataFrame:
+    """(feature, importance): how much a feature moves the margin of a row on average, over all rows."""
+    return contribution_importance(vectors, tree_nodes(model, vectors.sparkSession), VECTOR, kinds.categorical + kinds.numerical)

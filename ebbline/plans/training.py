@@ -89,14 +89,13 @@ def train_run(
     rows = store(prep.hash_split(table, seed=seed))
     parts = {s: rows.where(F.col("split") == s).drop("split") for s in ("train", "val", "test")}
     encoder = models.fit_encoder(parts["train"], kinds)
-    bins = models.max_bins(encoder)
-    vectors = store(models.encoded(encoder, rows, ["split"]))
+    vectors = store(models.encoded_split(encoder, rows))
     train = vectors.where(F.col("split") == "train").drop("split")
     val = vectors.where(F.col("split") == "val").drop("split")
-    trials = models.tune(train, val, n_trials, seed, bins, space)
+    trials = models.tune(train, val, n_trials, seed, space=space)
     best = trials[0].params
-    base = models.train_model(train, best, bins, seed)
-    model = models.calibrate(encoder, train, best, folds, bins, seed)
+    base = models.train_model(train, best, seed=seed)
+    model = models.calibrate(encoder, train, best, folds, seed=seed)
     scored = models.score(model, parts["test"]).withColumn("model", F.lit(model_name))
     scored_train = store(models.score(model, parts["train"]))
     return TrainedRun(
@@ -107,7 +106,7 @@ def train_run(
         profiles.binned_profile(
             scored_train, [*kinds.numerical, PREDICTION], kinds.categorical, n_bins
         ),
-        models.permutation_importance(encoder, base, parts["train"], kinds, seed=seed),
+        store(models.mean_contributions(base, train, kinds)),
         prep.schema_contract(parts["train"], kinds),
         prep.split_sizes(rows),
     )

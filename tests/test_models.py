@@ -38,15 +38,6 @@ def test_hash_sample_is_bounded_and_repeatable(spark):
     assert once == {r[0] for r in people.orderBy(draw).limit(40).collect()}
 
 
-def test_isotonic_map_is_monotone(spark):
-    df = spark.range(2_000).select(
-        (F.col("id") / 2_000).alias("predicted_probability"),
-        ((F.col("id") * 7919 % 2_000) < F.col("id")).cast("double").alias("label"))
-    curve = md.fit_isotonic(df)
-    predictions = list(curve.predictions)
-    assert predictions == sorted(predictions) and 0 <= predictions[0] and predictions[-1] <= 1
-
-
 @pytest.fixture(scope="module")
 def base(spark, tmp_path_factory):
     """Orders from 1999 on as a lake."""
@@ -72,6 +63,7 @@ def trained(spark, base, tmp_path_factory):
 def test_training_run(spark, trained):
     run, path = trained
     assert [t.log_loss for t in run.trials] == sorted(t.log_loss for t in run.trials)
+    assert all(t.params.maxIter <= t.asked and t.log_loss == t.curve[t.params.maxIter - 1] for t in run.trials)
     row = run.metrics.first()
     assert all(math.isfinite(row[m]) for m in ("log_loss", "brier_score", "eroi", "optimal_threshold"))
     assert run.kinds.categorical == ["customer_state"] and len(run.kinds.numerical) == 8
@@ -191,14 +183,13 @@ def test_catalog_runs_the_default_budgets(spark, monkeypatch):
 
     monkeypatch.setattr(q, "_split", lambda c: spark.range(1).withColumn("split", F.lit("train")))
     monkeypatch.setattr(q, "store", lambda df: df)
-    for name, value in {"fit_encoder": None, "max_bins": 32}.items():
-        monkeypatch.setattr(md, name, lambda *_, v=value: v)
-    monkeypatch.setattr(md, "encoded", lambda encoder, rows, *_: rows)
+    monkeypatch.setattr(md, "fit_encoder", lambda *_: None)
+    monkeypatch.setattr(md, "encoded_split", lambda encoder, rows: rows)
     jobs = {"tune": ("n_trials", "space"), "train_model": ("params",), "calibrate": ("params", "folds")}
     made = {name: job(name, *names) for name, names in jobs.items()}
     for name, run in made.items():
         monkeypatch.setattr(md, name, run)
-    for name, of in {"tuned_model": "tune", "trained_scores": "train_model", "calibrated_scores": "calibrate", "permutation_importance": "train_model"}.items():
+    for name, of in {"tuned_model": "tune", "trained_scores": "train_model", "calibrated_scores": "calibrate", "permutation_importance": "train_model", "mean_contributions": "train_model"}.items():
         asked.clear()
         with pytest.raises(Asked):
             getattr(q, name)(spark, None)

@@ -22,7 +22,7 @@ def test_equals_sql(spark, con, name):
 
 def test_only_model_fits_have_no_sql():
     assert set(QUERIES) - set(ORACLE) == {
-        "tuned_model", "trained_scores", "calibrated_scores", "permutation_importance",
+        "tuned_model", "trained_scores", "calibrated_scores", "permutation_importance", "mean_contributions",
     }
     assert set(ORACLE) <= set(QUERIES)
 
