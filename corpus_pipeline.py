@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.llm import bpe, contamination, language, toxicity, tries
-from ebbline.llm.common import small, table
+from ebbline.llm.common import carried, small, table
 from ebbline.session import store
 
 # Texts whose language is less sure than this are rejected; four languages at random give 0.25.
 LEAST_SURE = 0.4
+# Columns that the last stage adds.
+ADDED = ["n_tokens", "ids_sha256", "decoded_sha256"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -42,7 +44,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> D
     """
     classes = tries.near_duplicates(docs)
     gone = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(small(gone), docs["doc_id"] == F.col("gone"), "left_anti")
+    # Columns of documents travel as one, so whatever their names, none is met twice.
+    rows = docs.select(carried(docs, docs.columns))
+    return rows.join(small(gone), F.col("row.doc_id") == F.col("gone"), "left_anti").select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -52,11 +56,15 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The documents with the number and digest of their ids; one that does not decode to its text goes."""
+    """The documents with the number and digest of their ids; one that does not decode to its text goes.
+
+    A column of documents that is named like one of the three added gives way to it.
+    """
     codec = bpe.Codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     coded = bpe.digests(docs, codec, docs.columns)
     same = F.col("decoded_sha256") == F.sha2(F.coalesce("row.text", F.lit("")), 256)
-    return coded.filter(same).select("row.*", "n_tokens", "ids_sha256", "decoded_sha256")
+    others = [F.col(f"row.`{c}`") for c in docs.columns if c.lower() not in ADDED]
+    return coded.filter(same).select(*others, *ADDED)
 
 
 STAGES = [
