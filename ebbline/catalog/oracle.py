@@ -382,8 +382,20 @@ ORACLE: dict[str, str] = {
     "run_table": _with(_labelled()),
     "published_day": _with(f"SELECT *, 'CURRENT_TELEMETRY_RESOLVED' AS status FROM ({TELEMETRY}) t"),
     "evaluation_day": _with("SELECT * FROM evaluation", evaluation=EVALUATION),
-    "required_columns": """SELECT * FROM (VALUES ('orders', 'order_status'), ('customers', 'customer_id'),
-        ('customers', 'customer_unique_id')) v(table_name, column_name)""",
+    "required_columns": _with(
+        """SELECT 'orders' AS table_name, 'order_status' AS column_name, count(*) AS n_rows FROM b_orders
+        UNION ALL SELECT 'customers', unnest(['customer_id', 'customer_unique_id']), count(*) FROM b_customers"""
+    ),
+    "published_report": _with(
+        f"""SELECT customer_unique_id, predicted_probability AS churn_probability,
+        CAST(predicted_probability >= 0.5 AS INTEGER) AS is_churn_risk,
+        {_round('predicted_probability * monetary_total', 2)} AS revenue_at_risk, inference_run_id,
+        predicted_probability, 2001 AS year, 7 AS month, 1 AS day FROM ({TELEMETRY}) t"""
+    ),
+    "empty_matrix": _with(
+        f"""SELECT '{S.START}' AS start_date, '{S.CUTOFF}' AS end_date, count(*) AS n_rows, count(*) = 0 AS is_halted
+        FROM ({_features()}) f UNION ALL SELECT '{S.BEFORE_ALL[0]}', '{S.BEFORE_ALL[1]}', 0, true"""
+    ),
     "partition_months": _with(
         f"""SELECT DISTINCT 'orders' AS dataset, year, month FROM b_orders WHERE {MONTH_RANGE}
         UNION SELECT DISTINCT 'customers', year, month FROM b_customers WHERE {MONTH_RANGE}

@@ -28,7 +28,7 @@ from ebbline.operators import prep
 from ebbline.operators import profiles as pr
 from ebbline.operators import reports as rp
 from ebbline.session import pin, shared_folder, store, tune
-from ebbline.sources import lake
+from ebbline.sources import commits, lake
 from ebbline.sources.star import Commerce, commerce
 from ebbline.sources.telemetry import current_telemetry, partition_statuses
 
@@ -228,9 +228,9 @@ def run_table(spark, c):
 
 @query
 def published_day(spark, c):
-    """Telemetry of a day, published with its marker and found by monitoring."""
+    """Telemetry of a day, committed and found by monitoring."""
     base = _fresh_folder(spark, "published")
-    lake.publish_day({"telemetry": _telemetry(c)}, base, S.EXECUTION)
+    commits.publish_day({"telemetry": _telemetry(c)}, base, S.EXECUTION)
     today = current_telemetry(spark, f"{base}/telemetry", S.EXECUTION)
     return today.scores.withColumn("status", F.lit(today.status))
 
@@ -239,7 +239,26 @@ def published_day(spark, c):
 def evaluation_day(spark, c):
     """The evaluation set of a day as it was written."""
     base = _fresh_folder(spark, "evaluations")
-    return spark.read.parquet(lake.write_day(_evaluation(c), base, S.EXECUTION))
+    commits.publish_day({"evaluations": _evaluation(c)}, base, S.EXECUTION)
+    return commits.read_day(spark, f"{base}/evaluations", S.EXECUTION)
+
+
+@query
+def published_report(spark, c):
+    """A day's report (CSV) and telemetry published twice and read back together, one row per person.
+
+    The first version holds no one; a third publication breaks off before its commit.
+    """
+    base = _fresh_folder(spark, "reports")
+    scored = store(_scored(_features(c, S.EXECUTION)))
+    kinds = {"business_report": "csv"}
+    outputs = {"telemetry": rp.telemetry_log(scored, S.RUN), "business_report": rp.business_report(scored)}
+    commits.publish_day({n: df.limit(0) for n, df in outputs.items()}, base, S.EXECUTION, kinds)
+    commits.publish_day(outputs, base, S.EXECUTION, kinds, rerun=True)
+    commits.write_day(outputs["telemetry"].limit(1), f"{base}/telemetry", S.EXECUTION)
+    report = commits.read_day(spark, f"{base}/business_report", S.EXECUTION)
+    told = commits.read_days(spark, f"{base}/telemetry").select("customer_unique_id", "inference_run_id", S.PREDICTION, "year", "month", "day")
+    return report.join(told, "customer_unique_id", "full")
 
 
 @query
@@ -250,8 +269,26 @@ def required_columns(spark, c):
         "customers": c.customers.select("customer_state"),
         "order_payments": c.payments,
     }
-    rows = [(name, column) for name, df in tables.items() for column in gates.missing_columns(name, df)]
-    return spark.createDataFrame(rows, "table_name string, column_name string")
+    # The rows that the gap concerns are counted too.
+    lacking = [(df, name, column) for name, df in tables.items() for column in gates.missing_columns(name, df)]
+    counted = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), F.lit(x).alias("column_name"), "n_rows") for df, n, x in lacking]
+    return reduce(DataFrame.unionByName, counted)
+
+
+@query
+def empty_matrix(spark, c):
+    """Matrices of two windows, one before all orders: whether scoring halts for want of rows."""
+    parts = []
+    for start, end in ((S.START, S.CUTOFF), S.BEFORE_ALL):
+        matrix = ft.feature_matrix(*c, start, end)
+        try:
+            gates.require_rows(matrix)
+            halted = False
+        except gates.GateError:
+            halted = True
+        counted = matrix.agg(F.count(F.lit(1)).alias("n_rows"))
+        parts.append(counted.select(F.lit(start).alias("start_date"), F.lit(end).alias("end_date"), "n_rows", F.lit(halted).alias("is_halted")))
+    return parts[0].unionByName(parts[1])
 
 
 @query

@@ -15,6 +15,7 @@ RUN = "run-2001-07-01"
 MODEL = "model-2000-01-01"
 
 SCAN_START, SCAN_END = "1997-03-15", "1998-02-10 12:00:00"
+BEFORE_ALL = ("1980-01-01", "1980-06-01")
 CALENDAR_START, CALENDAR_END = "1994-12-20", "1995-03-10"
 
 NUMERICAL = (

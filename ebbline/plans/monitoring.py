@@ -13,7 +13,7 @@ from ebbline.operators import drift, performance
 from ebbline.operators.labels import future_targets
 from ebbline.plans.training import lake_tables
 from ebbline.session import pin
-from ebbline.sources.lake import write_day
+from ebbline.sources.commits import publish_day
 from ebbline.sources.telemetry import MATURED, current_telemetry, lookback_day, lookback_telemetry
 
 
@@ -70,7 +70,8 @@ def watch_day(
         past.scores.select(KEY, PREDICTION), past.labels
     )
     if evaluations_out and past.status == MATURED:
-        write_day(evaluation, evaluations_out, day)
+        base, _, name = evaluations_out.rpartition("/")
+        publish_day({name: evaluation}, base, day, rerun=True)
     measured = pin(performance.performance_report(evaluation).withColumns(keyed))
     judged = rules.judged(report, measured, baseline, **limits)
     return Watch(

@@ -11,7 +11,7 @@ from ebbline.operators import gates, models, prep, reports
 from ebbline.operators.features import feature_matrix
 from ebbline.plans.training import lake_tables
 from ebbline.session import store
-from ebbline.sources.lake import day_is_complete, publish_day
+from ebbline.sources.commits import day_is_complete, publish_day
 
 # Fixed value: scoring looks at everything since the first day of business.
 SCORING_START = "2015-01-01"

@@ -1,10 +1,9 @@
-"""The partitioned lake: ingest, layout by day, availability, publishing."""
+"""The partitioned lake: ingest, layout by day, availability."""
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Iterable, Mapping
-from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,6 @@ from pyspark.sql.types import StructType
 
 from ebbline.functions.stamps import (
     PARTITION_COLUMNS,
-    parse_instant,
     parse_window,
     stamp,
     window_months,
@@ -28,6 +26,8 @@ ORDER_STAMPS = (
     "order_estimated_delivery_date",
     "order_delivered_customer_date",
 )
+# Fixed value: what is said of a table without a month of the window.
+NO_OVERLAP = "(No temporal overlap)"
 ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -39,7 +39,7 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return null_for_nan(spark.read.parquet(f"{base}/{name}"))
 
 
-def read_if_present(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+def read_if_present(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame | None:
     """The Parquet data under ``path``, or None where nothing has been written."""
     try:
         reader = spark.read.schema(schema) if schema else spark.read
@@ -222,7 +222,7 @@ def missing_datasets(
             continue
         number = F.col("year").cast("int") * 12 + F.col("month").cast("int")
         if table.where(number.between(first, last)).isEmpty():
-            missing.append(f"{name} (No temporal overlap)")
+            missing.append(f"{name} {NO_OVERLAP}")
     return missing
 
 
@@ -232,66 +232,3 @@ def require_datasets(
     missing = missing_datasets(spark, base, names, start, end)
     if missing:
         raise FileNotFoundError(f"not in the lake: {', '.join(missing)}")
-
-
-# --- publishing a day ------------------------------------------------------------------
-
-
-def day_folder(base: str, day: str | date) -> str:
-    if not isinstance(day, (date, datetime)):
-        day = parse_instant(day)
-    return f"{base}/year={day.year}/month={day.month:02d}/day={day.day:02d}"
-
-
-def _marker(spark: SparkSession, folder: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
-
-
-def day_is_complete(spark: SparkSession, base: str, day: str | date) -> bool:
-    files, path = _marker(spark, day_folder(base, day))
-    return files.exists(path)
-
-
-def write_day(df: DataFrame, base: str, day: str | date, kind: str = "parquet") -> str:
-    """Replace one day of a table, without marking it complete."""
-    folder = day_folder(base, day)
-    plain = df.drop(*PARTITION_COLUMNS)
-    writer = plain.write.mode("overwrite").option(
-        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
-    )
-    if kind == "csv":
-        writer.option("header", "true").option("escape", '"').csv(folder)
-    else:
-        writer.option("compression", "snappy").parquet(folder)
-    return folder
-
-
-def mark_day_complete(spark: SparkSession, base: str, day: str | date) -> None:
-    files, path = _marker(spark, day_folder(base, day))
-    files.create(path, True).close()
-
-
-def publish_day(
-    tables: Mapping[str, DataFrame],
-    base: str,
-    day: str | date,
-    kinds: Mapping[str, str] | None = None,
-    rerun: bool = False,
-) -> bool:
-    """Publish one day of several tables; False where it was already complete.
-
-    The first table carries the deciding marker. Every day folder is replaced
-    whole, other days stay untouched, and the markers are set only after the
-    last table has been written: a run that stops halfway is done again.
-    """
-    names = list(tables)
-    spark = tables[names[0]].sparkSession
-    if not rerun and day_is_complete(spark, f"{base}/{names[0]}", day):
-        log.info("day %s is complete, nothing to do", day)
-        return False
-    for name in names:
-        write_day(tables[name], f"{base}/{name}", day, (kinds or {}).get(name, "parquet"))
-    for name in reversed(names):
-        mark_day_complete(spark, f"{base}/{name}", day)
-    return True

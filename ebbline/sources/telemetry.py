@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.functions.stamps import parse_instant, partition_day, plus_days, within_days
+from ebbline.functions.values import null_for_nan
 from ebbline.names import KEY, PREDICTION, TARGET
 from ebbline.operators.labels import check_maturity, matured_labels
-from ebbline.sources.lake import day_folder, day_is_complete, read_if_present
+from ebbline.sources.commits import day_folder, read_day
+from ebbline.sources.lake import read_if_present
 
 # The status words.
 RESOLVED, NO_TRAFFIC = "CURRENT_TELEMETRY_RESOLVED", "SKIPPED_ZERO_TRAFFIC_DAY"
@@ -35,14 +37,13 @@ class Lookback(NamedTuple):
 def current_telemetry(spark: SparkSession, base: str, day: str) -> Telemetry:
     """The scores of ``day``; a day without traffic gives a typed frame of no rows.
 
-    So does a day that was not published to its end: its marker is not there yet.
+    So does a day that was not published to its end: it has files, but no commit.
     """
-    found = read_if_present(spark, day_folder(base, day))
-    if found is None:
-        return Telemetry(spark.createDataFrame([], NO_TELEMETRY), NO_TRAFFIC)
-    if not day_is_complete(spark, base, day):
-        return Telemetry(spark.createDataFrame([], NO_TELEMETRY), INCOMPLETE)
-    return Telemetry(found, RESOLVED)
+    found = read_day(spark, base, day)
+    if found is not None:
+        return Telemetry(null_for_nan(found), RESOLVED)
+    begun = read_if_present(spark, day_folder(base, day)) is not None
+    return Telemetry(spark.createDataFrame([], NO_TELEMETRY), INCOMPLETE if begun else NO_TRAFFIC)
 
 
 def lookback_day(day: str, lookback_days: int) -> str:

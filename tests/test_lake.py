@@ -11,7 +11,7 @@ from ebbline.functions.stamps import within_window
 from ebbline.operators import gates
 from ebbline.operators.features import feature_matrix
 from ebbline.operators.labels import future_targets
-from ebbline.sources import lake
+from ebbline.sources import commits, lake
 from ebbline.sources.star import commerce
 from ebbline.sources.telemetry import current_telemetry, lookback_telemetry
 
@@ -134,35 +134,60 @@ def test_publishing_a_day_is_idempotent(spark, tmp_path):
     base, day = str(tmp_path), "2023-06-01"
     first = {"telemetry": spark.range(2), "report": spark.range(5)}
     kinds = {"report": "csv"}
-    assert lake.publish_day(first, base, day, kinds)
-    assert lake.day_is_complete(spark, f"{base}/report", day)
-    assert not lake.publish_day({"telemetry": spark.range(9), "report": spark.range(9)}, base, day, kinds)
-    assert spark.read.parquet(f"{base}/telemetry").count() == 2
-    assert lake.publish_day({"telemetry": spark.range(7), "report": spark.range(1)}, base, day, kinds, rerun=True)
-    assert lake.publish_day(first, base, "2023-06-02", kinds)
-    counts = spark.read.parquet(f"{base}/telemetry").groupBy("day").count().collect()
+    assert commits.publish_day(first, base, day, kinds)
+    assert commits.day_is_complete(spark, f"{base}/report", day)
+    assert not commits.publish_day({"telemetry": spark.range(9), "report": spark.range(9)}, base, day, kinds)
+    assert commits.read_days(spark, f"{base}/telemetry").count() == 2
+    assert commits.publish_day({"telemetry": spark.range(7), "report": spark.range(1)}, base, day, kinds, rerun=True)
+    assert commits.publish_day(first, base, "2023-06-02", kinds)
+    counts = commits.read_days(spark, f"{base}/telemetry").groupBy("day").count().collect()
     assert {r.day: r["count"] for r in counts} == {1: 7, 2: 2}
-    report = spark.read.option("header", "true").csv(f"{base}/report/year=2023/month=06/day=01")
-    assert report.columns == ["id"] and report.count() == 1
+    report = commits.read_day(spark, f"{base}/report", day)
+    assert report.dtypes == [("id", "bigint")] and report.count() == 1
+    assert commits.read_day(spark, f"{base}/report", "2023-06-03") is None
+    assert not commits.day_is_complete(spark, f"{base}/elsewhere", day)
 
 
 def test_a_publish_that_broke_off_is_done_again(spark, tmp_path):
     base, day = str(tmp_path), "2023-06-01"
     broken = spark.range(2).select(F.raise_error(F.lit("lost")).cast("string").alias("id"))
     with pytest.raises(Exception, match="lost"):
-        lake.publish_day({"orders": spark.range(2), "payments": broken}, base, day)
-    assert not lake.day_is_complete(spark, f"{base}/orders", day)
-    assert lake.publish_day({"orders": spark.range(3), "payments": spark.range(3)}, base, day)
-    assert spark.read.parquet(f"{base}/orders").count() == 3
+        commits.publish_day({"orders": spark.range(2), "payments": broken}, base, day)
+    assert not commits.day_is_complete(spark, f"{base}/orders", day)
+    assert commits.publish_day({"orders": spark.range(3), "payments": spark.range(3)}, base, day)
+    assert commits.read_day(spark, f"{base}/orders", day).count() == 3
+
+
+def test_a_rerun_that_broke_off_leaves_the_day_as_it_was(spark, tmp_path):
+    base, day = str(tmp_path), "2023-06-01"
+    assert commits.publish_day({"orders": spark.range(2), "payments": spark.range(4)}, base, day)
+    held = commits.read_day(spark, f"{base}/payments", day)
+    broken = spark.range(2).select(F.raise_error(F.lit("lost")).cast("string").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        commits.publish_day({"orders": spark.range(9), "payments": broken}, base, day, rerun=True)
+    assert commits.day_is_complete(spark, f"{base}/orders", day)
+    assert [commits.read_day(spark, f"{base}/{n}", day).count() for n in ("orders", "payments")] == [2, 4]
+    assert commits.read_days(spark, f"{base}/orders").count() == 2
+    # A later version does not pull the files away from a reader of an earlier one.
+    assert commits.publish_day({"orders": spark.range(1), "payments": spark.range(1)}, base, day, rerun=True)
+    assert held.count() == 4 and commits.read_day(spark, f"{base}/payments", day).count() == 1
+
+
+def test_tables_of_a_day_may_be_published_apart(spark, tmp_path):
+    base, day = str(tmp_path), "2023-06-01"
+    commits.publish_day({"a": spark.range(1)}, base, day)
+    commits.publish_day({"b": spark.range(2)}, base, day)
+    commits.publish_day({"b": spark.range(3)}, base, day, rerun=True)
+    assert [commits.read_days(spark, f"{base}/{n}").count() for n in "ab"] == [1, 3]
 
 
 def test_days_without_telemetry(spark, tmp_path, toy):
-    base = str(tmp_path)
+    base = str(tmp_path / "telemetry")
     scores = spark.createDataFrame([("u1", 0.9), ("u9", 0.1)], "customer_unique_id string, predicted_probability double")
-    lake.write_day(scores, base, "2023-06-01")
+    version = commits.write_day(scores, base, "2023-06-01")
     half = current_telemetry(spark, base, "2023-06-01")
     assert (half.status, half.scores.count()) == ("SKIPPED_INCOMPLETE_DAY", 0)
-    lake.mark_day_complete(spark, base, "2023-06-01")
+    commits.commit_day({"telemetry": scores}, str(tmp_path), "2023-06-01", version)
     today = current_telemetry(spark, base, "2023-06-01")
     assert (today.scores.count(), today.status) == (2, "CURRENT_TELEMETRY_RESOLVED")
     absent = current_telemetry(spark, base, "2023-06-02")
