@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.operators.prep import long_values
+from ebbline.session import store
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -55,8 +56,10 @@ def bin_of(value: Column, edges: Column) -> Column:
     return F.size(F.filter(inner, lambda edge: value >= edge))
 
 
-# Cells that a column is cut into while its quantiles are looked for.
+# Cells that a column, or a cell of one, is cut into while its quantiles are looked for,
+# and the distinct values that are put in order in one task.
 CELLS = 256
+HELD = 200_000
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -69,46 +72,55 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """(feature, quantiles): for each share the least value that as large a part of the column reaches.
-
-    Exact at any size.
+def hit_cells(values: DataFrame, shares: Sequence[float], held: int = HELD, cells: int = CELLS) -> DataFrame:
+    """(feature, path, value, n, before, ranks): the values among which the wanted ranks lie, by cell.
 
-    A summary of fixed size cuts each column into cells of nearly equal weight. All
-    rows are counted by cell, which shows the cells that the wanted ranks fall
-    into, and only values of those cells are put in order: about a 256th of a
-    column in a task.
+    A column is one cell to begin with. Cells that hold more than ``held`` distinct
+    values are cut at quantiles of a summary of fixed size and counted, and only the
+    parts that a wanted rank falls into are kept, until none holds more. ``before``
+    counts the rows below a cell, ``ranks`` are those that fall into it.
     """
-    steps = [i / CELLS for i in range(1, CELLS)]
-    guide = (
-        long_values(df, columns, "double")
-        .where(F.col("value").isNotNull())
-        .groupBy("feature")
-        .agg(F.array_distinct(F.percentile_approx("value", steps)).alias("guide"))
-    )
-    cell = F.size(F.filter("guide", lambda g: F.col("value") > g))
-    # One row of at most CELLS numbers per listed column.
-    placed = value_counts(df, columns).join(F.broadcast(guide), "feature").select("feature", "value", "n", cell.alias("cell"))
-    below = Window.partitionBy("feature").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = (
-        placed.groupBy("feature", "cell")
-        .agg(F.sum("n").alias("n"))
-        .withColumns(
-            {
-                "before": F.coalesce(F.sum("n").over(below), F.lit(0)),
-                "total": F.sum("n").over(Window.partitionBy("feature")),
-            }
-        )
-    )
     asked = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(x).alias("share")) for i, x in enumerate(shares)))
     ranks = F.transform(
         asked, lambda s: F.struct(s["i"].alias("i"), F.greatest(F.lit(1), F.ceil(s["share"] * F.col("total"))).alias("rank"))
     )
-    mine = F.filter(ranks, lambda r: (r["rank"] > F.col("before")) & (r["rank"] <= F.col("before") + F.col("n")))
-    wanted = cells.withColumn("ranks", mine).where(F.size("ranks") > 0)
-    upto = Window.partitionBy("feature", "cell").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    # At most one row per listed column and share.
-    inside = placed.join(F.broadcast(wanted.select("feature", "cell", "before", "ranks")), ["feature", "cell"])
+    # One row per listed column.
+    totals = values.groupBy("feature").agg(F.sum("n").alias("total")).select("feature", ranks.alias("ranks"))
+    none = F.lit(0).cast("bigint")
+    open_ = values.join(F.broadcast(totals), "feature").select("feature", none.alias("path"), "value", "n", none.alias("before"), "ranks")
+    most = values.groupBy("feature").count().agg(F.max("count")).first()[0] or 0
+    steps = [i / cells for i in range(1, cells)]
+    while most > held:
+        # One row of at most `cells` numbers for each open cell, of which there is at most one a column and share.
+        guide = open_.groupBy("feature", "path").agg(F.array_distinct(F.percentile_approx("value", steps)).alias("guide"))
+        part = F.size(F.filter("guide", lambda g: F.col("value") > g))
+        placed = open_.join(F.broadcast(guide), ["feature", "path"]).withColumn("part", part).drop("guide")
+        below = Window.partitionBy("feature", "path").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        counted = (
+            placed.groupBy("feature", "path", "part")
+            .agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("many"), F.first("before").alias("start"), F.first("ranks").alias("all"))
+            .withColumn("start", F.col("start") + F.coalesce(F.sum("rows").over(below), F.lit(0)))
+        )
+        mine = F.filter("all", lambda r: (r["rank"] > F.col("start")) & (r["rank"] <= F.col("start") + F.col("rows")))
+        hit = store(counted.withColumn("hit", mine).where(F.size("hit") > 0).drop("all", "rows"))
+        open_ = store(
+            placed.join(F.broadcast(hit), ["feature", "path", "part"]).select(
+                "feature", (F.col("path") * cells + F.col("part")).alias("path"), "value", "n",
+                F.col("start").alias("before"), F.col("hit").alias("ranks"),
+            )
+        )
+        most = hit.agg(F.max("many")).first()[0] or 0
+    return open_
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], held: int = HELD) -> DataFrame:
+    """(feature, quantiles): for each share the least value that as large a part of the column reaches.
+
+    Exact at any size: each value is counted once, and at most ``held`` of them are
+    put in order in one task.
+    """
+    inside = hit_cells(store(value_counts(df, columns)), shares, held)
+    upto = Window.partitionBy("feature", "path").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     last = inside.withColumn("last", F.col("before") + F.sum("n").over(upto))
     here = F.filter("ranks", lambda r: (r["rank"] <= F.col("last")) & (r["rank"] > F.col("last") - F.col("n")))
     hit = last.select("feature", "value", F.explode(here).alias("of"))

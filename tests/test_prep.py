@@ -1,5 +1,8 @@
 """Split, contract and profiles."""
 
+import math
+import random
+
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
@@ -119,3 +122,23 @@ def test_quantiles_are_exact_at_any_size(spark):
         values = sorted(v for v in frame[name] if v == v)
         want = [values[max(1, -(-i * len(values) // 10)) - 1] for i in range(11)]
         assert found[name] == want
+
+
+@pytest.mark.parametrize(("held", "cells"), [(40, 4), (7, 16), (10**6, 256)])
+def test_quantiles_put_few_values_in_order(spark, held, cells):
+    """Cells are cut until each holds few values; what comes out does not depend on it."""
+    draw = random.Random(11)
+    xs = [draw.choice([draw.gauss(0, 1), 5.0, draw.random() * 1e-9]) for _ in range(3000)]
+    df = spark.createDataFrame([(x, float(i), 1.0, None) for i, x in enumerate(xs)], "a double, b double, c double, d double").repartition(6)
+    shares = [i / 10 for i in range(11)]
+    values = pr.value_counts(df, df.columns)
+    cut = pr.hit_cells(values, shares, held, cells)
+    sizes = cut.groupBy("feature", "path").count().collect()
+    assert max(r["count"] for r in sizes) <= held
+    if held < 100:
+        assert cut.count() <= held * 3 * len(shares) < values.count()
+    found = {r.feature: r.quantiles for r in pr.quantiles(df, df.columns, shares, held).collect()}
+    ranked = sorted(xs)
+    assert found["a"] == [ranked[max(1, math.ceil(s * 3000)) - 1] for s in shares]
+    assert found["b"] == [float(max(1, math.ceil(s * 3000)) - 1) for s in shares]
+    assert found["c"] == [1.0] * 11 and "d" not in found
