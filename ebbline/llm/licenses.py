@@ -3,7 +3,9 @@
 A block is a line of a text, or, of a line longer than twice the longest template,
 each window of that length at half its steps. Of a text of several lines, the
 windows over all its words are blocks too, so that a template wrapped over lines
-stands whole in one. A template is found in a block that holds at least `THRESHOLD` of its distinct words. The join is exact: words are
+stands whole in one. A template is found in a block that holds at least `THRESHOLD`
+of its distinct words; as a block holds no word that its text does not, only texts
+that hold as many of a template's words are cut into blocks. The join is exact: words are
 ordered by the number of documents that hold them, rarest first; a block that
 reaches the threshold holds one of the first |T| - need + 1 words of the template
 T, so blocks meet templates only through those words, and the length of the
@@ -116,7 +118,10 @@ def template_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = TH
         prefix += [(w, i, k, templates[k][0], ranked, len(ranked), need) for i, w in enumerate(ranked[: len(ranked) - need + 1])]
     schema = "word string, at_template int, template int, label string, ranked array<string>, size int, need int"
     index = docs.sparkSession.createDataFrame(prefix, schema)
-    rows = blocks(docs, max(map(len, sets)), max(len(template_words(text)) for _, text in templates))
+    # Texts that hold enough words of some template, wherever they stand.
+    words = F.array_intersect(_array(order), F.split(F.trim(spaced_words("text")), " "))
+    able = F.exists(F.array(*[F.size(F.array_intersect(words, _array(s))) >= needed(len(s), threshold) for s in sets]), lambda x: x)
+    rows = blocks(docs.filter(able), max(map(len, sets)), max(len(template_words(text)) for _, text in templates))
     # The words of a block that any template holds, in the global order.
     rows = rows.filter(F.arrays_overlap("words", _array(sorted({p[0] for p in prefix})))).withColumn("held", F.array_intersect(_array(order), "words"))
     met = rows.select("key1", "key2", "line", "window", "held", F.posexplode("held").alias("at_block", "word")).join(F.broadcast(index), "word")

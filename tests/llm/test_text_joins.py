@@ -148,3 +148,32 @@ def test_trie_walk_equals_all_pairs():
             for j in range(i):
                 if jaccard(sets[i], sets[j]):
                     assert root(i) == root(j)
+
+
+@pytest.mark.parametrize("texts", [["a b c"], ["a", None, "b c"], ["", "x", "y z"]])
+def test_batches_of_few_words(spark, texts):
+    """A batch whose texts have fewer words together than a shingle."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    rows = {r.doc_id: (r.n_shingles, r.component_id) for r in tries.near_duplicates(docs).collect()}
+    assert rows == {i: (int(bool(t)), i) for i, t in enumerate(texts)}
+
+
+def test_wrapped_templates_in_sql(spark, tmp_path):
+    """The query and its SQL agree on templates that no line holds whole."""
+    import duckdb
+
+    from ebbline.llm import catalog, licenses
+
+    texts = [
+        None, "", "no licence", *[text for _, text in licenses.TEMPLATES],
+        *[text.replace(" ", "\n", k) for _, text in licenses.TEMPLATES for k in (1, 3, 6, 40)],
+        "\n".join(["lorem ipsum " * 20] * 3) + "\n" + licenses.TEMPLATES[5][1].replace("without ", "without\n") + " dolor" * 60,
+        " ".join(w for w in licenses.TEMPLATES[5][1].split() for _ in range(9)),
+        "mit license\nmit\nlicense general public license",
+    ]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    ours = sorted(map(tuple, catalog.QUERIES["op7_licenses"](spark, str(tmp_path)).collect()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    theirs = sorted(con.execute(f"SELECT doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score FROM ({catalog.ORACLE['op7_licenses']}) q").fetchall())
+    assert ours == theirs
