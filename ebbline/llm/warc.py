@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import small
+from ebbline.llm.common import small, small_batches
 from ebbline.session import shared_folder, store
 
 # Payloads below this are never revisits.
@@ -32,15 +32,15 @@ ANCHORS = ("response", "revisit", "resource")
 
 
 def plan(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """page_id, url, payload, payload_digest, record_id, record_type, refers_to of every page.
+    """page_id, url, payload, payload_digest, copy, record_id, record_type, refers_to of every row.
 
     Of pages with equal payloads (equal SHA-1) of at least `least` bytes the largest
-    page_id is the response. A null html is an empty payload. Pages without an id, if
-    equal in all else, and rows that repeat a page count as one capture when read back.
+    page_id is the response. A null html is an empty payload. Equal rows are told apart
+    by the number `copy`, so each is a capture of its own.
     """
     payload = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), payload.alias("payload"), F.sha1(payload.cast("binary")).alias("payload_digest"))
-    rows = rows.withColumn("record_id", _record_id("response"))
+    rows = _numbered(rows).withColumn("record_id", _record_id("response"))
     heavy = F.octet_length("payload") >= least
     groups = (
         rows.filter(heavy)
@@ -56,9 +56,26 @@ def plan(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     return marked.withColumn("record_type", F.when(again, "revisit").otherwise("response")).withColumn("refers_to", F.when(again, F.col("first_record")))
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows with `copy`, their number among equal ones, from 1.
+
+    Equal rows are counted without their payloads; those that repeat become one row,
+    which is written as often as it was counted.
+    """
+    same = ["page_id", "url", "payload_digest"]
+    many = rows.groupBy(*same).agg(F.count("*").alias("many")).filter("many > 1").withColumnsRenamed({c: f"same_{c}" for c in same})
+    equal = F.lit(True)
+    for c in same:
+        equal = equal & F.col(c).eqNullSafe(F.col(f"same_{c}"))
+    counted = rows.join(small(many), equal, "left").select(*rows.columns, "many")
+    once = counted.filter("many IS NULL").withColumn("copy", F.lit(1)).drop("many")
+    again = counted.filter("many IS NOT NULL").dropDuplicates(same)
+    return once.unionByName(again.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("many").cast("int")))).drop("many"))
+
+
 def _record_id(kind: str) -> Column:
     """A urn made from what the page is, so that a task that runs again writes the same one."""
-    name = F.md5(F.to_json(F.struct(F.lit(kind), F.col("page_id"), F.col("url"), F.col("payload_digest"))))
+    name = F.md5(F.to_json(F.struct(F.lit(kind), F.col("page_id"), F.col("url"), F.col("payload_digest"), F.col("copy"))))
     part = [F.substring(name, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *part), F.lit(">"))
 
@@ -126,7 +143,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
         [(n, pa.string()) for n in names]
         + [("concurrent_to", pa.list_(pa.string())), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string())]
     )
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    small_batches(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path", "content")
     return files.mapInArrow(
         parse,

@@ -38,6 +38,18 @@ def test_payloads_come_back(captures):
         assert read[rows[page].capture] == (html or "")
 
 
+def test_equal_rows_are_captures_of_their_own(spark, captures):
+    assert captures.count() == len(TEXTS)
+    rows = [(1, "u", BIG), (1, "u", BIG), (None, "u", BIG), (None, "u", BIG), (2, None, None), (2, None, None), (None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    for bodies in (True, False):
+        back = warc.page_ids(warc.round_trip(pages, bodies)).select("page_id", "payload_bytes", "record_type", "refers_to").collect()
+        assert sorted(map(str, back)) == sorted(
+            f"Row(page_id={p}, payload_bytes={b}, record_type='{t}', refers_to={r})"
+            for p, b, t, r in [(1, 1200, "response", None)] * 2 + [(None, 1200, "revisit", 1)] * 2 + [(2, 0, "response", None)] * 2 + [(None, 0, "response", None)]
+        )
+
+
 def test_nested_rows(captures):
     for r in captures.collect():
         assert len(r.requests) == len(r.metadata) == 1
