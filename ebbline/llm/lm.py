@@ -148,11 +148,11 @@ def asks(made: DataFrame, ranges: int) -> DataFrame:
                 order = np.unique(known)
                 mine = np.bincount(np.searchsorted(order, known[at]), minlength=len(order))
                 for n, keys, counts in ((1, order, mine), (2, *np.unique(pairs, return_counts=True))):
-                    counts, low = counts.astype(np.uint32), 0
+                    low = 0
                     for k, high in enumerate(_ranges(keys, ranges)):
                         if high > low:
                             yield pa.RecordBatch.from_arrays(
-                                [pa.array([n]), pa.array([k]), pa.array([block]), pa.array([role]), pa.array([keys[low:high].tobytes()]), pa.array([counts[low:high].tobytes() if role else b""])],
+                                [pa.array([n]), pa.array([k]), pa.array([block]), pa.array([role]), pa.array([keys[low:high].tobytes()]), pa.array([_packed(counts[low:high]) if role else b""])],
                                 names=["n", "range", "block", "role", "keys", "counts"],
                             )
                         low = high
@@ -161,6 +161,16 @@ def asks(made: DataFrame, ranges: int) -> DataFrame:
     return columns.mapInArrow(run, "n bigint, range bigint, block bigint, role bigint, keys binary, counts binary")
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in four bytes each, or in eight where one does not fit, which the first byte says."""
+    wide = 8 if len(counts) and int(counts.max()) >= 1 << 32 else 4
+    return bytes([wide]) + counts.astype(f"<u{wide}").tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64) if data else np.zeros(0, np.int64)
+
+
 def _answer(group: pd.DataFrame) -> pd.DataFrame:
     """To each block of a range the counts of its keys: those of the counted documents, and
     those with the held-out ones. The row of block -1 says how many keys have any."""
@@ -170,12 +180,12 @@ def _answer(group: pd.DataFrame) -> pd.DataFrame:
     at = [np.searchsorted(every, k) for k in keys]
     for place, role, counts in zip(at, group["role"], group["counts"]):
         if role != SCORED:
-            number = np.frombuffer(counts, np.uint32)
+            number = _unpacked(counts)
             all_[place] += number
             if role == COUNTED:
                 counted[place] += number
     n, part = group["n"].iloc[0], group["range"].iloc[0]
-    rows = [(block, n, part, counted[p].astype(np.uint32).tobytes() if role == HELD_OUT else b"", all_[p].astype(np.uint32).tobytes(), 0) for p, block, role in zip(at, group["block"], group["role"])]
+    rows = [(block, n, part, _packed(counted[p]) if role == HELD_OUT else b"", _packed(all_[p]), 0) for p, block, role in zip(at, group["block"], group["role"])]
     rows.append((-1, n, part, b"", b"", int((all_ > 0).sum())))
     return pd.DataFrame(rows, columns=["block", "n", "range", "counted", "all", "distinct"])
 
@@ -185,7 +195,7 @@ def _told(answers: pd.DataFrame, column: str, known: np.ndarray, pairs: np.ndarr
     out = []
     for n, keys in ((1, known), (2, pairs)):
         mine = answers[answers["n"] == n].sort_values("range")
-        counts = np.frombuffer(b"".join(mine[column]), np.uint32).astype(np.float64)
+        counts = np.concatenate([np.zeros(0), *map(_unpacked, mine[column])])
         out.append(counts[np.unique(keys, return_inverse=True)[1]])
     return out[0], out[1]
 
@@ -210,7 +220,7 @@ def weights(cells: pd.DataFrame) -> np.ndarray:
     shared = np.array([0.4, 0.4, 0.2])
     out = np.tile(shared, (BUCKETS, 1))
     if not len(cells):
-        return out
+        return _told_apart(out)
     p, n, b = cells[["s2", "s1", "s0"]].to_numpy() / cells[["n"]].to_numpy(), cells["n"].to_numpy(), cells["bucket"].to_numpy()
 
     def learn(p: np.ndarray, n: np.ndarray, prior: np.ndarray) -> np.ndarray:
@@ -225,7 +235,13 @@ def weights(cells: pd.DataFrame) -> np.ndarray:
     for k in range(BUCKETS):
         here = b == k
         out[k] = learn(p[here], n[here], 20 * shared + 1e-3) if here.any() else shared
-    return out
+    return _told_apart(out)
+
+
+def _told_apart(mixture: np.ndarray) -> np.ndarray:
+    """A context never counted says nothing of its words: its part goes to the other two estimates."""
+    mixture[0] = np.array([0.0, *mixture[0][1:]]) / mixture[0][1:].sum()
+    return mixture
 
 
 def score(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:

@@ -79,10 +79,30 @@ def test_equals_dictionaries(spark, monkeypatch, block):
         assert tuple(r)[4:] == pytest.approx(want[r.doc_id][3:], rel=1e-9)
 
 
-def test_estimates_add_up_to_one(spark):
-    """Over the words that occur and one unknown word, after any context that occurs."""
-    w = lm.weights(pd.DataFrame(columns=["bucket", "b2", "b1", "n", "s2", "s1", "s0"]))
-    assert np.allclose(w.sum(axis=1), 1)
+def test_estimates_add_up_to_one():
+    """Over the words that occur and one unknown word, after contexts that occur and one that does not."""
+    words = {"a": 50, "b": 9, "c": 1}
+    pairs = {"a": {"a": 20, "b": 9, "c": 1, "a2": 0}, "b": {"a": 9}, "c": {"a": 1}, "never": {}}
+    total, distinct = float(sum(words.values())), float(len(words))
+    cells = pd.DataFrame([(b, 1, 1, 100.0, 30.0, 20.0, 10.0) for b in (0, 1, 3)], columns=["bucket", "b2", "b1", "n", "s2", "s1", "s0"])
+    for w in (lm.weights(cells), lm.weights(cells[:0])):
+        assert np.allclose(w.sum(axis=1), 1) and w[0, 0] == 0
+        for before, after in pairs.items():
+            context = np.full(4, float(sum(after.values())))
+            word = np.array([*words.values(), 0], float)
+            pair = np.array([*(after.get(x, 0) for x in words), 0], float)
+            p2, p1, p0, bucket = lm._parts(word, pair, context, total, distinct)
+            assert (w[bucket] * np.stack([p2, p1, p0], axis=1)).sum() == pytest.approx(1)
+
+
+def test_counts_beyond_four_bytes():
+    for counts in ([], [0, 7], [2**32 - 1], [1, 2**32, 2**40]):
+        assert lm._unpacked(lm._packed(np.array(counts, np.int64))).tolist() == counts
+    keys = np.array([3, 5], np.uint64).tobytes()
+    many = [(1, 0, b, lm.COUNTED, keys, lm._packed(np.array([3_000_000_000, 1]))) for b in (1, 2)]
+    group = pd.DataFrame(many, columns=["n", "range", "block", "role", "keys", "counts"])
+    told = lm._answer(group).set_index("block")["all"]
+    assert lm._unpacked(told[1]).tolist() == lm._unpacked(told[2]).tolist() == [6_000_000_000, 2]
 
 
 @pytest.mark.parametrize("texts", [[], [(0, "a b")], [(i, None) for i in range(30)]])
