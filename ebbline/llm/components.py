@@ -30,9 +30,15 @@ def components(links: DataFrame) -> DataFrame:
         left = edges.join(step.select(F.col("from").alias("a"), F.col("to").alias("to_a")), "a")
         moved = left.join(step.select(F.col("from").alias("b"), F.col("to").alias("to_b")), "b").filter("to_a <> to_b")
         edges = store(moved.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct())
-    reached = first.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("at", F.col("node"))
-    for step in steps:
-        reached = reached.join(step, reached["at"] == step["from"], "left").select("node", F.coalesce("to", "at").alias("at"))
-    reached = store(reached)
+    # Steps are put together from the last one back, each a constant share of the one before it.
+    onward = None
+    for step in reversed(steps):
+        if onward is not None:
+            later = onward.select(F.col("from").alias("over"), F.col("to").alias("end"))
+            step = step.join(later, step["to"] == later["over"], "left").select("from", F.coalesce("end", "to").alias("to"))
+        onward = step
+    if onward is None:
+        return first.select(F.col("a").alias("node"), F.col("b").alias("component"))  # no links
+    reached = store(onward.select(F.col("from").alias("node"), F.col("to").alias("at")))
     least = reached.groupBy("at").agg(F.min("node").alias("component"))
     return reached.join(least, "at").select("node", "component")
