@@ -45,8 +45,8 @@ WITH p AS (
   SELECT payload_digest, max(page_id) AS first_page FROM p WHERE payload_bytes >= 1000 GROUP BY 1
 )
 SELECT p.page_id, p.payload_bytes, p.payload_digest,
-       CASE WHEN g.first_page <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN g.first_page <> p.page_id THEN g.first_page END AS refers_to
+       CASE WHEN g.first_page IS DISTINCT FROM p.page_id AND g.first_page IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN g.first_page IS DISTINCT FROM p.page_id THEN g.first_page END AS refers_to
 FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest AND p.payload_bytes >= 1000
 """
 
@@ -94,6 +94,7 @@ WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SETS = [(label, sorted(set(licenses.template_words(text)))) for label, text in licenses.TEMPLATES]
 _LONGEST = max(len(words) for _, words in _SETS)
+_IN_WORDS = max(len(licenses.template_words(text)) for _, text in licenses.TEMPLATES)
 _TEMPLATE_ROWS = ", ".join(f"('{label}', {words}, {licenses.needed(len(words), licenses.THRESHOLD)})" for label, words in _SETS)
 
 ORACLE["op7_licenses"] = f"""
@@ -106,10 +107,11 @@ WITH d AS (
     list_filter(range(len(w)), lambda i: w[i + 1] = 'general' AND w[i + 2] = 'public' AND w[i + 3] = 'license') AS gpl
   FROM d
 ), l AS (
-  SELECT doc_id, {WORDS.format('line')} AS w FROM (SELECT doc_id, unnest(string_split(said, chr(10))) AS line FROM d)
+  SELECT doc_id, {WORDS.format('line')} AS w, {_LONGEST} AS step FROM (SELECT doc_id, unnest(string_split(said, chr(10))) AS line FROM d)
+  UNION ALL SELECT doc_id, w, {_IN_WORDS} FROM d WHERE contains(said, chr(10)) OR {_IN_WORDS} > {_LONGEST} + 1
 ), b AS (
-  SELECT doc_id, list_distinct(w[k * {_LONGEST} + 1 : k * {_LONGEST} + {2 * _LONGEST}]) AS w
-  FROM (SELECT *, unnest(range(1 + cast(ceil(greatest(len(w) - {2 * _LONGEST}, 0) / {_LONGEST}) AS BIGINT))) AS k FROM l)
+  SELECT doc_id, list_distinct(w[k * step + 1 : k * step + 2 * step]) AS w
+  FROM (SELECT *, unnest(range(1 + cast(ceil(greatest(len(w) - 2 * step, 0) / step) AS BIGINT))) AS k FROM l)
 ), t(label, words, need) AS (VALUES {_TEMPLATE_ROWS}
 ), m AS (
   SELECT doc_id, list(DISTINCT label) AS more, max(len(list_intersect(w, words)) / len(words)) AS score
