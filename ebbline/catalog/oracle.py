@@ -179,6 +179,18 @@ DRIFT = dict(
 )
 
 
+def _live_cells(rows: str) -> tuple[str, str]:
+    """Numerical bins and states of some live rows, as in `live_bins` and `live_states`."""
+    long = f"({_long(rows, MONITORED_NUMBERS)})"
+    bins = f"""SELECT b.feature, b.bin_no, b.lo, b.hi, b.expected_pct, CAST(count(t.value) AS BIGINT) AS n
+      FROM shares b JOIN (SELECT DISTINCT feature FROM {long} l WHERE value IS NOT NULL) f USING (feature)
+      LEFT JOIN {long} t ON b.feature = t.feature
+        AND (is_first OR t.value >= b.lo) AND (is_last OR t.value < b.hi) GROUP BY ALL"""
+    states = f"""SELECT s.feature, s.category, s.expected_pct, CAST(count(t.customer_state) AS BIGINT) AS n
+      FROM states s LEFT JOIN {rows} t ON s.category = t.customer_state GROUP BY ALL"""
+    return f"({bins})", f"({states})"
+
+
 def _psi(cells: str) -> str:
     return f"""SELECT feature, sum((a / sa - e / se) * ln((a / sa) / (e / se))) AS psi FROM (
     SELECT feature, a, e, sum(a) OVER (PARTITION BY feature) AS sa, sum(e) OVER (PARTITION BY feature) AS se
@@ -353,6 +365,7 @@ LABELLED_NAMES = "".join(
 
 ORACLE: dict[str, str] = {
     "feature_matrix": _with(_features()),
+    "feature_snapshots": _with(" UNION ALL ".join(f"SELECT * FROM ({_features(day)}) f" for day in S.SNAPSHOTS)),
     "masked_orders": _with(_visible(S.START, S.CUTOFF)),
     "payments_per_order": _with(
         "SELECT order_id, CAST(SUM(payment_value) AS DOUBLE) AS order_payment_value FROM b_payments GROUP BY order_id"
@@ -654,3 +667,19 @@ ORACLE |= {
           0.11e0 AS base FROM ({TRAIN}) t) c"""
     ),
 }
+
+# Three days of five, by the remainder of the id.
+_WINDOWS = {S.COUNTED_DAYS[2]: "0, 1, 2", S.COUNTED_DAYS[4]: "2, 3, 4"}
+ORACLE["drift_windows"] = _with(
+    " UNION ALL ".join(
+        f"""SELECT '{end}' AS window_end, feature, {_round('psi')} AS psi
+        FROM (SELECT * FROM ({_psi(cells)}) x) p"""
+        for k, end in enumerate(_WINDOWS)
+        for cells in _live_cells(f"live_{k}")
+    ),
+    **DRIFT,
+    **{
+        f"live_{k}": f"SELECT * FROM live WHERE customer_unique_id % 5 IN ({ids})"
+        for k, ids in enumerate(_WINDOWS.values())
+    },
+)

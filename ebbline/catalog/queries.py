@@ -16,6 +16,7 @@ from ebbline.names import TARGET
 from ebbline.operators import contributions as ctb
 from ebbline.operators import decision as dec
 from ebbline.operators import drift as dr
+from ebbline.operators import drift_state as ds
 from ebbline.operators import encoding as enc
 from ebbline.operators import features as ft
 from ebbline.operators import gates
@@ -27,6 +28,7 @@ from ebbline.operators import performance as pf
 from ebbline.operators import prep
 from ebbline.operators import profiles as pr
 from ebbline.operators import reports as rp
+from ebbline.operators import snapshots as sn
 from ebbline.session import pin, shared_folder, store, tune
 from ebbline.sources import commits, lake
 from ebbline.sources.star import Commerce, commerce
@@ -126,6 +128,12 @@ def _rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
 # --- features and labels ---------------------------------------------------------------
 
 
+@query
+def feature_snapshots(spark, c):
+    """Features of three snapshot days in one pass."""
+    return sn.feature_snapshots(*c, S.START, S.SNAPSHOTS)
+
+
 @query
 def feature_matrix(spark, c):
     return _features(c)
@@ -553,6 +561,17 @@ def psi_categorical(spark, c):
     return _rounded(dr.psi_categorical(_telemetry(c), _frozen_profile(c), S.CATEGORICAL), "psi")
 
 
+@query
+def drift_windows(spark, c):
+    """Drift of two windows of three days, from the counts that each of five days has left."""
+    base, profile, names = _fresh_folder(spark, "counts"), _frozen_profile(c), [*S.MONITORED, S.PREDICTION]
+    live = store(_telemetry(c))
+    for k, day in enumerate(S.COUNTED_DAYS):
+        ds.publish_counts(live.where(F.col("customer_unique_id") % len(S.COUNTED_DAYS) == k), profile, names, f"{base}/cells", day)
+    rows = ds.window_stability(spark, f"{base}/cells", profile, names, [S.COUNTED_DAYS[2], S.COUNTED_DAYS[4]], width=3)
+    return _rounded(rows.withColumn("window_end", F.col("window_end").cast("string")), "psi")
+
+
 def _drift(c: Commerce) -> DataFrame:
     return dr.drift_report(_run_keys(_telemetry(c)), _frozen_profile(c), S.MONITORED, by=dec.KEYS)
 

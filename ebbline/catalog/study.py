@@ -9,6 +9,7 @@ CUTOFF = "2000-01-01"
 EXECUTION = "2001-07-01"
 LOOKBACK_DAYS = 180
 LOOKBACK = "2001-01-02"
+SNAPSHOTS = (EXECUTION, CUTOFF, LOOKBACK)
 WINDOW_DAYS = 180
 SEED = 42
 RUN = "run-2001-07-01"
@@ -31,6 +32,8 @@ NUMERICAL = (
 CATEGORICAL = ("customer_state",)
 MONITORED = ("recency_days", "tenure_days", "aov", "max_delivery_delay_days", "customer_state", "no_such_feature")
 N_BINS = 10
+# Days whose telemetry is counted one by one.
+COUNTED_DAYS = ("2001-07-01", "2001-07-02", "2001-07-03", "2001-07-04", "2001-07-05")
 
 # A fixed pair of trees over recency and frequency: tree, node, weight, value, feature, threshold, yes, no.
 TREES = [
