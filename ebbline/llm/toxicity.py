@@ -4,13 +4,18 @@ Fitting reads every labelled training document: it counts in how many documents,
 and in how many toxic ones, each term occurs, and takes a bounded sample of
 documents as examples. No term is left out: every term counts by its inverse
 document frequency times one more than how far, in standard deviations, its share
-of toxic documents departs from the general one, to either side. Texts are
-compared with all examples: the terms most examples hold through a matrix product
-of many texts at once, the others through an inverted index. Both run in short
-numbers; whatever they put within their error of the k-th best is compared again
-in double precision, so the neighbours are exact. They vote with weights that fall
-with distance, and a logistic map fitted on the examples' own votes (each without
-itself) turns votes into probabilities.
+of toxic documents departs from the general one, to either side (so the space is a
+supervised reweighting of plain TF-IDF).
+
+Examples stand in blocks of `BLOCK`. Of the terms that few examples hold an inverted
+index gives the exact part of every cosine. Of the terms that most hold the index
+keeps the greatest value of each block; with the first part they bound what any
+example of a block can reach. The blocks of the greatest bounds are scored first, and
+then only blocks whose bound is not below the k-th best cosine found in them; the
+others are skipped. Bounds and sums run in short numbers; whatever they put within
+their error of the k-th best is compared again in double precision, so the neighbours
+are exact. They vote with weights that fall with distance, and a logistic map fitted
+on the examples' own votes (each without itself) turns votes into probabilities.
 
 A word that no example holds cannot be shared with one: it is not part of the
 space, neither of the products nor of the length of a text's vector.
@@ -23,7 +28,6 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +46,11 @@ LEAST_DOCUMENTS = 5
 LEAST_DEVIATION = 6.0
 NEIGHBOURS = 25
 EVIDENCE = 3
-# Terms held by most examples go through the matrix product, for so many texts at once.
+# Terms held by most examples, whose greatest values are kept for each block of examples.
 DENSE = 256
+BLOCK = 64
+# Blocks that are scored first, and texts that are searched together.
+FIRST_BLOCKS = 3
 TOGETHER = 64
 # Documents are dealt over so many buckets to choose the examples.
 BUCKETS = 16384
@@ -52,25 +59,40 @@ ERROR = 5e-5
 WORD = r"[^\W_]+"
 
 
-@dataclass
 class Examples:
     """The examples as vectors, the index over them, and what turns their votes into scores."""
 
-    idf: dict[str, float]  # weights of the terms that are clear signs of toxic texts
-    rest: dict[str, float] = field(default_factory=dict)  # weights of all other terms
-    ids: list = field(default_factory=list)
-    toxic: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    weight: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    slope: float = 0.0
-    shift: float = 0.0
-    without: float = 0.0  # score of a text that shares no term with any example
-
-    def __post_init__(self) -> None:
-        self.terms = sorted([*self.idf, *self.rest])
-        self.at = {t: i for i, t in enumerate(self.terms)}
-        self.scale = np.array([self.idf[t] if t in self.idf else self.rest[t] for t in self.terms])
+    def __init__(self, idf: dict[str, float], rest: dict[str, float] | None = None, without: float = 0.0):
+        """Weights of the terms that are clear signs of toxic texts, and of all other terms."""
+        every = idf | (rest or {})
+        terms = sorted(every)
+        self._hold(terms, np.array([every[t] for t in terms], float), np.array([t in idf for t in terms], bool), without)
+
+    @classmethod
+    def over(cls, terms: list[str], scale: np.ndarray, clear: np.ndarray, without: float) -> Examples:
+        """The same from terms in order and their weights, without a second copy of them."""
+        made = cls.__new__(cls)
+        made._hold(terms, scale, clear, without)
+        return made
+
+    def _hold(self, terms: list[str], scale: np.ndarray, clear: np.ndarray, without: float) -> None:
+        self.terms, self.scale, self.clear = terms, scale, clear
+        self.at = {t: i for i, t in enumerate(terms)}
+        self.without = without  # score of a text that shares no term with any example
+        self.ids: list = []
+        self.toxic = self.weight = np.zeros(0)
+        self.slope = self.shift = 0.0
+        self.visited = self.offered = 0  # blocks scored, and blocks there were, over all searches
         self.index([])
 
+    @property
+    def idf(self) -> dict[str, float]:
+        return {self.terms[i]: float(self.scale[i]) for i in np.flatnonzero(self.clear)}
+
+    @property
+    def rest(self) -> dict[str, float]:
+        return {self.terms[i]: float(self.scale[i]) for i in np.flatnonzero(~self.clear)}
+
     def sparse(self, counted: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
         """Columns in order and values of the unit vector of counted words."""
         found = sorted((self.at[w], n) for w, n in counted.items() if w in self.at)
@@ -105,43 +127,68 @@ class Examples:
         often = np.argsort(-held, kind="stable")[:DENSE]
         self.place = np.full(width, -1, np.int32)
         self.place[often] = np.arange(len(often))
-        self.spread_out()
+        self._into_blocks(n)
         seldom = np.flatnonzero(self.place[self.column] < 0)
         order = seldom[np.argsort(self.column[seldom], kind="stable")]
         self.first = np.concatenate([[0], np.cumsum(np.bincount(self.column[order], minlength=width))]).astype(np.int64)
-        self.posted = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.starts))[order]
+        self.posted = np.repeat(self.position, np.diff(self.starts))[order]
         self.amount = self.value[order].astype(np.float32)
 
-    def spread_out(self) -> None:
-        """The matrix of the terms that most examples hold."""
+    def _into_blocks(self, n: int) -> None:
+        """Examples beside others with the same heaviest frequent terms: `position` of each, and the matrix in that order."""
         at = np.flatnonzero(self.place[self.column] >= 0)
         number = np.searchsorted(self.starts, at, "right") - 1
-        self.dense = np.zeros((int((self.place >= 0).sum()), len(self.same)), np.float32)
-        self.dense[self.place[self.column[at]], number] = self.value[at]
+        rows = np.zeros((n, int((self.place >= 0).sum())), np.float32)
+        rows[number, self.place[self.column[at]]] = self.value[at]
+        heavy = np.argsort(-rows, axis=1, kind="stable")[:, :3] if rows.size else np.zeros((n, 3), np.int64)
+        order = np.lexsort(heavy.T[::-1]) if n else np.zeros(0, np.int64)
+        self.position = np.empty(n, np.int32)
+        self.position[order] = np.arange(n)
+        many = -(-n // BLOCK)
+        self.dense = np.zeros((many, BLOCK, rows.shape[1]), np.float32)
+        self.dense.reshape(many * BLOCK, rows.shape[1])[self.position] = rows
+        self.greatest = self.dense.max(axis=1) if many else np.zeros((0, rows.shape[1]), np.float32)
 
     def __getstate__(self) -> dict:
         """What travels with the tasks: what follows from the rest is made again there."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("idf", "rest", "at", "dense")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("at", "dense", "greatest", "position", "clear")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
         self.at = {t: i for i, t in enumerate(self.terms)}
-        self.spread_out()
-
-    def short(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Cosines of vectors and all examples, to within ERROR."""
-        n = len(self.same)
-        asked = np.zeros((len(vectors), len(self.dense)), np.float32)
-        for out, (column, value) in zip(asked, vectors):
+        self._into_blocks(len(self.same))
+
+    def short(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> np.ndarray:
+        """Cosines of vectors and examples, to within ERROR; -1 in blocks that hold none of the k + 1 best."""
+        m, many = len(vectors), len(self.dense)
+        asked = np.zeros((m, self.dense.shape[2]), np.float32)
+        rare = np.zeros((m, many, BLOCK), np.float32)
+        for n, (column, value) in enumerate(vectors):
             row = self.place[column]
-            out[row[row >= 0]] = value[row >= 0]
-        got = asked @ self.dense
-        for out, (column, value) in zip(got, vectors):
-            start, many = self.first[column], self.first[column + 1] - self.first[column]
-            if total := int(many.sum()):
-                here = np.repeat(start - np.cumsum(many) + many, many) + np.arange(total)
-                out += np.bincount(self.posted[here], self.amount[here] * np.repeat(value, many), n)
-        return got
+            asked[n, row[row >= 0]] = value[row >= 0]
+            start, count = self.first[column], self.first[column + 1] - self.first[column]
+            if total := int(count.sum()):
+                here = np.repeat(start - np.cumsum(count) + count, count) + np.arange(total)
+                rare[n] = np.bincount(self.posted[here], self.amount[here] * np.repeat(value, count), many * BLOCK).reshape(many, BLOCK)
+        bound = rare.max(axis=2, initial=0) + asked @ self.greatest.T
+        got = np.full((m, many, BLOCK), -1, np.float32)
+
+        def score(wanted: np.ndarray) -> None:
+            for block in np.flatnonzero(wanted.any(axis=0)):
+                texts = np.flatnonzero(wanted[:, block])
+                got[texts, block] = rare[texts, block] + asked[texts] @ self.dense[block].T
+            self.visited += int(wanted.sum())
+
+        # One more than k, as a text may have to be left out of its own neighbours.
+        first = min(many, max(FIRST_BLOCKS, -(-(k + 1) // BLOCK) + 1))
+        wanted = np.zeros((m, many), bool)
+        np.put_along_axis(wanted, np.argpartition(-bound, first - 1, axis=1)[:, :first] if many else np.zeros((m, 0), int), True, axis=1)
+        score(wanted)
+        flat = got.reshape(m, many * BLOCK)
+        least = np.partition(flat, -(k + 1), axis=1)[:, -(k + 1)] if flat.shape[1] > k else np.full(m, -1, np.float32)
+        score((bound >= least[:, None] - 4 * ERROR) & (bound > 0) & ~wanted)
+        self.offered += m * many
+        return flat[:, self.position]
 
     def closest(self, vector: tuple[np.ndarray, np.ndarray], short: np.ndarray, k: int, skip: int, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if skip >= 0:
@@ -164,7 +211,7 @@ class Examples:
         room = np.zeros(len(self.terms))
         for lo in range(0, len(vectors), TOGETHER):
             some = vectors[lo : lo + TOGETHER]
-            for i, (vector, short) in enumerate(zip(some, self.short(some)), lo):
+            for i, (vector, short) in enumerate(zip(some, self.short(some, k)), lo):
                 yield self.closest(vector, short, k, skip[i] if len(skip) else -1, room)
 
     def nearest(self, vector: dict[str, float], k: int = NEIGHBOURS, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
@@ -257,12 +304,12 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES_PER_CLASS)
     n, bad = F.coalesce("n", F.lit(0)), F.coalesce("bad", F.lit(0))
     departs = F.when(n > 0, (bad - n * share) / F.sqrt(n * share * (1 - share))).otherwise(0.0)
     terms = held.join(counted, "term", "left").select("term", n.alias("n"), departs.alias("departs")).toArrow()
-    idf, rest = {}, {}
-    for term, n, departs in zip(*(terms.column(k).to_pylist() for k in ("term", "n", "departs"))):
-        clear = n >= LEAST_DOCUMENTS and departs >= LEAST_DEVIATION
-        (idf if clear else rest)[term] = (math.log((1 + total.n) / (1 + n)) + 1) * (1 + abs(departs))
-    made = Examples(idf, rest, without=without)
-    del spread, terms, idf, rest
+    terms = terms.sort_by("term").combine_chunks()
+    n, departs = terms.column("n").to_numpy(), terms.column("departs").to_numpy()
+    scale = (np.log((1 + total.n) / (1 + n)) + 1) * (1 + np.abs(departs))
+    clear = (n >= LEAST_DOCUMENTS) & (departs >= LEAST_DEVIATION)
+    made = Examples.over(terms.column("term").to_pylist(), scale, clear, without)
+    del spread, terms, n, departs
     told = []
     for r in sample.toLocalIterator():
         told.append((r.key1 & (BUCKETS - 1), r.key1, str(r.doc_id), r.doc_id, r.toxic, made.sparse(dict(zip(r.words, r.times)))))

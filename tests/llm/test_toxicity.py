@@ -100,3 +100,21 @@ def test_bound_of_examples(spark):
     model = toxicity.fit(spark.createDataFrame(rows, DOCS), spark.createDataFrame([(1, 1, 0), (2, 1, 1)], LABELS), examples=40)
     assert len(model.ids) == 41 and model.ids.count(2) == 1
     assert np.isclose(model.weight.sum(), 900)
+
+
+def test_blocks_below_the_best_are_skipped():
+    """Fewer blocks are scored than there are, and the neighbours are those of comparing with every example."""
+    draw = np.random.default_rng(5)
+    terms = [f"t{k:03d}" for k in range(900)]
+    model = toxicity.Examples({t: 1 + k % 7 for k, t in enumerate(terms)})
+    topics = [draw.choice(terms, 40, replace=False) for _ in range(30)]
+    vectors = [model.vector(list(draw.choice(topics[i % 30], 30)) + list(draw.choice(terms[:5], 3))) for i in range(3000)]
+    model.build(vectors)
+    for i in range(90):
+        query = model.vector(list(draw.choice(topics[i % 30], 25)))
+        cosine = np.array([sum(v * x.get(t, 0.0) for t, v in query.items()) for x in vectors])
+        best = np.lexsort((np.arange(3000), -np.round(cosine, 12)))[: toxicity.NEIGHBOURS]
+        best = best[cosine[best] > 0]
+        number, got = model.nearest(query)
+        assert list(number) == list(best) and np.allclose(got, cosine[best])
+    assert model.offered == 90 * -(-3000 // toxicity.BLOCK) and 0 < model.visited < model.offered / 2
