@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.llm.common import SEPARATORS, carried, lower_ascii, small, spaced_words, text_keys
+from ebbline.session import store
 
 # Phrases and the labels they stand for.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -82,10 +83,15 @@ def phrase_places(docs: DataFrame, phrases=PHRASES, keep: Sequence[str] = ("doc_
     return rows.select("*", n_words.cast("bigint").alias("n_words"), F.struct(*found).alias("starts")).drop("_said", "_words")
 
 
-def word_order(docs: DataFrame, words: list[str]) -> list[str]:
-    """The given words by the number of documents that hold them, rarest first."""
+def words_held(docs: DataFrame, words: list[str]) -> DataFrame:
+    """Key and `held`, which of the given words it holds, of every row that holds any; stored, as all that follows asks for it."""
     held = F.array_intersect(_array(words), F.split(F.trim(spaced_words("text")), " "))
-    counted = docs.select(F.explode(held).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return store(docs.select(*text_keys(docs), held.alias("held")).filter(F.size("held") > 0))
+
+
+def word_order(marks: DataFrame, words: list[str]) -> list[str]:
+    """The given words by the number of documents that hold them, rarest first."""
+    counted = marks.select(F.explode("held").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     n = {r.word: r.n for r in counted.collect()}  # a row for each word of the templates at most
     return sorted(words, key=lambda w: (n.get(w, 0), w))
 
@@ -110,7 +116,9 @@ def blocks(docs: DataFrame, longest: int, in_words: int) -> DataFrame:
 def template_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """Key, line, window, template, label and containment of every block that reaches the threshold."""
     sets = [sorted(set(template_words(text))) for _, text in templates]
-    order = word_order(docs, sorted(set().union(*sets)))
+    every = sorted(set().union(*sets))
+    marks = words_held(docs, every)
+    order = word_order(marks, every)
     place = {w: i for i, w in enumerate(order)}
     prefix = []
     for k, words in enumerate(sets):
@@ -119,9 +127,11 @@ def template_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = TH
     schema = "word string, at_template int, template int, label string, ranked array<string>, size int, need int"
     index = docs.sparkSession.createDataFrame(prefix, schema)
     # Texts that hold enough words of some template, wherever they stand.
-    words = F.array_intersect(_array(order), F.split(F.trim(spaced_words("text")), " "))
-    able = F.exists(F.array(*[F.size(F.array_intersect(words, _array(s))) >= needed(len(s), threshold) for s in sets]), lambda x: x)
-    rows = blocks(docs.filter(able), max(map(len, sets)), max(len(template_words(text)) for _, text in templates))
+    able = F.exists(F.array(*[F.size(F.array_intersect("held", _array(s))) >= needed(len(s), threshold) for s in sets]), lambda x: x)
+    texts = small(marks.filter(able).select(F.col("key1").alias("able1"), F.col("key2").alias("able2")).distinct())
+    keyed = docs.select("text", "doc_id", *text_keys(docs))
+    cut = keyed.join(texts, (F.col("key1") == F.col("able1")) & (F.col("key2") == F.col("able2")), "left_semi").select("doc_id", "text")
+    rows = blocks(cut, max(map(len, sets)), max(len(template_words(text)) for _, text in templates))
     # The words of a block that any template holds, in the global order.
     rows = rows.filter(F.arrays_overlap("words", _array(sorted({p[0] for p in prefix})))).withColumn("held", F.array_intersect(_array(order), "words"))
     met = rows.select("key1", "key2", "line", "window", "held", F.posexplode("held").alias("at_block", "word")).join(F.broadcast(index), "word")
