@@ -1,11 +1,11 @@
 """Benchmark passages in documents, by a positional inverted index of the documents.
 
 The windows of the benchmark are runs of `WINDOW` words (a shorter item is one
-window). The corpus counts how often each of their words occurs, and the index
-stores the postings (document, place) of the words that are among the rarest
-`LISTS` of a window. Lists of one window, moved back by the word's offset in it, are
-intersected, rarest first. What is left are candidate places, and there the lists
-of all the window's words are intersected, taken from the candidate documents alone.
+window). The index, a stored table, has the postings (document, place) of all their
+words; it says how often each of them occurs. The lists of the `LISTS` rarest words of
+a window, moved back by the word's offset in it, are intersected, rarest first. What is
+left are candidate places, and there the lists of all the window's words are
+intersected, taken from the candidate documents alone.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from ebbline.session import store
 
 WINDOW = 10
 LISTS = 2
+# No text has more words: a phrase of any length is one window.
+LONGEST_ARRAY = (1 << 31) - 1
 
 
 def windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -47,19 +49,20 @@ def occurrences(docs: DataFrame, items: DataFrame, size: int = WINDOW, lists: in
     distinct = owned.select("window", "terms").dropDuplicates(["window"])
     terms = distinct.select("window", F.size("terms").alias("len"), F.posexplode("terms").alias("offset", "term"))
     vocabulary = small(terms.select("term").distinct())
-    counts = postings(docs).join(vocabulary, "term").groupBy("term").agg(F.count("*").alias("n"))
+    # The texts are read once; all that follows reads the index.
+    postings_of = store(postings(docs).join(vocabulary, "term"))
+    counts = postings_of.groupBy("term").agg(F.count("*").alias("n"))
     # A window with a word that no document has drops out: fewer counted words than words.
     rank = Window.partitionBy("window").orderBy("n", "term", "offset")
     ranked = terms.join(counts, "term").withColumn("rank", F.row_number().over(rank)).withColumn("counted", F.count("*").over(Window.partitionBy("window")))
     leads = ranked.filter(f"counted = len AND rank <= {lists}").select("term", "window", "offset", F.least("len", F.lit(lists)).alias("lists"))
-    index = postings(docs).join(small(leads), "term")
-    moved = index.select("key1", "key2", (F.col("pos") - F.col("offset")).alias("start"), "window", "lists").filter("start >= 0")
+    moved = postings_of.join(small(leads), "term").select("key1", "key2", (F.col("pos") - F.col("offset")).alias("start"), "window", "lists").filter("start >= 0")
     place = ["key1", "key2", "window", "start"]
     candidates = store(moved.groupBy(*place).agg(F.count("*").alias("met"), F.first("lists").alias("lists")).filter("met >= lists").select(*place))
     # All words at the candidates: lists of the candidate documents only. A repeated
     # document gives its postings twice, so places are counted, not rows.
     there = small(candidates.select("key1", "key2").distinct())
-    lists_there = postings(docs).join(there, ["key1", "key2"], "left_semi").dropDuplicates(["key1", "key2", "pos"])
+    lists_there = postings_of.join(there, ["key1", "key2"], "left_semi").dropDuplicates(["key1", "key2", "pos"])
     wanted = candidates.join(small(terms.select("window", "len", "offset", "term")), "window").withColumn("pos", F.col("start") + F.col("offset"))
     met = lists_there.join(wanted, ["key1", "key2", "pos", "term"]).groupBy(*place, "len").agg(F.count("*").alias("met"))
     return store(met.filter("met = len").drop("met")), owned
@@ -67,7 +70,7 @@ def occurrences(docs: DataFrame, items: DataFrame, size: int = WINDOW, lists: in
 
 def phrase_matches(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     """Exact matches of whole phrases (item_id, text): key1, key2, start, len, item_id."""
-    found, owned = occurrences(docs, phrases, size=1_000_000)
+    found, owned = occurrences(docs, phrases, size=LONGEST_ARRAY)
     return found.join(owned.select("item_id", "window"), "window").select("key1", "key2", "start", "len", "item_id")
 
 
