@@ -11,7 +11,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20
+# Bytes that are hashed together; the tables of a task are as long.
+PIECE = 1 << 16
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
