@@ -399,6 +399,10 @@ ORACLE: dict[str, str] = {
         """SELECT 'orders' AS table_name, 'order_status' AS column_name, count(*) AS n_rows FROM b_orders
         UNION ALL SELECT 'customers', unnest(['customer_id', 'customer_unique_id']), count(*) FROM b_customers"""
     ),
+    "multiline_csv": _with(
+        """SELECT customer_id, customer_state, 'said "' || customer_state || '",' || chr(10) || 'then' || chr(10) || chr(10)
+        || repeat('x "' || chr(10), CAST(customer_id % 7 AS INTEGER)) AS note FROM b_customers"""
+    ),
     "published_report": _with(
         f"""SELECT customer_unique_id, predicted_probability AS churn_probability,
         CAST(predicted_probability >= 0.5 AS INTEGER) AS is_churn_risk,

@@ -227,6 +227,16 @@ def ingest_roundtrip(spark, c):
     return reduce(DataFrame.unionByName, tables)
 
 
+@query
+def multiline_csv(spark, c):
+    """Customers with notes that hold quotes, commas and line breaks, as CSV files and back, every file read in splits."""
+    base = _fresh_folder(spark, "notes")
+    note = F.concat(F.lit('said "'), "customer_state", F.lit('",\nthen\n\n'), F.repeat(F.lit('x "\n'), (F.col("customer_id") % 7).cast("int")))
+    plain = c.customers.select("customer_id", "customer_state", note.alias("note"))
+    lake.write_csv(plain, f"{base}/in")
+    return lake.read_csv(spark, f"{base}/in", plain.schema, multi_line=True)
+
+
 @query
 def run_table(spark, c):
     """The training table as a run has written it."""

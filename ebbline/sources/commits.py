@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ebbline.functions.stamps import PARTITION_COLUMNS, parse_instant
-from ebbline.sources.lake import read_if_present
+from ebbline.sources.lake import CSV_OUT, read_if_present
 
 log = logging.getLogger(__name__)
 
@@ -72,7 +72,7 @@ def write_day(df: DataFrame, table: str, day: str | date, kind: str = "parquet",
     writer = df.drop(*PARTITION_COLUMNS).write.mode("errorifexists")
     folder = f"{day_folder(table, day)}/version={version}"
     if kind == "csv":
-        writer.option("header", "true").option("escape", '"').csv(folder)
+        writer.options(**CSV_OUT).csv(folder)
     else:
         writer.option("compression", "snappy").parquet(folder)
     return version

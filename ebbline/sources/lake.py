@@ -18,6 +18,7 @@ from ebbline.functions.stamps import (
     with_partition_keys,
 )
 from ebbline.functions.values import null_for_nan
+from ebbline.sources.records import read_records
 
 log = logging.getLogger(__name__)
 
@@ -74,17 +75,13 @@ def read_csv(
 ) -> DataFrame:
     """One CSV file with a header row; quotes inside a field are doubled.
 
-    A large file is split among tasks. Where fields hold line breaks it cannot
-    be: ``multi_line`` reads such a file in one task. A row
-    with too few or too many fields is an error unless ``mode`` is PERMISSIVE,
-    which fills up the short and cuts off the long ones.
+    A large file is split among tasks, with ``multi_line`` also one whose fields hold
+    line breaks. A row with too few or too many fields is an error unless ``mode`` is
+    PERMISSIVE, which fills up the short and cuts off the long ones.
     """
-    reader = (
-        spark.read.option("header", "true")
-        .option("escape", '"')
-        .option("multiLine", str(multi_line).lower())
-        .option("mode", mode)
-    )
+    if multi_line:
+        return read_records(spark, path, schema, mode)
+    reader = spark.read.option("header", "true").option("escape", '"').option("mode", mode)
     return (reader.schema(schema) if schema else reader.option("inferSchema", "true")).csv(path)
 
 
@@ -128,8 +125,12 @@ def ingest_csv(
     return written
 
 
+# Values are written as they are: by default the writer trims them.
+CSV_OUT = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
+    df.write.mode("overwrite").options(**CSV_OUT).csv(path)
 
 
 # --- layout by day ---------------------------------------------------------------------
