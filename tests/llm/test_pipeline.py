@@ -65,3 +65,19 @@ def test_no_documents(spark, tables, tmp_path):
         spark.read.parquet(f"{tables}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     assert language.fit(spark.read.parquet(f"{tmp_path}/documents.parquet")) is None
+
+
+def test_columns_with_names_of_its_own(spark, tables):
+    """Further columns go through every stage, whatever they are called; the last stage's own win."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet").limit(40)
+    names = ["gone", "row", "n_tokens", "IDS_SHA256", "component_id", "a.b", "key1", "score"]
+    wide = docs.withColumns({n: F.lit(f"own {n}") for n in names})
+    for name, stage in corpus_pipeline.STAGES:
+        if name in ("toxicity", "language"):
+            continue  # their test texts are elsewhere; here every document is to stay in sight
+        wide = stage(spark, wide, tables)
+        if name != "tokens":
+            assert wide.columns == [*docs.columns, *names]
+    assert wide.columns == [*docs.columns, "gone", "row", "component_id", "a.b", "key1", "score", *corpus_pipeline.ADDED]
+    rows = wide.collect()
+    assert rows and all(r["gone"] == "own gone" and r["a.b"] == "own a.b" and r["n_tokens"] != "own n_tokens" for r in rows)
