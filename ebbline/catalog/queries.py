@@ -676,7 +676,7 @@ class _Fitted:
         self.rows = store(_split(c))
         self.train = self.rows.where(F.col("split") == "train")
         self.encoder = md.fit_encoder(self.train, self.kinds)
-        vectors = store(md.encoded_split(self.encoder, self.rows))
+        vectors = md.stored_split(self.encoder, self.rows)
         self.train_vectors = vectors.where(F.col("split") == "train").drop("split")
         self.val_vectors = vectors.where(F.col("split") == "val").drop("split")
         self.params = md.TreeParams()

@@ -44,6 +44,8 @@ FIRST_TREES = 50
 # Fits that run side by side. Each is a chain of small jobs that waits more than it works.
 FITS_AT_ONCE = 4
 BINS = 32
+# Rows that make it worth to give a fit one more task.
+FIT_ROWS = 20_000
 
 T = TypeVar("T")
 
@@ -95,6 +97,17 @@ def encoded_split(encoder: Encoder, rows: DataFrame) -> DataFrame:
     return train.unionByName(encoded(encoder, rows.where(F.col("split") != "train"), ["split"]))
 
 
+def stored_split(encoder: Encoder, rows: DataFrame) -> DataFrame:
+    """:func:`encoded_split` of a stored table, written once for all fits and dealt evenly over the cores.
+
+    Vectors are narrow, so by bytes alone a handful of files holds them all, and each of the
+    hundreds of passes of a fit would keep as many cores busy.
+    """
+    vectors = encoded_split(encoder, rows)
+    tasks = min(rows.sparkSession.sparkContext.defaultParallelism, rows.count() // FIT_ROWS)
+    return store(vectors.repartition(tasks).sortWithinPartitions(KEY) if tasks > 1 else vectors)
+
+
 # --- training --------------------------------------------------------------------------
 
 

@@ -89,7 +89,7 @@ def train_run(
     rows = store(prep.hash_split(table, seed=seed))
     parts = {s: rows.where(F.col("split") == s).drop("split") for s in ("train", "val", "test")}
     encoder = models.fit_encoder(parts["train"], kinds)
-    vectors = store(models.encoded_split(encoder, rows))
+    vectors = models.stored_split(encoder, rows)
     train = vectors.where(F.col("split") == "train").drop("split")
     val = vectors.where(F.col("split") == "val").drop("split")
     trials = models.tune(train, val, n_trials, seed, space=space)
