@@ -28,9 +28,12 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from functools import cached_property
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +52,10 @@ EVIDENCE = 3
 # Terms held by most examples, whose greatest values are kept for each block of examples.
 DENSE = 256
 BLOCK = 64
+# Examples whose frequent terms are put in order at a time.
+SORTED = 1024
+# Examples whose words are looked up together.
+FETCHED = 256
 # Blocks that are scored first, and texts that are searched together.
 FIRST_BLOCKS = 3
 TOGETHER = 64
@@ -66,18 +73,17 @@ class Examples:
         """Weights of the terms that are clear signs of toxic texts, and of all other terms."""
         every = idf | (rest or {})
         terms = sorted(every)
-        self._hold(terms, np.array([every[t] for t in terms], float), np.array([t in idf for t in terms], bool), without)
+        self._hold(pa.array(terms, pa.string()), np.array([every[t] for t in terms], float), np.array([t in idf for t in terms], bool), without)
 
     @classmethod
-    def over(cls, terms: list[str], scale: np.ndarray, clear: np.ndarray, without: float) -> Examples:
+    def over(cls, terms: pa.Array, scale: np.ndarray, clear: np.ndarray, without: float) -> Examples:
         """The same from terms in order and their weights, without a second copy of them."""
         made = cls.__new__(cls)
         made._hold(terms, scale, clear, without)
         return made
 
-    def _hold(self, terms: list[str], scale: np.ndarray, clear: np.ndarray, without: float) -> None:
+    def _hold(self, terms: pa.Array, scale: np.ndarray, clear: np.ndarray, without: float) -> None:
         self.terms, self.scale, self.clear = terms, scale, clear
-        self.at = {t: i for i, t in enumerate(terms)}
         self.without = without  # score of a text that shares no term with any example
         self.ids: list = []
         self.toxic = self.weight = np.zeros(0)
@@ -85,26 +91,44 @@ class Examples:
         self.visited = self.offered = 0  # blocks scored, and blocks there were, over all searches
         self.index([])
 
+    @cached_property
+    def at(self) -> dict[str, int]:
+        """The place of every term. Tasks look words up in it; fitting does without, as it weighs far more than the terms."""
+        return {t: i for i, t in enumerate(self.terms.to_pylist())}
+
     @property
     def idf(self) -> dict[str, float]:
-        return {self.terms[i]: float(self.scale[i]) for i in np.flatnonzero(self.clear)}
+        return {self.terms[i].as_py(): float(self.scale[i]) for i in np.flatnonzero(self.clear)}
 
     @property
     def rest(self) -> dict[str, float]:
-        return {self.terms[i]: float(self.scale[i]) for i in np.flatnonzero(~self.clear)}
+        return {self.terms[i].as_py(): float(self.scale[i]) for i in np.flatnonzero(~self.clear)}
 
     def sparse(self, counted: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
         """Columns in order and values of the unit vector of counted words."""
         found = sorted((self.at[w], n) for w, n in counted.items() if w in self.at)
-        column = np.array([c for c, _ in found], np.int32)
-        value = (1 + np.log(np.array([n for _, n in found], float))) * self.scale[column]
+        return self._unit(np.array([c for c, _ in found], np.int32), np.array([n for _, n in found], float))
+
+    def sparse_each(self, held: list[tuple[list[str], list[int]]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same for many texts at once, each given by its distinct words and their counts."""
+        edge = np.cumsum([0, *(len(words) for words, _ in held)])
+        place = pc.index_in(pa.array([w for words, _ in held for w in words], pa.string()), value_set=self.terms)
+        place = place.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
+        for k, (_, times) in enumerate(held):
+            column, times = place[edge[k] : edge[k + 1]], np.array(times, float)
+            order = np.argsort(column, kind="stable")
+            order = order[column[order] >= 0]
+            yield self._unit(column[order], times[order])
+
+    def _unit(self, column: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        value = (1 + np.log(times)) * self.scale[column]
         norm = math.sqrt(float(value @ value))
         return (column, value / norm) if norm else (column[:0], value[:0])
 
     def vector(self, words: Sequence[str]) -> dict[str, float]:
         """Unit vector over the terms of the words."""
         column, value = self.sparse(Counter(words))
-        return {self.terms[c]: float(v) for c, v in zip(column, value)}
+        return {self.terms[int(c)].as_py(): float(v) for c, v in zip(column, value)}
 
     def columns(self, vector: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
         found = sorted((self.at[t], v) for t, v in vector.items())
@@ -135,31 +159,45 @@ class Examples:
         self.amount = self.value[order].astype(np.float32)
 
     def _into_blocks(self, n: int) -> None:
-        """Examples beside others with the same heaviest frequent terms: `position` of each, and the matrix in that order."""
-        at = np.flatnonzero(self.place[self.column] >= 0)
-        number = np.searchsorted(self.starts, at, "right") - 1
-        rows = np.zeros((n, int((self.place >= 0).sum())), np.float32)
-        rows[number, self.place[self.column[at]]] = self.value[at]
-        heavy = np.argsort(-rows, axis=1, kind="stable")[:, :3] if rows.size else np.zeros((n, 3), np.int64)
-        order = np.lexsort(heavy.T[::-1]) if n else np.zeros(0, np.int64)
+        """Examples beside others with the same heaviest frequent terms: `position` of each."""
+        heavy = np.zeros((n, min(3, int((self.place >= 0).sum()))), np.int32)
+        for low in range(0, n, SORTED):
+            number, spot, value = self._frequent(low, min(n, low + SORTED))
+            rows = np.zeros((min(n, low + SORTED) - low, int((self.place >= 0).sum())), np.float32)
+            rows[number - low, spot] = value
+            heavy[low : low + SORTED] = np.argsort(-rows, axis=1, kind="stable")[:, :3]
+        order = np.lexsort(heavy.T[::-1]) if heavy.size else np.arange(n)
         self.position = np.empty(n, np.int32)
         self.position[order] = np.arange(n)
+        self.dense = None
+
+    def _frequent(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number, place and value of the frequent terms of some examples."""
+        first, last = self.starts[low], self.starts[high]
+        spot = self.place[self.column[first:last]]
+        kept = np.flatnonzero(spot >= 0)
+        number = np.repeat(np.arange(low, high, dtype=np.int32), np.diff(self.starts[low : high + 1]))
+        return number[kept], spot[kept], self.value[first:last][kept]
+
+    def spread(self) -> None:
+        """The matrix of the frequent terms in the order of `position`, and the greatest values of its blocks."""
+        n, width = len(self.same), int((self.place >= 0).sum())
         many = -(-n // BLOCK)
-        self.dense = np.zeros((many, BLOCK, rows.shape[1]), np.float32)
-        self.dense.reshape(many * BLOCK, rows.shape[1])[self.position] = rows
-        self.greatest = self.dense.max(axis=1) if many else np.zeros((0, rows.shape[1]), np.float32)
+        self.dense = np.zeros((many, BLOCK, width), np.float32)
+        flat = self.dense.reshape(many * BLOCK, width)
+        for low in range(0, n, SORTED):
+            number, spot, value = self._frequent(low, min(n, low + SORTED))
+            flat[self.position[number], spot] = value
+        self.greatest = self.dense.max(axis=1) if many else np.zeros((0, width), np.float32)
 
     def __getstate__(self) -> dict:
         """What travels with the tasks: what follows from the rest is made again there."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("at", "dense", "greatest", "position", "clear")}
-
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
-        self.at = {t: i for i, t in enumerate(self.terms)}
-        self._into_blocks(len(self.same))
+        return {k: v for k, v in self.__dict__.items() if k not in ("at", "greatest", "clear")} | {"dense": None}
 
     def short(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> np.ndarray:
         """Cosines of vectors and examples, to within ERROR; -1 in blocks that hold none of the k + 1 best."""
+        if self.dense is None:
+            self.spread()
         m, many = len(vectors), len(self.dense)
         asked = np.zeros((m, self.dense.shape[2]), np.float32)
         rare = np.zeros((m, many, BLOCK), np.float32)
@@ -308,11 +346,14 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES_PER_CLASS)
     n, departs = terms.column("n").to_numpy(), terms.column("departs").to_numpy()
     scale = (np.log((1 + total.n) / (1 + n)) + 1) * (1 + np.abs(departs))
     clear = (n >= LEAST_DOCUMENTS) & (departs >= LEAST_DEVIATION)
-    made = Examples.over(terms.column("term").to_pylist(), scale, clear, without)
-    del spread, terms, n, departs
+    listed = terms.column("term")
+    made = Examples.over(pa.concat_arrays(listed.chunks) if listed.num_chunks else pa.array([], pa.string()), scale, clear, without)
+    del spread, terms, listed, n, departs
     told = []
-    for r in sample.toLocalIterator():
-        told.append((r.key1 & (BUCKETS - 1), r.key1, str(r.doc_id), r.doc_id, r.toxic, made.sparse(dict(zip(r.words, r.times)))))
+    rows = sample.toLocalIterator()
+    while some := list(islice(rows, FETCHED)):
+        vectors = made.sparse_each([(r.words, r.times) for r in some])
+        told += [(r.key1 & (BUCKETS - 1), r.key1, str(r.doc_id), r.doc_id, r.toxic, v) for r, v in zip(some, vectors)]
     told.sort(key=lambda x: x[:3])
     seen: Counter = Counter()
     for n, x in enumerate(told):
@@ -331,6 +372,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES_PER_CLASS)
     del told
     made.index(vectors)
     made.calibrate(CALIBRATION)
+    made.dense = None
     return made
 
 
@@ -346,7 +388,11 @@ def score(docs: DataFrame, made: Examples, keep: Sequence[str] = ("doc_id",)) ->
     tokens = re.compile(WORD).findall
     near = pa.struct([("doc_id", pa.string()), ("cosine", pa.float64()), ("toxic", pa.int32())])
 
+    # Written to a file once; inside of the function the driver would hold it in bytes as well.
+    sent = docs.sparkSession.sparkContext.broadcast(made)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = sent.value
         for batch in batches:
             scores, evidence = [], []
             for lo in range(0, batch.num_rows, TOGETHER):

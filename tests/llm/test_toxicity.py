@@ -118,3 +118,15 @@ def test_blocks_below_the_best_are_skipped():
         number, got = model.nearest(query)
         assert list(number) == list(best) and np.allclose(got, cosine[best])
     assert model.offered == 90 * -(-3000 // toxicity.BLOCK) and 0 < model.visited < model.offered / 2
+
+
+def test_fitting_holds_terms_once(spark):
+    """What a driver keeps of a fit has neither a second copy of its terms nor the matrix of the blocks."""
+    texts = [(i, f"w{i % 7} w{i % 11} word{i} {'foul' if i % 3 == 0 else 'kind'} {'w3 ' * (i % 4)}") for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id bigint, toxic int"))
+    assert len(model.ids) > 100 and "at" not in vars(model) and model.dense is None
+    held = [{"w1": 2, "foul": 1, "never": 3}, {}, {"never": 1}, {"kind": 1, "w3": 4, "w1": 1}]
+    for one, (column, value) in zip(held, model.sparse_each([(list(h), list(h.values())) for h in held])):
+        plain = model.sparse(one)
+        assert column.tolist() == plain[0].tolist() and value.tolist() == plain[1].tolist()

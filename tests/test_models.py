@@ -195,3 +195,19 @@ def test_catalog_runs_the_default_budgets(spark, monkeypatch):
             getattr(q, name)(spark, None)
         want = {"tune": (30, md.SEARCH_SPACE), "train_model": (md.TreeParams(),), "calibrate": (md.TreeParams(), 5)}
         assert asked == {of: want[of]}
+
+
+def test_vectors_of_a_split_are_dealt_evenly(spark, monkeypatch):
+    """Rows that lie in one partition keep as many tasks busy as there are cores."""
+    monkeypatch.setattr(md, "FIT_ROWS", 50)
+    rows = spark.range(0, 1000, 1, 1).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN 7 ELSE id END AS customer_unique_id", "id % 3 = 0 AS is_churned", "CAST(id AS DOUBLE) AS x",
+        "CASE WHEN id % 10 < 8 THEN 'train' ELSE 'val' END AS split",
+    ).withColumnRenamed("is_churned", md.TARGET)
+    rows = md.store(rows)
+    encoder = md.fit_encoder(rows.where("split = 'train'"), prep.FeatureKinds(["x"], []))
+    stored = md.stored_split(encoder, rows)
+    sizes = [n for n in stored.where("split = 'train'").rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect() if n]
+    assert len(sizes) == 8 and max(sizes) < 120
+    plain = md.encoded_split(encoder, rows)
+    assert sorted(map(str, stored.collect())) == sorted(map(str, plain.collect()))
