@@ -29,7 +29,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import cached_property
-from itertools import islice
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +59,8 @@ FETCHED = 256
 # Blocks that are scored first, and texts that are searched together.
 FIRST_BLOCKS = 3
 TOGETHER = 64
+# Terms that are looked up first.
+COMMON = 32768
 # Documents are dealt over so many buckets to choose the examples.
 BUCKETS = 16384
 # More than the short numbers of a cosine can be off by.
@@ -96,6 +98,12 @@ class Examples:
         """The place of every term. Tasks look words up in it; fitting does without, as it weighs far more than the terms."""
         return {t: i for i, t in enumerate(self.terms.to_pylist())}
 
+    @cached_property
+    def common(self) -> dict[str, int]:
+        """The same of the terms that most examples hold: most words of a text are in it, and it stays in the processor's cache."""
+        most = np.argsort(-np.bincount(self.column, minlength=len(self.terms)), kind="stable")[:COMMON]
+        return dict(zip(self.terms.take(pa.array(most)).to_pylist(), most.tolist()))
+
     @property
     def idf(self) -> dict[str, float]:
         return {self.terms[i].as_py(): float(self.scale[i]) for i in np.flatnonzero(self.clear)}
@@ -106,8 +114,11 @@ class Examples:
 
     def sparse(self, counted: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
         """Columns in order and values of the unit vector of counted words."""
-        found = sorted((self.at[w], n) for w, n in counted.items() if w in self.at)
-        return self._unit(np.array([c for c, _ in found], np.int32), np.array([n for _, n in found], float))
+        column = np.fromiter(map(self.common.get, counted, repeat(-1)), np.int32, len(counted))
+        if len(other := np.flatnonzero(column < 0)):
+            words, at = [*counted], self.at
+            column[other] = [at.get(words[k], -1) for k in other.tolist()]
+        return self._known(column, np.fromiter(counted.values(), float, len(counted)))
 
     def sparse_each(self, held: list[tuple[list[str], list[int]]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The same for many texts at once, each given by its distinct words and their counts."""
@@ -115,10 +126,13 @@ class Examples:
         place = pc.index_in(pa.array([w for words, _ in held for w in words], pa.string()), value_set=self.terms)
         place = place.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
         for k, (_, times) in enumerate(held):
-            column, times = place[edge[k] : edge[k + 1]], np.array(times, float)
-            order = np.argsort(column, kind="stable")
-            order = order[column[order] >= 0]
-            yield self._unit(column[order], times[order])
+            yield self._known(place[edge[k] : edge[k + 1]], np.array(times, float))
+
+    def _known(self, column: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The unit vector of counted words by their columns, -1 for words that are not terms."""
+        known = np.flatnonzero(column >= 0)
+        order = known[np.argsort(column[known])]
+        return self._unit(column[order], times[order])
 
     def _unit(self, column: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         value = (1 + np.log(times)) * self.scale[column]
@@ -147,16 +161,39 @@ class Examples:
         self.column, self.value = np.zeros(self.starts[-1], np.int32), np.zeros(self.starts[-1])
         for i in reversed(range(n)):
             self.column[self.starts[i] : self.starts[i + 1]], self.value[self.starts[i] : self.starts[i + 1]] = vectors.pop()
-        held = np.bincount(self.column, minlength=width)
+        held = np.zeros(width, np.int64)
+        for some in self._pieces(n):
+            held += np.bincount(self.column[some], minlength=width)
         often = np.argsort(-held, kind="stable")[:DENSE]
         self.place = np.full(width, -1, np.int32)
         self.place[often] = np.arange(len(often))
         self._into_blocks(n)
-        seldom = np.flatnonzero(self.place[self.column] < 0)
-        order = seldom[np.argsort(self.column[seldom], kind="stable")]
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(self.column[order], minlength=width))]).astype(np.int64)
-        self.posted = np.repeat(self.position, np.diff(self.starts))[order]
-        self.amount = self.value[order].astype(np.float32)
+        held[often] = 0
+        self.first = np.concatenate([[0], np.cumsum(held)]).astype(np.int64)
+        self._into_lists(n)
+
+    def _pieces(self, n: int) -> Iterator[slice]:
+        """The entries of some examples at a time: what is worked out over all at once weighs more than the index."""
+        for low in range(0, n, SORTED):
+            yield slice(self.starts[low], self.starts[min(n, low + SORTED)])
+
+    def _into_lists(self, n: int) -> None:
+        """For every term that few examples hold the places of its examples and their values, by the number of the example."""
+        # Place and amount of an entry stand beside each other, so that a list is one piece.
+        self.posted = np.empty((self.first[-1], 2), np.int32)
+        filled = self.first[:-1].copy()
+        for low, some in zip(range(0, n, SORTED), self._pieces(n)):
+            column = self.column[some]
+            order = np.argsort(column, kind="stable")
+            order = order[self.place[column[order]] < 0]
+            column = column[order]
+            begins = np.flatnonzero(np.append(True, column[1:] != column[:-1])[: len(column)])
+            many = np.diff(np.append(begins, len(column)))
+            to = np.arange(len(column)) + np.repeat(filled[column[begins]] - begins, many)
+            filled[column[begins]] += many
+            position = np.repeat(self.position[low : low + SORTED], np.diff(self.starts[low : low + SORTED + 1]))
+            self.posted[to, 0] = position[order]
+            self.posted[to, 1] = self.value[some][order].astype(np.float32).view(np.int32)
 
     def _into_blocks(self, n: int) -> None:
         """Examples beside others with the same heaviest frequent terms: `position` of each."""
@@ -189,13 +226,16 @@ class Examples:
             number, spot, value = self._frequent(low, min(n, low + SORTED))
             flat[self.position[number], spot] = value
         self.greatest = self.dense.max(axis=1) if many else np.zeros((0, width), np.float32)
+        self.placed = np.zeros(many * BLOCK, np.int64)
+        self.placed[self.position] = np.arange(n)
 
     def __getstate__(self) -> dict:
         """What travels with the tasks: what follows from the rest is made again there."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("at", "greatest", "clear")} | {"dense": None}
+        return {k: v for k, v in self.__dict__.items() if k not in ("at", "common", "greatest", "placed", "clear")} | {"dense": None}
 
-    def short(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> np.ndarray:
-        """Cosines of vectors and examples, to within ERROR; -1 in blocks that hold none of the k + 1 best."""
+    def short(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+        """Cosines of vectors and examples by `position`, to within ERROR, -1 in blocks that hold none of the k + 1
+        best; and for each vector what its k + 1 best reach at least."""
         if self.dense is None:
             self.spread()
         m, many = len(vectors), len(self.dense)
@@ -204,10 +244,14 @@ class Examples:
         for n, (column, value) in enumerate(vectors):
             row = self.place[column]
             asked[n, row[row >= 0]] = value[row >= 0]
-            start, count = self.first[column], self.first[column + 1] - self.first[column]
-            if total := int(count.sum()):
-                here = np.repeat(start - np.cumsum(count) + count, count) + np.arange(total)
-                rare[n] = np.bincount(self.posted[here], self.amount[here] * np.repeat(value, count), many * BLOCK).reshape(many, BLOCK)
+            start, stop = self.first[column], self.first[column + 1]
+            some = np.flatnonzero(stop > start)
+            if len(some):
+                start, stop, value = start[some], stop[some], value[some]
+                # Whole lists are put together, which is far less work than a number for every entry.
+                posted = np.concatenate([*map(self.posted.__getitem__, map(slice, start.tolist(), stop.tolist()))])
+                amount = posted[:, 1].view(np.float32) * np.repeat(value, stop - start)
+                rare[n] = np.bincount(posted[:, 0], amount, many * BLOCK).reshape(many, BLOCK)
         bound = rare.max(axis=2, initial=0) + asked @ self.greatest.T
         got = np.full((m, many, BLOCK), -1, np.float32)
 
@@ -220,27 +264,35 @@ class Examples:
         # One more than k, as a text may have to be left out of its own neighbours.
         first = min(many, max(FIRST_BLOCKS, -(-(k + 1) // BLOCK) + 1))
         wanted = np.zeros((m, many), bool)
-        np.put_along_axis(wanted, np.argpartition(-bound, first - 1, axis=1)[:, :first] if many else np.zeros((m, 0), int), True, axis=1)
+        begun = np.argpartition(-bound, first - 1, axis=1)[:, :first] if many else np.zeros((m, 0), int)
+        np.put_along_axis(wanted, begun, True, axis=1)
         score(wanted)
-        flat = got.reshape(m, many * BLOCK)
-        least = np.partition(flat, -(k + 1), axis=1)[:, -(k + 1)] if flat.shape[1] > k else np.full(m, -1, np.float32)
+        found = got[np.arange(m)[:, None], begun].reshape(m, first * BLOCK)
+        least = np.partition(found, -(k + 1), axis=1)[:, -(k + 1)] if found.shape[1] > k else np.full(m, -1, np.float32)
         score((bound >= least[:, None] - 4 * ERROR) & (bound > 0) & ~wanted)
         self.offered += m * many
-        return flat[:, self.position]
+        return got.reshape(m, many * BLOCK), least
 
-    def closest(self, vector: tuple[np.ndarray, np.ndarray], short: np.ndarray, k: int, skip: int, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def closest(self, vector: tuple[np.ndarray, np.ndarray], short: np.ndarray, floor: float, k: int, skip: int, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if skip >= 0:
-            short[skip] = 0
-        least = np.partition(short, -k)[-k] - ERROR if len(short) > k else 0.0
-        number = np.flatnonzero((short >= least) & (short > 0))
-        if not len(number):
+            short[self.position[skip]] = 0
+        # The k-th best is not below the floor, so it is looked for among these alone.
+        spot = np.flatnonzero((short >= floor - ERROR) & (short > 0))
+        if len(spot) > k:
+            reached = short[spot]
+            spot = spot[reached >= np.partition(reached, -k)[-k] - ERROR]
+        if not len(spot):
             return np.zeros(0, np.int64), np.zeros(0)
+        number = np.sort(self.placed[spot])
         column, value = vector
         room[column] = value
         own, which = np.unique(self.same[number], return_inverse=True)
-        at = self.starts
-        cosine = np.array([self.value[at[i] : at[i + 1]] @ room[self.column[at[i] : at[i + 1]]] for i in own])[which]
+        start, stop = self.starts[own], self.starts[own + 1]
+        lists = [*map(slice, start.tolist(), stop.tolist())]
+        met = room[np.concatenate([*map(self.column.__getitem__, lists)])]
         room[column] = 0
+        edge = np.cumsum(stop - start).tolist()
+        cosine = np.array([self.value[x] @ met[low:high] for x, low, high in zip(lists, [0, *edge], edge)])[which]
         best = np.lexsort((number, -np.round(cosine, 12)))[:k]
         return number[best], cosine[best]
 
@@ -249,8 +301,8 @@ class Examples:
         room = np.zeros(len(self.terms))
         for lo in range(0, len(vectors), TOGETHER):
             some = vectors[lo : lo + TOGETHER]
-            for i, (vector, short) in enumerate(zip(some, self.short(some, k)), lo):
-                yield self.closest(vector, short, k, skip[i] if len(skip) else -1, room)
+            for i, (vector, short, floor) in enumerate(zip(some, *self.short(some, k)), lo):
+                yield self.closest(vector, short, floor, k, skip[i] if len(skip) else -1, room)
 
     def nearest(self, vector: dict[str, float], k: int = NEIGHBOURS, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         return next(self.search([self.columns(vector)], k, [skip]))
@@ -371,6 +423,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES_PER_CLASS)
     vectors = [x[5] for x in told]
     del told
     made.index(vectors)
+    pa.default_memory_pool().release_unused()  # what looking words up took
     made.calibrate(CALIBRATION)
     made.dense = None
     return made

@@ -1,6 +1,7 @@
 """Exact nearest examples, held-out scores, and texts without anything to go by."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -130,3 +131,30 @@ def test_fitting_holds_terms_once(spark):
     for one, (column, value) in zip(held, model.sparse_each([(list(h), list(h.values())) for h in held])):
         plain = model.sparse(one)
         assert column.tolist() == plain[0].tolist() and value.tolist() == plain[1].tolist()
+
+
+def test_index_is_built_in_pieces(monkeypatch):
+    """Building the index takes little beside it, and common words are found without the dictionary of all terms."""
+    monkeypatch.setattr(toxicity, "SORTED", 256)
+    draw = np.random.default_rng(8)
+    terms = [f"t{k:04d}" for k in range(4000)]
+    model = toxicity.Examples({t: 1.0 for t in terms})
+    vectors = []
+    for _ in range(4000):
+        column = np.unique(np.minimum(draw.geometric(0.001, 250), 3999)).astype(np.int32)
+        vectors.append((column, np.full(len(column), len(column) ** -0.5)))
+    plain = [(c.copy(), v.copy()) for c, v in vectors]
+    tracemalloc.start()
+    model.index(vectors)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2.4 * (model.column.nbytes + model.value.nbytes)
+    # A list has the examples of its term in the order of their numbers, each with its value.
+    for column in (300, 700, 1500):
+        lines = model.posted[model.first[column] : model.first[column + 1]]
+        want = [(model.position[n], v[c == column][0]) for n, (c, v) in enumerate(plain) if column in c]
+        assert model.place[column] >= 0 or lines[:, 0].tolist() == [p for p, _ in want]
+        assert model.place[column] >= 0 or np.allclose(np.ascontiguousarray(lines[:, 1]).view(np.float32), [v for _, v in want])
+    monkeypatch.setattr(toxicity, "COMMON", 500)
+    assert model.sparse({"t0001": 1, "t0005": 2})[0].tolist() == [1, 5] and "at" not in vars(model)
+    assert model.sparse({"t0001": 1, "t3999": 1, "never": 1, "t2500": 1})[0].tolist() == [1, 2500, 3999]
