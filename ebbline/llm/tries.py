@@ -7,12 +7,12 @@ they share lies in the prefix of both, the first n - need(n) + 1 of each; so a t
 most of whose shingles are its own has an empty prefix and leaves early.
 
 A group is the texts with one prefix shingle. Its sets, as paths in the global order,
-form a trie, kept as the sorted list of paths with the length each shares with the
-one before. A query walks the trie in this order with the overlap at every depth of
-the current path, so paths with a common beginning share the work for it, and skips a
-subtree when even all that is left of the query and of the longest path below could
-not reach the threshold. As the result is classes, a subtree whose texts are all in
-the query's class is skipped too.
+form a trie, kept as the sorted list of paths: of each the part behind what it shares
+with the one before, and the part that hangs from. A query goes through the trie once,
+all parts together and then level by level from where they hang, so paths with a common
+beginning share the work for it; it ends behind the last path that could reach the
+threshold by its length and whose text is not in the query's class, and is left out when
+there is none.
 
 Every text first joins the group of one of its prefix shingles, in blocks around one
 text that all blocks of a group have in common. After that classes are formed, and
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import lower_ascii, small, small_batches
+from ebbline.llm.common import small, small_batches
 from ebbline.llm.components import components
 from ebbline.llm.words import bytes_of, hashes, mix, spans
 from ebbline.session import store
@@ -42,6 +42,9 @@ PERCENT = 75
 BLOCK = 256
 # Shingles that share one key range while they are counted.
 RANGE_SHINGLES = 1_000_000
+# Bytes with A-Z as a-z, which no other character in UTF-8 has.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
 # Shingles a task holds before it packs and hands them on.
 PACKED_SHINGLES = 1_000_000
 
@@ -74,6 +77,7 @@ def _name(shingles: np.ndarray) -> int:
 def _sets(batch: pa.RecordBatch, column: int, n: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingles of each text; the whole of a text of fewer than n words is one."""
     data, ends = bytes_of(batch.column(column))
+    data = LOWER[data]
     start, stop, many = spans(data, ends)
     words, upto = hashes(data, start, stop), np.cumsum(many)
     every = _grams(words, n)  # those across two texts are never looked at
@@ -107,7 +111,7 @@ def set_names(docs: DataFrame, n: int) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", lower_ascii(F.col("text")).alias("text")).mapInArrow(run, f"doc_id {kind}, name bigint, size bigint")
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, f"doc_id {kind}, name bigint, size bigint")
 
 
 def _dealt(docs: DataFrame, n: int, percent: int, ranges: int, prefix_only: bool) -> DataFrame:
@@ -130,7 +134,7 @@ def _dealt(docs: DataFrame, n: int, percent: int, ranges: int, prefix_only: bool
         if names:
             yield from _packed(names, sets, ranges)
 
-    return docs.select(lower_ascii(F.col("text")).alias("text")).mapInArrow(run, "range bigint, keys binary, names binary")
+    return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "range bigint, keys binary, names binary")
 
 
 def _gathered(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -224,21 +228,57 @@ class Trie:
         self.paths = [place[i] for i in self.line]
         self.sizes = sizes[self.line]
         self.length = np.array([len(p) for p in self.paths])
-        common = np.zeros(len(place), np.int64)
-        for i in range(1, len(place)):
-            a, b = self.paths[i - 1], self.paths[i]
-            k = min(len(a), len(b))
-            differ = np.flatnonzero(a[:k] != b[:k])
-            common[i] = differ[0] if len(differ) else k
-        self.common = common
         self.universe = len(listed)
-
-    def beyond(self, i: int, depth: int) -> int:
-        """The first path behind i that does not share its beginning of this depth."""
-        j = i + 1
-        while j < len(self.paths) and self.common[j] >= depth:
-            j += 1
-        return j
+        self._edges()
+
+    def _edges(self) -> None:
+        """Each path's part of the trie: the places behind what it shares with the one before, and where that hangs."""
+        n = len(self.paths)
+        self.common, self.above, level, cut = np.zeros(n, np.int64), np.full(n, -1), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        chain: list[int] = []  # the parts that the current path runs through
+        at = np.zeros(n + 1, np.int64)
+        for i, path in enumerate(self.paths):
+            if i:
+                before = self.paths[i - 1]
+                k = min(len(before), len(path))
+                differ = np.flatnonzero(before[:k] != path[:k])
+                self.common[i] = differ[0] if len(differ) else k
+            while chain and self.common[chain[-1]] >= self.common[i]:
+                chain.pop()
+            if chain:
+                j = self.above[i] = chain[-1]
+                level[i] = level[j] + 1
+                cut[i] = at[j] + self.common[i] - self.common[j]
+            chain.append(i)
+            at[i + 1] = at[i] + len(path) - self.common[i]
+        self.nodes = np.concatenate([path[k:] for path, k in zip(self.paths, self.common.tolist())]).astype(np.int32)
+        # Sums run from cut to cut: where parts begin, and behind the places that others hang from.
+        cuts = np.unique(np.concatenate([at, cut]))
+        self.cuts = cuts[cuts < len(self.nodes)]
+        self.at, self.begin, self.hangs = at, np.searchsorted(self.cuts, at), np.searchsorted(self.cuts, cut)
+        self.levels = [np.flatnonzero(level == k) for k in range(1, int(level.max(initial=0)) + 1)]
+
+    def overlaps(self, q: int, end: int, marks: np.ndarray) -> np.ndarray:
+        """How much the paths behind q and before `end` share with q, whose places `marks` tells.
+
+        A place that several paths have in common is looked at once. What a part behind q
+        shares with a part up to q is a beginning of q as well, so q has all of it.
+        """
+        low, cut = self.at[q + 1], self.begin[q + 1]
+        cuts = self.cuts[cut : self.begin[end]] - low
+        upto = np.zeros(len(cuts) + 1, np.int64)
+        if len(cuts):
+            np.cumsum(np.add.reduceat(marks[self.nodes[low : self.at[end]]], cuts, dtype=np.int64), out=upto[1:])
+        begin = self.begin[q + 1 : end + 1] - cut
+        shared = self.common[q + 1 : end].copy()
+        above = self.above[q + 1 : end] - q - 1
+        for level in self.levels:
+            some = level[np.searchsorted(level, q + 1) : np.searchsorted(level, end)] - q - 1
+            some = some[above[some] >= 0]
+            if len(some):
+                over = above[some]
+                shared[some] = shared[over] + upto[self.hangs[some + q + 1] - cut] - upto[begin[over]]
+        return shared + upto[begin[1:]] - upto[begin[:-1]]
 
     def links(self, across: np.ndarray, classes: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
         """Pairs of texts that link, with `classes` (a number for each) united on the way.
@@ -246,68 +286,25 @@ class Trie:
         Texts of one class are not compared again. Where `across` says two blocks, only
         pairs of different blocks are.
         """
-        parent = {int(c): int(c) for c in classes}
-
-        def root(c: int) -> int:
-            while parent[c] != c:
-                parent[c] = parent[parent[c]]
-                c = parent[c]
-            return c
-
-        mine = [int(classes[i]) for i in self.line]
+        mine = np.unique(classes, return_inverse=True)[1][self.line]
         side = across[self.line]
         both = side.min() != side.max() if len(side) else False
-        for q in range(len(self.paths)):
-            marks = np.zeros(self.universe + 1, np.int32)
+        marks = np.zeros(self.universe, np.uint8)
+        for q in range(len(self.paths) - 1):
+            goal = least_overlap(int(self.sizes[q]), self.sizes[q + 1 :], percent)
+            open_ = (goal <= np.minimum(self.length[q + 1 :], self.length[q])) & (mine[q + 1 :] != mine[q])
+            if both:
+                open_ &= side[q + 1 :] != side[q]
+            left = np.flatnonzero(open_)
+            if not len(left):
+                continue
             marks[self.paths[q]] = 1
-            size_q, length_q = int(self.sizes[q]), int(self.length[q])
-            overlap = np.zeros(1, np.int64)  # overlap[d]: shared by the query and the first d of the current path
-            i = q + 1
-            while i < len(self.paths):
-                if root(mine[i]) == root(mine[q]) or both and side[i] == side[q]:
-                    overlap = overlap[: min(len(overlap), int(self.common[i]) + 1)]
-                    i += 1
-                    if i < len(self.paths):
-                        overlap = overlap[: int(self.common[i]) + 1]
-                    continue
-                goal = least_overlap(size_q, int(self.sizes[i]), percent)
-                depth = min(len(overlap) - 1, int(self.common[i]))
-                overlap = overlap[: depth + 1]
-                grown = overlap[depth] + np.cumsum(marks[self.paths[i][depth:]])
-                overlap = np.concatenate([overlap, grown])
-                if overlap[-1] >= goal:
+            shared = self.overlaps(q, q + 2 + int(left[-1]), marks)
+            marks[self.paths[q]] = 0
+            for i in (left[shared[left] >= goal[left]] + q + 1).tolist():
+                if mine[i] != mine[q]:
                     yield int(self.line[q]), int(self.line[i])
-                    parent[root(mine[i])] = root(mine[q])
-                    i += 1
-                else:
-                    i = self._past(i, overlap, q, length_q, percent)
-                if i < len(self.paths):
-                    overlap = overlap[: int(self.common[i]) + 1]
-
-    def _past(self, i: int, overlap: np.ndarray, q: int, length_q: int, percent: int) -> int:
-        """Where to go on after a path that fails: behind the largest subtree that must fail with it.
-
-        Below depth d, a path shares at most overlap[d] and what both have left: the rest of
-        the query beyond the places passed so far, and the rest of the path.
-        """
-        j = i + 1
-        if j >= len(self.paths):
-            return j
-        depth = int(self.common[j])
-        while depth > 0:
-            passed = self.paths[i][depth - 1]
-            rest_q = length_q - int(np.searchsorted(self.paths[q], passed, "right"))
-            end = self.beyond(i, depth)
-            longest = int(self.length[j:end].max(initial=0)) - depth
-            most = int(overlap[depth]) + min(rest_q, longest)
-            least = least_overlap(int(self.sizes[q]), int(self.sizes[j:end].min(initial=1 << 60)), percent)
-            if most >= least:
-                return j
-            j = end
-            if j >= len(self.paths):
-                return j
-            depth = int(self.common[j])
-        return j
+                    mine[mine == mine[i]] = mine[q]
 
 
 def _joined(group: pd.DataFrame, percent: int) -> list[tuple[int, int]]:

@@ -150,6 +150,46 @@ def test_trie_walk_equals_all_pairs():
                     assert root(i) == root(j)
 
 
+def test_trie_overlaps_and_work():
+    """A query's overlaps with all paths behind it are exact, and places in common are looked at once."""
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    for spread in (3, 40):
+        # Long common beginnings, nested, and paths that are beginnings of others.
+        paths = [np.arange(200)]
+        while len(paths) < 120:
+            old = paths[draw.integers(len(paths))]
+            kept = old[: draw.integers(0, len(old) + 1)]
+            more = np.unique(draw.integers(int(kept[-1]) + 1 if len(kept) else 0, 600, draw.integers(0, spread)))
+            if len(kept) + len(more):
+                paths.append(np.concatenate([kept, more]))
+        held = [np.arange(600, dtype=np.uint32)[p] for p in paths]  # the order of the numbers
+        trie = tries.Trie([p.astype(np.uint64) for p in paths], held, np.array([len(p) for p in paths]))
+        sets = [set(paths[i].tolist()) for i in trie.line]
+        assert len(trie.nodes) < sum(map(len, paths)) / 2 if spread == 3 else len(trie.nodes) < sum(map(len, paths))
+        for q in range(len(paths) - 1):
+            marks = np.zeros(trie.universe, np.uint8)
+            marks[trie.paths[q]] = 1
+            for end in {q + 2, (q + 2 + len(paths)) // 2, len(paths)}:
+                assert trie.overlaps(q, end, marks).tolist() == [len(sets[q] & s) for s in sets[q + 1 : end]]
+
+
+def test_a_query_asks_once_for_all_paths(monkeypatch):
+    """Where nothing links, a text costs one look at the trie, and none if no size fits or all are of its class."""
+    import numpy as np
+
+    asked, overlaps = [], tries.Trie.overlaps
+    monkeypatch.setattr(tries.Trie, "overlaps", lambda self, *a: asked.append(1) or overlaps(self, *a))
+    paths = [np.array([0, *range(10 * k + 1, 10 * k + 9)], np.uint64) for k in range(50)]
+    held = [np.array([1] + [2] * 8, np.uint32)] * 50
+    trie = tries.Trie(paths, held, np.full(50, 9))
+    assert not list(trie.links(np.zeros(50, int), np.arange(50), 75)) and len(asked) == 49
+    assert not list(trie.links(np.zeros(50, int), np.zeros(50, int), 75)) and len(asked) == 49
+    sizes = tries.Trie(paths, held, 9 * 2 ** np.arange(50))
+    assert not list(sizes.links(np.zeros(50, int), np.arange(50), 75)) and len(asked) == 49
+
+
 @pytest.mark.parametrize("texts", [["a b c"], ["a", None, "b c"], ["", "x", "y z"]])
 def test_batches_of_few_words(spark, texts):
     """A batch whose texts have fewer words together than a shingle."""
