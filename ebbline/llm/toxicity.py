@@ -66,6 +66,16 @@ BUCKETS = 16384
 # More than the short numbers of a cosine can be off by.
 ERROR = 5e-5
 WORD = r"[^\W_]+"
+# Bytes of ASCII words and of all other characters as they are; what stands between ASCII words as blanks.
+SPACED = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+
+
+def words_of(text: str) -> list[str]:
+    """The words of a text, those that `WORD` finds."""
+    words = text.encode("utf-8", "surrogatepass").translate(SPACED).decode("utf-8", "surrogatepass").split()
+    if text.isascii() or all(map(str.isalnum, words)):
+        return words
+    return [w for part in words for w in ([part] if part.isalnum() else re.findall(WORD, part))]
 
 
 class Examples:
@@ -101,7 +111,8 @@ class Examples:
     @cached_property
     def common(self) -> dict[str, int]:
         """The same of the terms that most examples hold: most words of a text are in it, and it stays in the processor's cache."""
-        most = np.argsort(-np.bincount(self.column, minlength=len(self.terms)), kind="stable")[:COMMON]
+        held = np.where(self.place >= 0, len(self.same), np.diff(self.first))
+        most = np.argsort(-held, kind="stable")[:COMMON]
         return dict(zip(self.terms.take(pa.array(most)).to_pylist(), most.tolist()))
 
     @property
@@ -120,6 +131,14 @@ class Examples:
             column[other] = [at.get(words[k], -1) for k in other.tolist()]
         return self._known(column, np.fromiter(counted.values(), float, len(counted)))
 
+    def sparse_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of a text's words, counted by their columns."""
+        column = np.fromiter(map(self.common.get, words, repeat(-1)), np.int32, len(words))
+        if len(other := np.flatnonzero(column < 0)):
+            column[other] = [*map(self.at.get, map(words.__getitem__, other.tolist()), repeat(-1))]
+        column, times = np.unique(column[column >= 0], return_counts=True)
+        return self._unit(column, times.astype(float))
+
     def sparse_each(self, held: list[tuple[list[str], list[int]]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The same for many texts at once, each given by its distinct words and their counts."""
         edge = np.cumsum([0, *(len(words) for words, _ in held)])
@@ -239,6 +258,7 @@ class Examples:
         if self.dense is None:
             self.spread()
         m, many = len(vectors), len(self.dense)
+        entries = self.posted.view(np.int64).reshape(-1)  # place and amount as one number
         asked = np.zeros((m, self.dense.shape[2]), np.float32)
         rare = np.zeros((m, many, BLOCK), np.float32)
         for n, (column, value) in enumerate(vectors):
@@ -247,10 +267,12 @@ class Examples:
             start, stop = self.first[column], self.first[column + 1]
             some = np.flatnonzero(stop > start)
             if len(some):
-                start, stop, value = start[some], stop[some], value[some]
-                # Whole lists are put together, which is far less work than a number for every entry.
-                posted = np.concatenate([*map(self.posted.__getitem__, map(slice, start.tolist(), stop.tolist()))])
-                amount = posted[:, 1].view(np.float32) * np.repeat(value, stop - start)
+                start, many_in = start[some], (stop - start)[some]
+                upto = np.cumsum(many_in)
+                at = np.repeat(start - upto + many_in, many_in)
+                at += np.arange(len(at))
+                posted = entries.take(at).view(np.int32).reshape(-1, 2)
+                amount = posted[:, 1].view(np.float32) * np.repeat(value[some], many_in)
                 rare[n] = np.bincount(posted[:, 0], amount, many * BLOCK).reshape(many, BLOCK)
         bound = rare.max(axis=2, initial=0) + asked @ self.greatest.T
         got = np.full((m, many, BLOCK), -1, np.float32)
@@ -273,7 +295,7 @@ class Examples:
         self.offered += m * many
         return got.reshape(m, many * BLOCK), least
 
-    def closest(self, vector: tuple[np.ndarray, np.ndarray], short: np.ndarray, floor: float, k: int, skip: int, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def closest(self, vector: tuple[np.ndarray, np.ndarray], short: np.ndarray, floor: float, k: int, skip: int, room: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if skip >= 0:
             short[self.position[skip]] = 0
         # The k-th best is not below the floor, so it is looked for among these alone.
@@ -285,24 +307,30 @@ class Examples:
             return np.zeros(0, np.int64), np.zeros(0)
         number = np.sort(self.placed[spot])
         column, value = vector
-        room[column] = value
-        own, which = np.unique(self.same[number], return_inverse=True)
+        room[column], mark[column] = value, True
+        own, which = self.same[number], slice(None)
+        if len(own) > 2 * k:  # fewer are not worth it
+            own, which = np.unique(own, return_inverse=True)
         start, stop = self.starts[own], self.starts[own + 1]
         lists = [*map(slice, start.tolist(), stop.tolist())]
-        met = room[np.concatenate([*map(self.column.__getitem__, lists)])]
-        room[column] = 0
+        theirs = np.concatenate([*map(self.column.__getitem__, lists)])
+        # The marks fit the processor's cache, and few terms are shared.
+        shared = np.flatnonzero(mark.take(theirs))
+        met = np.zeros(len(theirs))
+        met[shared] = room.take(theirs.take(shared))
+        mark[column] = False
         edge = np.cumsum(stop - start).tolist()
-        cosine = np.array([self.value[x] @ met[low:high] for x, low, high in zip(lists, [0, *edge], edge)])[which]
+        cosine = np.array([self.value[x].dot(met[low:high]) for x, low, high in zip(lists, [0, *edge], edge)])[which]
         best = np.lexsort((number, -np.round(cosine, 12)))[:k]
         return number[best], cosine[best]
 
     def search(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS, skip: Sequence[int] = ()) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Numbers and cosines of the k most similar examples of each vector; ties go to the smaller number."""
-        room = np.zeros(len(self.terms))
+        room, mark = np.zeros(len(self.terms)), np.zeros(len(self.terms), bool)
         for lo in range(0, len(vectors), TOGETHER):
             some = vectors[lo : lo + TOGETHER]
             for i, (vector, short, floor) in enumerate(zip(some, *self.short(some, k)), lo):
-                yield self.closest(vector, short, floor, k, skip[i] if len(skip) else -1, room)
+                yield self.closest(vector, short, floor, k, skip[i] if len(skip) else -1, room, mark)
 
     def nearest(self, vector: dict[str, float], k: int = NEIGHBOURS, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         return next(self.search([self.columns(vector)], k, [skip]))
@@ -312,9 +340,9 @@ class Examples:
         w = self.weight[number] / (1.05 - np.minimum(cosine, 1.0))
         return float((w * self.toxic[number]).sum() / w.sum())
 
-    def scores(self, counted: list[dict[str, int]]) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
-        """Score, neighbours and cosines of texts given by their counted words."""
-        for number, cosine in self.search([self.sparse(c) for c in counted]):
+    def scores(self, texts: list[list[str]]) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        """Score, neighbours and cosines of texts given by their words."""
+        for number, cosine in self.search([self.sparse_of(words) for words in texts]):
             if not len(number):
                 yield self.without, number, cosine
             else:
@@ -363,11 +391,10 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES_PER_CLASS)
     if not total.n:
         return Examples({})
     share = min(max(total.bad / total.n, 1e-9), 1 - 1e-9)
-    tokens = re.compile(WORD).findall
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = [Counter(tokens(t)) for t in batch.column(1).to_pylist()]
+            held = [Counter(words_of(t)) for t in batch.column(1).to_pylist()]
             words, times = [list(c) for c in held], [list(c.values()) for c in held]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int32())), batch.column(2), batch.column(3)], names=["doc_id", "words", "times", "toxic", "key1"])
 
@@ -438,7 +465,6 @@ def score(docs: DataFrame, made: Examples, keep: Sequence[str] = ("doc_id",)) ->
     rows are scored each.
     """
     small_batches(docs.sparkSession)
-    tokens = re.compile(WORD).findall
     near = pa.struct([("doc_id", pa.string()), ("cosine", pa.float64()), ("toxic", pa.int32())])
 
     # Written to a file once; inside of the function the driver would hold it in bytes as well.
@@ -449,7 +475,7 @@ def score(docs: DataFrame, made: Examples, keep: Sequence[str] = ("doc_id",)) ->
         for batch in batches:
             scores, evidence = [], []
             for lo in range(0, batch.num_rows, TOGETHER):
-                for value, number, cosine in made.scores([Counter(tokens(t)) for t in batch.column(1)[lo : lo + TOGETHER].to_pylist()]):
+                for value, number, cosine in made.scores([words_of(t) for t in batch.column(1)[lo : lo + TOGETHER].to_pylist()]):
                     scores.append(value)
                     evidence.append([{"doc_id": str(made.ids[n]), "cosine": float(c), "toxic": int(made.toxic[n])} for n, c in zip(number[:EVIDENCE], cosine)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(near))], names=["row", "score", "evidence"])

@@ -1,8 +1,10 @@
 """Exact nearest examples, held-out scores, and texts without anything to go by."""
 
 import random
+import re
 import tracemalloc
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -158,3 +160,16 @@ def test_index_is_built_in_pieces(monkeypatch):
     monkeypatch.setattr(toxicity, "COMMON", 500)
     assert model.sparse({"t0001": 1, "t0005": 2})[0].tolist() == [1, 5] and "at" not in vars(model)
     assert model.sparse({"t0001": 1, "t3999": 1, "never": 1, "t2500": 1})[0].tolist() == [1, 2500, 3999]
+
+
+def test_words_are_found_by_translating():
+    """Words are those of the pattern, whatever stands between them, and are counted by their columns."""
+    for some in range(0, 0x110000, 64):
+        text = "".join(f"a{chr(c)}bé{chr(c)}_{chr(c)}9 " for c in range(some, some + 64) if not 0xD800 <= c < 0xE000)
+        assert toxicity.words_of(text) == re.findall(toxicity.WORD, text)
+    assert toxicity.words_of("") == [] and toxicity.words_of(" _\n") == []
+    model = toxicity.Examples({f"t{k}": 1.0 + k for k in range(50)})
+    model.build([model.vector([f"t{k}", f"t{k + 1}"]) for k in range(40)])
+    for words in ([], ["never"], ["t3", "t1", "t3", "never", "t49", "t3", "t49"]):
+        for got, plain in zip(model.sparse_of(words), model.sparse(Counter(words))):
+            assert got.dtype == plain.dtype and got.tolist() == plain.tolist()
