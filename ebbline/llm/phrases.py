@@ -1,8 +1,9 @@
 """Phrases whose words occur together, by exact counts of all n-grams in counting quotient filters.
 
 Texts become blocks: the distinct words of some million tokens with their counts, and the
-tokens as places in that list. Words are counted as text; those that are frequent enough
-are numbered, and blocks go on as lists of the frequent phrases at each place. A phrase of
+tokens as places in that list. A block sends its words to ranges of their hashes, where they
+are counted as text; a range numbers those that are frequent enough and answers every block,
+and blocks go on as lists of the frequent phrases at each place. A phrase of
 n + 1 words can be frequent only if its first n and its last n words are, so a block packs,
 for every place where both are, the number of the first n words and the number of the last
 word into one key, and counts its keys in quotient filters, one for each range of keys.
@@ -20,11 +21,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import lower_ascii, small, small_batches
+from ebbline.llm.common import lower_ascii, small_batches
 from ebbline.llm.quotient import counted, merged, packed, permuted, restored, unpacked
 from ebbline.llm.words import bytes_of, hashes, mix, spans
 from ebbline.session import store
@@ -40,8 +42,6 @@ BLOCK_TOKENS = 4_000_000
 # Key ranges, at least, and tokens a range.
 RANGES = 256
 RANGE_TOKENS = 4_000_000
-# Words that are numbered in one task.
-NUMBERED = 100_000
 # Rows of a language are first ranked in so many parts.
 PARTS = 64
 
@@ -136,22 +136,82 @@ def _block(parts: list[tuple], number: int, own: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["block", "own", "langs", "words", "counts", "places"])
 
 
-def _numbered(words: DataFrame) -> DataFrame:
-    """(id, lang, word, f): the words with numbers from 1, hardly more of them than words."""
-    parts = words.count() // NUMBERED + 1
-    part = F.pmod(F.xxhash64("lang", "word"), F.lit(parts))
-    nth = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("f"), "lang", "word"))
-    return words.withColumn("part", part).select(((nth - 1) * parts + F.col("part") + 1).alias("id"), "lang", "word", "f")
+LISTED = pa.schema([("range", pa.int32()), ("block", pa.int64()), ("nth", pa.binary()), ("langs", pa.list_(pa.string())), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
+
+
+def _ask_words(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[pa.RecordBatch]:
+    """Rows (range, block, nth, langs, words, counts) of the words of a block, by range of their hashes."""
+    shift = np.uint64(64 - (ranges.bit_length() - 1))
+    for batch in batches:
+        for k, block in enumerate(batch.column(0).to_pylist()):
+            langs, words, counts_ = (batch.column(c)[k].values for c in (1, 2, 3))
+            data, stop = bytes_of(words)
+            found = hashes(data, np.append(0, stop)[:-1], stop)
+            of = (found >> shift).astype(np.int64) if ranges > 1 else np.zeros(len(found), np.int64)
+            order = np.argsort(of, kind="stable")
+            edges = np.searchsorted(of[order], np.arange(ranges + 1))
+            some = np.flatnonzero(np.diff(edges))
+            offsets = pa.array(np.append(edges[some], len(order)), pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, c.take(pa.array(order))) for c in (langs, words, counts_)]
+            nth = [squeezed(order[edges[r] : edges[r + 1]], "<u4") for r in some]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()), pa.array(nth, pa.binary()), *lists], schema=LISTED)
+
+
+NUMBERED = "block bigint, ids array<struct<nth:binary,id:binary>>, words array<struct<id:bigint,lang:string,word:string,f:bigint>>, totals array<struct<lang:string,n:bigint>>"
+
+
+def _number(table: pa.Table, ranges: int, least: int) -> pa.Table:
+    """The frequent words of a range with numbers, the words there are in each language, and for every block
+    where its frequent words are in its list and their numbers."""
+    part = table.column("range")[0].as_py()
+    langs, words, counts_ = (pc.list_flatten(table.column(c)).combine_chunks() for c in ("langs", "words", "counts"))
+    langs, words, times = langs.dictionary_encode(), words.dictionary_encode(), counts_.to_numpy()
+    many = len(langs.dictionary)
+    pairs, of = np.unique(words.indices.to_numpy().astype(np.int64) * many + langs.indices.to_numpy(), return_inverse=True)
+    f, n = np.zeros(len(pairs), np.int64), np.zeros(many, np.int64)
+    np.add.at(f, of, times)
+    np.add.at(n, pairs % many, f)
+    often = np.flatnonzero(f >= least)
+    lang, word = langs.dictionary.take(pa.array(pairs[often] % many)), words.dictionary.take(pa.array(pairs[often] // many))
+    # The most frequent words have the least numbers, which pack better.
+    order = pc.sort_indices(pa.table({"f": f[often], "lang": lang, "word": word}), [("f", "descending"), ("lang", "ascending"), ("word", "ascending")])
+    often = often[order.to_numpy()]
+    number = np.zeros(len(pairs), np.int64)
+    number[often] = np.arange(len(often)) * ranges + part + 1
+    said = pa.StructArray.from_arrays([pa.array(number[often]), lang.take(order), word.take(order), pa.array(f[often])], names=["id", "lang", "word", "f"])
+    totals = pa.StructArray.from_arrays([langs.dictionary, pa.array(n)], names=["lang", "n"])
+
+    ids = number[of]
+    edges = np.cumsum(np.append(0, pc.list_value_length(table.column("words")).to_numpy())).tolist()
+    answers = []
+    for block, nth, low, high in zip(table.column("block").to_pylist(), table.column("nth").to_pylist(), edges, edges[1:]):
+        if len(some := np.flatnonzero(ids[low:high])):
+            answers.append((block, {"nth": squeezed(loosened(nth, "<u4")[some], "<u4"), "id": squeezed(ids[low:high][some])}))
+    # One row for each block, and one for the range itself.
+    rows = len(answers)
+    kind = pa.struct([("nth", pa.binary()), ("id", pa.binary())])
+    own = lambda values: pa.ListArray.from_arrays(pa.array([0] * (rows + 1) + [len(values)], pa.int32()), values)
+    columns = [pa.array([*(b for b, _ in answers), None], pa.int64()), pa.array([*([a] for _, a in answers), []], pa.list_(kind)), own(said), own(totals)]
+    return pa.Table.from_arrays(columns, names=["block", "ids", "words", "totals"])
+
+
+def _numbering(ranges: int, least: int) -> Callable[[pa.Table], pa.Table]:
+    """What a range does with the words that blocks sent it."""
+
+    def number(table: pa.Table) -> pa.Table:
+        return _number(table, ranges, least)
+
+    return number
 
 
 def _begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The frequent words of a block: where they stand and their numbers."""
     for batch in batches:
-        for block, own, places, ids in zip(*(batch.column(k).to_pylist() for k in range(3)), batch.column(3)):
+        for block, own, places, answers in zip(*(c.to_pylist() for c in batch.columns)):
             places = loosened(places, "<u4")
             number = np.zeros(int(places.max(initial=0)) + 1, np.uint64)
-            pairs = ids.values.flatten()
-            number[pairs[0].to_numpy() + 1] = pairs[1].to_numpy()
+            for answer in answers:
+                number[loosened(answer["nth"], "<u4") + np.uint32(1)] = loosened(answer["id"])
             words = number[places]
             at = np.flatnonzero(words)
             yield _state(block, own, at, words[at], None)
@@ -244,17 +304,16 @@ def counts(docs: DataFrame, least: int = LEAST, tokens: int = BLOCK_TOKENS, rang
     A null lang is `und`, a null text is empty; equal rows count each.
     """
     made = store(blocks(docs, tokens), compression="zstd")
-    listed = made.select("block", F.posexplode(F.arrays_zip("langs", "words", "counts")).alias("nth", "w"))
-    every = store(listed.groupBy(F.col("w.langs").alias("lang"), F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("f")))
-    totals = every.groupBy("lang").agg(F.sum("f").alias("n"))
-    words = store(_numbered(every.filter(F.col("f") >= least)))
+    total = int(made.agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, b: a + b))).first()[0] or 0)
+    ranges = 1 << max((ranges - 1).bit_length(), int(total // RANGE_TOKENS).bit_length())
+    asked = made.select("block", "langs", "words", "counts").mapInArrow(partial(_ask_words, ranges=ranges), "range int, block bigint, nth binary, langs array<string>, words array<string>, counts array<bigint>")
+    answered = store(asked.groupBy("range").applyInArrow(_numbering(ranges, least), NUMBERED))
+    totals = answered.filter("block IS NULL").select(F.inline("totals")).groupBy("lang").agg(F.sum("n").alias("n"))
+    words = store(answered.filter("block IS NULL").select(F.inline("words")))
     said = [words.select("lang", F.lit(1).alias("words"), F.col("word").alias("phrase"), "f")]
     word_bits = _bits(words)
-    ranges = 1 << max((ranges - 1).bit_length(), int((totals.agg(F.sum("n")).first()[0] or 0) // RANGE_TOKENS).bit_length())
 
-    known = small(words.select("id", F.col("lang").alias("l"), F.col("word").alias("w_")))
-    placed = listed.join(known, (F.col("w.langs") == F.col("l")) & (F.col("w.words") == F.col("w_")))
-    ids = placed.groupBy("block").agg(F.collect_list(F.struct(F.col("nth").cast("bigint").alias("nth"), "id")).alias("ids"))
+    ids = answered.filter("block IS NOT NULL").groupBy("block").agg(F.flatten(F.collect_list("ids")).alias("ids"))
     state = store(made.select("block", "own", "places").join(ids, "block").mapInArrow(_begun, STATE))
     before = words.select("id", "lang", F.col("word").alias("phrase"))
     phrase_bits = word_bits

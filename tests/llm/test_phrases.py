@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ebbline.llm import catalog, phrases, quotient
@@ -103,6 +104,37 @@ def test_filters_take_few_bytes():
     assert len(quotient.packed(keys, np.ones(len(keys), np.int64), 36)) < 5 * len(keys)
 
 
+def test_words_of_blocks_are_not_joined_row_by_row(spark, monkeypatch):
+    """Blocks get the numbers of their words in packed rows: no step lists the words of a block as rows."""
+    plans = []
+    store = phrases.store
+
+    def noted(df, **options):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return store(df, **options)
+
+    monkeypatch.setattr(phrases, "store", noted)
+    rows = [(k, t, "en", "", 1, "") for k, t in enumerate(said(7, 40))]
+    totals, every = phrases.counts(spark.createDataFrame(rows, SCHEMA).repartition(3), 3, tokens=40, ranges=4)
+    plans.append(every._jdf.queryExecution().optimizedPlan().toString())
+    assert len(plans) > 5 and not [p for p in plans if "posexplode" in p]
+    n = Counter(w for _, t, *_ in rows for w in re.findall("[^\x20\x09-\x0d.,;:!?]+", (t or "").translate({c: c + 32 for c in range(65, 91)})))
+    assert {r.phrase: r.f for r in every.filter("words = 1").collect()} == {w: f for w, f in n.items() if f >= 3}
+    assert [tuple(r) for r in totals.collect()] == [("en", sum(n.values()))]
+
+
+def test_numbers_of_words():
+    """A range numbers frequent words from the most frequent, each by language, and answers each block."""
+    lists = [(0, ["en", "fr", "en"], ["a", "a", "b"], [2, 1, 1]), (1, ["en", "en"], ["b", "c"], [4, 1]), (2, ["fr"], ["d"], [1])]
+    columns = {"range": [1] * 3, "block": [b for b, *_ in lists], "nth": [phrases.squeezed(np.arange(len(w)) + 5, "<u4") for _, _, w, _ in lists]}
+    columns |= {name: [x[k] for x in lists] for k, name in enumerate(("langs", "words", "counts"), 1)}
+    *answers, own = phrases._number(pa.table(columns).cast(phrases.LISTED), 4, 2).to_pylist()
+    assert [(w["id"], w["lang"], w["word"], w["f"]) for w in own["words"]] == [(2, "en", "b", 5), (6, "en", "a", 2)]
+    assert {(t["lang"], t["n"]) for t in own["totals"]} == {("en", 8), ("fr", 2)} and own["block"] is None
+    said_ = [(a["block"], phrases.loosened(a["ids"][0]["nth"], "<u4").tolist(), phrases.loosened(a["ids"][0]["id"]).tolist()) for a in answers]
+    assert said_ == [(0, [5, 7], [6, 2]), (1, [5], [2])]
+
+
 def test_query(spark):
     rows = [(r["text"], r["lang"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     found = sorted(tuple(r) for r in catalog.QUERIES["op11_phrases"](spark, "/root/testdata/sf0.001").collect())
