@@ -126,7 +126,8 @@ def _dealt(docs: DataFrame, n: int, percent: int, ranges: int, prefix_only: bool
                     continue
                 seen.add(name)
                 names.append(name)
-                sets.append(s[: len(s) - int(need(np.array(len(s)), percent)) + 1] if prefix_only else s)
+                # Copied, as a part of an array keeps all of it.
+                sets.append(s[: len(s) - int(need(np.array(len(s)), percent)) + 1].copy() if prefix_only else s)
                 held += len(sets[-1])
                 if held >= PACKED_SHINGLES:
                     yield from _packed(names, sets, ranges)
@@ -137,12 +138,18 @@ def _dealt(docs: DataFrame, n: int, percent: int, ranges: int, prefix_only: bool
     return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "range bigint, keys binary, names binary")
 
 
-def _gathered(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _numbers(group: pa.Table, name: str, kind: type) -> np.ndarray:
+    """The numbers packed in a binary column, one row after the other, read where they lie."""
+    parts = [np.frombuffer(bytes_of(c)[0], kind) for c in group.column(name).chunks]
+    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+
+def _gathered(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (shingle, set) of a key range, sorted, and how many sets have each one's shingle."""
-    keys = np.frombuffer(b"".join(group["keys"]), np.uint64)
-    names = np.frombuffer(b"".join(group["names"]), np.int64)
+    keys, names = _numbers(group, "keys", np.uint64), _numbers(group, "names", np.int64)
     order = np.lexsort((names, keys))
     keys, names = keys[order], names[order]
+    del order
     new = np.ones(len(keys), bool)
     new[1:] = (keys[1:] != keys[:-1]) | (names[1:] != names[:-1])
     keys, names = keys[new], names[new]
@@ -151,13 +158,13 @@ def _gathered(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys, names, np.repeat(held, held)
 
 
-def _sharing(group: pd.DataFrame) -> pd.DataFrame:
+def _sharing(group: pa.Table) -> pa.Table:
     """Sets that share a shingle of this range."""
     _, names, held = _gathered(group)
-    return pd.DataFrame({"name": np.unique(names[held > 1])})
+    return pa.table({"name": np.unique(names[held > 1])})
 
 
-def _shared(group: pd.DataFrame, buckets: int) -> pd.DataFrame:
+def _shared(group: pa.Table, buckets: int) -> pa.Table:
     """The shingles of this range that several sets have, how many have them, and whose they are,
     packed by bucket of the set."""
     keys, names, held = _gathered(group)
@@ -167,22 +174,19 @@ def _shared(group: pd.DataFrame, buckets: int) -> pd.DataFrame:
     order = np.argsort(bucket, kind="stable")
     keys, names, held = keys[order], names[order], held[order]
     edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    rows = [
-        (k, names[a:b].tobytes(), keys[a:b].tobytes(), held[a:b].tobytes()) for k, (a, b) in enumerate(zip(edge[:-1], edge[1:])) if b > a
-    ]
-    return pd.DataFrame(rows, columns=["bucket", "names", "keys", "held"])
+    some = np.flatnonzero(np.diff(edge))
+    packed = ([c[edge[k] : edge[k + 1]].tobytes() for k in some] for c in (names, keys, held))
+    return pa.table([pa.array(some, pa.int64()), *(pa.array(c, pa.binary()) for c in packed)], names=["bucket", "names", "keys", "held"])
 
 
-def _paths(group: pd.DataFrame) -> pd.DataFrame:
+def _paths(group: pa.Table) -> pa.Table:
     """Each set of a bucket with all of its shared shingles in the global order."""
-    names = np.frombuffer(b"".join(group["names"]), np.int64)
-    keys = np.frombuffer(b"".join(group["keys"]), np.uint64)
-    held = np.frombuffer(b"".join(group["held"]), np.uint32)
+    names, keys, held = _numbers(group, "names", np.int64), _numbers(group, "keys", np.uint64), _numbers(group, "held", np.uint32)
     order = np.lexsort((keys, held, names))
     names, keys, held = names[order], keys[order], held[order]
-    first = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
-    rows = [(int(names[a]), keys[a:b].tobytes(), held[a:b].tobytes(), int(b - a)) for a, b in zip(first, np.append(first[1:], len(names)))]
-    return pd.DataFrame(rows, columns=["name", "path", "held", "shared"])
+    edge = np.flatnonzero(np.append(np.append(True, names[1:] != names[:-1]), True))
+    path, held = ([c[a:b].tobytes() for a, b in zip(edge, edge[1:])] for c in (keys, held))
+    return pa.table([pa.array(names[edge[:-1]]), pa.array(path, pa.binary()), pa.array(held, pa.binary()), pa.array(np.diff(edge))], names=["name", "path", "held", "shared"])
 
 
 def ordered_sets(docs: DataFrame, named: DataFrame, n: int, percent: int) -> DataFrame:
@@ -193,17 +197,17 @@ def ordered_sets(docs: DataFrame, named: DataFrame, n: int, percent: int) -> Dat
     """
     total = int(named.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0])
     ranges = 1 + total // RANGE_SHINGLES
-    some = _dealt(docs, n, percent, 1 + ranges // 4, True).groupBy("range").applyInPandas(_sharing, "name bigint").distinct()
+    some = _dealt(docs, n, percent, 1 + ranges // 4, True).groupBy("range").applyInArrow(_sharing, "name bigint").distinct()
     some = store(some)
     keep = small(named.join(some, "name", "left_semi").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size")))
     texts = docs.join(keep.select(F.col("doc_id").alias("kept")), docs["doc_id"].eqNullSafe(F.col("kept")), "left_semi")
 
-    def shared(group: pd.DataFrame) -> pd.DataFrame:
+    def shared(group: pa.Table) -> pa.Table:
         return _shared(group, ranges)
 
     # From key ranges to buckets of sets: packed both ways, so rows do not grow with the texts of a range.
-    parts = _dealt(texts, n, percent, ranges, False).groupBy("range").applyInPandas(shared, "bucket bigint, names binary, keys binary, held binary")
-    paths = parts.groupBy("bucket").applyInPandas(_paths, "name bigint, path binary, held binary, shared bigint")
+    parts = _dealt(texts, n, percent, ranges, False).groupBy("range").applyInArrow(shared, "bucket bigint, names binary, keys binary, held binary")
+    paths = parts.groupBy("bucket").applyInArrow(_paths, "name bigint, path binary, held binary, shared bigint")
     least = F.ceil(F.lit(percent) * F.col("size") / 100)
     sized = paths.join(keep.select("name", "size"), "name").withColumn("prefix", (F.col("shared") - least + 1).cast("bigint"))
     return store(sized.filter("prefix > 0").select("name", "size", "path", "held", "prefix"))

@@ -4,7 +4,9 @@ general forms of the operators against brute force."""
 import random
 
 import duckdb
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from compare import differences
 
@@ -217,3 +219,17 @@ def test_wrapped_templates_in_sql(spark, tmp_path):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     theirs = sorted(con.execute(f"SELECT doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score FROM ({catalog.ORACLE['op7_licenses']}) q").fetchall())
     assert ours == theirs
+
+
+def test_packed_shingles_are_read_where_they_lie():
+    """A range and a bucket are read from the columns of their group, in one piece or several."""
+    rows = [([5, 7, 9], [1, 1, 1]), ([5, 9], [2, 2]), ([9, 5], [3, 1]), ([], [])]
+    packed = pa.table({"keys": [np.array(k, np.uint64).tobytes() for k, _ in rows], "names": [np.array(n, np.int64).tobytes() for _, n in rows]})
+    for group in (packed, pa.concat_tables([packed[:1], packed[1:2], packed[2:]])):
+        assert tries._sharing(group).to_pydict() == {"name": [1, 2, 3]}
+        shared = tries._shared(group, 1)
+        assert shared.column("bucket").to_pylist() == [0]
+        paths = tries._paths(shared).to_pylist()
+        assert [(r["name"], np.frombuffer(r["path"], np.uint64).tolist(), np.frombuffer(r["held"], np.uint32).tolist(), r["shared"]) for r in paths] == [
+            (1, [5, 9], [2, 3], 2), (2, [5, 9], [2, 3], 2), (3, [9], [3], 1)]
+    assert tries._numbers(packed, "keys", np.uint64).base is not None
