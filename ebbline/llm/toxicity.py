@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import added, carried, fold, small, small_batches
+from ebbline.llm.common import added, carried, fold, give_back, small, small_batches
 from ebbline.session import store
 
 # Bounds of the fitted classifier: examples of each class, and examples whose
@@ -180,6 +180,7 @@ class Examples:
         self.column, self.value = np.zeros(self.starts[-1], np.int32), np.zeros(self.starts[-1])
         for i in reversed(range(n)):
             self.column[self.starts[i] : self.starts[i + 1]], self.value[self.starts[i] : self.starts[i + 1]] = vectors.pop()
+        give_back()  # the vectors
         held = np.zeros(width, np.int64)
         for some in self._pieces(n):
             held += np.bincount(self.column[some], minlength=width)
@@ -450,9 +451,9 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES_PER_CLASS)
     vectors = [x[5] for x in told]
     del told
     made.index(vectors)
-    pa.default_memory_pool().release_unused()  # what looking words up took
     made.calibrate(CALIBRATION)
     made.dense = None
+    give_back()  # what the index and the calibration took beside what stays
     return made
 
 

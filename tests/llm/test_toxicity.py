@@ -5,11 +5,12 @@ import re
 import tracemalloc
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 
-from ebbline.llm import toxicity
+from ebbline.llm import common, language, toxicity
 
 DOCS = "doc_id bigint, text string, toxic int, score string, row string"
 LABELS = "doc_id bigint, quality int, toxic int"
@@ -173,3 +174,22 @@ def test_words_are_found_by_translating():
     for words in ([], ["never"], ["t3", "t1", "t3", "never", "t49", "t3", "t49"]):
         for got, plain in zip(model.sparse_of(words), model.sparse(Counter(words))):
             assert got.dtype == plain.dtype and got.tolist() == plain.tolist()
+
+
+def test_fits_give_memory_back(spark, monkeypatch):
+    """What a fit took beside its model does not stay with the driver's Python, and windows of bytes are held as bytes."""
+    resident = lambda: int(Path("/proc/self/statm").read_text().split()[1]) * 4096
+    held = [np.ones(8000) for _ in range(2000)]
+    pin = np.ones(8000)  # memory below it is not at the end, which alone goes back by itself
+    del held
+    before = resident()
+    common.give_back()
+    assert len(pin) and before - resident() > 60e6
+    calls, kinds = [], []
+    for module in (toxicity, language):
+        monkeypatch.setattr(module, "give_back", lambda name=module.__name__: calls.append(name))
+    monkeypatch.setattr(language.Network, "train", lambda self, windows, *rest: kinds.append(windows.dtype))
+    docs = spark.createDataFrame([(i, f"w{i % 7} word{i}", "ab"[i % 2]) for i in range(60)], "doc_id bigint, text string, lang string")
+    toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, toxic int"))
+    language.fit(docs)
+    assert calls[-2:] == [toxicity.__name__, language.__name__] and kinds == [np.uint8]
