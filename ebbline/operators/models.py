@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from ebbline.functions.values import unit_hash
 from ebbline.names import KEY, PREDICTION, TARGET
+from ebbline.operators import boosting
+from ebbline.operators.boosting import PATIENCE, kept_trees
 from ebbline.operators.contributions import contribution_importance, tree_nodes
 from ebbline.operators.encoding import VECTOR, Encoder, fit_encoder, load_encoder
 from ebbline.operators.isotonic import apply_curve, fit_isotonic
@@ -36,10 +38,7 @@ SEARCH_SPACE = {
 }
 N_TRIALS = 30
 CALIBRATION_FOLDS = 5
-# Trees without gain on the validation rows after which boosting ends.
-PATIENCE = 30
-
-# Trees of a first fit while looking for that end; each further fit has twice as many.
+# Trees after which that end is first looked for; then again whenever their number has doubled.
 FIRST_TREES = 50
 # Fits that run side by side. Each is a chain of small jobs that waits more than it works.
 FITS_AT_ONCE = 4
@@ -144,21 +143,10 @@ class Trial(NamedTuple):
     curve: list[float]
 
 
-def kept_trees(curve: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
-    """The tree of the least loss so far once ``patience`` more trees brought none below it, and whether that came about."""
-    best, at = math.inf, 1
-    for k, loss in enumerate(curve, 1):
-        if loss < best:
-            best, at = loss, k
-        elif k - at >= patience:
-            return at, True
-    return at, False
-
-
-def boost(
+def boost_by_fits(
     train: DataFrame, val: DataFrame, params: TreeParams, bins: int = BINS, seed: int = 42, patience: int = PATIENCE, first: int = FIRST_TREES
 ) -> Trial:
-    """Boost until the validation loss has not fallen for ``patience`` trees, or all trees asked for are built.
+    """:func:`boost` by MLlib alone, for clusters that cannot start all tasks of a fit at once.
 
     MLlib stops at the first tree that gains too little, so the number of trees is
     found from outside: the first trees of a longer fit with the same seed are those
@@ -176,6 +164,33 @@ def boost(
             return Trial(params._replace(maxIter=kept), curve[kept - 1], params.maxIter, curve)
 
 
+def boost(
+    train: DataFrame, val: DataFrame, params: TreeParams, bins: int = BINS, seed: int = 42, patience: int = PATIENCE, first: int = FIRST_TREES
+) -> Trial:
+    """Boost until the validation loss has not fallen for ``patience`` trees, or all trees asked for are built.
+
+    The trees are MLlib's, grown by :mod:`ebbline.operators.boosting`; whether the end has
+    come is looked at after ``first`` trees and whenever their number has doubled.
+    """
+    return boost_all(train, val, [params], bins, seed, patience, first)[0]
+
+
+def boost_all(
+    train: DataFrame, val: DataFrame, draws: Sequence[TreeParams], bins: int = BINS, seed: int = 42, patience: int = PATIENCE, first: int = FIRST_TREES
+) -> list[Trial]:
+    """:func:`boost` for each draw, side by side over rows that are binned once."""
+    dealt = boosting.deal(train, val, VECTOR, bins, seed)
+    if dealt is None:
+        return side_by_side([lambda p=p: boost_by_fits(train, val, p, bins, seed, patience, first) for p in draws])
+
+    def trial(params: TreeParams) -> Trial:
+        curve = boosting.fit(dealt, params._asdict(), seed, patience, first)
+        kept, _ = kept_trees(curve, patience)
+        return Trial(params._replace(maxIter=kept), curve[kept - 1], params.maxIter, curve)
+
+    return side_by_side([lambda p=p: trial(p) for p in draws], dealt.at_once)
+
+
 def tune(
     train: DataFrame,
     val: DataFrame,
@@ -185,12 +200,11 @@ def tune(
     space: dict = SEARCH_SPACE,
     patience: int = PATIENCE,
 ) -> list[Trial]:
-    """One boosted model per draw, a few at a time, ordered by validation log loss.
+    """One boosted model per draw, as many at a time as the cores allow, ordered by validation log loss.
 
-    Each fit is a distributed job of its own over the stored vectors; only losses come back.
+    Each fit is a job of its own over the binned rows; only losses come back.
     """
-    draws = sample_params(n_trials, seed, space)
-    trials = side_by_side([lambda p=p: boost(train, val, p, bins, seed, patience) for p in draws])
+    trials = boost_all(train, val, sample_params(n_trials, seed, space), bins, seed, patience)
     return sorted(trials, key=lambda t: t.log_loss)
 
 

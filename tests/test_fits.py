@@ -4,6 +4,7 @@ import math
 import random
 from fractions import Fraction
 
+import numpy as np
 import pytest
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -11,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ebbline.names import KEY, PREDICTION, TARGET
+from ebbline.operators import boosting
 from ebbline.operators import contributions as ctb
 from ebbline.operators import encoding as enc
 from ebbline.operators import isotonic as iso
@@ -67,6 +69,104 @@ def test_jobs_side_by_side_keep_their_order(spark):
     assert md.side_by_side([lambda k=k: spark.range(k).count() for k in range(7)], 3) == list(range(7))
 
 
+# --- trees of a search -----------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def wide(spark):
+    """12,000 rows in five partitions (one without training rows), five features, two of them all but constant."""
+    rows = spark.range(0, 12_000, 1, 5).select(
+        "id", *[F.round(F.rand(k) * m, 3).alias(f"x{k}") for k, m in enumerate((1.0, 40.0, 5.0))], F.lit(2.0).alias("x3"), (F.rand(8) < 0.01).cast("double").alias("x4"),
+        (F.rand(9) < 0.5).alias("coin"),
+    )
+    label = (F.col("x0") * F.col("x1") + F.col("x2") + F.when(F.col("coin"), 8) > 14).cast("double")
+    rows = rows.withColumn("label", F.coalesce(label, F.lit(0.0)))
+    return md.store(VectorAssembler(inputCols=[f"x{k}" for k in range(5)], outputCol=md.VECTOR).transform(rows).select("id", "label", md.VECTOR)).cache()
+
+
+DRAWS = [
+    md.TreeParams(maxIter=9, stepSize=0.1, maxDepth=4, minInstancesPerNode=20, subsamplingRate=0.7, featureSubsetStrategy="0.610", minInfoGain=0.002),
+    md.TreeParams(maxIter=4, stepSize=0.2, maxDepth=3, minInstancesPerNode=50),
+    md.TreeParams(maxIter=5, stepSize=0.05, maxDepth=1, subsamplingRate=0.9, featureSubsetStrategy="0.200", minInfoGain=0.5),
+]
+
+
+def test_trees_of_a_search_are_mllibs(wide, monkeypatch):
+    """In one task, and dealt over the tasks of a barrier stage: the losses of MLlib's fits, tree by tree."""
+    train, val = wide.where("id % 6 > 0 AND id >= 2400"), wide.where("id % 6 = 0")
+    theirs = md.side_by_side([lambda p=p: md.boost_by_fits(train, val, p, first=6) for p in DRAWS])
+    for task_rows, tasks, at_once in ((boosting.TASK_ROWS, 1, 8), (3_000, 4, 2)):
+        monkeypatch.setattr(boosting, "TASK_ROWS", task_rows)
+        assert boosting.deal(train, val, md.VECTOR, md.BINS, 42)[1:3] == (tasks, at_once)
+        for want, trial in zip(theirs, md.boost_all(train, val, DRAWS, first=6)):
+            assert trial.curve == pytest.approx(want.curve, rel=1e-9)
+            assert (trial.params, trial.asked, len(trial.curve)) == (want.params, want.asked, len(want.curve))
+
+
+def test_a_cluster_that_cannot_start_all_tasks_at_once(wide, monkeypatch):
+    """MLlib's own fits are taken where Spark refuses barrier stages."""
+    monkeypatch.setattr(boosting, "TASK_ROWS", 3_000)
+    monkeypatch.setattr(boosting, "gangs", lambda context: False)
+    rows = wide.where("id < 6000")
+    assert boosting.deal(rows, rows, md.VECTOR, md.BINS, 42) is None
+    trial = md.boost(rows, rows, md.TreeParams(maxIter=2, maxDepth=1), first=1)
+    assert len(trial.curve) == 2 and trial.curve[1] < trial.curve[0]
+
+
+def test_thresholds_of_more_rows_are_mllibs(spark):
+    """Beyond 10,000 rows MLlib finds thresholds on a sample, here with zeros and few distinct values among the features."""
+    rows = spark.range(0, 60_000, 1, 3).select(
+        (F.rand(1) < 0.4).cast("double").alias("label"), F.when(F.rand(2) < 0.7, 0.0).otherwise(F.rand(3)).alias("a"), F.floor(F.rand(4) * 9).cast("double").alias("b"), F.randn(5).alias("c"),
+    ).withColumn("label", F.when(F.abs("c") + F.col("a") > 1.2, 1.0).otherwise(F.col("label")))
+    rows = md.store(VectorAssembler(inputCols=["a", "b", "c"], outputCol=md.VECTOR).transform(rows)).cache()
+    params = md.TreeParams(maxIter=6, maxDepth=3, subsamplingRate=0.8)
+    ours, theirs = (f(rows.where("b > 0"), rows.where("b = 0"), params, first=6) for f in (md.boost, md.boost_by_fits))
+    assert ours.curve == pytest.approx(theirs.curve, rel=1e-9)
+
+
+def test_a_search_is_a_job_a_draw(spark, wide):
+    """A fit is one job, not two stages for every level of every tree, and no tree is built twice."""
+    spark.sparkContext.setJobGroup("a search", "counted")
+    try:
+        trials = md.tune(wide.where("id % 6 > 0"), wide.where("id % 6 = 0"), n_trials=6, space=dict(md.SEARCH_SPACE, n_estimators=(20, 20, 10), max_depth=(3, 4)))
+    finally:
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("a search")
+        spark.sparkContext._jsc.clearJobGroup()
+    assert len(trials) == 6 and [t.log_loss for t in trials] == sorted(t.log_loss for t in trials)
+    assert len(jobs) <= 20
+
+
+def test_random_numbers_are_javas(spark):
+    java = spark._jvm.org.apache.spark.util.random.XORShiftRandom(5)
+    for seed in (43, -3, 1 << 40):
+        java.setSeed(seed)
+        want = [java.nextDouble() for _ in range(700)]
+        one = boosting.XorShift(seed)
+        assert [one.uniform() for _ in range(700)] == want == boosting.Uniforms()(seed, 700).tolist()
+        other, ours = spark._jvm.java.util.Random(seed), boosting.JavaRandom(seed)
+        assert [ours.long() for _ in range(20)] == [other.nextLong() for _ in range(20)]
+
+
+def test_constant_features_have_no_thresholds():
+    few = boosting.thresholds(np.array([[0.0, 1.0, 3.0], [0.0, 1.0, 0.0], [0.0, 1.0, -1.0]]), 3, 32)
+    assert [t.tolist() for t in few] == [[], [], [-0.5, 1.5]]
+    many = boosting.thresholds(np.arange(1.0, 101.0)[:, None], 100, 4)
+    assert [t.tolist() for t in many] == [[25.5, 50.5, 75.5]]
+
+
+def test_rows_a_search_cannot_take(spark, wide):
+    whole = wide.where("id < 100")
+    with pytest.raises(ValueError, match="no rows"):
+        md.boost(whole.where("id < 0"), whole, DRAWS[1])
+    with pytest.raises(Exception, match="neither 0 nor 1"):
+        md.boost(whole.withColumn("label", F.lit(2.0)), whole, DRAWS[1])
+    with pytest.raises(Exception, match="neither 0 nor 1"):
+        md.boost(whole.withColumn("label", F.when(F.col("id") > 3, F.col("label"))), whole, DRAWS[1])
+    lost = VectorAssembler(inputCols=["x"], outputCol=md.VECTOR, handleInvalid="keep").transform(whole.select("label", F.when(F.col("id") > 3, 1.0).alias("x")))
+    with pytest.raises(Exception, match="not a finite number"):
+        md.boost(lost, whole, DRAWS[1])
+
+
 # --- categories ------------------------------------------------------------------------
 
 TRAINED = f"{KEY} string, shop string, city string, x double, {TARGET} int"
