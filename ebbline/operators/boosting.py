@@ -5,8 +5,8 @@ rows, features of a node, gains and leaves. MLlib starts two stages for every le
 every tree and cannot add trees to a finished fit. Here the rows are put into bins once
 for all fits of a search, one byte a value, and a fit is one stage: its tasks hold the
 bins and the margins of their rows, sum a node's cells in numpy and exchange only those
-sums. A small table is one task a fit, with as many fits side by side as there are cores;
-a large one is dealt by partitions over the tasks of a barrier stage.
+sums. Up to ``TASK_ROWS`` rows a fit is one task, with as many fits side by side as there
+are cores; beyond, its partitions are dealt over the tasks of a barrier stage.
 """
 
 from __future__ import annotations
@@ -33,8 +33,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Trees without gain on the validation rows after which boosting ends.
 PATIENCE = 30
-# Rows of a fit that one task may hold, as long as the cluster has more cores to give.
-TASK_ROWS = 1_000_000
+# Rows of a fit that one task may hold, at some 100 bytes each, before the cluster's other cores share in it.
+# An exchange between tasks takes Spark a second (it looks for the answer once a second), so few tasks are best.
+TASK_ROWS = 6_000_000
 # Rows whose cells are summed at a time, and values below which all features are summed in one go.
 STEP_ROWS = 1_000_000
 SMALL_NODE = 1 << 16
@@ -318,12 +319,12 @@ class Part:
 
 
 class Node(NamedTuple):
-    """A node still to be split: its place in the tree, (count, sum, sum of squares) once known, rows by part."""
+    """A node still to be split: its place in the tree, (count, sum, sum of squares) once known, rows and targets by part."""
 
     number: int
     level: int
     stats: np.ndarray | None
-    rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+    rows: list[tuple[np.ndarray, np.ndarray]]
 
 
 class Tree(NamedTuple):
@@ -342,16 +343,18 @@ class Tree(NamedTuple):
     def values(self, bins: np.ndarray) -> np.ndarray:
         """What each row is given."""
         out = np.full(bins.shape[1], self.value[0])
-        pending = [(0, slice(None))] if self.feature[0] >= 0 else []
+        pending: list = [(0, None)] if self.feature[0] >= 0 else []
         while pending:
             node, rows = pending.pop()
-            goes_left = bins[self.feature[node]][rows] <= self.last[node]
-            rows = np.arange(bins.shape[1], dtype=np.int32) if isinstance(rows, slice) else rows
-            for child, own in ((self.left[node], goes_left), (self.left[node] + 1, ~goes_left)):
+            own = bins[self.feature[node]]
+            goes_left = (own if rows is None else own.take(rows)) <= self.last[node]
+            for child, goes in ((self.left[node], goes_left), (self.left[node] + 1, ~goes_left)):
+                at = np.flatnonzero(goes)
+                at = at if rows is None else rows.take(at)
                 if self.feature[child] >= 0:
-                    pending.append((child, rows[own]))
+                    pending.append((child, at))
                 else:
-                    out[rows[own]] = self.value[child]
+                    out[at] = self.value[child]
         return out
 
 
@@ -368,10 +371,10 @@ def _variance(stats: np.ndarray) -> np.ndarray:
 def _cells(parts: Sequence[Part], node: Node, features: Sequence[int], width: int) -> np.ndarray:
     """Count, sum and sum of squares of a node's rows by feature and bin; part by part, as they come."""
     out = np.zeros((3, max(1, len(features)), width))
-    for part, (rows, y, squares) in zip(parts, node.rows):
+    for part, (rows, targets) in zip(parts, node.rows):
         for a in range(0, len(rows), STEP_ROWS):
-            some = rows[a : a + STEP_ROWS]
-            weights = (None, y[a : a + STEP_ROWS], squares[a : a + STEP_ROWS])
+            some, y = rows[a : a + STEP_ROWS], targets[a : a + STEP_ROWS]
+            weights = (None, y, y * y)
             if not features:
                 keys = np.zeros(len(some), np.intp)
                 for k, w in enumerate(weights):
@@ -383,7 +386,7 @@ def _cells(parts: Sequence[Part], node: Node, features: Sequence[int], width: in
                     out[k] += np.bincount(keys, w, len(features) * width).reshape(-1, width)
             else:
                 for i, f in enumerate(features):
-                    keys = part.bins[f][some].astype(np.intp)
+                    keys = part.bins[f].take(some).astype(np.intp)
                     for k, w in enumerate(weights):
                         out[k, i] += np.bincount(keys, w, width)
     return out
@@ -447,10 +450,11 @@ def _divide(parts: Sequence[Part], tree: Tree, node: Node, feature: int, last: i
     tree.feature[node.number], tree.last[node.number], tree.left[node.number] = feature, last, children[0]
     open_ = [node.level + 1 < depth and abs(_variance(s)) >= EPSILON for s in stats]
     if any(open_):
-        goes_left = [part.bins[feature][rows] <= last for part, (rows, _, _) in zip(parts, node.rows)]
+        goes_left = [part.bins[feature].take(rows) <= last for part, (rows, _) in zip(parts, node.rows)]
         for number, s, is_open, is_left in zip(children, stats, open_, (True, False)):
             if is_open:
-                own = [tuple(x[g if is_left else ~g] for x in held) for g, held in zip(goes_left, node.rows)]
+                places = [np.flatnonzero(g if is_left else ~g) for g in goes_left]
+                own = [(rows.take(at), y.take(at)) for at, (rows, y) in zip(places, node.rows)]
                 stack.append(Node(number, node.level + 1, s, own))
 
 
@@ -483,8 +487,7 @@ def boosted(
                 y = p.sign if k == 0 else _residuals(p)
                 n = len(y)
                 rows = np.arange(n, dtype=np.int32) if rate == 1.0 else np.flatnonzero(uniforms(seed + k + p.number + 1, n) < rate).astype(np.int32)
-                y = y[rows]
-                held.append((rows, y, y * y))
+                held.append((rows, y.take(rows)))
             tree = grow(train, Node(0, 0, None, held), splits, params, seed + k, gather, tasks)
             for p in (*train, *val):
                 p.margin += tree.values(p.bins) * (params["stepSize"] if k else 1.0)
